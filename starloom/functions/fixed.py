@@ -114,10 +114,7 @@ PAID_PRICE = "Paid (Subscription)"
 FREE_TEXTS = ["free", "0", ""]
 
 # --- fixed values: date formats, tried in this order ---------------------------------
-PAGE_DATE_FORMATS = [
-    "yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]'Z'", "yyyy-MM-dd'T'HH:mm:ss'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy",
-]
+PAGE_DATE_FORMATS = ["yyyy-M-d", "MMMM d, yyyy", "MMM d, yyyy"]
 FEED_DATE_FORMAT = "M/d/yyyy"
 
 # --- fixed values: the canonical course row -------------------------------------------

@@ -48,14 +48,13 @@ def url_parameter(c: ColumnOrName, name: str) -> Column:
 def url_slug(c: ColumnOrName) -> Column:
     """Course slug: what follows ``/course/``, ``/school/`` or ``/degree/``."""
     url = col(c)
-    found = [
-        F.regexp_replace(F.regexp_extract(url, f"/{kind}/([^?#]*)", 1), "^/+|/+$", "")
-        for kind in ("course", "school", "degree")
-    ]
-    return F.coalesce(
-        *[F.when(F.contains(url, F.lit(f"/{kind}/")), slug)
-          for kind, slug in zip(("course", "school", "degree"), found)]
-    )
+
+    def after(kind: str) -> Column:
+        rest = _part(url, f"/{kind}/", 2)
+        slug = F.regexp_replace(_part(_part(rest, "?", 1), "#", 1), "^/+|/+$", "")
+        return F.when(F.contains(url, F.lit(f"/{kind}/")), slug)
+
+    return F.coalesce(after("course"), after("school"), after("degree"))
 
 
 def url_site_path(candidates: list[ColumnOrName], site: str, default: Column) -> Column:
