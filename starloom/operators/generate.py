@@ -25,10 +25,8 @@ def date_spine(spark: SparkSession, datepart: str, start: str, end: str) -> Data
         raise ValueError(f"unknown datepart {datepart!r}")
     unit = datepart.upper()
     first, last = f"cast({start} as timestamp_ntz)", f"cast({end} as timestamp_ntz)"
-    bounds = spark.range(1).selectExpr(
-        f"cast(timestampdiff({unit}, date_trunc('{unit}', {first}), date_trunc('{unit}', {last})) as bigint) as n"
-    )
-    steps = bounds.first()["n"]  # one number
+    count = f"timestampdiff({unit}, date_trunc('{unit}', {first}), date_trunc('{unit}', {last}))"
+    steps = spark.sql(f"select cast({count} as bigint)").first()[0]  # one number, no table involved
     if steps <= 0:
         raise ValueError("upper bound must be positive")
     stepped = spark.range(steps).selectExpr(
