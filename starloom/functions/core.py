@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,17 +10,27 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 # What a Unicode-aware "\s" matches, spelled out so that the JVM agrees.
-WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_text(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup(key: Column, table: Mapping[str, str]) -> Column:
     """Value of ``key`` in a small constant table, NULL where it is not listed."""
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    entries = ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
+
+
+def text_array(values: Sequence[str]) -> Column:
+    """A constant array of texts."""
+    return F.expr(f"array({', '.join(sql_text(v) for v in values)})")
 
 
 def strip(c: ColumnOrName) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, col, lookup
+from .core import ColumnOrName, col, lookup, text_array
 
 
 def standardize_language(c: ColumnOrName) -> Column:
@@ -81,5 +81,5 @@ def quality_tier(rating: ColumnOrName, enrolled: ColumnOrName, engagement: Colum
 
 def rank_in(c: ColumnOrName, order: list[str]) -> Column:
     """1-based place of a value in a business order; unlisted values come last."""
-    place = F.array_position(F.array(*[F.lit(x) for x in order]), col(c))
+    place = F.array_position(text_array(order), col(c))
     return F.when(place > 0, place).otherwise(len(order) + 1)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import WHITESPACE, ColumnOrName, blank_to_null, col, lookup, strip
+from .core import WHITESPACE, ColumnOrName, blank_to_null, col, lookup, strip, text_array
 
 UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
@@ -126,15 +126,14 @@ def keyword_tags(c: ColumnOrName, keywords: Sequence[str] = fixed.SKILLS) -> Col
     # Only names that imply others need the second look.
     wider = [k for k in implied if len(implied[k]) > 1]
     extra = [
-        F.when(F.array_contains(hits, k), F.array(*[F.lit(x.lower()) for x in implied[k][1:]]))
+        F.when(F.array_contains(hits, k), text_array([x.lower() for x in implied[k][1:]]))
         .otherwise(F.array().cast("array<string>"))
         for k in wider
     ]
     found = F.concat(hits, *extra) if extra else hits
     ordered = list(dict.fromkeys(k.lower() for k in keywords))
-    kept = F.array_intersect(F.array(*[F.lit(k) for k in ordered]), found)
-    names = F.create_map(*[F.lit(x) for k in ordered for x in (k, lowered[k])])
-    return F.transform(kept, lambda k: F.try_element_at(names, k))
+    kept = F.array_intersect(text_array(ordered), found)
+    return F.transform(kept, lambda k: lookup(k, {o: lowered[o] for o in ordered}))
 
 
 def skill_list(

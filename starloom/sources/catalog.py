@@ -10,10 +10,13 @@ from ..functions import fixed
 from ..operators.shape import union_relations
 
 
-def materialize(df: DataFrame, name: str, as_table: bool = False, mode: str = "overwrite") -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, as_table: bool = False, mode: str = "overwrite", path: str | None = None
+) -> DataFrame:
     """Register as a view (recomputed when read) or save as a table (computed once)."""
     if as_table:
-        df.write.mode(mode).saveAsTable(name)
+        writer = df.write.mode(mode)
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -61,9 +61,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 # --- JSON and logs --------------------------------------------------------------------------
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """JSON files holding one array of objects each."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str, lines: bool = False) -> DataFrame:
+    """JSON files holding one array of objects each, or one object per line.
+
+    A file with an array is read by one task; use lines for large ones.
+    """
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,15 +9,22 @@ from ..operators.joins import zip_rows
 
 
 def consolidate(vehicles: DataFrame, plazas: DataFrame, payments: DataFrame) -> DataFrame:
-    """Pair the rows of the three files line by line, in file order.
+    """Pair the rows of the three files line by line.
 
-    Files are read in order by their splits, so the read position is the line order.
+    The line order is that of the file, the split and the row inside the split.
     """
-    def positioned(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, F.monotonically_increasing_id())
-
-    first = zip_rows(positioned(vehicles, "__a"), positioned(plazas, "__b"), ["__a"], ["__b"])
-    whole = zip_rows(first, positioned(payments, "__c"), ["__line"], ["__c"])
+    def lines(df: DataFrame, prefix: str) -> tuple[DataFrame, list[str]]:
+        order = [f"{prefix}_file", f"{prefix}_block", f"{prefix}_row"]
+        return df.select(
+            "*",
+            F.col("_metadata.file_path").alias(order[0]),
+            F.col("_metadata.file_block_start").alias(order[1]),
+            F.monotonically_increasing_id().alias(order[2]),
+        ), order
+
+    (a, a_order), (b, b_order), (c, c_order) = lines(vehicles, "__a"), lines(plazas, "__b"), lines(payments, "__c")
+    first = zip_rows(a, b, a_order, b_order).withColumnRenamed("__line", "__first")
+    whole = zip_rows(first, c, ["__first"], c_order)
     return whole.orderBy("__line").select(*vehicles.columns, *plazas.columns, *payments.columns)
 
 
