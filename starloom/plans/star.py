@@ -99,47 +99,47 @@ def offering_dimension(history: DataFrame, key: tuple[str, ...] = ("course_id",
 
 
 def build_fact(
-    df: DataFrame, dimensions: dict[str, DataFrame], dates: DataFrame, offerings: DataFrame,
-    rules: Rules = DEFAULT, key: tuple[str, ...] = ("course_id", "platform"),
+    df: DataFrame, dimensions: dict[str, DataFrame], dates: DataFrame | None = None,
+    offerings: DataFrame | None = None, rules: Rules = DEFAULT, key: tuple[str, ...] = ("course_id", "platform"),
 ) -> DataFrame:
-    """One row per standardized course with eight foreign keys and its metrics.
+    """One row per standardized course with a foreign key per given dimension and its metrics.
 
     Dimensions are expected written (see :func:`build_star`): their row counts come from
     the file footers and decide between broadcast and salted joins. Only the columns the
     fact needs are carried.
     """
-    used = dict.fromkeys(
-        [*key, "platform", "domain_name", "level", "language", "instructor", "offering_type", "last_updated",
-         "price_category", "duration_category", *FACT_METRICS]
-    )
-    fact = df.select(*used)
-    foreign_keys = {}
+    sources = [DIMENSIONS[w][0] for w in dimensions]
+    sources += ["last_updated"] if dates is not None else []
+    sources += list(key) if offerings is not None else []
+    bands = ["price_category", "duration_category"]
+    fact = df.select(*dict.fromkeys([*sources, *bands, *FACT_METRICS]))
+    unknown = F.lit(fixed.UNKNOWN_KEY)
+    keys = []
+    if offerings is not None:
+        current = offerings.filter("is_current").select(
+            F.col("offering_id").alias(key[0]), *key[1:], F.col("offering_sk").alias("__offering")
+        )
+        fact = lookup_join(fact, current, list(key), current.count())
+        found = F.col("__offering")
+        keys.append((F.coalesce(found, unknown.cast("long")) if rules.unknown_key else found).alias("offering_sk"))
     for which, dim in dimensions.items():
         column, key_column, name = DIMENSIONS[which]
+        named_unknown = which in _NAMED_UNKNOWN
         source = F.col(column)
-        if which in _NAMED_UNKNOWN:
+        if named_unknown:
             # The unknown member is always -1: its rows need no partner to be found.
             source = F.when(F.coalesce(source, F.lit(UNKNOWN_NAMES[which])) != UNKNOWN_NAMES[which], source)
         lookup = dim.select(F.col(name).alias("__name"), F.col(key_column).alias(f"__{which}"))
         fact = lookup_join(fact.withColumn("__name", source), lookup, ["__name"], dim.count()).drop("__name")
-        always = rules.unknown_key or which in _NAMED_UNKNOWN
         found = F.col(f"__{which}")
-        foreign_keys[key_column] = F.coalesce(found, F.lit(fixed.UNKNOWN_KEY).cast("long")) if always else found
-    day = dates.select(F.col("date_id").alias("__date"), F.lit(True).alias("__dated"))
-    fact = lookup_join(fact.withColumn("__date", date_key("last_updated")), day, ["__date"], dates.count())
-    dated = F.when(F.col("__dated"), F.col("__date"))
-    current = offerings.filter("is_current").select(
-        F.col("offering_id").alias(key[0]), *key[1:], F.col("offering_sk").alias("__offering")
-    )
-    fact = lookup_join(fact, current, list(key), current.count())
-    offering = F.col("__offering")
-    return fact.select(
-        (F.coalesce(offering, F.lit(fixed.UNKNOWN_KEY).cast("long")) if rules.unknown_key else offering).alias("offering_sk"),
-        *[foreign_keys[DIMENSIONS[w][1]].alias(DIMENSIONS[w][1])
-          for w in ("platform", "domain", "level", "language", "instructor", "offering_type")],
-        F.coalesce(dated, F.lit(fixed.UNKNOWN_KEY)).alias("date_id"),
-        *FACT_METRICS, "price_category", "duration_category",
-    )
+        always = rules.unknown_key or named_unknown
+        keys.append((F.coalesce(found, unknown.cast("long")) if always else found).alias(key_column))
+    if dates is not None:
+        day = dates.select(F.col("date_id").alias("__date"), F.lit(True).alias("__dated"))
+        fact = lookup_join(fact.withColumn("__date", date_key("last_updated")), day, ["__date"], dates.count())
+        dated = F.when(F.col("__dated"), F.col("__date"))
+        keys.append(F.coalesce(dated, unknown).alias("date_id"))
+    return fact.select(*keys, *FACT_METRICS, *bands)
 
 
 def build_star(

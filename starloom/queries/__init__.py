@@ -3,5 +3,5 @@
 Importing the package registers all of them.
 """
 
-from . import courses, scalars, shapes  # noqa: F401
+from . import courses, scalars, shapes, warehouse  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
