@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -33,6 +34,17 @@ def text_array(values: Sequence[str]) -> Column:
     return F.expr(f"array({', '.join(sql_text(v) for v in values)})")
 
 
+def rows_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few constant rows as a DataFrame, without a Python worker.
+
+    ``schema`` lists ``name type`` pairs of JSON-representable types.
+    """
+    names = [field.split()[0] for field in schema.split(",")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    fields = ", ".join(f"{field.split()[0]}: {field.split()[1]}" for field in schema.split(","))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>")))
+
+
 def strip(c: ColumnOrName) -> Column:
     """Trim every kind of whitespace, not only blanks."""
     return F.regexp_replace(col(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")

@@ -103,21 +103,38 @@ def html_to_text(c: ColumnOrName) -> Column:
 
 # --- keyword tags --------------------------------------------------------------------
 
+_WORD = r"[\p{L}\p{N}_]"
+
+
 def _whole_word(word: str) -> str:
     return r"\b" + re.escape(word) + r"\b"
 
 
+def _keyword_pattern(keywords: Sequence[str]) -> str:
+    """Zero-width match at every keyword, the longest one at a position in group 1.
+
+    Alternatives share their first letter, so most positions fail on one character.
+    A boundary means a change between word and other characters on either side.
+    """
+    by_letter: dict[str, list[str]] = {}
+    for k in sorted(keywords, key=lambda k: (-len(k), k)):
+        ends_in_word = k[-1].isalnum() or k[-1] == "_"
+        after = f"(?!{_WORD})" if ends_in_word else f"(?={_WORD})"
+        by_letter.setdefault(k[0], []).append(re.escape(k[1:]) + after)
+    branches = [f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in by_letter.items()]
+    return f"(?<!{_WORD})(?=({'|'.join(branches)}))"
+
+
 def keyword_tags(c: ColumnOrName, keywords: Sequence[str] = fixed.SKILLS) -> Column:
     """Keywords that occur as whole words, case ignored, in the order of the list.
 
     One pass over the text finds the longest keyword at every position; keywords that
     are whole words inside a longer one (``React`` in ``React Native``) are then added
-    from a fixed table. A boundary follows the last character, so ``C++`` counts only
-    before a word character.
+    from a fixed table. Keywords start with a word character; a boundary follows the last
+    one, so ``C++`` counts only before a word character.
     """
     lowered = {k.lower(): k for k in reversed(keywords)}
-    longest_first = sorted(lowered, key=lambda k: (-len(k), k))
-    anywhere = r"(?U)(?=\b(" + "|".join(re.escape(k) for k in longest_first) + r")\b)"
+    anywhere = _keyword_pattern(list(lowered))
     implied = {
         k: [lowered[k]] + [lowered[o] for o in lowered if o != k and re.match(_whole_word(o), k)]
         for k in lowered

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.core import rows_frame
 from .numbering import with_neighbours
 
 
@@ -296,7 +297,7 @@ def columns_match_set(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Column names missing from or surplus in a table, case folded."""
     actual, wanted = {c.lower() for c in df.columns}, {c.lower() for c in expected}
     rows = [(c, "missing") for c in sorted(wanted - actual)] + [(c, "unexpected") for c in sorted(actual - wanted)]
-    return df.sparkSession.createDataFrame(rows, "column_name string, problem string")
+    return rows_frame(df.sparkSession, rows, "column_name string, problem string")
 
 
 # --- running tests ------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.core import exact_avg
+from ..functions.core import exact_avg, rows_frame
 from ..functions.keys import date_key
 from ..functions.standard import rank_in
 from ..operators import aggregate, joins, numbering, shape
@@ -332,7 +332,7 @@ def results_as_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = shape.results_as_dict(
         table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     )
-    return spark.createDataFrame(list(zip(*counts.values())), "o_orderstatus string, n bigint")
+    return rows_frame(spark, list(zip(*counts.values())), "o_orderstatus string, n bigint")
 
 
 @query(
