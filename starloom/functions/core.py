@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +23,22 @@ def sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Separators that occur in no vocabulary.
+_ENTRY, _PAIR = "\x01", "\x02"
+
+
 def lookup(key: Column, table: Mapping[str, str]) -> Column:
-    """Value of ``key`` in a small constant table, NULL where it is not listed."""
-    entries = ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in table.items())
-    return F.try_element_at(F.expr(f"map({entries})"), key)
+    """Value of ``key`` in a small constant table, NULL where it is not listed.
+
+    The table travels as one literal, which the optimizer folds to a map once per query.
+    """
+    entries = _ENTRY.join(f"{k}{_PAIR}{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_PAIR)), key)
+
+
+def let(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with ``value`` evaluated once per row however often it is used."""
+    return F.try_element_at(F.transform(F.array(value), build), F.lit(1))
 
 
 def text_array(values: Sequence[str]) -> Column:

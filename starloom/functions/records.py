@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, blank_to_null, col, lookup, strip
+from .core import ColumnOrName, blank_to_null, col, let, lookup, strip
 from .text import first_non_blank, html_to_text
 from .times import iso_duration_words, parse_page_date
 
@@ -127,24 +127,35 @@ def offer_price(offer: ColumnOrName) -> Column:
     return F.when(~F.coalesce(strip(raw).isin("", "0"), F.lit(True)), priced).otherwise(by_category)
 
 
-def page_json_ld_fields(ld: ColumnOrName) -> dict[str, Column]:
-    """Rating, price, date, duration and level out of one JSON-LD object."""
-    c = col(ld)
-    rating = json_text(c, "$.aggregateRating.ratingValue").try_cast("double")
-    counts = [json_text(c, f"$.aggregateRating.{k}").try_cast("long") for k in ("ratingCount", "reviewCount")]
-    offers = json_text(c, "$.offers")
+# What is read from a JSON-LD object. Offers may be an object or an array.
+LD_SCHEMA = (
+    "description string, aggregateRating struct<ratingValue: string, ratingCount: string, reviewCount: string>, "
+    "offers string, dateModified string, datePublished string, timeRequired string, educationalLevel string"
+)
+
+
+def parse_json_ld(ld: ColumnOrName) -> Column:
+    """A JSON-LD object parsed once, for :func:`page_json_ld_fields`."""
+    return F.from_json(col(ld), LD_SCHEMA)
+
+
+def page_json_ld_fields(ld: str) -> dict[str, Column]:
+    """Rating, price, date, duration and level out of a parsed JSON-LD column."""
+    rating = F.col(f"{ld}.aggregateRating.ratingValue").try_cast("double")
+    counts = [F.col(f"{ld}.aggregateRating.{k}").try_cast("long") for k in ("ratingCount", "reviewCount")]
+    offers = F.col(f"{ld}.offers")
     first_offer = F.when(
-        F.startswith(offers, F.lit("[")), json_text(c, "$.offers[0]")
+        F.startswith(offers, F.lit("[")), json_text(offers, "$[0]")
     ).otherwise(F.when(F.startswith(offers, F.lit("{")), offers))
-    changed = first_non_blank(json_text(c, "$.dateModified"), json_text(c, "$.datePublished"))
+    changed = first_non_blank(f"{ld}.dateModified", f"{ld}.datePublished")
     return {
-        "description": blank_to_null(json_text(c, "$.description")),
+        "description": blank_to_null(f"{ld}.description"),
         "avg_rating": F.nullif(rating, F.lit(0.0)),
         "rating_count": F.coalesce(*[F.nullif(n, F.lit(0)) for n in counts]),
         "price": F.when(first_offer.isNotNull(), offer_price(first_offer)),
         "last_update": parse_page_date(changed),
-        "duration": iso_duration_words(blank_to_null(json_text(c, "$.timeRequired"))),
-        "level": blank_to_null(json_text(c, "$.educationalLevel")),
+        "duration": iso_duration_words(blank_to_null(f"{ld}.timeRequired")),
+        "level": blank_to_null(f"{ld}.educationalLevel"),
     }
 
 
@@ -180,12 +191,13 @@ AUDIENCE_PATTERNS = [
 
 def enrolment_count(html: ColumnOrName) -> Column:
     """``1,234 already enrolled`` (or students, learners) in the visible text, as a number."""
-    text = html_to_text(html)
-    found = [
-        F.replace(F.regexp_extract(text, p, 1), F.lit(","), F.lit("")).try_cast("long")
-        for p in AUDIENCE_PATTERNS
-    ]
-    return F.coalesce(*found)
+    def first_count(text: Column) -> Column:
+        return F.coalesce(*[
+            F.replace(F.regexp_extract(text, p, 1), F.lit(","), F.lit("")).try_cast("long")
+            for p in AUDIENCE_PATTERNS
+        ])
+
+    return let(html_to_text(html), first_count)
 
 
 # --- vocabularies of pages ------------------------------------------------------------

@@ -62,6 +62,8 @@ def _entity(piece: Column) -> Column:
         .when((decimal != "") & (F.length(decimal) <= 9), decimal.cast("long"))
         .otherwise(F.lit(0x110000))
     )
+    # The references of everyday pages are found first.
+    names = {n: html5[n] for n in ["amp;", "nbsp;", "lt;", "gt;", "quot;", "copy;"]} | html5
     # Names that may be written without the semicolon, longest first.
     bare = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
     prefix = F.regexp_extract(name, "^(" + "|".join(bare) + ")", 1)
@@ -69,7 +71,7 @@ def _entity(piece: Column) -> Column:
         F.when(F.startswith(piece, F.lit("&#")), _code_point(number))
         .otherwise(
             F.coalesce(
-                lookup(name, html5),
+                lookup(name, names),
                 F.when(
                     prefix != "",
                     F.concat(lookup(prefix, {n: html5[n] for n in bare}), F.substr(name, F.length(prefix) + 1)),
@@ -140,14 +142,11 @@ def keyword_tags(c: ColumnOrName, keywords: Sequence[str] = fixed.SKILLS) -> Col
         for k in lowered
     }
     hits = F.array_distinct(F.regexp_extract_all(F.lower(col(c)), F.lit(anywhere), F.lit(1)))
-    # Only names that imply others need the second look.
-    wider = [k for k in implied if len(implied[k]) > 1]
-    extra = [
-        F.when(F.array_contains(hits, k), text_array([x.lower() for x in implied[k][1:]]))
-        .otherwise(F.array().cast("array<string>"))
-        for k in wider
-    ]
-    found = F.concat(hits, *extra) if extra else hits
+    # Only keywords that hold others are in the table; the rest stand for themselves.
+    wider = {k: "\n".join(o.lower() for o in names) for k, names in implied.items() if len(names) > 1}
+    found = F.flatten(
+        F.transform(hits, lambda h: F.coalesce(F.split(lookup(h, wider), "\n"), F.array(h)))
+    )
     ordered = list(dict.fromkeys(k.lower() for k in keywords))
     kept = F.array_intersect(text_array(ordered), found)
     return F.transform(kept, lambda k: lookup(k, {o: lowered[o] for o in ordered}))

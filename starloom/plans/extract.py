@@ -17,12 +17,23 @@ from ..operators.joins import names_for_ids
 TEXTS = "array<string>"
 
 
-def _strings(c: Column, path: str) -> Column:
-    """A JSON array of strings at a path; missing ones are empty."""
-    return F.coalesce(F.from_json(records.json_text(c, path), TEXTS), F.array().cast(TEXTS))
+# --- site with a course list, a details call and a price call ---------------------------------
 
+COURSE_SCHEMA = (
+    "title string, urlCourseLanding string, updatedOn string, isFree boolean, durationInSeconds string, level string, "
+    "locale string, rating struct<count: string>, instructors array<struct<name: string>>, headline string"
+)
+DETAIL_SCHEMA = (
+    "description string, num_subscribers string, instructional_level string, content_info string, "
+    "primary_subcategory struct<title: string>, topics array<string>"
+)
+PRICE_SCHEMA = "price struct<price_string: string>"
+
+
+def _parsed(df: DataFrame, key: str, source: str, schema: str, name: str) -> DataFrame:
+    """Key and record parsed once with the fields that are used."""
+    return df.select(key, F.from_json(source, schema).alias(name))
 
-# --- site with a course list, a details call and a price call ---------------------------------
 
 def listing_rows(courses: DataFrame, details: DataFrame, prices: DataFrame) -> DataFrame:
     """Merge three raw JSON tables ``(course_id, json)`` to raw rows.
@@ -30,63 +41,60 @@ def listing_rows(courses: DataFrame, details: DataFrame, prices: DataFrame) -> D
     Every listed course gives a row; details and prices fill in where they exist.
     """
     merged = (
-        courses.select("course_id", F.col("json").alias("c"))
-        .join(details.select("course_id", F.col("json").alias("d")), "course_id", "left")
-        .join(prices.select("course_id", F.col("json").alias("p")), "course_id", "left")
+        _parsed(courses, "course_id", "json", COURSE_SCHEMA, "c")
+        .join(_parsed(details, "course_id", "json", DETAIL_SCHEMA, "d"), "course_id", "left")
+        .join(_parsed(prices, "course_id", "json", PRICE_SCHEMA, "p"), "course_id", "left")
     )
-
-    def c(path: str) -> Column:
-        return records.json_text("c", path)
-
-    def d(path: str) -> Column:
-        return records.json_text("d", path)
-
-    people = F.from_json(c("$.instructors"), "array<struct<name:string>>")
-    names = F.transform(people, lambda p: F.trim(p["name"]))
-    instructors = F.array_join(F.filter(names, lambda n: n != ""), ", ")
-    topics = F.from_json(d("$.topics"), "array<variant>")
+    names = F.transform(F.col("c.instructors"), lambda i: F.trim(i["name"]))
+    # A topic is an object with a title or plain text.
     titles = F.transform(
-        topics,
-        lambda t: F.coalesce(F.try_variant_get(t, "$.title", "string"), F.try_variant_get(t, "$", "string")),
+        F.col("d.topics"),
+        lambda t: F.when(F.startswith(t, F.lit("{")), records.json_text(t, "$.title")).otherwise(t),
     )
-    free = F.coalesce(c("$.isFree") == "true", F.lit(False))
     return merged.select(
         "course_id",
-        F.coalesce(c("$.title"), F.lit("")).alias("Course_Title"),
-        F.coalesce(c("$.urlCourseLanding"), F.lit("")).alias("Course_URL"),
+        F.coalesce("c.title", F.lit("")).alias("Course_Title"),
+        F.coalesce("c.urlCourseLanding", F.lit("")).alias("Course_URL"),
         F.lit("Udemy").alias("Platform"),
-        records.locale_name(c("$.locale")).alias("Language"),
-        html_to_text(d("$.description")).alias("Description"),
-        F.array_join(skill_list(titles, d("$.description"), c("$.headline")), " | ").alias("Skills"),
-        F.coalesce(blank_to_null(d("$.instructional_level")), c("$.level"), F.lit("")).alias("Level"),
-        F.coalesce(records.json_text("p", "$.price.price_string"), F.when(free, "Free").otherwise("")).alias("Price"),
-        F.coalesce(c("$.rating.count").try_cast("long"), F.lit(0)).alias("No_of_Reviews"),
-        d("$.num_subscribers").try_cast("long").alias("No_of_Students_enrolled"),
-        F.coalesce(instructors, F.lit("")).alias("Programming_Instructor"),
-        F.coalesce(c("$.updatedOn"), F.lit("")).alias("Last_Update"),
-        F.coalesce(d("$.primary_subcategory.title"), F.lit("")).alias("Type_of_Course"),
+        records.locale_name("c.locale").alias("Language"),
+        html_to_text("d.description").alias("Description"),
+        F.array_join(skill_list(titles, "d.description", "c.headline"), " | ").alias("Skills"),
+        F.coalesce(blank_to_null("d.instructional_level"), "c.level", F.lit("")).alias("Level"),
+        F.coalesce("p.price.price_string", F.when(F.col("c.isFree"), "Free").otherwise("")).alias("Price"),
+        F.coalesce(F.col("c.rating.count").try_cast("long"), F.lit(0)).alias("No_of_Reviews"),
+        F.col("d.num_subscribers").try_cast("long").alias("No_of_Students_enrolled"),
+        F.coalesce(F.array_join(F.filter(names, lambda n: n != ""), ", "), F.lit("")).alias("Programming_Instructor"),
+        F.coalesce("c.updatedOn", F.lit("")).alias("Last_Update"),
+        F.coalesce("d.primary_subcategory.title", F.lit("")).alias("Type_of_Course"),
         F.coalesce(
-            blank_to_null(d("$.content_info")), hours_text(c("$.durationInSeconds").try_cast("long"))
+            blank_to_null("d.content_info"), hours_text(F.col("c.durationInSeconds").try_cast("long"))
         ).alias("Duration"),
     )
 
 
 # --- site with an API record and a course page ----------------------------------------------------
 
-def page_fields(html: Column | str) -> dict[str, Column]:
-    """Fields of a course page: JSON-LD first, embedded state second, visible text last."""
-    ld = records.page_json_ld_fields(records.json_ld(html))
+API_SCHEMA = (
+    "slug string, name string, primaryLanguages array<string>, description string, courseType string, "
+    "instructorIds array<string>, domainTypes array<struct<domainId: string, subdomainId: string>>"
+)
+
+
+def page_rows(pages: DataFrame, key: str = "course_id", html: str = "html") -> DataFrame:
+    """Fields of course pages: JSON-LD first, embedded state second, visible text last."""
+    parsed = pages.select(key, html, records.json_ld(html).alias("__text")).select(
+        key, html, records.parse_json_ld("__text").alias("__ld")
+    )
+    ld = records.page_json_ld_fields("__ld")
     state = records.embedded_state_fields(html)
-    return {
-        "description": ld["description"],
-        "avg_rating": ld["avg_rating"],
-        "rating_count": F.coalesce(ld["rating_count"], state["rating_count"]),
-        "price": ld["price"],
-        "last_update": F.coalesce(ld["last_update"], state["last_update"]),
-        "duration": F.coalesce(ld["duration"], state["duration"]),
-        "level": ld["level"],
-        "enrollment_count": records.enrolment_count(html),
-    }
+    return parsed.select(
+        key, ld["description"].alias("description"), ld["avg_rating"].alias("avg_rating"),
+        F.coalesce(ld["rating_count"], state["rating_count"]).alias("rating_count"),
+        ld["price"].alias("price"),
+        F.coalesce(ld["last_update"], state["last_update"]).alias("last_update"),
+        F.coalesce(ld["duration"], state["duration"]).alias("duration"),
+        ld["level"].alias("level"), records.enrolment_count(html).alias("enrollment_count"),
+    )
 
 
 def api_page_rows(api: DataFrame, pages: DataFrame, instructors: DataFrame, page_base: str) -> DataFrame:
@@ -94,53 +102,77 @@ def api_page_rows(api: DataFrame, pages: DataFrame, instructors: DataFrame, page
 
     ``instructors`` holds ``(id, name)``; names come in the order of the record's ids.
     """
-    page = pages.select("course_id", F.struct(*records.as_columns(page_fields("html"))).alias("page"))
-    merged = api.join(page, "course_id", "left").withColumn("__ids", _strings(F.col("json"), "$.instructorIds"))
+    page = page_rows(pages)
+    page = page.select("course_id", F.struct(*[c for c in page.columns if c != "course_id"]).alias("page"))
+    merged = _parsed(api, "course_id", "json", API_SCHEMA, "a").withColumn("__ids", F.col("a.instructorIds"))
     merged = names_for_ids(merged, "course_id", "__ids", instructors, "id", "name", "__instructors")
-
-    def a(path: str) -> Column:
-        return records.json_text("json", path)
-
-    domains = F.from_json(a("$.domainTypes"), "array<struct<domainId:string,subdomainId:string>>")
     skills = F.transform(
-        domains, lambda t: slug_to_title(F.coalesce(blank_to_null(t["subdomainId"]), t["domainId"]))
+        F.col("a.domainTypes"), lambda t: slug_to_title(F.coalesce(blank_to_null(t["subdomainId"]), t["domainId"]))
     )
-    slug = blank_to_null(a("$.slug"))
-    page = F.col("page")
-    return merged.select(
+    named = F.array_distinct(F.filter(skills, lambda s: s != ""))
+    return merged.join(page, "course_id", "left").select(
         "course_id",
-        F.coalesce(a("$.name"), F.lit("")).alias("Course_Title"),
-        F.coalesce(F.concat(F.lit(f"{page_base}/"), slug), F.lit("")).alias("Course_URL"),
+        F.coalesce("a.name", F.lit("")).alias("Course_Title"),
+        F.coalesce(F.concat(F.lit(f"{page_base}/"), blank_to_null("a.slug")), F.lit("")).alias("Course_URL"),
         F.lit("Coursera").alias("Platform"),
-        records.page_language(a("$.primaryLanguages[0]")).alias("Language"),
-        F.coalesce(page["description"], blank_to_null(a("$.description")), F.lit("")).alias("Description"),
-        F.coalesce(F.array_join(F.array_distinct(F.filter(skills, lambda s: s != "")), ", "), F.lit("")).alias("Skill"),
-        records.page_level(page["level"]).alias("Level"),
-        records.page_price(page["price"]).alias("Price"),
-        page["rating_count"].alias("No. of Reviews / Ratings"),
-        page["enrollment_count"].alias("No. of Students enrolled"),
+        records.page_language(F.try_element_at("a.primaryLanguages", F.lit(1))).alias("Language"),
+        F.coalesce("page.description", blank_to_null("a.description"), F.lit("")).alias("Description"),
+        F.coalesce(F.array_join(named, ", "), F.lit("")).alias("Skill"),
+        records.page_level("page.level").alias("Level"),
+        records.page_price("page.price").alias("Price"),
+        F.col("page.rating_count").alias("No. of Reviews / Ratings"),
+        F.col("page.enrollment_count").alias("No. of Students enrolled"),
         F.col("__instructors").alias("Programming Instructor"),
-        F.coalesce(page["last_update"], F.lit("")).alias("Last_Update"),
-        records.course_type(a("$.courseType")).alias("Type_of_Course"),
-        F.coalesce(page["duration"], F.lit("")).alias("Duration"),
+        F.coalesce("page.last_update", F.lit("")).alias("Last_Update"),
+        records.course_type("a.courseType").alias("Type_of_Course"),
+        F.coalesce("page.duration", F.lit("")).alias("Duration"),
     )
 
 
 # --- site with a search hit and a nested page record -----------------------------------------------
 
-# Where a field may be found, best place first: h = search hit, g = page record.
-PAGE = "$.pageProps"
-DETAILS = f"{PAGE}.staticProgramDetailsSectionProps"
-SUMMARY = f"{PAGE}.programSummary"
-CATALOG = f"{PAGE}.catalogProgramProps"
-SEO = f"{PAGE}.seoProps"
+_LISTS = ["skills", "skillNames", "allSkills", "relatedSkills", "taughtSkills"]
+_HIT_FIELDS = [
+    "key", "id", "title", "name", "url", "catalogUrl", "path", "courseUrl", "programUrl", "absolute_url",
+    "reviewCount", "reviewStarsAverage", "rating", "description", "summary", "language", "locale", "lang",
+    "enrollment", "enrollmentCount", "studentCount", "studentsEnrolled", "learnerCount", "lastUpdated",
+    "updatedAt", "lastModified", "semanticType", "type", "duration", "difficulty", "level", "isFree",
+    "isProgramFree", "instructors",
+]
+_DETAIL_FIELDS = [
+    "title", "programKey", "courseId", "reviewCount", "reviewStarsAverage", "description", "summary",
+    "language", "locale", "enrollmentCount", "studentCount", "lastUpdated", "updatedAt", "semanticType",
+    "duration", "difficulty", "isFree", "isProgramFree",
+]
+_SUMMARY_FIELDS = [
+    "key", "language", "enrollmentCount", "studentCount", "lastUpdated", "semanticType", "duration",
+    "difficultyLevel",
+]
+_PAGE_FIELDS = [
+    "title", "programKey", "programId", "courseId", "reviewCount", "reviewStarsAverage", "description",
+    "language", "locale", "lang", "enrollmentCount", "studentCount", "studentsEnrolled", "learnerCount",
+    "lastUpdated", "updatedAt", "lastModified", "semanticType", "courseType", "duration",
+    "difficultyLevel", "isFree", "isProgramFree",
+]
+
+
+def _texts(names: list[str]) -> str:
+    return ", ".join(f"{n}: string" for n in names)
+
+
+HIT_SCHEMA = f"struct<{_texts(_HIT_FIELDS)}, {', '.join(f'{n}: array<string>' for n in _LISTS)}>"
+NESTED_SCHEMA = (
+    f"struct<pageProps: struct<{_texts(_PAGE_FIELDS)}, "
+    f"staticProgramDetailsSectionProps: struct<{_texts(_DETAIL_FIELDS)}>, "
+    f"programSummary: struct<{_texts(_SUMMARY_FIELDS)}>, "
+    "catalogProgramProps: struct<title: string, duration: string>, "
+    "seoProps: struct<title: string, description: string, inLanguage: string>>>"
+)
 
 
-def _pick(hit: list[str], page: list[str], *last: Column, page_first: bool = False) -> Column:
-    from_hit = [records.json_text("hit", f"$.{k}") for k in hit]
-    from_page = [records.json_text("page", p) for p in page]
-    ordered = from_page + from_hit if page_first else from_hit + from_page
-    return first_non_blank(*ordered, *last)
+def _pick(places: str, *last: Column) -> Column:
+    """First non-blank of blank-separated places such as ``h.title g.title d.title``."""
+    return first_non_blank(*places.split(), *last)
 
 
 def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
@@ -150,86 +182,64 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     fall back to the first matching key anywhere in the record. Hits without a page record
     give the shorter fallback row.
     """
-    both = hits.join(pages, "slug", "left")
-    known = F.col("page").isNotNull()
-    hit = F.col("hit")
-    path = url_site_path(
-        [records.json_text(hit, f"$.{k}") for k in ("url", "catalogUrl", "path", "courseUrl", "programUrl", "absolute_url")],
-        site, F.concat(F.lit("/course/"), F.col("slug")),
+    none = F.array().cast(TEXTS)
+    parsed = hits.join(pages, "slug", "left").select(
+        "slug", "hit", "page", F.from_json("hit", HIT_SCHEMA).alias("h"),
+        F.from_json("page", NESTED_SCHEMA).getField("pageProps").alias("g"),
     )
-    reviews = _pick(["reviewCount"], [f"{PAGE}.reviewCount", f"{DETAILS}.reviewCount"])
-    rating = _pick(
-        ["reviewStarsAverage", "rating"], [f"{PAGE}.reviewStarsAverage", f"{DETAILS}.reviewStarsAverage"]
+    # Every nested object under a short name: h hit, g page, d details, s summary, c catalogue, e search text.
+    both = parsed.select(
+        "slug", "hit", "page", "h", "g", F.col("g.staticProgramDetailsSectionProps").alias("d"),
+        F.col("g.programSummary").alias("s"), F.col("g.catalogProgramProps").alias("c"), F.col("g.seoProps").alias("e"),
+        F.coalesce(records.json_collect("hit", ["instructors"]), none).alias("people"),
     )
-    free = _pick(
-        ["isFree", "isProgramFree"],
-        [f"{p}.{k}" for p in (PAGE, DETAILS) for k in ("isFree", "isProgramFree")],
+    known = F.col("page").isNotNull()
+    path = url_site_path(
+        ["h.url", "h.catalogUrl", "h.path", "h.courseUrl", "h.programUrl", "h.absolute_url"], site,
+        F.concat(F.lit("/course/"), F.col("slug")),
     )
-    listed = _strings(hit, "$.skills")
+    reviews = _pick("h.reviewCount g.reviewCount d.reviewCount")
+    rating = _pick("h.reviewStarsAverage h.rating g.reviewStarsAverage d.reviewStarsAverage")
+    listed = F.coalesce("h.skills", none)
     skills = clean_names(F.concat(
-        F.coalesce(records.json_collect("page", ["skill"]), F.array().cast(TEXTS)), listed,
-        *[_strings(hit, f"$.{k}") for k in ("skillNames", "allSkills", "relatedSkills", "taughtSkills")],
-    ))
-    people_in_hit = F.coalesce(records.json_collect(hit, ["instructors"]), F.array().cast(TEXTS))
-    people = clean_people(F.concat(
-        people_in_hit, F.coalesce(records.json_collect("page", ["instructor", "mentor"]), F.array().cast(TEXTS))
+        F.coalesce(records.json_collect("page", ["skill"]), none), *[F.coalesce(f"h.{n}", none) for n in _LISTS]
     ))
-    counts = ["enrollmentCount", "studentCount"]
-    opaque_free = F.filter(listed, lambda s: ~F.startswith(F.lower(s), F.lit("taxonomy:")))
+    everyone = F.concat("people", F.coalesce(records.json_collect("page", ["instructor", "mentor"]), none))
     return both.select(
         _pick(
-            ["key", "id"],
-            [f"{PAGE}.programKey", f"{PAGE}.programId", f"{PAGE}.courseId", f"{DETAILS}.programKey",
-             f"{DETAILS}.courseId", f"{SUMMARY}.key"],
-            F.col("slug"),
+            "h.key h.id g.programKey g.programId g.courseId d.programKey d.courseId s.key", F.col("slug")
         ).alias("course_id"),
-        _pick(["title", "name"], [f"{PAGE}.title", f"{DETAILS}.title", f"{CATALOG}.title", f"{SEO}.title"])
-        .alias("Course_Title"),
+        _pick("h.title h.name g.title d.title c.title e.title").alias("Course_Title"),
         F.concat(F.lit(site), path).alias("Course_URL"),
         F.lit("Udacity").alias("Platform"),
         _pick(
-            ["language", "locale", "lang"],
-            [f"{PAGE}.language", f"{PAGE}.locale", f"{PAGE}.lang", f"{DETAILS}.language", f"{DETAILS}.locale",
-             f"{SEO}.inLanguage", f"{SUMMARY}.language"],
+            "h.language h.locale h.lang g.language g.locale g.lang d.language d.locale e.inLanguage s.language",
             records.json_find("page", ["language", "locale", "lang"]),
         ).alias("Language"),
-        F.trim(_pick(
-            ["description", "summary"],
-            [f"{PAGE}.description", f"{DETAILS}.description", f"{DETAILS}.summary", f"{SEO}.description"],
-        )).alias("Description"),
-        blank_to_null(F.array_join(F.when(known, skills).otherwise(clean_names(opaque_free)), ", ")).alias("Skill"),
-        _pick(
-            ["difficulty", "level"],
-            [f"{PAGE}.difficultyLevel", f"{DETAILS}.difficulty", f"{SUMMARY}.difficultyLevel"],
-        ).alias("Level"),
-        F.when(free == "true", "Free").alias("Price"),
+        F.trim(_pick("h.description h.summary g.description d.description d.summary e.description")).alias("Description"),
+        blank_to_null(F.array_join(F.when(known, skills).otherwise(clean_names(listed)), ", ")).alias("Skill"),
+        _pick("h.difficulty h.level g.difficultyLevel d.difficulty s.difficultyLevel").alias("Level"),
+        F.when(
+            _pick("h.isFree h.isProgramFree g.isFree g.isProgramFree d.isFree d.isProgramFree") == "true", "Free"
+        ).alias("Price"),
         F.when(
             known,
             F.when(reviews.isNotNull() & rating.isNotNull(), F.concat(reviews, F.lit(" (avg "), rating, F.lit(")")))
             .otherwise(reviews),
-        ).otherwise(_pick(["reviewCount", "rating"], [])).alias("No. of Reviews / Ratings"),
+        ).otherwise(_pick("h.reviewCount h.rating")).alias("No. of Reviews / Ratings"),
         _pick(
-            ["enrollment", "enrollmentCount", "studentCount", "studentsEnrolled", "learnerCount"],
-            [f"{PAGE}.{k}" for k in ("enrollmentCount", "studentCount", "studentsEnrolled", "learnerCount")]
-            + [f"{p}.{k}" for p in (DETAILS, SUMMARY) for k in counts],
+            "h.enrollment h.enrollmentCount h.studentCount h.studentsEnrolled h.learnerCount g.enrollmentCount "
+            "g.studentCount g.studentsEnrolled g.learnerCount d.enrollmentCount d.studentCount s.enrollmentCount s.studentCount",
             records.json_find("page", ["enroll", "student", "learner"]),
         ).alias("No. of Students enrolled"),
-        blank_to_null(F.array_join(F.when(known, people).otherwise(people_in_hit), ", ")).alias("Programming Instructor"),
+        blank_to_null(F.array_join(F.when(known, clean_people(everyone)).otherwise(F.col("people")), ", "))
+        .alias("Programming Instructor"),
         _pick(
-            ["lastUpdated", "updatedAt", "lastModified"],
-            [f"{PAGE}.{k}" for k in ("lastUpdated", "updatedAt", "lastModified")]
-            + [f"{DETAILS}.lastUpdated", f"{DETAILS}.updatedAt", f"{SUMMARY}.lastUpdated"],
+            "h.lastUpdated h.updatedAt h.lastModified g.lastUpdated g.updatedAt g.lastModified d.lastUpdated d.updatedAt s.lastUpdated",
             records.json_find("page", ["updated", "modified"]),
         ).alias("Last Update"),
-        _pick(
-            ["semanticType", "type"],
-            [f"{PAGE}.semanticType", f"{PAGE}.courseType", f"{DETAILS}.semanticType", f"{SUMMARY}.semanticType"],
-        ).alias("Type of Course"),
-        _pick(
-            ["duration"],
-            [f"{DETAILS}.duration", f"{SUMMARY}.duration", f"{CATALOG}.duration", f"{PAGE}.duration"],
-            page_first=True,
-        ).alias("Duration"),
+        _pick("h.semanticType h.type g.semanticType g.courseType d.semanticType s.semanticType").alias("Type of Course"),
+        _pick("d.duration s.duration c.duration g.duration h.duration").alias("Duration"),
     )
 
 

@@ -79,7 +79,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     values = _raw_values(feed.platform)
-    return rows.select(*[F.expr(values[c]).alias(names[0]) for c, names in feed.columns.items()], *TIES)
+    return rows.selectExpr(*[f"{values[c]} as `{names[0]}`" for c, names in feed.columns.items()], *TIES)
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT) -> DataFrame:

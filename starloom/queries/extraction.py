@@ -214,8 +214,9 @@ def _usable(value: str) -> str:
 )
 def json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_LD_PAGE["page"]).alias("page"))
-    found = pages.select("page_id", records.json_ld("page").alias("ld"))
-    return found.select("page_id", *records.as_columns(records.page_json_ld_fields("ld")))
+    found = pages.select("page_id", records.json_ld("page").alias("text"))
+    parsed = found.select("page_id", records.parse_json_ld("text").alias("ld"))
+    return parsed.select("page_id", *records.as_columns(records.page_json_ld_fields("ld")))
 
 
 _STATE = {

@@ -28,7 +28,7 @@ def scalar(
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = table(spark, sf_dir, source)
         if prepare:
-            df = df.select("*", *[F.expr(e).alias(c) for c, e in prepare.items()])
+            df = df.selectExpr("*", *[f"{e} as {c}" for c, e in prepare.items()])
         return df.select(*key, *[build().alias(c) for c, (build, _) in columns.items()])
 
 
