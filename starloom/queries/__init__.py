@@ -3,5 +3,5 @@
 Importing the package registers all of them.
 """
 
-from . import courses, scalars, shapes, warehouse, tests_on_tables, extraction  # noqa: F401
+from . import courses, extraction, files, scalars, shapes, tests_on_tables, warehouse  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
