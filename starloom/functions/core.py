@@ -12,6 +12,8 @@ ColumnOrName = Column | str
 
 # What a Unicode-aware "\s" matches, spelled out so that the JVM agrees.
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The same characters one by one, for trimming.
+_BLANKS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def col(c: ColumnOrName) -> Column:
@@ -59,7 +61,7 @@ def rows_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> Da
 
 def strip(c: ColumnOrName) -> Column:
     """Trim every kind of whitespace, not only blanks."""
-    return F.regexp_replace(col(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col(c), F.lit(_BLANKS))
 
 
 def blank_to_null(c: ColumnOrName) -> Column:

@@ -44,7 +44,7 @@ def json_find(c: ColumnOrName, words: Sequence[str]) -> Column:
     are compared without case; strings come back unquoted and unescaped.
     """
     key = "|".join(re.escape(w) for w in words)
-    pattern = rf'(?i)"(?:[^"\\]|\\.)*?(?:{key})(?:[^"\\]|\\.)*"\s*:\s*{_SCALAR}'
+    pattern = rf'(?i)"[^"]*(?:{key})[^"]*"\s*:\s*{_SCALAR}'
     raw = F.regexp_extract_all(col(c), F.lit(pattern), F.lit(1))
     values = F.transform(raw, lambda v: F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v"))
     kept = F.filter(values, lambda v: v.isNotNull() & (strip(v) != ""))
@@ -58,7 +58,7 @@ def json_collect(c: ColumnOrName, words: Sequence[str]) -> Column:
     """
     key = "|".join(re.escape(w) for w in words)
     value = r'("(?:[^"\\]|\\.)*"|\{[^{}\[\]]*\}|\[[^\[\]]*\])'
-    pattern = rf'(?i)"(?:[^"\\]|\\.)*?(?:{key})(?:[^"\\]|\\.)*"\s*:\s*{value}'
+    pattern = rf'(?i)"[^"]*(?:{key})[^"]*"\s*:\s*{value}'
     raw = F.regexp_extract_all(col(c), F.lit(pattern), F.lit(1))
     item = r'"(?:[^"\\]|\\.)*"|\{[^{}]*\}'
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import WHITESPACE, ColumnOrName, blank_to_null, col, lookup, strip, text_array
+from .core import WHITESPACE, ColumnOrName, blank_to_null, col, let, lookup, strip, text_array
 
 UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
@@ -173,8 +173,11 @@ def is_opaque_id(c: Column) -> Column:
 
 def distinct_ignoring_case(c: Column) -> Column:
     """First spelling of every text, in order of appearance."""
-    folded = F.transform(c, lambda x: F.lower(x))
-    return F.filter(c, lambda x, i: F.array_position(folded, F.lower(x)) == i + 1)
+    def first_spellings(names: Column) -> Column:
+        folded = F.transform(names, lambda x: F.lower(x))
+        return let(folded, lambda f: F.filter(names, lambda x, i: F.array_position(f, F.lower(x)) == i + 1))
+
+    return let(c, first_spellings)
 
 
 def clean_names(c: ColumnOrName) -> Column:
@@ -186,9 +189,10 @@ def clean_names(c: ColumnOrName) -> Column:
 
 def clean_people(c: ColumnOrName, ignored: Sequence[str] = ("instructor", "mentor")) -> Column:
     """An array of comma-separated name lists to single names, without role words."""
-    parts = F.flatten(F.transform(col(c), lambda n: F.split(n, ",")))
+    given = F.filter(col(c), lambda n: n.isNotNull())
+    parts = F.flatten(F.transform(given, lambda n: F.split(n, ",")))
     names = F.transform(parts, strip)
-    kept = F.filter(names, lambda n: n.isNotNull() & (n != "") & ~F.lower(n).isin(list(ignored)))
+    kept = F.filter(names, lambda n: (n != "") & ~F.lower(n).isin(list(ignored)))
     return F.array_distinct(kept)
 
 
