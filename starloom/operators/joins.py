@@ -87,6 +87,20 @@ def match_rate(left: DataFrame, right: DataFrame, on: Mapping[str, str], key: st
     )
 
 
+def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Child rows whose non-NULL value has no parent.
+
+    The distinct values meet the parents first, so a value held by a third of the rows
+    travels once. The rows are then matched with the orphaned values, of which a sound
+    table has none.
+    """
+    value = F.col(f"`{column}`")
+    values = child.select(value.alias("__value")).filter("__value is not null").distinct()
+    known = parent.select(F.col(f"`{field}`").alias("__value"))
+    lost = values.join(known, "__value", "left_anti")
+    return child.join(lost, value == F.col("__value"), "left_semi")
+
+
 def only_new(incoming: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key has not been seen."""
     return incoming.join(seen.select(*keys).distinct(), list(keys), "left_anti")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.core import rows_frame
+from .joins import orphans
 from .numbering import with_neighbours
 
 
@@ -231,9 +232,7 @@ def cardinality_equality(a: DataFrame, column: str, b: DataFrame, field: str) ->
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL child values without a parent, one row each."""
-    values = child.select(F.col(column).alias("from_field")).filter("from_field is not null")
-    keys = parent.select(F.col(field).alias("from_field"))
-    return values.join(keys, "from_field", "left_anti")
+    return orphans(child.select(F.col(column).alias("from_field")), "from_field", parent, field)
 
 
 def relationships_where(
@@ -241,9 +240,9 @@ def relationships_where(
     from_condition: str = "1 = 1", to_condition: str = "1 = 1",
 ) -> DataFrame:
     """As :func:`relationships`, with a condition on either table."""
-    orphans = relationships(child.filter(from_condition), column, parent.filter(to_condition), field)
+    lost = relationships(child.filter(from_condition), column, parent.filter(to_condition), field)
     nothing = F.lit(None).cast(parent.schema[field].dataType)
-    return orphans.select(F.col("from_field").alias("id"), nothing.alias("right_id"))
+    return lost.select(F.col("from_field").alias("id"), nothing.alias("right_id"))
 
 
 # --- order within groups ------------------------------------------------------------------------

@@ -1,8 +1,11 @@
-"""Report tables over standardized courses."""
+"""Report tables over standardized courses.
+
+Some reports read their input twice: pass a written table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -134,9 +137,14 @@ def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
 
 
 def share_of_group(df: DataFrame, measure: str, group_by: str, name: str) -> DataFrame:
-    """Percentage of the column total of its group, for already aggregated rows."""
-    whole = F.sum(measure).over(Window.partitionBy(group_by))
-    return df.withColumn(name, share_pct(F.col(measure), whole))
+    """Percentage of the column total of its group, for already aggregated rows.
+
+    The totals are aggregated and joined, so that a group with most of the rows is not
+    one window partition.
+    """
+    totals = df.groupBy(group_by).agg(F.sum(measure).alias("__whole"))
+    shared = join_groups(df, totals, [group_by], "left")
+    return shared.withColumn(name, share_pct(F.col(measure), F.col("__whole"))).drop("__whole")
 
 
 def quality_tiers(courses: DataFrame) -> DataFrame:
@@ -152,17 +160,9 @@ def quality_tiers(courses: DataFrame) -> DataFrame:
         _avg("duration_hours", 1).alias("avg_duration_hours"),
         _avg("cost_per_hour").alias("avg_cost_per_hour"),
     )
-    # One row per platform: the totals are aggregated again and joined, so that a
-    # platform with most of the groups is not one window partition.
-    totals = summary.groupBy("platform").agg(F.sum("course_count").alias("__whole"))
-    shared = join_groups(summary, totals, ["platform"], "left")
-    return (
-        shared.withColumn("pct_of_platform", share_pct(F.col("course_count"), F.col("__whole")))
-        .drop("__whole")
-        .orderBy(
-            F.asc_nulls_last("platform"),
-            rank_in("quality_tier", fixed.TIER_ORDER),
-            F.desc_nulls_last("total_enrolled"),
-            F.asc_nulls_last("domain_name"),
-        )
+    return share_of_group(summary, "course_count", "platform", "pct_of_platform").orderBy(
+        F.asc_nulls_last("platform"),
+        rank_in("quality_tier", fixed.TIER_ORDER),
+        F.desc_nulls_last("total_enrolled"),
+        F.asc_nulls_last("domain_name"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -145,7 +145,7 @@ def align_feed(df: DataFrame, feed: Feed, ingest_order: Column | None = None) ->
 
 
 def stage_feed(
-    df: DataFrame, feed: Feed, rules: Rules = DEFAULT, tiebreak: Column | None = None
+    df: DataFrame, feed: Feed, rules: Rules = DEFAULT, tiebreak: Sequence[Column] | None = None
 ) -> DataFrame:
     """One feed to canonical rows, the latest per id.
 
@@ -180,10 +180,10 @@ def stage_feed(
         updated = parse_feed_date(text("last_updated")) if rules.lenient_dates else strict
         latest = updated
     if tiebreak is None:
-        tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()
+        tiebreak = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
     skills = text("skills")
     # The latest raw row per id is picked first, so that only kept rows are parsed.
-    kept = deduplicate(rows, [feed.columns["course_id"][0]], [latest.desc_nulls_last(), tiebreak])
+    kept = deduplicate(rows, [feed.columns["course_id"][0]], [latest.desc_nulls_last(), *tiebreak])
     return kept.select(
         text("course_id").alias("course_id"),
         F.trim(text("title")).alias("title"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,9 +152,13 @@ def build_star(
 
     ``courses`` is read once per dimension and once for the fact: pass a written table.
     """
-    dims = {w: stage(build_dimension(courses, w, rules), f"dim-{w}") for w in DIMENSIONS}
-    dates = stage(date_dimension(courses), "dim-date")
-    offerings = stage(offering_dimension(history, key), "dim-offering")
+    # The dimensions do not depend on each other: their small jobs share the cluster.
+    jobs = {w: partial(build_dimension, courses, w, rules) for w in DIMENSIONS}
+    jobs |= {"date": partial(date_dimension, courses), "offering": partial(offering_dimension, history, key)}
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        built = dict(zip(jobs, pool.map(lambda w: stage(jobs[w](), f"dim-{w}"), jobs)))
+    dates, offerings = built.pop("date"), built.pop("offering")
+    dims = built
     tables = {f"dim_{w}": d for w, d in dims.items()}
     tables |= {"dim_date": dates, "dim_offering": offerings}
     tables["fact_offerings"] = build_fact(courses, dims, dates, offerings, rules, key)

@@ -83,8 +83,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT) -> DataFrame:
-    tie = F.struct(*TIES).asc()
-    return stage_feed(raw_feed(spark, sf_dir, feed), feed, rules, tie)
+    return stage_feed(raw_feed(spark, sf_dir, feed), feed, rules, [F.asc(c) for c in TIES])
 
 
 def combined(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:

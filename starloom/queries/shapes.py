@@ -169,8 +169,8 @@ def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    known = table(spark, sf_dir, "customer").filter("c_nationkey <> 3").select(F.col("c_custkey").alias("o_custkey"))
-    return orders.join(known, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+    known = table(spark, sf_dir, "customer").filter("c_nationkey <> 3")
+    return joins.orphans(orders, "o_custkey", known, "c_custkey")
 
 
 @query(

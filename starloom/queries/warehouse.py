@@ -309,7 +309,7 @@ def _pct(condition: str) -> str:
     from courses group by platform"""),
 )
 def platform_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semantic.platform_performance(standardized(spark, sf_dir))
+    return semantic.platform_performance(stage(standardized(spark, sf_dir), "courses"))
 
 
 @query(
@@ -335,7 +335,7 @@ def platform_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def domain_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semantic.domain_trends(standardized(spark, sf_dir))
+    return semantic.domain_trends(stage(standardized(spark, sf_dir), "courses"))
 
 
 @query(
