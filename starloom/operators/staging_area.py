@@ -12,18 +12,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: ``spark.checkpoint.dir`` where it is set.
+    """Shared folder for staged tables: the checkpoint folder of the session.
 
-    Without it a temporary folder serves a local session; on a cluster it is an error,
+    Without one a temporary folder serves a local session; on a cluster it is an error,
     since executors do not share a machine-local folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _local_roots:
+            _local_roots[application] = tempfile.mkdtemp(prefix="starloom-")
+        root = _local_roots[application]
     return root.rstrip("/")
 
 

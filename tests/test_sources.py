@@ -81,13 +81,39 @@ def test_materialize(spark, frame, tmp_path):
     assert rows(catalog.materialize(df, "as_table", as_table=True, path=str(tmp_path / "t"))) == [(1,)]
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+def test_staging_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default=None):
             return {"spark.master": "yarn"}.get(key, default)
 
+    class Context:
+        applicationId = "app"
+
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf = Conf()
+        sparkContext = Context()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging_area.staging_root(Session())
+
+
+def test_a_local_session_without_a_folder_gets_one():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "local[2]"}.get(key, default)
+
+    class Context:
+        applicationId = "local-probe"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    root = staging_area.staging_root(Session())
+    assert root and staging_area.staging_root(Session()) == root
