@@ -327,21 +327,21 @@ _DETAIL = (
            'Udemy' as "Platform", 'English' as "Language", case when d then 'Docker & ' || p_name else '' end as "Description",
            case when d and p_size % 3 = 1 then 'Web | Data' when d then 'Docker' else 'Python | SQL' end as "Skills",
            case when d and p_size % 2 = 1 then 'All Levels' else p_type end as "Level",
-           case when p_partkey % 2 = 0 then '$' || cast(p_size as varchar) when p_size % 3 = 0 then 'Free' else '' end as "Price",
+           case when p_retailprice > 950 then '$' || cast(p_size as varchar) when p_size % 3 = 0 then 'Free' else '' end as "Price",
            cast(p_size as bigint) as "No_of_Reviews", case when d then p_partkey end as "No_of_Students_enrolled",
            p_brand || ', B' as "Programming_Instructor", '2024-01-01' as "Last_Update",
            case when d then p_type else '' end as "Type_of_Course",
            case when d and p_size % 5 = 0 then '9.5 total hours' else printf('%.1f', p_size * 600 / 3600.0e0) || ' hours' end as "Duration"
-    from (select *, p_partkey % 4 <> 3 as d from part) as t
+    from (select *, p_type <> 'SMALL' as d from part) as t
     """,
 )
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     key = F.col("p_partkey").cast("string").alias("course_id")
     courses = part.select(key, F.expr(_COURSE).alias("json"))
-    details = part.filter("p_partkey % 4 <> 3").select(key, F.expr(_DETAIL).alias("json"))
+    details = part.filter("p_type <> 'SMALL'").select(key, F.expr(_DETAIL).alias("json"))
     price = F.expr("'{\"price\":{\"price_string\":\"$' || cast(p_size as string) || '\"}}'")
-    prices = part.filter("p_partkey % 2 = 0").select(key, price.alias("json"))
+    prices = part.filter("p_retailprice > 950").select(key, price.alias("json"))
     return extract.listing_rows(courses, details, prices)
 
 
@@ -368,7 +368,7 @@ _API = (
            case when page_id % 30 < 25 then 'NATION_' || cast(page_id % 30 as varchar) || ', ' else '' end || 'NATION_3' as "Programming Instructor",
            case when u then '2024-03-' || lpad(cast(page_id % 28 + 1 as varchar), 2, '0') else '' end as "Last_Update",
            'Course' as "Type_of_Course", case when u then cast(page_id % 9 + 2 as varchar) || ' hours' else '' end as "Duration"
-    from (select *, page_id % 6 <> 5 and {_USABLE} as u, page_id % 6 <> 5 and page_id % 8 <> 7 as ld,
+    from (select *, url like 'https:%' and {_USABLE} as u, url like 'https:%' and page_id % 8 <> 7 as ld,
                  case when page_id % 3 * 10 > 0 or true then page_id % 3 * 10 end as n from pages) as t
     """,
 )
@@ -376,7 +376,7 @@ def api_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     key = F.col("page_id").cast("string").alias("course_id")
     api = pages.select(key, F.expr(_API).alias("json"))
-    html = pages.filter("page_id % 6 <> 5").select(key, F.expr(_LD_PAGE["page"]).alias("html"))
+    html = pages.filter("url like 'https:%'").select(key, F.expr(_LD_PAGE["page"]).alias("html"))
     people = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
     return extract.api_page_rows(api, html, people, "https://x.org/learn")
 
@@ -408,14 +408,14 @@ _NESTED = (
            case when g then 'Ann, Bo, Cy' else 'Ann, Bo' end as "Programming Instructor",
            case when g then '2024-05-05' end as "Last Update", case when g then 'Course' end as "Type of Course",
            case when g then '3 weeks' end as "Duration"
-    from (select *, 's' || cast(p_partkey as varchar) as slug, p_partkey % 3 <> 1 as g from part) as t
+    from (select *, 's' || cast(p_partkey as varchar) as slug, p_type <> 'ECONOMY' as g from part) as t
     """,
 )
 def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     slug = F.expr("'s' || cast(p_partkey as string)").alias("slug")
     hits = part.select(slug, F.expr(_HIT).alias("hit"))
-    pages = part.filter("p_partkey % 3 <> 1").select(slug, F.expr(_NESTED).alias("page"))
+    pages = part.filter("p_type <> 'ECONOMY'").select(slug, F.expr(_NESTED).alias("page"))
     return extract.nested_rows(hits, pages, "https://site.org")
 
 
@@ -432,6 +432,6 @@ def fallback_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     slug = F.expr("'s' || cast(p_partkey as string)").alias("slug")
     hits = part.select(slug, F.expr(_HIT).alias("hit"))
-    none = part.limit(0).select(slug, F.lit("").alias("page"))
+    none = spark.createDataFrame([], "slug string, page string")
     rows = extract.nested_rows(hits, none, "https://site.org")
     return rows.select("course_id", "Course_Title", "Skill", F.col("`No. of Reviews / Ratings`"), F.col("`Programming Instructor`"), "Duration")

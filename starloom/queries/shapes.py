@@ -176,14 +176,13 @@ def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "jn_8_full_join_of_counts",
     "select a.k as key_a, b.k as key_b, a.n as count_a, b.n as count_b from "
-    "(select c_nationkey as k, count(*) as n from customer where c_nationkey < 20 group by 1) as a full join "
-    "(select s_nationkey as k, count(*) as n from supplier where s_nationkey > 4 group by 1) as b on a.k = b.k",
+    "(select p_size as k, count(*) as n from part group by 1) as a full join "
+    "(select s_nationkey as k, count(*) as n from supplier group by 1) as b on a.k = b.k",
 )
 def full_join_of_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "customer").filter("c_nationkey < 20")
-    b = table(spark, sf_dir, "supplier").filter("s_nationkey > 4")
-    left = a.groupBy(F.col("c_nationkey").alias("key_a")).agg(F.count(F.lit(1)).alias("count_a"))
-    right = b.groupBy(F.col("s_nationkey").alias("key_b")).agg(F.count(F.lit(1)).alias("count_b"))
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    left = part.groupBy(F.col("p_size").alias("key_a")).agg(F.count(F.lit(1)).alias("count_a"))
+    right = supplier.groupBy(F.col("s_nationkey").alias("key_b")).agg(F.count(F.lit(1)).alias("count_b"))
     return left.join(right, F.col("key_a") == F.col("key_b"), "full")
 
 

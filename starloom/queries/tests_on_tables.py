@@ -78,21 +78,22 @@ def equal_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dq_4_equal_rowcount_by_group",
-    "select a.k as nation_a, b.k as nation_b, count_a, count_b, abs(count_a - count_b) as diff_count from "
-    "(select c_nationkey as k, count(*) as count_a from customer where c_nationkey < 20 group by 1) as a full join "
-    "(select s_nationkey as k, count(*) as count_b from supplier where s_nationkey > 4 group by 1) as b on a.k = b.k",
+    "select a.k as k_a, b.k as k_b, count_a, count_b, abs(count_a - count_b) as diff_count from "
+    "(select p_size as k, count(*) as count_a from part group by 1) as a full join "
+    "(select s_nationkey as k, count(*) as count_b from supplier group by 1) as b on a.k = b.k",
 )
 def equal_rowcount_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "customer").filter("c_nationkey < 20").select(F.col("c_nationkey").alias("nation"))
-    b = table(spark, sf_dir, "supplier").filter("s_nationkey > 4").select(F.col("s_nationkey").alias("nation"))
-    return quality.equal_rowcount(a, b, ["nation"])
+    """Sizes and nations overlap in part, so both sides have groups of their own."""
+    a = table(spark, sf_dir, "part").select(F.col("p_size").alias("k"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
+    return quality.equal_rowcount(a, b, ["k"])
 
 
 @query(
     "dq_5_equality",
     """
     with a as (select c_custkey, c_nationkey, case when c_custkey % 100 = 5 then null else c_mktsegment end as segment from customer),
-         b as (select c_custkey, c_nationkey, case when c_custkey % 150 = 5 then null else c_mktsegment end as segment from customer where c_custkey % 40 <> 1)
+         b as (select c_custkey, c_nationkey, case when c_custkey % 150 = 5 then null else c_mktsegment end as segment from customer where c_acctbal > 500)
     select 'a_minus_b' as which_diff, * from (select * from a except select * from b) as x
     union all select 'b_minus_a', * from (select * from b except select * from a) as y
     """,
@@ -102,9 +103,9 @@ def equality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def side(n: int) -> DataFrame:
         segment = F.when(F.col("c_custkey") % n != 5, F.col("c_mktsegment")).alias("segment")
-        return customer.select("c_custkey", "c_nationkey", segment, F.lit(n).alias("n"))
+        return customer.select("c_custkey", "c_nationkey", segment, F.lit(n).alias("n"), "c_acctbal")
 
-    return quality.equality(side(100), side(150).filter("c_custkey % 40 <> 1"), exclude_columns=["N"])
+    return quality.equality(side(100), side(150).filter("c_acctbal > 500"), exclude_columns=["N", "c_acctbal"])
 
 
 @query(
@@ -141,15 +142,15 @@ def fewer_rows_than(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dq_7_fewer_rows_than_by_group",
-    "select a.k as nation_a, b.k as nation_b, x as count_our_model, y as count_comparison_model, "
+    "select a.k as k_a, b.k as k_b, x as count_our_model, y as count_comparison_model, "
     "cast(case when x > y then x - y when x = y then 1 else 0 end as bigint) as row_count_delta from "
     "(select s_nationkey as k, count(*) as x from supplier group by 1) as a full join "
-    "(select c_nationkey as k, count(*) as y from customer where c_custkey % 15 = 1 group by 1) as b on a.k = b.k",
+    "(select p_size as k, count(*) as y from part group by 1) as b on a.k = b.k",
 )
 def fewer_rows_than_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"))
-    b = table(spark, sf_dir, "customer").filter("c_custkey % 15 = 1").select(F.col("c_nationkey").alias("nation"))
-    return quality.fewer_rows_than(a, b, ["nation"])
+    a = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
+    b = table(spark, sf_dir, "part").select(F.col("p_size").alias("k"))
+    return quality.fewer_rows_than(a, b, ["k"])
 
 
 # --- ranges and sequences --------------------------------------------------------------------------
