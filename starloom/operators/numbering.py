@@ -107,9 +107,15 @@ def with_neighbours(
     record = F.struct(*[F.col(c) for c in carried])
     inside = Window.partitionBy(_SLICE).orderBy(_POS)
     across = Window.orderBy(_SLICE)  # one row per slice
+    # The outermost rows of every slice: two per slice, found by position.
+    sizes = slices.groupBy(_SLICE).agg(F.max(_POS).alias("__end"))
+    outer = slices.join(F.broadcast(sizes), _SLICE).filter((F.col(_POS) == 0) | (F.col(_POS) == F.col("__end")))
     edges = (
-        slices.groupBy(_SLICE)
-        .agg(F.min_by(record, F.col(_POS)).alias("__first"), F.max_by(record, F.col(_POS)).alias("__last"))
+        outer.groupBy(_SLICE)
+        .agg(
+            F.first(F.when(F.col(_POS) == 0, record), ignorenulls=True).alias("__first"),
+            F.first(F.when(F.col(_POS) == F.col("__end"), record), ignorenulls=True).alias("__last"),
+        )
         .select(
             _SLICE,
             F.lag("__last").over(across).alias("__before"),

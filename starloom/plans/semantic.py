@@ -13,6 +13,7 @@ from ..functions.core import exact_avg
 from ..functions.standard import quality_tier, rank_in
 from ..operators.aggregate import count_if, distinct_text, join_groups, medians, modes, share_pct
 from ..operators.numbering import ntile, number_rows
+from ..operators.staging_area import stage
 
 
 def _avg(column: str, digits: int = 2) -> Column:
@@ -127,7 +128,12 @@ def pricing_analysis(courses: DataFrame) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
-    """Percentage of the column total, which is joined as a single row."""
+    """Percentage of the column total, which is joined as a single row.
+
+    ``df`` holds aggregated rows; they are written once, so that whatever they come from is
+    not computed for the rows and again for the total.
+    """
+    df = stage(df, "shares")
     whole = df.agg(F.sum(measure).alias("__whole"))
     return (
         df.crossJoin(F.broadcast(whole))  # one row
@@ -139,9 +145,10 @@ def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
 def share_of_group(df: DataFrame, measure: str, group_by: str, name: str) -> DataFrame:
     """Percentage of the column total of its group, for already aggregated rows.
 
-    The totals are aggregated and joined, so that a group with most of the rows is not
-    one window partition.
+    The rows are written once. The totals are aggregated and joined, so that a group with
+    most of the rows is not one window partition.
     """
+    df = stage(df, "shares")
     totals = df.groupBy(group_by).agg(F.sum(measure).alias("__whole"))
     shared = join_groups(df, totals, [group_by], "left")
     return shared.withColumn(name, share_pct(F.col(measure), F.col("__whole"))).drop("__whole")
