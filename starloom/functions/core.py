@@ -69,13 +69,21 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+_SCALE = 1_000_000
+_LOW_BITS = 20
+
+
 def exact_sum(c: ColumnOrName) -> Column:
-    """Sum that does not depend on the order in which partitions arrive.
+    """Sum that does not depend on the order in which partitions arrive, as decimal.
 
-    Doubles are added as decimals, so a retried or differently partitioned run
-    gives the same digits.
+    Values are counted in millionths as integers, so a retried or differently partitioned
+    run gives the same digits. The integers are added in two halves: plain 64-bit sums,
+    wide enough for totals near 10**18, and an overflow is an error, never a wrong sum.
     """
-    return F.sum(col(c).cast("decimal(24,6)"))
+    millionths = F.rint(col(c).cast("double") * _SCALE).cast("bigint")
+    high = F.sum(F.shiftright(millionths, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
+    return (high * F.lit(1 << _LOW_BITS) + low) / F.lit(_SCALE)
 
 
 def exact_avg(c: ColumnOrName) -> Column:

@@ -104,6 +104,34 @@ def sql_language(c: str) -> str:
     return f"case when {c} is null then null {cases} else 'Other / Unknown' end"
 
 
+def sql_level(c: str) -> str:
+    cases = " ".join(
+        f"when lower(trim({c})) in ({', '.join(repr(w) for w in words)}) then '{name}'" for name, words in fixed.LEVELS.items()
+    )
+    return f"case {cases} else 'Unknown' end"
+
+
+def sql_price_model(c: str) -> str:
+    subscriptions = ", ".join(repr(m) for m in fixed.SUBSCRIPTION_MODELS)
+    return (
+        f"case when lower({c}) in ({subscriptions}) then 'Subscription' "
+        f"when lower({c}) = '{fixed.ONE_TIME_MODEL}' then 'One Time' else 'Unknown' end"
+    )
+
+
+def _sql_bands(c: str, first: str, bands: list[tuple[int, str]], top: str) -> str:
+    cases = " ".join(f"when {c} < {upper} then '{name}'" for upper, name in bands)
+    return f"case when {c} is null then 'Unknown' {first} {cases} else '{top}' end"
+
+
+def sql_price_band(c: str) -> str:
+    return _sql_bands(c, f"when {c} = 0 then 'Free'", fixed.PRICE_BANDS, fixed.PRICE_BAND_TOP)
+
+
+def sql_duration_band(c: str) -> str:
+    return _sql_bands(c, "", fixed.DURATION_BANDS, fixed.DURATION_BAND_TOP)
+
+
 def sql_duration(c: str, leading_only: bool = False) -> str:
     t = f"lower(trim({c}))"
     if leading_only:
@@ -167,18 +195,12 @@ def sql_standardized(rules: Rules = DEFAULT) -> str:
     select *, case when {cost_ok} then {r(f'(rating * ln({enrolled} + 1)) / nullif(estimated_total_cost, 0)')} end as value_score
     from (
         select course_id, platform, title, course_url, description, skills, instructor, language, domain_name,
-               case when lower(trim(level)) in ('beginner', 'beginner level', 'introductory') then 'Beginner'
-                    when lower(trim(level)) in ('intermediate', 'intermediate level') then 'Intermediate'
-                    when lower(trim(level)) in ('advanced', 'expert', 'advanced level') then 'Advanced'
-                    when lower(trim(level)) in ('all levels', 'all', 'mixed') then 'All Levels' else 'Unknown' end as level,
+               {sql_level('level')} as level,
                {kept} as rating, review_count, enrolled_students, price,
-               case when lower(price_model) in ('subscription', 'monthly_subscription') then 'Subscription'
-                    when lower(price_model) = 'one time' then 'One Time' else 'Unknown' end as price_model,
+               {sql_price_model('price_model')} as price_model,
                duration_hours, duration_raw,
-               case when price is null then 'Unknown' when price = 0 then 'Free' when price < 500 then 'Cheap'
-                    when price < 2000 then 'Medium' when price < 5000 then 'Expensive' else 'Premium' end as price_category,
-               case when duration_hours is null then 'Unknown' when duration_hours < 5 then 'Short'
-                    when duration_hours < 20 then 'Medium' when duration_hours < 50 then 'Long' else 'Extensive' end as duration_category,
+               {sql_price_band('price')} as price_category,
+               {sql_duration_band('duration_hours')} as duration_category,
                {r(f'rating * ln({enrolled} + 1)')} as popularity_score,
                {r(engagement)} as engagement_rate_pct,
                {r('rating * ln(coalesce(review_count, 0) + 1)')} as weighted_rating,

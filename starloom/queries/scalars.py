@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arith, keys, scores, standard, text, times, urls
 from ..operators.generate import date_spine, series
-from .courses import sql_duration, sql_language
+from .courses import sql_duration, sql_duration_band, sql_language, sql_level, sql_price_band, sql_price_model
 from .registry import query, r, table
 
 
@@ -57,10 +57,7 @@ scalar(
     "sc_3_standardize_level", "part", ["p_partkey"],
     {"level": (
         lambda: standard.standardize_level("raw"),
-        "case when lower(trim(raw)) in ('beginner', 'beginner level', 'introductory') then 'Beginner' "
-        "when lower(trim(raw)) in ('intermediate', 'intermediate level') then 'Intermediate' "
-        "when lower(trim(raw)) in ('advanced', 'expert', 'advanced level') then 'Advanced' "
-        "when lower(trim(raw)) in ('all levels', 'all', 'mixed') then 'All Levels' else 'Unknown' end",
+        sql_level("raw"),
     )},
     {"raw": "case p_size % 7 when 0 then ' Beginner level ' when 1 then 'Expert' when 2 then 'MIXED' "
             "when 3 then 'intermediate level' when 4 then null when 5 then p_type else 'introductory' end"},
@@ -70,8 +67,7 @@ scalar(
     "sc_4_standardize_price_model", "orders", ["o_orderkey"],
     {"price_model": (
         lambda: standard.standardize_price_model("raw"),
-        "case when lower(raw) in ('subscription', 'monthly_subscription') then 'Subscription' "
-        "when lower(raw) = 'one time' then 'One Time' else 'Unknown' end",
+        sql_price_model("raw"),
     )},
     {"raw": "case o_orderpriority when '1-URGENT' then 'Subscription' when '2-HIGH' then 'MONTHLY_subscription' "
             "when '3-MEDIUM' then 'One Time' when '4-NOT SPECIFIED' then ' one time' end"},
@@ -83,8 +79,7 @@ scalar(
     "sc_5_price_band", "orders", ["o_orderkey"],
     {"price_category": (
         lambda: standard.price_band("price"),
-        "case when price is null then 'Unknown' when price = 0 then 'Free' when price < 500 then 'Cheap' "
-        "when price < 2000 then 'Medium' when price < 5000 then 'Expensive' else 'Premium' end",
+        sql_price_band("price"),
     )},
     {"price": _PRICE},
 )
@@ -93,8 +88,7 @@ scalar(
     "sc_6_duration_band", "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
     {"duration_category": (
         lambda: standard.duration_band("hours"),
-        "case when hours is null then 'Unknown' when hours < 5 then 'Short' when hours < 20 then 'Medium' "
-        "when hours < 50 then 'Long' else 'Extensive' end",
+        sql_duration_band("hours"),
     )},
     {"hours": "case when l_linenumber = 7 then null else l_quantity + l_linenumber end"},
 )

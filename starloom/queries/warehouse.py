@@ -195,31 +195,27 @@ def dim_offering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fact ---------------------------------------------------------------------------------------
 
-_METRICS = ", ".join(f"s.{m}" for m in [*star.FACT_METRICS, "price_category", "duration_category"])
+_METRICS = ", ".join(f"courses.{m}" for m in [*star.FACT_METRICS, "price_category", "duration_category"])
 
 
 def _fact_sql(rules: Rules) -> str:
     dims = "".join(f", dim_{w} as ({_dim_sql(w, rules)})" for w in star.DIMENSIONS)
     every = rules.unknown_key
 
-    def fk(expression: str, always: bool = False) -> str:
-        return f"coalesce({expression}, -1)" if every or always else expression
-
+    joins, keys = [], []
+    for which, (column, key, name) in star.DIMENSIONS.items():
+        named = which in ("instructor", "offering_type")
+        value = f"coalesce(courses.{column}, '{_UNKNOWN[which]}')" if named else f"courses.{column}"
+        joins.append(f"left join dim_{which} on {value} = dim_{which}.{name}")
+        keys.append(f"coalesce(dim_{which}.{key}, -1) as {key}" if every or named else f"dim_{which}.{key}")
+    offering = "coalesce(offering_sk, -1) as offering_sk" if every else "offering_sk"
     return with_courses(
         f"""
-        select {fk('dof.offering_sk')} as offering_sk, {fk('dp.platform_id')} as platform_id,
-               {fk('dd.domain_id')} as domain_id, {fk('dl.level_id')} as level_id, {fk('dg.language_id')} as language_id,
-               {fk('di.instructor_id', True)} as instructor_id, {fk('dt.offering_type_id', True)} as offering_type_id,
-               coalesce(dd8.date_id, -1) as date_id, {_METRICS}
-        from courses s
-        left join dim_platform dp on s.platform = dp.platform_name
-        left join dim_domain dd on s.domain_name = dd.domain_name
-        left join dim_level dl on s.level = dl.level_name
-        left join dim_language dg on s.language = dg.language_name
-        left join dim_instructor di on coalesce(s.instructor, 'Unknown Instructor') = di.instructor_name
-        left join dim_offering_type dt on coalesce(s.offering_type, 'Unknown') = dt.offering_type
-        left join dim_date dd8 on cast(strftime(s.last_updated, '%Y%m%d') as integer) = dd8.date_id
-        left join dim_offering dof on s.course_id = dof.offering_id and s.platform = dof.platform and dof.is_current
+        select {offering}, {', '.join(keys)}, coalesce(dim_date.date_id, -1) as date_id, {_METRICS}
+        from courses {' '.join(joins)}
+        left join dim_date on courses.last_updated = dim_date.full_date
+        left join (select * from dim_offering where is_current) as current_offering
+               on courses.course_id = current_offering.offering_id and courses.platform = current_offering.platform
         """,
         rules,
         _HISTORY_SQL + dims + f", dim_date as ({_DATE_SQL}), dim_offering as ({_OFFERING_SQL})",

@@ -4,10 +4,12 @@ import html
 import random
 import re
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.core import exact_avg, exact_sum
 from starloom.functions import arith, fixed, keys, records, scores, standard, text, times, urls
 
 
@@ -117,6 +119,19 @@ def test_haversine(frame):
         arith.haversine_distance("a", "b", "c", "d", "ly")
 
 
+def test_exact_sums(spark):
+    rng = random.Random(5)
+    given = [round(rng.uniform(-10**6, 10**6), rng.randrange(7)) for _ in range(3000)] + [None, 0.0, -0.25, 1e11]
+    rows = [(i % 3, x) for i, x in enumerate(given)]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "k int, x double").repartition(parts)
+        got = {r[0]: (r[1], r[2]) for r in df.groupBy("k").agg(exact_sum("x"), exact_avg("x")).collect()}
+        for k, (total, mean) in got.items():
+            members = [Decimal(repr(x)) for i, x in rows if i == k and x is not None]
+            assert total == sum(members) and mean == float(sum(members)) / len(members)
+    assert spark.range(0).agg(exact_avg(F.lit(1.0))).first()[0] is None
+
+
 def test_surrogate_key(frame):
     df = frame([("a", "b", "c"), (None, "b", None)], "x string, y string, z string")
     got = [r[0] for r in df.select(keys.surrogate_key(["x", "y", "z"])).collect()]
