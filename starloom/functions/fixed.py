@@ -124,10 +124,3 @@ CANONICAL_COLUMNS = [
     "duration_raw", "duration_hours", "review_count", "rating", "price", "price_model",
     "enrolled_students",
 ]
-
-# --- fixed values: the raw scraped row --------------------------------------------------
-RAW_COLUMNS = [
-    "course_id", "Course_Title", "Course_URL", "Platform", "Language", "Description",
-    "Skill", "Level", "Price", "No. of Reviews / Ratings", "No. of Students enrolled",
-    "Programming Instructor", "Last_Update", "Type_of_Course", "Duration",
-]
