@@ -6,35 +6,33 @@ outlives any executor and is read back with column pruning.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_roots: dict[str, str] = {}
-
-
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: the checkpoint folder of the session.
+    """Shared folder for staged tables: the session's checkpoint folder, else its warehouse.
 
-    Without one a temporary folder serves a local session; on a cluster it is an error,
-    since executors do not share a machine-local folder.
+    Both are shared by all executors of a cluster; a machine-local folder is never taken.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        application = spark.sparkContext.applicationId
-        if application not in _local_roots:
-            _local_roots[application] = tempfile.mkdtemp(prefix="starloom-")
-        root = _local_roots[application]
-    return root.rstrip("/")
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new folder for one staged table."""
+    return f"{staging_root(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back."""
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = staged_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application has staged; call it when its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/starloom/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

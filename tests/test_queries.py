@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from starloom.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: q.run for name, q in REGISTRY.items()}
+SQL = {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -43,3 +45,4 @@ def test_entry(spark):
 
 def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())

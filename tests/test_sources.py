@@ -1,5 +1,7 @@
 """Files and tables."""
 
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -81,10 +83,10 @@ def test_materialize(spark, frame, tmp_path):
     assert rows(catalog.materialize(df, "as_table", as_table=True, path=str(tmp_path / "t"))) == [(1,)]
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
+def test_a_session_without_a_checkpoint_folder_stages_under_its_warehouse():
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            return {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}.get(key, default)
 
     class Context:
         applicationId = "app"
@@ -96,24 +98,12 @@ def test_staging_needs_a_shared_folder_on_a_cluster():
         conf = Conf()
         sparkContext = Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging_area.staging_root(Session())
-
-
-def test_a_local_session_without_a_folder_gets_one():
-    class Conf:
-        def get(self, key, default=None):
-            return {"spark.master": "local[2]"}.get(key, default)
-
-    class Context:
-        applicationId = "local-probe"
+    assert staging_area.staging_root(Session()) == "file:/shared/warehouse"
 
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        conf = Conf()
-        sparkContext = Context()
 
-    root = staging_area.staging_root(Session())
-    assert root and staging_area.staging_root(Session()) == root
+def test_release_removes_what_was_staged(frame, spark):
+    staged = staging_area.stage(frame([(1,), (2,)], "x int"), "probe")
+    folder = staged.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    staging_area.release(spark)
+    assert not os.path.isdir(folder)
