@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import setsketch_dedup
-from starloom.llm.common import table
+from starloom.llm import quality_nbsvm, setsketch_dedup, token_store
+from starloom.llm.common import held_out, table
+from starloom.operators.staging_area import staged_path
 from starloom.queries.registry import Query
 
 LLM: dict[str, Query] = {}
@@ -19,6 +22,22 @@ def _add(name: str, sql: str | None = None):
     return put
 
 
+@_add("op4_token_store")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of documents, written and read back."""
+    path = staged_path(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_add("op7_quality_nbsvm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_nbsvm.score(docs, quality_nbsvm.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 OP9_SQL = r"""
 with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(
