@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import quality_nbsvm, setsketch_dedup, token_store
+from starloom.llm import decontaminate, quality_nbsvm, setsketch_dedup, token_store
 from starloom.llm.common import held_out, table
 from starloom.operators.staging_area import staged_path
 from starloom.queries.registry import Query
@@ -38,6 +38,45 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+OP8_SQL = r"""
+with d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from documents),
+b as (select item_id, w, least(13, len(w)) as width, least(2, least(13, len(w)) // 6) as spare from (
+  select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from benchmark) where len(w) > 0),
+masks as (select distinct width, unnest(generate_series(0, least(3, width) - 1)) as mask from b),
+dp as (select doc_id, w, width, mask, unnest(generate_series(1, len(w) - width + 1)) as p from d, masks where len(w) >= width),
+ds as (select doc_id, p, width, mask, array_to_string(list_slice(w, p + mask, p + width - 1, 3), ' ') as seed from dp),
+bp as (select item_id, w, width, unnest(generate_series(1, len(w) - width + 1)) as p from b),
+bs as (select item_id, p, bp.width, mask, array_to_string(list_slice(w, p + mask, p + bp.width - 1, 3), ' ') as seed
+  from bp join masks on masks.width = bp.width),
+hits as (select distinct doc_id, item_id, ds.p - bs.p as shift from ds join bs using (width, mask, seed)),
+flags as (select doc_id, item_id, shift, i, width, spare, coalesce(d.w[i + shift] = b.w[i], false)::int as same
+  from hits join d using (doc_id) join (select *, unnest(generate_series(1, len(w))) as i from b) b using (item_id)
+  where i + shift between 1 and len(d.w)),
+windows as (select *, sum(same) over (partition by doc_id, item_id, shift order by i rows between current row and 12 following) as long_sum,
+  sum(same) over (partition by doc_id, item_id, shift) as full_sum,
+  count(*) over (partition by doc_id, item_id, shift order by i rows between current row and 12 following) as reach,
+  count(*) over (partition by doc_id, item_id, shift) as present from flags),
+passing as (select doc_id, item_id, shift, i, width from windows where
+  (width = 13 and reach = 13 and long_sum >= 11) or (width < 13 and present = width and full_sum >= width - spare)),
+covered as (select p.doc_id, p.item_id, p.shift, count(distinct f.i) as n from passing p join flags f
+  on p.doc_id = f.doc_id and p.item_id = f.item_id and p.shift = f.shift and
+    ((p.width = 13 and f.i between p.i and p.i + 12) or p.width < 13) group by all),
+best as (select doc_id, item_id, max(n) as n from covered group by all),
+found as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id) as item_ids, sum(n) as n_words
+  from best group by all)
+select documents.doc_id, found.doc_id is not null as contaminated, coalesce(n_items, 0) as n_items,
+  coalesce(item_ids, '') as item_ids, coalesce(n_words, 0)::bigint as n_words
+from documents left join found using (doc_id)
+"""
+
+
+@_add("op8_spaced_seed_decontamination", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
+
+
 OP9_SQL = r"""
 with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(
