@@ -1,4 +1,69 @@
-"""The corpus pipeline."""
+"""From raw documents to token ids in five stages, each on all that the one before kept.
 
-PIPELINE = {}
-STAGES = []
+A stage is a function (spark, docs, sf_dir) -> DataFrame; all but the last return the columns of documents. Its result is
+written as Parquet and read again as the next one's docs.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starloom.llm import decontaminate, mixing, quality_nbsvm, setsketch_dedup, token_store
+from starloom.llm.common import table
+from starloom.llm.queries import TARGETS, language_labels
+from starloom.operators.staging_area import stage, staged_path
+from starloom.queries.registry import Query
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of 0.7 or more)."""
+    model = quality_nbsvm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_nbsvm.score(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: shingles of five words, similarity 0.8 or more, smallest doc_id."""
+    return setsketch_dedup.without_near_duplicates(docs, words=5, percent=80)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated until the languages' token totals match TARGETS; none is left out (rates are 1 or more)."""
+    labels = language_labels(docs, table(spark, sf_dir, "labels"))
+    return mixing.repeated(mixing.mixed(docs, labels, TARGETS, lowest=1.0), docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in binary blocks, read back: doc_id, start, n_tokens, ids_crc32."""
+    path = staged_path(spark, "tokens")
+    token_store.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("MinHash near-dedup", one_of_each_group),
+    ("benchmark decontamination", no_benchmark),
+    ("mixing sources to target weights", target_mixture),
+    ("token-ID output", token_ids),
+]
+
+# Trained models and a tokenizer decide; the tests hold every stage against a plain version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-").lower())
+    return docs
+
+
+PIPELINE = {"pipeline": Query(run, ORACLE_SQL)}

@@ -21,7 +21,8 @@ from starloom.operators.staging_area import stage
 SPAN = 13
 MASKS = 3
 BROADCAST_HASHES = 2_000_000  # 16 bytes each
-BROADCAST_HITS = 500_000
+BROADCAST_HITS = 500_000  # four numbers each
+BROADCAST_FOUND = 200_000
 
 
 def allowed(width: int) -> int:
@@ -107,6 +108,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return checked.where("words > 0").groupBy("doc_id", "text_key", "item_id").agg(F.max("words").alias("words"))
 
 
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(__doc, __key, n_items, item_ids, n_words) of the rows that hold items; marked for broadcast while they are few."""
+    found = overlaps(docs, benchmark).groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).agg(
+        F.count("*").alias("n_items"), F.sort_array(F.collect_list("item_id")).alias("item_ids"), F.sum("words").alias("n_words"))
+    found = stage(found, "found")
+    return F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, contaminated, n_items, item_ids (ascending), n_words (item words covered, over all items).
 
@@ -114,22 +123,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id are kept, items with a NULL item_id are not looked for. Other columns of both tables are not read.
     """
     found = _judged(docs, benchmark)
-    found = found.withColumnsRenamed({"doc_id": "__doc", "text_key": "__key"})
     left = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
-    joined = left.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key")), "left")
-    return joined.select(
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
+    return left.join(found, same, "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("item_ids", F.array().cast(found.schema["item_ids"].dataType)).alias("item_ids"),
         F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"))
 
 
-def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return overlaps(docs, benchmark).groupBy("doc_id", "text_key").agg(
-        F.count("*").alias("n_items"), F.sort_array(F.collect_list("item_id")).alias("item_ids"), F.sum("words").alias("n_words"))
-
-
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark passage."""
-    found = _judged(docs, benchmark).select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
+    found = _judged(docs, benchmark)
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
     return docs.join(found, same, "left_anti")

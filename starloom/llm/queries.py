@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, quality_nbsvm, setsketch_dedup, token_store
+from starloom.llm import decontaminate, mixing, quality_nbsvm, setsketch_dedup, token_store
 from starloom.llm.common import held_out, table
 from starloom.operators.staging_area import staged_path
 from starloom.queries.registry import Query
@@ -22,6 +22,24 @@ def _add(name: str, sql: str | None = None):
     return put
 
 
+# Shares of tokens by language, and the labelled rows that teach the classifier.
+TARGETS = {"en": 0.50, "fr": 0.18, "de": 0.17, "es": 0.15}
+
+
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain): the language of the documents that have labels."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id"), "doc_id", "left_semi")
+
+
+@_add("op2_soft_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of documents under which languages reach target shares of the tokens."""
+    docs = table(spark, sf_dir, "documents")
+    found = mixing.mixed(docs.select("doc_id", "text"), language_labels(docs, table(spark, sf_dir, "labels")), TARGETS)
+    return found.select("doc_id", "n_tokens", "domain", F.array_join(F.col("posterior").cast("array<string>"), ",").alias("posterior"),
+                        "rate")
+
+
 @_add("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written and read back."""

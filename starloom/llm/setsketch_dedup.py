@@ -272,11 +272,11 @@ def _assign(sketched: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFr
     """The component of every document, through its class."""
     labelled = classes.join(parts, "id", "left").select(
         "digest_a", "digest_b", "n_shingles", F.coalesce("component", "id").alias("component"))
-    members = sketched.select("doc_id", "n_shingles", "digest_a", "digest_b").join(
+    members = sketched.select("doc_id", "n_shingles", "text_key", "digest_a", "digest_b").join(
         labelled, ["digest_a", "digest_b", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
     return members.select("doc_id", "n_shingles", component.alias("component_id"),
-                          (F.col("doc_id") == component).alias("kept"))
+                          (F.col("doc_id") == component).alias("kept"), "text_key")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -288,6 +288,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     that repeat a doc_id come out once, judged by the text with the most shingles (ties: by its hashes). An empty table
     gives an empty result.
     """
+    return _judged(docs, words, percent).drop("text_key")
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, that stay when one document of each group of near copies is kept.
+
+    Of rows that repeat a doc_id one stays, with the text it was judged by. Rows with a NULL doc_id stay as they are.
+    """
+    kept = _judged(docs, words, percent).where("kept").select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
+    same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
+    named = docs.where("doc_id is not null").join(kept, same).dropDuplicates(["__doc", "__key"]).drop("__doc", "__key")
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
                        ).where("doc_id is not null")
