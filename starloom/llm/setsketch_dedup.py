@@ -10,8 +10,9 @@ registers, and two sets agree in a register about as often as their Jaccard simi
 3. A pair is kept if the similarity estimated jointly from its registers (maximum likelihood, with the known set
    sizes) is within MARGIN standard errors of the threshold; then both texts are read and the full sets compared.
 4. Components of the confirmed links. In buckets that still hold several components the classes outside the bucket's
-   largest component are held against all its members, in blocks of bounded size; pairs inside a component are
-   never made. Survivors of the estimate are verified as before, and components are taken again.
+   largest component are held against all its members, in blocks of bounded size, with registers and texts at hand:
+   a block estimates pairs of different components, verifies the likely ones until their components are joined, and returns
+   only the links found. Pairs never become rows there. Components are taken again.
 
 With 28 bands of 5 registers a pair of similarity 0.8 shares a bucket with probability 0.99998.
 """
@@ -33,7 +34,7 @@ BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
 B, A, Q = 1.001, 20.0, (1 << 16) - 2  # spacing, rate and register limit of the sketch
 MARGIN = 4.0
-LEFT_BLOCK, MEMBER_BLOCK = 512, 8192  # rows of a task in step 4
+LEFT_BLOCK, MEMBER_BLOCK = 256, 2048  # rows of a task in step 4
 COMPARED = 1 << 14  # pairs compared at once inside a task
 
 
@@ -190,18 +191,17 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 # --- step 4 ---------------------------------------------------------------------------------
 
-def _open_pairs(bands: DataFrame, classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of different components that share a bucket with more than two members."""
-    placed = bands.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    placed = stage(placed, "placed")
+def _open_links(buckets: DataFrame, mates: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket of more than two members; a link more than is needed is left out."""
+    placed = stage(buckets.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "placed")
     groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    buckets = groups.groupBy("key").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("members"), F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.max("n").alias("largest")).where("parts > 1 and members > 2")
-    left_blocks = F.ceil((F.col("members") - F.col("largest")) / LEFT_BLOCK).cast("int")
-    buckets = buckets.select(
-        "key", "main", left_blocks.alias("lefts"), F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("rights"))
-    rows = placed.join(buckets, "key")
+    open_ = groups.groupBy("key").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("members"),
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("largest"),
+    ).where("parts > 1 and members > 2").select(
+        "key", "main", F.ceil((F.col("members") - F.col("largest")) / LEFT_BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("rights"))
+    rows = placed.join(open_, "key")
     spread = F.xxhash64("id", "key")
     left = rows.where("component <> main").select(
         "key", F.pmod(spread, "lefts").cast("int").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"),
@@ -209,9 +209,9 @@ def _open_pairs(bands: DataFrame, classes: DataFrame, parts: DataFrame, threshol
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), F.pmod(spread, "rights").cast("int").alias("r"),
         "id", "component", F.lit(False).alias("is_left"))
-    work = left.unionByName(right).join(classes.select("id", "n_shingles", "registers"), "id")
+    work = left.unionByName(right).join(mates, "id").select(
+        "key", "l", "r", "id", "component", "is_left", "n_shingles", "registers", "text")
     work = work.repartition("key", "l", "r").sortWithinPartitions("key", "l", "r")
-    columns = ["key", "l", "r", "id", "component", "is_left", "n_shingles", "registers"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[pa.RecordBatch] = []
@@ -219,15 +219,13 @@ def _open_pairs(bands: DataFrame, classes: DataFrame, parts: DataFrame, threshol
             pending.append(batch)
             whole = pa.Table.from_batches(pending).combine_chunks()
             cuts = _cuts(whole)
-            if len(cuts) > 1:
-                yield from _block_pairs(whole.slice(0, cuts[-1]), cuts, threshold)
-                whole = whole.slice(cuts[-1])
-            pending = whole.to_batches()
+            for start, end in zip(cuts[:-1], cuts[1:]):
+                yield _block_links(whole.slice(start, end - start), words, percent)
+            pending = whole.slice(cuts[-1]).to_batches() if cuts else []
         if pending:
-            whole = pa.Table.from_batches(pending).combine_chunks()
-            yield from _block_pairs(whole, [*_cuts(whole), whole.num_rows], threshold)
+            yield _block_links(pa.Table.from_batches(pending), words, percent)
 
-    return work.select(*columns).mapInArrow(run, "a long, b long").distinct()
+    return work.mapInArrow(run, "a long, b long")
 
 
 def _cuts(rows: pa.Table) -> list[int]:
@@ -240,30 +238,62 @@ def _cuts(rows: pa.Table) -> list[int]:
     return np.flatnonzero(change).tolist()
 
 
-def _block_pairs(rows: pa.Table, cuts: list[int], threshold: float) -> Iterator[pa.RecordBatch]:
+def _block_links(rows: pa.Table, words: int, percent: int) -> pa.RecordBatch:
+    """Confirmed links of one block, the likeliest pairs first; pairs whose components are joined by then are passed over."""
     ids, parts = rows.column("id").to_numpy(), rows.column("component").to_numpy()
-    sizes, is_left = rows.column("n_shingles").to_numpy(), rows.column("is_left").to_numpy(zero_copy_only=False)
-    if not rows.num_rows:
-        return
-    values = _unpack(rows.column("registers"))
-    found_a, found_b = [], []
-    for start, end in zip(cuts[:-1], cuts[1:]):
-        lefts, rights = start + np.flatnonzero(is_left[start:end]), start + np.flatnonzero(~is_left[start:end])
-        if not len(lefts) or not len(rights):
-            continue
-        step = max(1, COMPARED // len(rights))
-        for at in range(0, len(lefts), step):
-            x, y = np.repeat(lefts[at:at + step], len(rights)), np.tile(rights, len(lefts[at:at + step]))
-            open_ = (parts[x] != parts[y])
-            x, y = x[open_], y[open_]
-            if len(x):
-                good = keeps(estimate(values[x], values[y], sizes[x], sizes[y]), threshold)
-                found_a.append(np.minimum(ids[x[good]], ids[y[good]]))
-                found_b.append(np.maximum(ids[x[good]], ids[y[good]]))
-    if found_a:
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        one = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], names=["a", "b"])
+    sizes, is_left = rows.column("n_shingles").to_numpy(), rows.column("is_left").to_numpy()
+    values, key = _unpack(rows.column("registers")), rows.column("key")[0].as_py()
+    x, y, likely = _candidates(values, sizes, parts, is_left.astype(bool), percent / 100)
+    if len(x):  # a pair is taken up in the first bucket that it shares
+        first = (values[x] == values[y]).reshape(-1, BANDS, ROWS).all(2).argmax(1)
+        own = band_keys(values).view(np.int64)[x, first] == key
+        order = np.argsort(-likely[own], kind="stable")
+        x, y = x[own][order], y[own][order]
+    parent: dict[int, int] = {}
+
+    def top(part: int) -> int:
+        while (above := parent.get(part, part)) != part:
+            parent[part] = parent.get(above, above)
+            part = above
+        return part
+
+    texts = rows.column("text")
+    sets: dict[int, np.ndarray] = {}
+
+    def elements(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = next(common.text_shingles(pa.array([texts[i].as_py()]), words))[1][0]
+        return sets[i]
+
+    links = []
+    for i, j in zip(x.tolist(), y.tolist()):
+        p, q = top(int(parts[i])), top(int(parts[j]))
+        if p != q:
+            shared = len(np.intersect1d(elements(i), elements(j), assume_unique=True))
+            if 100 * shared >= percent * (len(elements(i)) + len(elements(j)) - shared):
+                parent[max(p, q)] = min(p, q)
+                links.append((ids[i], ids[j]))
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
+                                      names=["a", "b"])
+
+
+def _candidates(values: np.ndarray, sizes: np.ndarray, parts: np.ndarray, is_left: np.ndarray, threshold: float
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and estimates of the likely pairs of a left and a right row of different components."""
+    lefts, rights = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+    step = max(1, COMPARED // max(1, len(rights)))
+    for at in range(0, len(lefts), step):
+        some = lefts[at:at + step]
+        x, y = np.repeat(some, len(rights)), np.tile(rights, len(some))
+        apart = parts[x] != parts[y]
+        x, y = x[apart], y[apart]
+        if len(x):
+            likely = estimate(values[x], values[y], sizes[x], sizes[y])
+            good = keeps(likely, threshold)
+            found.append((x[good], y[good], likely[good]))
+    x, y, likely = (np.concatenate(c) for c in zip(*found))
+    return x, y, likely
 
 
 # --- the operator ---------------------------------------------------------------------------
@@ -319,10 +349,10 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     crowded = stage(bands.join(leaders, "key"), "buckets")
     pairs = stage(crowded.where("id <> leader").select(
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "pairs")
-    mates = classes.select("id", "text_key").join(crowded.select("id").distinct(), "id", "left_semi")
-    texts = stage(docs.select(F.col("doc_id").alias("id"), "text_key", "text").join(mates, ["id", "text_key"], "left_semi")
-                  .select("id", "text"), "texts")
+    mates = classes.select("id", "text_key", "n_shingles", "registers").join(crowded.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("id"), "text_key", "text").join(mates.select("id", "text_key"), ["id", "text_key"], "left_semi")
+    texts = stage(texts.select("id", "text").dropDuplicates(["id"]), "texts")
     links = stage(_confirm(_likely(pairs, classes, threshold), texts, words, percent), "links")
-    more = _open_pairs(crowded.select("key", "id"), classes, connected_components(links), threshold)
-    found = _confirm(more.join(pairs, ["a", "b"], "left_anti"), texts, words, percent)
+    mates = mates.select("id", "n_shingles", "registers").join(texts, "id")
+    found = _open_links(crowded.select("key", "id"), mates, connected_components(links), words, percent)
     return _assign(sketched, classes, connected_components(links.unionByName(found)))
