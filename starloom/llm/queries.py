@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, mixing, quality_nbsvm, setsketch_dedup, token_store
+from starloom.llm import (
+    decontaminate, language_id, mixing, pii_crf, quality_nbsvm, role_repair, secret_forest, setsketch_dedup, token_store, vector_neardup,
+)
 from starloom.llm.common import held_out, table
 from starloom.operators.staging_area import staged_path
 from starloom.queries.registry import Query
@@ -22,6 +24,14 @@ def _add(name: str, sql: str | None = None):
     return put
 
 
+@_add("op1_language_bloom")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 # Shares of tokens by language, and the labelled rows that teach the classifier.
 TARGETS = {"en": 0.50, "fr": 0.18, "de": 0.17, "es": 0.15}
 
@@ -40,6 +50,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rate")
 
 
+@_add("op3_pii_random_field")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_crf.find(docs, pii_crf.fit(pii_crf.labelled_sample(docs)))
+
+
 @_add("op4_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written and read back."""
@@ -48,6 +65,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+OP5_SQL = """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select x.vec_id as a, y.vec_id as b from v x join v y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+  where list_cosine_similarity(x.e, y.e) >= 0.95),
+reach(vec_id, r) as (select vec_id, vec_id from embeddings union select b, r from reach join links on a = reach.vec_id),
+found as (select vec_id, min(r) as component_id from reach group by vec_id),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept from found left join counts on a = vec_id
+"""
+
+
+@_add("op5_collision_counting", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of vectors."""
+    return vector_neardup.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@_add("op6_role_repair")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired and rendered turns of all conversations."""
+    return role_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 @_add("op7_quality_nbsvm")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of documents."""
@@ -122,3 +165,12 @@ from found left join sizes on sizes.doc_id = found.doc_id
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies of documents by 4-word shingles."""
     return setsketch_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+@_add("op10_secret_forest")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in every document, each with the forest's score."""
+    docs = table(spark, sf_dir, "documents")
+    sample = secret_forest.sample_docs(docs.select("doc_id", "text", "source"))
+    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(sample, "source")), sample)
+    return secret_forest.scan(docs, model, "source")
