@@ -20,7 +20,7 @@ from starloom.queries.registry import Query
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.7 or more)."""
     model = quality_nbsvm.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_nbsvm.score(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality_nbsvm.accepted(docs, model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated until the languages' token totals match TARGETS; none is left out (rates are 1 or more)."""
     labels = language_labels(docs, table(spark, sf_dir, "labels"))
-    return mixing.repeated(mixing.mixed(docs, labels, TARGETS, lowest=1.0), docs.columns)
+    return mixing.repeated(docs, labels, TARGETS, lowest=1.0)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,5 +134,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark passage."""
     found = _judged(docs, benchmark)
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
-    return docs.join(found, same, "left_anti")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.__doc")) & (F.xxhash64("d.text") == F.col("f.__key"))
+    return docs.alias("d").join(found.alias("f"), same, "left_anti").select("d.*")

@@ -115,9 +115,9 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_domain: int = SAMPLE_PER
     return DomainModel(domains, count(every), sharpness)
 
 
-def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
+def with_posteriors(docs: DataFrame, model: DomainModel, tokens: str = "n_tokens", posterior: str = "posterior") -> DataFrame:
     """docs, all columns, with n_tokens (runs of non-blank bytes) and posterior (whole numbers of 1/LEVELS, adding up to LEVELS)."""
-    docs = docs.drop("n_tokens", "posterior")
+    docs = docs.drop(tokens, posterior)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +137,9 @@ def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 *batch.columns, pa.array(np.concatenate(counts) if counts else [], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()), pa.array(flat.ravel(), pa.int32())),
-            ], names=[*batch.schema.names, "n_tokens", "posterior"])
+            ], names=[*batch.schema.names, tokens, posterior])
 
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_tokens"), F.array(F.lit(0)).alias("posterior")).schema
+    schema = docs.select("*", F.lit(0).cast("long").alias(tokens), F.array(F.lit(0)).alias(posterior)).schema
     return docs.mapInArrow(run, schema)
 
 
@@ -228,8 +228,16 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], lowe
     return placed.withColumns({"domain": likeliest, "rate": rates.of()})
 
 
-def repeated(mixed_docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row as often as its rate says: the whole part, and once more with the probability of the rest, by a hash of the row."""
+def repeated(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], lowest: float = 1.0) -> DataFrame:
+    """The rows of docs, all columns as they are, each as often as its rate says.
+
+    The whole part of a rate counts fully, the rest is the chance of one more copy, drawn by a hash of doc_id and text.
+    """
+    model = fit_domains(docs, labels)
+    placed = with_posteriors(docs, model, "__tokens", "__posterior")
+    totals = placed.select(F.col("__tokens").alias("n_tokens"), F.col("__posterior").alias("posterior"))
+    rate = fit_rates(totals, model.domains, targets, lowest).of("__posterior")
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
-    copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
-    return mixed_docs.where(copies >= 1).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).select(*columns)
+    copies = (F.floor("__rate") + (chance < F.col("__rate") - F.floor("__rate")).cast("int")).cast("int")
+    placed = placed.withColumn("__rate", rate).withColumn("__copies", copies).where("__copies >= 1")
+    return placed.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)

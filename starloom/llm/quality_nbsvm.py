@@ -216,16 +216,31 @@ def score(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.slope, model.middle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, *rest = shared.value
-        own = Model(weights, *rest)
+        own = Model(*shared.value)
         for batch in batches:
-            margins = np.zeros(batch.num_rows)
-            for first, rows in features(batch.column("text")):
-                margins[first:first + len(rows)] = [own.margin(r) for r in rows]
-            scores = own.score(margins)
+            scores = _scores(own, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array((scores >= accept).astype(np.int32))],
                 names=[*batch.schema.names, "score", "predicted"])
 
     schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
     return docs.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
+    """The rows of docs, all columns as they are, with a score of `accept` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.slope, model.middle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(own, batch.column("text")) >= accept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    margins = np.zeros(len(texts))
+    for first, rows in features(texts):
+        margins[first:first + len(rows)] = [model.margin(r) for r in rows]
+    return model.score(margins)

@@ -327,9 +327,9 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80)
     Of rows that repeat a doc_id one stays, with the text it was judged by. Rows with a NULL doc_id stay as they are.
     """
     kept = _judged(docs, words, percent).where("kept").select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
-    same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__key"))
-    named = docs.where("doc_id is not null").join(kept, same).dropDuplicates(["__doc", "__key"]).drop("__doc", "__key")
-    return named.unionByName(docs.where("doc_id is null"))
+    same = (F.col("d.doc_id").cast("long") == F.col("k.__doc")) & (F.xxhash64("d.text") == F.col("k.__key"))
+    one = docs.where("doc_id is not null").alias("d").join(kept.alias("k"), same).dropDuplicates(["__doc"]).select("d.*")
+    return one.unionByName(docs.where("doc_id is null"))
 
 
 def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
