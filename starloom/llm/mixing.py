@@ -46,6 +46,8 @@ class DomainModel:
 
     def posteriors(self, means: np.ndarray) -> np.ndarray:
         """Rows of posteriors from rows of mean log frequencies."""
+        if not self.domains:
+            return means
         z = means * self.sharpness
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)

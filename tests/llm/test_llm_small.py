@@ -1,0 +1,527 @@
+"""Operators of the corpus subpackage on small tables: nulls, blanks, ties, repeats, clashing names, empty tables."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starloom.llm import (
+    common, decontaminate, language_id, mixing, pii_crf, quality_nbsvm, role_repair, secret_forest, setsketch_dedup, token_store,
+    vector_neardup,
+)
+from starloom.llm.components import connected_components
+from starloom.operators.staging_area import staged_path
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+DOCS = "doc_id long, text string"
+
+
+def words(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n)]
+
+
+def plain_set(text, k):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def plain_components(links, ids):
+    parent = {i: i for i in ids}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        p, q = top(a), top(b)
+        parent[max(p, q)] = min(p, q)
+    return {i: top(i) for i in ids}
+
+
+# --- shared parts ---------------------------------------------------------------------------
+
+def test_word_hashes_follow_the_words():
+    texts = ["Abc  aBC\tabc\n", None, "", " \r\n ", "x", " y z", "abc"]
+    column = pa.array(texts)
+    got = [s for _, sets in common.text_shingles(column, 1) for s in sets]
+    assert [len(s) for s in got] == [len(plain_set(t, 1)) for t in texts]
+    assert got[0].tolist() == got[6].tolist()
+
+
+def test_long_text_is_hashed_in_pieces_as_in_one(monkeypatch):
+    text = " ".join(words(4000, 1))
+    whole = next(common.text_shingles(pa.array([text]), 4))[1][0]
+    monkeypatch.setattr(common, "CHUNK_BYTES", 512)
+    pieces = next(common.text_shingles(pa.array([text]), 4))[1][0]
+    assert whole.tolist() == pieces.tolist()
+    assert len(whole) == len(plain_set(text, 4))
+
+
+def test_components_of_a_chain_a_star_and_a_pair(frame):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(1, i) for i in range(2, 40)]
+    edges = [*chain, *star, (500, 400), (400, 500), (7, 7), (None, 3)]
+    got = {r.id: r.component for r in connected_components(frame(edges, "a long, b long")).collect()}
+    want = plain_components([e for e in edges if e[0] is not None], {x for e in edges for x in e if x is not None})
+    assert got == want
+    assert connected_components(frame([], "a long, b long")).count() == 0
+
+
+# --- 1: language ----------------------------------------------------------------------------
+
+def test_language_is_learned_and_unknown_without_letters(frame):
+    english, spanish = "the cat and the dog went there with that thing", "el gato que los perros de la casa comieron ayer"
+    rows = [(i, english if i % 2 else spanish, "en" if i % 2 else "es") for i in range(40)] + [(None, english, "en"), (99, english, None)]
+    filters = language_id.fit(frame(rows, "doc_id long, text string, lang string"))
+    assert filters.languages == ("en", "es")
+    asked = [(1, "that dog and the thing", "x"), (2, "los perros de la casa", "x"), (3, None, "x"), (4, "", "x"), (5, "12 -- !!", "x"), (None, english * 30_000, "x")]
+    got = {r.doc_id: (r.lang_pred, r.score, r.score_) for r in language_id.predict(
+        frame([(i, t, s, 7) for i, t, s in asked], "doc_id long, text string, score string, score_ int"), filters).collect()}
+    assert [got[i][0] for i in (1, 2, 3, 4, 5, None)] == ["en", "es", "und", "und", "und", "en"]
+    assert all(0 <= s <= 1 and keep == 7 for _, s, keep in got.values())
+
+
+def test_language_without_training_rows(frame):
+    filters = language_id.fit(frame([], "doc_id long, text string, lang string"))
+    assert language_id.predict(frame([(1, "abc")], DOCS), filters).first().lang_pred == "und"
+    assert language_id.predict(frame([], DOCS), filters).count() == 0
+
+
+def test_bloom_filters_hold_what_was_put_in_and_few_others():
+    rng = np.random.default_rng(1)
+    names = tuple(f"l{i:02d}" for i in range(70))
+    own = {n: rng.integers(0, 1 << 63, 500, dtype=np.uint64) for n in names}
+    filters = language_id.build(names, own)
+    for k, n in enumerate(names):
+        found = filters.containing(own[n])
+        assert ((found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).all()
+    others = filters.containing(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64))
+    assert ((others[:, 0] & np.uint64(1)) != 0).mean() < 0.01
+
+
+# --- 2: mixing ------------------------------------------------------------------------------
+
+def test_rates_reach_targets_and_respect_the_lower_bound(frame):
+    rows = [(100 * (1 + i % 7), [200, 0, 0] if i % 3 else [20, 180, 0]) for i in range(300)] + [(50, [0, 0, 200])] * 30
+    docs = frame(rows, "n_tokens long, posterior array<int>")
+    for lowest in (0.0, 1.0):
+        rates = mixing.fit_rates(docs, ("a", "b", "c"), {"a": 0.4, "b": 0.4, "c": 0.2}, lowest)
+        rated = docs.withColumn("rate", rates.of())
+        got = rated.agg(F.min("rate").alias("low"), *(F.sum(F.col("rate") * F.col("n_tokens") * F.get("posterior", F.lit(k))).alias(n)
+                                                      for k, n in enumerate("abc"))).first()
+        total = got.a + got.b + got.c
+        assert got.low >= lowest
+        assert abs(got.a / total - 0.4) < 0.02 and abs(got.b / total - 0.4) < 0.02 and abs(got.c / total - 0.2) < 0.02
+
+
+def test_rates_equal_a_plain_projected_gradient(frame):
+    rng = np.random.default_rng(3)
+    p = mixing.rounded(rng.dirichlet([0.3, 0.3, 0.3], 60))
+    n = rng.integers(1, 500, 60)
+    docs = frame([(int(a), [int(x) for x in b]) for a, b in zip(n, p)], "n_tokens long, posterior array<int>")
+    rates = mixing.fit_rates(docs, ("a", "b", "c"), {"a": 0.7, "b": 0.2, "c": 0.1})
+    share, total = p / mixing.LEVELS, n.sum()
+    inverse = np.linalg.pinv((share * n[:, None]).T @ share / total, rcond=1e-9, hermitian=True)
+    w = np.ones(60)
+    for _ in range(4000):
+        pull = inverse @ ((share * (n * w)[:, None]).sum(0) / total - [0.7, 0.2, 0.1]) / mixing.TIGHTNESS
+        w = np.maximum(0, w - (share @ pull + w - 1) / (1 + 1 / mixing.TIGHTNESS))
+    got = np.array([r.rate for r in docs.withColumn("rate", rates.of()).collect()])
+    assert np.abs(got - w).max() < 0.02
+
+
+def test_mixing_of_blank_and_empty_tables(frame):
+    docs = frame([(1, "aaa bbb", "keep"), (2, None, "keep"), (3, "", "keep"), (None, "ccc", "keep")], "doc_id long, text string, rate string")
+    labels = frame([(1, "x"), (None, "y"), (2, None)], "doc_id long, domain string")
+    got = {r.doc_id: (r.n_tokens, r.domain) for r in mixing.mixed(docs, labels, {"x": 1.0}).collect()}
+    assert got == {1: (2, "x"), 2: (0, "x"), 3: (0, "x"), None: (1, "x")}
+    assert sorted(r.rate for r in mixing.repeated(docs, labels, {"x": 1.0}).collect()) == ["keep"] * 4
+    none = mixing.mixed(docs, labels.limit(0), {"x": 1.0}).collect()
+    assert {(r.domain, r.rate) for r in none} == {(None, 1.0)}
+    assert mixing.mixed(docs.limit(0), labels, {"x": 1.0}).count() == 0
+
+
+# --- 3: personal data -----------------------------------------------------------------------
+
+def plain_base(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub(r"\D", "", m.group())
+        if 13 <= len(digits) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(digits[::-1])) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub(r"\D", "", m.group())) <= 15]
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a.@-_ 0123.45+()é@0000") for _ in range(rng.randint(0, 44)))
+        assert pii_crf.joined(pii_crf.base_spans(text)) == pii_crf.joined(plain_base(text)), text
+
+
+def test_viterbi_equals_all_paths():
+    rng = np.random.default_rng(2)
+    move, start = pii_crf._legal()
+    field = pii_crf.Field(rng.standard_normal((1 << pii_crf.FEATURE_BITS, pii_crf.LABELS)),
+                          rng.standard_normal(move.shape) + move, rng.standard_normal(start.shape) + start)
+    runs = [rng.integers(0, 1 << pii_crf.FEATURE_BITS, (n, 3)) for n in (1, 3, 2, 4)]
+    for run, got in zip(runs, pii_crf.viterbi(field, runs)):
+        scores = field.emit[run].sum(1)
+
+        def value(path, scores=scores):
+            return field.start[path[0]] + sum(scores[i, x] for i, x in enumerate(path)) + sum(field.move[a, b] for a, b in zip(path, path[1:]))
+
+        best = max(itertools.product(range(pii_crf.LABELS), repeat=len(run)), key=value)
+        assert tuple(got.tolist()) == best
+
+
+def test_field_adds_spans_and_keeps_base_ones(frame):
+    docs = frame([(1, "write to ann@mail.example.org or call (988) 555-2485 now", 1), (2, None, 1), (3, "", 1), (None, "nothing here", 1),
+                  (1, "write to ann@mail.example.org or call (988) 555-2485 now", 2)], "doc_id long, text string, spans int")
+    field = pii_crf.fit(pii_crf.labelled_sample(docs.limit(0)))
+    got = pii_crf.find(docs, field).collect()
+    assert len(got) == 5
+    first = [r for r in got if r.doc_id == 1]
+    assert len(first) == 2 and first[0] == first[1]
+    assert first[0].n_email == 1 and first[0].n_phone == 0
+    assert "email:9:29" in first[0].spans and "phone:38:52" in first[0].spans
+    blank = [r for r in got if r.doc_id in (2, 3, None)]
+    assert {(r.n_email, r.spans, r.base_sha256) for r in blank} == {(0, "", "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855")}
+    assert pii_crf.find(docs.limit(0), field).count() == 0
+
+
+# --- 4: tokens ------------------------------------------------------------------------------
+
+def test_tokens_round_trip_in_order(spark, frame):
+    texts = ["Hello the world's 123!", None, "", "Ünïcode ΣΑΣ İstanbul é ́x\x1cy z <|endoftext|>a", " ".join(words(3000, 2)), "same", "same"]
+    rows = [(9 - i, t, "x") for i, t in enumerate(texts[:5])] + [(4, "same", "x"), (4, "same", "x"), (None, "no id", "x")]
+    docs = frame(rows, "doc_id long, text string, ids string")
+    path = staged_path(spark, "test-tokens")
+    token_store.write_tokens(docs, path, VOCABULARY, end_id=1, partitions=3)
+    got = sorted(token_store.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    plain = Tokenizer.from_file(VOCABULARY)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    start = 0
+    for row, (doc_id, text, _) in zip(got, want, strict=True):
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 1]
+        assert (row.doc_id, row.start, row.n_tokens) == (doc_id, start, len(ids))
+        assert bytes(row.ids) == np.array(ids, "<u4").tobytes()
+        start += len(ids)
+    assert token_store.read_document(spark, path, 4) == [plain.encode("same", add_special_tokens=False).ids + [1]] * 2
+    assert token_store.read_document(spark, path, 77) == []
+
+
+def test_memory_of_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_store, "MEMO_PIECES", 50)
+    some = token_store.Encoder(VOCABULARY, whole=False)
+    texts = [" ".join(words(200, i)).encode() for i in range(4)] + [b"", b"a b"]
+    plain = token_store.Encoder(VOCABULARY, whole=True)
+    assert [x.tolist() for x in some.encode(texts)] == [x.tolist() for x in plain.encode(texts)]
+    assert some.known <= 50
+
+
+def test_an_empty_store_and_another_dictionary(spark, frame):
+    path = staged_path(spark, "test-tokens")
+    token_store.write_tokens(frame([], DOCS), path, VOCABULARY)
+    assert token_store.read_tokens(spark, path).count() == 0
+    block = token_store.pack_block([(1, 0, b"")], 2, b"\0" * 32)
+    with pytest.raises(ValueError, match="another dictionary"):
+        token_store.Block(block, b"")
+
+
+# --- 5: vectors -----------------------------------------------------------------------------
+
+def test_vectors_against_all_pairs(frame):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((30, 16))
+    rows = [(i, (centres[i % 30] + rng.standard_normal(16) * 0.08 * (i % 5)).tolist()) for i in range(400)]
+    rows += [(400, rows[3][1]), (401, rows[3][1]), (402, [0.0] * 16), (403, None), (404, [math.nan] + [1.0] * 15), (405, []), (406, [None, 1.0]),
+             (407, [x * 1e200 for x in rows[3][1]]), (408, [1.0, 2.0]), (409, [2.0, 4.0])]
+    docs = frame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, n int, links int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_neardup.near_vectors(docs, 0.95).collect()}
+    good = {i: np.array(v) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)}
+    unit = {i: v / np.abs(v).max() for i, v in good.items()}
+    links = [(a, b) for a, b in itertools.combinations(good, 2) if len(unit[a]) == len(unit[b])
+             and unit[a] @ unit[b] / (np.linalg.norm(unit[a]) * np.linalg.norm(unit[b])) >= 0.95]
+    counts = Counter(x for link in links for x in link)
+    parts = plain_components(links, [i for i, _ in rows])
+    assert got == {i: (counts[i], parts[i], parts[i] == i) for i, _ in rows}
+    assert vector_neardup.near_vectors(docs.limit(0)).count() == 0
+
+
+def test_crowded_cells_are_dealt_in_blocks(frame, monkeypatch):
+    monkeypatch.setattr(vector_neardup, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    rows = [(i, (np.ones(8) + rng.standard_normal(8) * 0.02).tolist()) for i in range(150)] + [(None, [1.0] * 8)]
+    got = {r.vec_id: r.n_links for r in vector_neardup.near_vectors(frame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {None: 0, **{i: 149 for i in range(150)}}
+
+
+def test_plan_reaches_its_recall():
+    for n in (100, 10_000, 10_000_000):
+        tables, bits, _ = vector_neardup.plan(n, 0.95)
+        assert tables >= 2 and n / 2 ** bits < 2 * vector_neardup.CELL + 1
+
+
+# --- 6: roles -------------------------------------------------------------------------------
+
+def cheapest(roles):
+    best = None
+
+    def go(i, state, cost):
+        nonlocal best
+        if best is not None and cost >= best:
+            return
+        if i == len(roles):
+            best = cost if state >= 2 else best
+            return
+        for role in (1, 2, 3):
+            relabel = 0 if roles[i] == role - 1 else role_repair.RELABEL
+            if role == state:
+                go(i + 1, role, cost + relabel + role_repair.MERGE)
+            for k in range(3):
+                for put in itertools.product((2, 3), repeat=k):
+                    run = [state, *put, role]
+                    if all(role_repair._follows(a, b) for a, b in zip(run, run[1:])):
+                        go(i + 1, role, cost + relabel + k * role_repair.INSERT)
+
+    go(0, 0, 0)
+    return best
+
+
+@pytest.mark.parametrize("segment", [4096, 3])
+def test_repairs_cost_the_least(frame, monkeypatch, segment):
+    monkeypatch.setattr(role_repair, "SEGMENT", segment)
+    rng = random.Random(8)
+    names = ["system", "User ", "assistant", None]
+    rows, want = [], {}
+    for c in range(120):
+        roles = [rng.randint(0, 3) for _ in range(rng.randint(1, 7))]
+        want[c if c else None] = cheapest(roles)
+        rows += [(c if c else None, t, names[r], f"t{t}", 1) for t, r in enumerate(roles)]
+    got = role_repair.repair(frame(rows, "conv_id long, turn long, role string, text string, position int")).collect()
+    assert len(got) == len(rows)
+    costs = Counter()
+    for r in got:
+        costs[r.conv_id] += r.cost
+    assert {c: costs[c] for c in want} == want
+    for conv in want:
+        turns = sorted((r for r in got if r.conv_id == conv), key=lambda r: r.position)
+        text = "".join(r.rendered for r in turns)
+        roles = re.findall(r"<\|(system|user|assistant)\|>", text)
+        assert re.fullmatch(r"s?(ua)*u?", "".join(r[0] for r in roles)) and roles
+        assert text.count("<|end|>") == len(roles) and text.endswith("<|end|>\n")
+
+
+def test_rendering_and_blanks(frame):
+    rows = [(1, 0, "user", "a <|x"), (1, 1, "user", None), (1, 2, "assistant", "b"), (1, 2, "assistant", "b")]
+    got = sorted(role_repair.repair(frame(rows, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r.position)
+    assert "".join(r.rendered for r in got) == "<|user|>\na < |x\n\n<|end|>\n<|assistant|>\nb\nb\n<|end|>\n"
+    assert [r.action for r in got] == ["keep", "merge", "keep", "merge"]
+    assert role_repair.repair(frame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+# --- 7: quality -----------------------------------------------------------------------------
+
+def test_quality_is_learned_on_rows_not_held_out(spark, frame):
+    good = [(i, " ".join(words(60, i)).capitalize() + ".", 1) for i in range(120)]
+    bad = [(i, " ".join(w.upper() + "!!" for w in words(60, i)), 0) for i in range(120, 240)]
+    docs = frame([(i, t, "x") for i, t, _ in good + bad] + [(None, "abc", "x"), (900, None, "x"), (901, "", "x"), (902, "word " * 200_000, "x")],
+                 "doc_id long, text string, score string")
+    labels = frame([(i, q, 0) for i, _, q in good + bad] + [(None, 1, 0), (3, 0, 1), (5, None, 0)], "doc_id long, quality int, toxic int")
+    model = quality_nbsvm.fit(docs, labels)
+    got = quality_nbsvm.score(docs, model).withColumn("held_out", common.held_out("doc_id")).collect()
+    assert len(got) == 244 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 240]
+    assert len(held) > 30 and all(r.predicted == int(r.doc_id < 120) for r in held)
+    assert [r.held_out for r in got if r.doc_id is None] == [False]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got if r.doc_id is not None)
+    kept = quality_nbsvm.accepted(docs, model)
+    assert kept.columns == docs.columns and {r.score for r in kept.collect()} == {"x"}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.predicted}
+
+
+@pytest.mark.parametrize(("quality", "low", "high"), [([], 0.5, 0.5), ([1, 1], 0.7, 1.0), ([0, 0], 0.0, 0.3)])
+def test_quality_with_one_class_or_none(frame, quality, low, high):
+    docs = frame([(1, "a b"), (2, "c d"), (3, None)], DOCS)
+    labels = frame([(i + 1, q) for i, q in enumerate(quality)], "doc_id long, quality int")
+    scores = {r.score for r in quality_nbsvm.score(docs, quality_nbsvm.fit(docs, labels)).collect()}
+    assert all(low <= s <= high for s in scores)
+    assert quality_nbsvm.score(docs.limit(0), quality_nbsvm.fit(docs, labels)).count() == 0
+
+
+def test_dual_coordinate_descent_meets_the_optimum():
+    rng = np.random.default_rng(9)
+    rows = [np.sort(rng.choice(40, 8, replace=False)) for _ in range(60)]
+    good = np.array([r.sum() > 155 for r in rows])
+    values = [np.full(8, 8 ** -0.5) for _ in rows]
+    weights, bias = quality_nbsvm.descend(rows, values, good)
+    signs = np.where(good, 1, -1)
+    share = np.where(good, (~good).sum(), good.sum()) / len(good) * 2
+
+    def loss(w, b):
+        margins = np.array([w[r] @ v + b for r, v in zip(rows, values)])
+        return 0.5 * (w @ w + b * b) + (quality_nbsvm.COST * share * np.maximum(0, 1 - signs * margins)).sum()
+
+    own = loss(weights, bias)
+    for _ in range(200):
+        step = np.zeros_like(weights)
+        step[:40] = rng.standard_normal(40) * 0.05
+        assert loss(weights + step, bias + rng.standard_normal() * 0.05) > own - 0.05
+
+
+# --- 8: benchmark ---------------------------------------------------------------------------
+
+def plain_overlap(doc, item):
+    d, b = (re.findall(r"[^\W_]+", t.lower()) for t in (doc, item))
+    width = min(13, len(b))
+    best = 0
+    for shift in range(-len(b), len(d) + 1) if b else []:
+        same = [0 <= i + shift < len(d) and d[i + shift] == b[i] for i in range(len(b))]
+        inside = [0 <= i + shift < len(d) for i in range(len(b))]
+        covered = set()
+        for s in range(len(b) - width + 1):
+            if all(inside[s:s + width]) and sum(same[s:s + width]) >= width - decontaminate.allowed(width):
+                covered |= set(range(s, s + width))
+        best = max(best, len(covered))
+    return best
+
+
+def test_decontamination_against_all_windows(frame):
+    rng = random.Random(10)
+    items = [(0, " ".join(words(30, 1))), (1, " ".join(words(14, 2))), (2, " ".join(words(7, 3))), (3, "Single"), (4, ""), (5, None),
+             (None, " ".join(words(20, 4))), (6, " ".join(words(13, 5)))]
+    docs = []
+    for i in range(80):
+        body = words(40, 100 + i)
+        part = re.findall(r"\w+", rng.choice([t for k, t in items if t and k is not None]))
+        a = rng.randint(0, max(0, len(part) - 13))
+        part = part[a:a + rng.randint(10, 30)]
+        for _ in range(rng.randint(0, 4)):
+            part[rng.randrange(len(part))] = "changed"
+        at = rng.randint(0, 40)
+        docs.append((i, ", ".join(body[:at] + [w.upper() if i % 2 else w for w in part] + body[at:])))
+    docs += [(80, None), (81, ""), (None, docs[0][1]), (5, docs[5][1]), (5, "other text")]
+    benchmark = frame([(k, t, 1) for k, t in items], "item_id long, text string, doc_id int")
+    table = frame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, item_id int, words string")
+    got = sorted(((r.doc_id, tuple(r.item_ids), r.n_items, r.n_words, r.contaminated) for r in decontaminate.contamination(table, benchmark).collect()), key=repr)
+    want = []
+    for i, text in docs:
+        found = {k: n for k, t in items if t and k is not None and (n := plain_overlap(text or "", t))}
+        want.append((i, tuple(sorted(found)), len(found), sum(found.values()), bool(found)))
+    assert got == sorted(want, key=repr)
+    clean = decontaminate.without_contaminated(table, benchmark)
+    assert clean.columns == table.columns
+    assert sorted((r.doc_id, r.text) for r in clean.where("doc_id is not null and text is not null").collect()) == sorted(
+        (i, t) for (i, t), w in zip(docs, want) if not w[4] and i is not None and t is not None)
+    assert decontaminate.contamination(table.limit(0), benchmark).count() == 0
+    assert not any(r.contaminated for r in decontaminate.contamination(table, benchmark.limit(0)).collect())
+
+
+def test_seeds_are_shuffled_beyond_the_broadcast_bounds(frame, monkeypatch):
+    for name in ("BROADCAST_HASHES", "BROADCAST_HITS", "BROADCAST_FOUND"):
+        monkeypatch.setattr(decontaminate, name, 0)
+    item = " ".join(words(20, 1))
+    docs = frame([(1, "x " + item), (2, "clean text")], DOCS)
+    got = {r.doc_id: r.contaminated for r in decontaminate.contamination(docs, frame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: True, 2: False}
+
+
+def test_decontamination_runs_no_python(frame):
+    docs, items = frame([(1, "a b c")], DOCS), frame([(1, "a b c")], "item_id long, text string")
+    plan = decontaminate.contamination(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# --- 9: near copies -------------------------------------------------------------------------
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_near_copies_against_all_pairs(frame, monkeypatch, k):
+    monkeypatch.setattr(setsketch_dedup, "LEFT_BLOCK", 4)
+    monkeypatch.setattr(setsketch_dedup, "MEMBER_BLOCK", 8)
+    rng = random.Random(11)
+    base = [words(90, i) for i in range(4)]
+    rows = []
+    for i in range(160):
+        text = list(base[i % 4])
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 9])):
+            text[rng.randrange(len(text))] = f"w{rng.randrange(30)}"
+        rows.append((1000 - i, (" " if i % 2 else "\n").join(w.upper() if i % 3 == 0 else w for w in text)))
+    rows += [(1, "one two"), (2, "ONE  two"), (3, None), (4, ""), (5, " \t"), (6, "three"), (7, rows[0][1]), (7, rows[0][1]), (None, rows[0][1]), (8, "one")]
+    table = frame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, id int, component string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in setsketch_dedup.near_duplicates(table, k, 80).collect()}
+    sets = {i: plain_set(t, k) for i, t in rows if i is not None}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    parts = plain_components(links, sets)
+    assert got == {i: (len(s), parts[i], parts[i] == i) for i, s in sets.items()}
+    kept = setsketch_dedup.without_near_duplicates(table, k, 80)
+    assert kept.columns == table.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([None, *(i for i in sets if parts[i] == i)], key=repr)
+    assert setsketch_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_registers_merge_and_estimate():
+    rng = np.random.default_rng(12)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    left, right = pool[:2000], pool[500:2500]
+    a, b, both = setsketch_dedup.registers([left, right, np.unique(np.concatenate([left, right]))])
+    assert (setsketch_dedup.merge(a, b) == both).all()
+    found = setsketch_dedup.estimate(a[None], b[None], np.array([2000]), np.array([2000]))[0]
+    assert abs(found - 1500 / 2500) < 0.15
+    assert (setsketch_dedup.registers([np.zeros(0, np.uint64)]) == 0).all()
+
+
+def test_estimates_follow_the_similarity():
+    rng = np.random.default_rng(13)
+    truth, found = [], []
+    for shared in (100, 300, 500, 700, 900):
+        pairs = [rng.integers(0, 1 << 63, 2000 - shared, dtype=np.uint64) for _ in range(20)]
+        values = [setsketch_dedup.registers([p[:1000], p[1000 - shared:]]) for p in pairs]
+        n = np.full(20, 1000)
+        found.append(setsketch_dedup.estimate(np.array([v[0] for v in values]), np.array([v[1] for v in values]), n, n).mean())
+        truth.append(shared / (2000 - shared))
+    assert np.abs(np.array(truth) - found).max() < 0.04
+
+
+# --- 10: secrets ----------------------------------------------------------------------------
+
+def test_secrets_are_found_and_numbers_are_not(frame):
+    rng = random.Random(14)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"some words here password={key(18)} and more" if i % 2 else f"order number {rng.randrange(10 ** 15, 10 ** 16)} was sent", "src/a") for i in range(200)]
+    rows += [(500, None, "p"), (501, "", "p"), (502, "x" * 100_000, "p"), (None, "token = \"" + key(40) + "\" é", None)]
+    docs = frame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, start int, label int")
+    sample = secret_forest.sample_docs(docs.select("doc_id", "text", "source"))
+    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(sample, "source")), sample)
+    got = secret_forest.scan(docs, model, "source").collect()
+    texts = {i: t for i, t, _ in rows}
+    assert len(got) == 201
+    for r in got:
+        assert r.is_secret == (r.doc_id is None or r.doc_id % 2 == 1)
+        assert re.fullmatch(r"[0-9a-f]{16,40}", texts[r.doc_id][r.start:r.end])
+    assert secret_forest.scan(docs.limit(0), model, "source").count() == 0
+
+
+def test_secret_offsets_of_repeated_values(frame):
+    text = "é aaaaaaaaaaaaaaa1|aaaaaaaaaaaaaaa1 (ABCDEFGHIJKLMNOPq)"
+    got = sorted((r.start, r.end, r.value) for r in secret_forest.candidates(frame([(1, text)], DOCS)).collect())
+    assert got == [(m.start(), m.end(), m.group()) for m in re.finditer(r"[A-Za-z0-9+/_\-]{16,}", text)]
+
+
+def test_secrets_without_findings(frame):
+    docs = frame([(1, "plain words only")], "doc_id long, text string")
+    sample = secret_forest.sample_docs(docs)
+    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(sample)), sample)
+    assert model.forest is None and secret_forest.scan(docs, model).count() == 0
