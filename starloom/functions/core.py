@@ -59,6 +59,13 @@ def rows_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> Da
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>")))
 
 
+def whole_number(c: ColumnOrName, kind: str = "int") -> Column:
+    """A whole number from text that may carry a decimal point (``12.0``), rounded half away from zero; else NULL."""
+    text = F.btrim(col(c).cast("string"))
+    decimal = F.coalesce(text.try_cast("decimal(38,18)"), text.try_cast("double").try_cast("decimal(38,18)"))
+    return F.round(decimal, 0).try_cast(kind)
+
+
 def strip(c: ColumnOrName) -> Column:
     """Trim every kind of whitespace, not only blanks."""
     return F.btrim(col(c), F.lit(_BLANKS))
@@ -69,23 +76,20 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
-_SCALE = 1_000_000
-_LOW_BITS = 20
-
-
 def exact_sum(c: ColumnOrName) -> Column:
-    """Sum that does not depend on the order in which partitions arrive, as decimal.
+    """Sum as double that does not depend on the order in which partitions arrive.
 
-    Values are counted in millionths as integers, so a retried or differently partitioned
-    run gives the same digits. The integers are added in two halves: plain 64-bit sums,
-    wide enough for totals near 10**18, and an overflow is an error, never a wrong sum.
+    Every value is added by its decimal digits, 18 of them behind the point, so a retried or differently
+    partitioned run gives the same result. If a group holds a value that has no such form (NaN, an infinity, 10**20 or more,
+    or digits beyond the eighteenth that matter) or its total has none, the plain sum of doubles is returned.
     """
-    millionths = F.rint(col(c).cast("double") * _SCALE).cast("bigint")
-    high = F.sum(F.shiftright(millionths, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    return (high * F.lit(1 << _LOW_BITS) + low) / F.lit(_SCALE)
+    value = col(c).cast("double")
+    digits = value.try_cast("decimal(38,18)")
+    lost = value.isNotNull() & (digits.isNull() | (F.abs(digits.cast("double") - value) > F.abs(value) * 1e-12))
+    exact = F.when(F.count(F.when(lost, 1)) == 0, F.try_sum(digits).cast("double"))
+    return F.coalesce(exact, F.sum(value))
 
 
 def exact_avg(c: ColumnOrName) -> Column:
     """Average over non-NULL values with a reproducible sum; divided once, as double."""
-    return exact_sum(c).cast("double") / F.nullif(F.count(col(c)), F.lit(0))
+    return exact_sum(c) / F.nullif(F.count(col(c)), F.lit(0))

@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .core import ColumnOrName, blank_to_null, col, let, lookup, strip
-from .text import first_non_blank, html_to_text
+from .core import ColumnOrName, blank_to_null, col, let, lookup, strip, whole_number
+from .text import first_non_blank, visible_text
 from .times import iso_duration_words, parse_page_date
 
 
@@ -142,7 +142,7 @@ def parse_json_ld(ld: ColumnOrName) -> Column:
 def page_json_ld_fields(ld: str) -> dict[str, Column]:
     """Rating, price, date, duration and level out of a parsed JSON-LD column."""
     rating = F.col(f"{ld}.aggregateRating.ratingValue").try_cast("double")
-    counts = [F.col(f"{ld}.aggregateRating.{k}").try_cast("long") for k in ("ratingCount", "reviewCount")]
+    counts = [whole_number(f"{ld}.aggregateRating.{k}", "long") for k in ("ratingCount", "reviewCount")]
     offers = F.col(f"{ld}.offers")
     first_offer = F.when(
         F.startswith(offers, F.lit("[")), json_text(offers, "$[0]")
@@ -197,7 +197,7 @@ def enrolment_count(html: ColumnOrName) -> Column:
             for p in AUDIENCE_PATTERNS
         ])
 
-    return let(html_to_text(html), first_count)
+    return let(visible_text(html), first_count)
 
 
 # --- vocabularies of pages ------------------------------------------------------------

@@ -103,6 +103,15 @@ def html_to_text(c: ColumnOrName) -> Column:
     return strip(F.regexp_replace(unescape_html(bare), f"{WHITESPACE}+", " "))
 
 
+# Fixed value: what a page holds but does not show.
+_UNSEEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>"
+
+
+def visible_text(c: ColumnOrName) -> Column:
+    """:func:`html_to_text` without comments and the bodies of scripts and styles."""
+    return html_to_text(F.regexp_replace(F.coalesce(col(c), F.lit("")), _UNSEEN, " "))
+
+
 # --- keyword tags --------------------------------------------------------------------
 
 _WORD = r"[\p{L}\p{N}_]"

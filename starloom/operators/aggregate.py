@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.core import let
 from .numbering import running_count
 
 
@@ -29,20 +30,16 @@ def null_profile(df: DataFrame, columns: Sequence[str], prefix: str = "null_") -
 
 
 def _stack(df: DataFrame, group_by: Sequence[str], columns: dict[str, str], dtype: str | None = None) -> DataFrame:
-    """One row per (row, named column) with a non-NULL value; the columns share a type."""
+    """One row per (row, named column), NULL values included so that no group is lost; the columns share a type."""
     items = [
         F.struct(F.lit(name).alias("name"), (F.col(c).cast(dtype) if dtype else F.col(c)).alias("value"))
         for name, c in columns.items()
     ]
-    return (
-        df.select(*group_by, F.explode(F.array(*items)).alias("__item"))
-        .select(*group_by, "__item.name", "__item.value")
-        .filter(F.col("value").isNotNull())
-    )
+    return df.select(*group_by, F.explode(F.array(*items)).alias("__item")).select(*group_by, "__item.name", "__item.value")
 
 
 def modes(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) -> DataFrame:
-    """Most frequent non-NULL value per group; ties go to the smallest value.
+    """Most frequent non-NULL value per group, NULL where there is none; ties go to the smallest value.
 
     ``columns`` maps result names to columns of one type. Values are counted per
     (group, value) first, so a hot group reaches the last step as distinct values only.
@@ -53,19 +50,20 @@ def modes(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) -> Da
     )
     best = F.struct((-F.col("__n")).alias("n"), F.col("value"))
     return counted.groupBy(*group_by).agg(
-        *[F.min_by("value", F.when(F.col("name") == name, best)).alias(name) for name in columns]
+        *[F.min_by("value", F.when((F.col("name") == name) & F.col("value").isNotNull(), best)).alias(name) for name in columns]
     )
 
 
 def medians(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) -> DataFrame:
-    """Exact median per group (mean of the two middle values), as double.
+    """Exact median per group (mean of the two middle values), as double; NULL where a group has no value.
 
     Values are counted per (group, value), numbered by a distributed running sum, and the
     one or two middle values picked by position, so no task holds a group.
     """
     keys = list(group_by)
     stacked = _stack(df, keys, columns, "double")
-    histogram = stacked.groupBy(*keys, "name", "value").agg(F.count(F.lit(1)).alias("__n"))
+    # NULL counts nothing: it only keeps its group
+    histogram = stacked.groupBy(*keys, "name", "value").agg(F.count("value").alias("__n"))
     order = [*keys, "name"]
     summed = running_count(histogram, [*order, "value"], "__n", "__upto")
     spans = summed.groupBy(*order).agg(
@@ -91,14 +89,15 @@ def medians(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) ->
 def distinct_text(df: DataFrame, group_by: Sequence[str], columns: dict[str, str], separator: str = ", ") -> DataFrame:
     """Sorted distinct values of a column per group, joined to one text.
 
-    Repeats are removed before the values of a group meet.
+    Repeats are removed before the values of a group meet; the text of a group holds all of them, so it is as long as they are.
+    NULL where a group has no value.
     """
     values = _stack(df, group_by, columns).distinct()
     return values.groupBy(*group_by).agg(
         *[
-            F.nullif(
-                F.array_join(F.sort_array(F.collect_list(F.when(F.col("name") == name, F.col("value")))), separator),
-                F.lit(""),
+            let(
+                F.collect_list(F.when(F.col("name") == name, F.col("value"))),
+                lambda listed: F.when(F.size(listed) > 0, F.array_join(F.sort_array(listed), separator)),
             ).alias(name)
             for name in columns
         ]

@@ -15,6 +15,14 @@ def series(spark: SparkSession, upper_bound: int) -> DataFrame:
     return spark.range(1, upper_bound + 1).toDF("generated_number")
 
 
+def _stepped(unit: str, first: str) -> str:
+    """``first`` plus ``id`` units: whole days and the rest, as one step count may not fit 32 bits."""
+    per_day = {"HOUR": 24, "MINUTE": 1440, "SECOND": 86_400}.get(unit)
+    if per_day is None:
+        return f"timestampadd({unit}, cast(id as int), {first})"
+    return f"timestampadd({unit}, cast(id % {per_day} as int), timestampadd(DAY, cast(id div {per_day} as int), {first}))"
+
+
 def date_spine(spark: SparkSession, datepart: str, start: str, end: str) -> DataFrame:
     """Every ``datepart`` step from ``start`` on, ``end`` excluded, as ``date_<datepart>``.
 
@@ -30,6 +38,6 @@ def date_spine(spark: SparkSession, datepart: str, start: str, end: str) -> Data
     if steps <= 0:
         raise ValueError("upper bound must be positive")
     stepped = spark.range(steps).selectExpr(
-        f"cast(timestampadd({unit}, cast(id as int), {first}) as timestamp_ntz) as date_{datepart}"
+        f"cast({_stepped(unit, first)} as timestamp_ntz) as date_{datepart}"
     )
     return stepped.filter(f"date_{datepart} <= {last}")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .numbering import number_rows
 
-# A dimension of at most this many (key, name) rows is hinted as broadcast.
-BROADCAST_ROWS = 200_000
+# A dimension of at most this many (key, name) rows and bytes is hinted as broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 SALTS = 32
 
 
@@ -25,18 +25,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = 1000) -> DataFrame
     )
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None,
+) -> DataFrame:
     """Inner or left join that spreads the left rows of hot keys over several tasks.
 
     The right rows of those keys are repeated once per salt; all other keys travel once.
-    NULL keys match nothing and are spread as well.
+    NULL keys match nothing and are spread as well. ``hot`` holds the hot keys if they are
+    known already; by default they are counted on ``left``, which is then read twice.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left.select(*keys).dropna(), keys).withColumn("__hot", F.lit(True)))
-    # The source partition is stable under retries; a row hash would not split equal rows.
-    spread = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    counted = hot_keys(left.select(*keys).dropna(), keys) if hot is None else hot
+    hot = F.broadcast(counted.withColumn("__hot", F.lit(True)))  # fewer than 1,000 keys
+    spread = F.pmod(F.xxhash64(*spreading(left, keys), F.spark_partition_id()), F.lit(SALTS))
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
@@ -55,17 +58,30 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return salted_left.join(salted_right, [*keys, "__salt"], how).drop("__salt")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], right_rows: int | None = None) -> DataFrame:
+def spreading(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The columns beside the keys that can be hashed.
+
+    With the source partition they spread the rows of a key that came out of a shuffle on it in one partition, and
+    stay the same when a task is repeated; equal rows are spread by their partitions.
+    """
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in keys and "map<" not in f.dataType.simpleString()
+            and "variant" not in f.dataType.simpleString()]
+
+
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], right_rows: int | None = None, right_bytes: int | None = None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a table with unique keys.
 
-    With a known row count the right side is broadcast up to ``BROADCAST_ROWS`` and the
-    join salted beyond. Without one Spark decides by the size it knows.
+    With a known row count (and size, if given) the right side is broadcast up to ``BROADCAST_ROWS`` and
+    ``BROADCAST_BYTES`` and the join salted beyond, by the ``hot`` keys if given. Without one Spark decides by the size it knows.
     """
     if right_rows is None:
         return left.join(right, list(keys), "left")
-    if right_rows <= BROADCAST_ROWS:
+    if right_rows <= BROADCAST_ROWS and (right_bytes or 0) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), list(keys), "left")
-    return salted_join(left, right, keys, "left")
+    return salted_join(left, right, keys, "left", hot)
 
 
 def match_rate(left: DataFrame, right: DataFrame, on: Mapping[str, str], key: str) -> DataFrame:

@@ -18,8 +18,8 @@ from .staging_area import stage
 _SLICE, _POS, _SOURCE = "__slice", "__pos", "__source"
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
-# Up to this many rows a plain window is cheaper than a second pass.
-SMALL_ROWS = 100_000
+# A group of more rows than this is cut into slices, any other is one task's window.
+HOT_ROWS = 1_000_000
 
 
 def _ascending(order_by: Sequence[Column | str]) -> list[Column]:
@@ -73,13 +73,6 @@ def number_rows(
     return numbered.select(*columns)
 
 
-def number_staged(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
-    """As :func:`number_rows` for an already staged ``df``, whose size is checked first."""
-    if df.count() <= SMALL_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*_ascending(order_by))).cast("long"))
-    return number_rows(df, order_by, name)
-
-
 def ntile(row_number: Column | str, total: Column | str, buckets: int) -> Column:
     """Bucket of a row from its number: the first ``total % buckets`` hold one row more."""
     rn = F.col(row_number) if isinstance(row_number, str) else row_number
@@ -98,10 +91,31 @@ def with_neighbours(
 ) -> DataFrame:
     """Add values of the previous and the following row of the same group.
 
-    ``previous`` and ``following`` map new column names to existing columns. Works for
-    groups of any size, the whole table included.
+    ``previous`` and ``following`` map new column names to existing columns. Groups of up to ``HOT_ROWS`` rows go through one
+    window, so the rows are shuffled once; larger ones, and the whole table where there are no groups, through slices.
     """
     previous, following = previous or {}, following or {}
+    if not group_by:
+        return _neighbours_in_slices(df, group_by, order_by, previous, following)
+    hot = stage(df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS), "hot-groups")
+    if hot.isEmpty():
+        return _neighbours_in_windows(df, group_by, order_by, previous, following)
+    marked = hot.select(*[F.col(f"`{g}`").alias(f"__hot_{g}") for g in group_by])
+    same = None
+    for g in group_by:
+        equal = F.col(f"`{g}`").eqNullSafe(F.col(f"`__hot_{g}`"))
+        same = equal if same is None else same & equal
+    return _neighbours_in_windows(df.join(marked, same, "left_anti"), group_by, order_by, previous, following).unionByName(
+        _neighbours_in_slices(df.join(marked, same, "left_semi"), group_by, order_by, previous, following))
+
+
+def _neighbours_in_windows(df, group_by, order_by, previous, following) -> DataFrame:
+    w = Window.partitionBy(*[F.col(f"`{g}`") for g in group_by]).orderBy(*_ascending(order_by))
+    columns = [F.lag(c).over(w).alias(n) for n, c in previous.items()] + [F.lead(c).over(w).alias(n) for n, c in following.items()]
+    return df.select("*", *columns)
+
+
+def _neighbours_in_slices(df, group_by, order_by, previous, following) -> DataFrame:
     slices = ordered_slices(df, [*group_by, *order_by])
     carried = list(dict.fromkeys([*group_by, *previous.values(), *following.values()]))
     record = F.struct(*[F.col(c) for c in carried])

@@ -163,33 +163,30 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 def column_values(
     df: DataFrame, column: str, order_by: Sequence[Column] | None = None, max_records: int | None = None,
-    where: str | None = None,
+    where: str | None = None, aggregates: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Distinct values of a column as ``value``, most frequent first, ties by value."""
+    """Distinct values of a column as ``value``, most frequent first, ties by value.
+
+    ``order_by`` may use ``value``, ``__n`` (its rows) and the names of ``aggregates``, which are taken per value over any column.
+    """
     rows = df.filter(where) if where else df
-    order = list(order_by) if order_by else [F.col("__n").desc(), F.col("value").asc_nulls_last()]
-    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("__n"))
-    ordered = counted.orderBy(*order)
+    extra = [a.alias(name) for name, a in (aggregates or {}).items()]
+    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("__n"), *extra)
+    ordered = counted.orderBy(*(order_by or [F.col("__n").desc(), F.col("value").asc_nulls_last()]))
     return (ordered.limit(max_records) if max_records is not None else ordered).select("value")
 
 
-MAX_LISTED_VALUES = 10_000
-
-
 def column_value_list(df: DataFrame | None, column: str, default: list | None = None, **options) -> list:
     """:func:`column_values` as a Python list, e.g. for :func:`pivot`.
 
-    A column with more than ``MAX_LISTED_VALUES`` values is refused, not cut. With no
+    The list comes to the driver: bound it by ``max_records``, or use :func:`column_values` where there may be many. With no
     table, or no rows, the default is returned.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return default
-    rows = column_values(df, column, **options).take(MAX_LISTED_VALUES + 1)
-    if len(rows) > MAX_LISTED_VALUES:
-        raise ValueError(f"{column} has more than {MAX_LISTED_VALUES} values")
-    return [r[0] for r in rows] or (default if default is not None else [])
+    return [r[0] for r in column_values(df, column, **options).collect()] or (default if default is not None else [])
 
 
 def single_value(df: DataFrame, default=None):
@@ -198,11 +195,9 @@ def single_value(df: DataFrame, default=None):
     return rows[0][0] if rows else default
 
 
-def results_as_dict(df: DataFrame) -> dict[str, tuple]:
-    """A small result as ``{column: values}``; more than ``MAX_LISTED_VALUES`` rows are refused."""
-    rows = df.take(MAX_LISTED_VALUES + 1)
-    if len(rows) > MAX_LISTED_VALUES:
-        raise ValueError(f"the result has more than {MAX_LISTED_VALUES} rows")
+def results_as_dict(df: DataFrame, max_records: int | None = None) -> dict[str, tuple]:
+    """A result as ``{column: values}`` on the driver, at most the first ``max_records`` rows if given."""
+    rows = (df if max_records is None else df.limit(max_records)).collect()
     return {c: tuple(r[i] for r in rows) for i, c in enumerate(df.columns)}
 
 

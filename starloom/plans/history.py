@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRACKED = ["title", "description", "skills", "course_url"]
@@ -30,21 +30,38 @@ def merge_snapshot(
 
     New keys are inserted. Where a tracked column changed (NULL counts as a value) the
     open version is closed at ``as_of`` and the new one inserted. Unchanged rows are kept
-    as they were, vanished keys stay open. Repeating a merge changes nothing.
+    as they were, vanished keys stay open. Repeating a merge changes nothing. A key that is
+    NULL (or partly NULL) is a key like any other.
 
-    ``incoming`` holds one row per key. Closed versions pass by without a shuffle; the open
-    ones meet the incoming rows in a single join.
+    ``incoming`` must hold one row per key: a second one stops the job. Closed versions pass
+    by without a shuffle; the open ones meet the incoming rows in a single join.
     """
-    now = _when(as_of)
-    columns = [c for c in history.columns if c not in ("valid_from", "valid_to")]
     closed = history.filter("valid_to is not null")
-    old = history.filter("valid_to is null").select(
+    return closed.unionByName(changed_versions(history.filter("valid_to is null"), incoming, as_of, key, tracked))
+
+
+def one_row_per_key(incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows as they are; a key held by several of them raises when it is read."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    message = F.concat(F.lit("several rows for one key: "), F.to_json(F.struct(*key)))
+    checked = F.when(rows == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return incoming.withColumn("__once", checked).filter("__once").drop("__once")
+
+
+def changed_versions(
+    open_versions: DataFrame, incoming: DataFrame, as_of, key: Sequence[str] = KEY, tracked: Sequence[str] = TRACKED,
+) -> DataFrame:
+    """What becomes of the open versions after one more snapshot: kept, closed and new ones."""
+    now = _when(as_of)
+    columns = [c for c in open_versions.columns if c not in ("valid_from", "valid_to")]
+    incoming = one_row_per_key(incoming, key)
+    old = open_versions.select(
         *key, F.struct(*[F.col(c) for c in columns]).alias("__old"), F.col("valid_from").alias("__since")
     )
     new = incoming.select(*[F.col(k).alias(f"__k_{k}") for k in key], F.struct(*[F.col(c) for c in columns]).alias("__new"))
     condition = None
     for k in key:
-        same = F.col(k) == F.col(f"__k_{k}")
+        same = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
         condition = same if condition is None else condition & same
     pairs = old.join(new, condition, "full")
     before, after = F.col("__old"), F.col("__new")
@@ -65,7 +82,21 @@ def merge_snapshot(
         .otherwise(F.array(close, insert))
     )
     merged = pairs.select(F.explode(versions).alias("__v")).select("__v.row.*", "__v.valid_from", "__v.valid_to")
-    return closed.unionByName(merged.select(*history.columns))
+    return merged.select(*open_versions.columns)
+
+
+def versions_of_changes(
+    observed: DataFrame, key: Sequence[str], order_by: str, tracked: Sequence[str],
+) -> DataFrame:
+    """All versions from a log of observed states at once, as repeated merges of one snapshot each would leave them.
+
+    A row whose tracked columns equal those of the key's row before it adds nothing; every other row is a version, valid
+    from its own time to the next version's.
+    """
+    by = Window.partitionBy(*key).orderBy(order_by)
+    state = F.struct(*tracked)
+    changed = observed.withColumn("__before", F.lag(state).over(by)).filter(~state.eqNullSafe(F.col("__before"))).drop("__before")
+    return changed.withColumn("valid_from", F.col(order_by)).withColumn("valid_to", F.lead(order_by).over(by))
 
 
 def publish_snapshot(history: DataFrame, base: str, version: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.core import whole_number
 from ..functions.standard import standardize_language
 from ..functions.text import is_free_text, rewrite_delimiter
 from ..functions.times import parse_duration, parse_feed_date, parse_iso_date
@@ -164,11 +165,11 @@ def stage_feed(
         return raw(name).cast("string")
 
     def number(name: str, kind: str) -> Column:
-        return raw(name).try_cast(kind)
+        return whole_number(raw(name), kind) if kind == "int" else raw(name).try_cast(kind)
 
     rows = df
     if feed.numeric_ids_only:
-        rows = rows.filter(text("course_id").try_cast("int").isNotNull())
+        rows = rows.filter(whole_number(text("course_id")).isNotNull())
     if feed.id_required and rules.drop_null_ids:
         rows = rows.filter(raw("course_id").isNotNull())
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.keys import date_key
 from ..functions.times import date_parts
-from ..operators.joins import lookup_join
-from ..operators.numbering import number_staged
+from ..operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, hot_keys, lookup_join
+from ..operators.numbering import number_rows
 from ..operators.staging_area import stage
 from .rules import DEFAULT, Rules
 
@@ -49,14 +49,12 @@ def add_member(df: DataFrame, **values) -> DataFrame:
 def keyed_dimension(df: DataFrame, column: str, key: str, name: str, unknown: str | None = None) -> DataFrame:
     """Distinct known values numbered 1..n by name, and the unknown member as -1.
 
-    The distinct values are written once; their count decides how they are numbered.
     Without ``unknown`` NULL is a value like any other, numbered last.
     """
     values = df.select(F.col(column).alias(name))
     if unknown is not None:
         values = values.filter(F.col(name).isNotNull() & (F.col(name) != unknown))
-    members = stage(values.distinct(), f"dim-{name}")
-    dim = number_staged(members, [name], key).select(key, name)
+    dim = number_rows(values.distinct(), [name], key).select(key, name)
     return add_member(dim, **{key: fixed.UNKNOWN_KEY, name: unknown}) if unknown is not None else dim
 
 
@@ -67,11 +65,47 @@ def keyed_dimension_with_gap(df: DataFrame, column: str, key: str, name: str, un
     only if the data hold it (as NULL or by name).
     """
     values = df.select(F.coalesce(F.col(column), F.lit(unknown)).alias(name)).distinct()
-    dim = number_staged(stage(values, f"dim-{name}"), [name], key)
+    return _with_gap(number_rows(values, [name], key), key, name, unknown)
+
+
+def _with_gap(dim: DataFrame, key: str, name: str, unknown: str) -> DataFrame:
     unknown_key = F.lit(fixed.UNKNOWN_KEY).cast("long")
     return dim.select(F.when(F.col(name) == unknown, unknown_key).otherwise(F.col(key)).alias(key), name)
 
 
+def build_dimensions(df: DataFrame, rules: Rules = DEFAULT) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
+    """The six plain dimensions out of one pass, and the (rows, bytes of names) of each.
+
+    All (dimension, value) pairs are made distinct, numbered and written together; a dimension is a slice of that table.
+    """
+    items = []
+    for which, (column, _, _) in DIMENSIONS.items():
+        value, unknown = F.col(column).cast("string"), UNKNOWN_NAMES[which]
+        if rules.unknown_member:
+            value = F.when(value != unknown, value)
+        elif which in _NAMED_UNKNOWN:
+            value = F.coalesce(value, F.lit(unknown))
+        items.append(F.struct(F.lit(which).alias("which"), value.alias("name")))
+    pairs = df.select(F.inline(F.array(*items))).distinct()
+    if rules.unknown_member:
+        pairs = pairs.filter("name is not null")
+    numbered = stage(number_rows(pairs, ["which", "name"], "place"), "dims")
+    sizes = numbered.groupBy("which").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"),
+                                          F.sum(F.octet_length("name")).alias("bytes")).collect()  # six rows at most
+    found = {r["which"]: r for r in sizes}
+    dims, counts = {}, {}
+    for which, (_, key, name) in DIMENSIONS.items():
+        first, unknown = (found[which]["first"] if which in found else 1), UNKNOWN_NAMES[which]
+        dim = numbered.filter(F.col("which") == which).select((F.col("place") - first + 1).alias(key), F.col("name").alias(name))
+        if rules.unknown_member:
+            dim = add_member(dim, **{key: fixed.UNKNOWN_KEY, name: unknown})
+        elif which in _NAMED_UNKNOWN:
+            dim = _with_gap(dim, key, name, unknown)
+        dims[which] = dim
+        counts[which] = (found[which]["n"] + 1, found[which]["bytes"] or 0) if which in found else (1, 0)
+    return dims, counts
+
+
 def build_dimension(df: DataFrame, which: str, rules: Rules = DEFAULT) -> DataFrame:
     """One of the six plain dimensions from standardized courses."""
     column, key, name = DIMENSIONS[which]
@@ -96,21 +130,36 @@ def offering_dimension(history: DataFrame, key: tuple[str, ...] = ("course_id",
         F.col("valid_from").alias("effective_from"), F.col("valid_to").alias("effective_to"),
         F.col("valid_to").isNull().alias("is_current"),
     )
-    staged = stage(rows, "dim-offering")
-    numbered = number_staged(staged, ["offering_id", "effective_from", *key[1:]], "offering_sk")
+    numbered = number_rows(rows, ["offering_id", "effective_from", *key[1:]], "offering_sk")
     return numbered.select("offering_sk", *rows.columns)
 
 
 def build_fact(
     df: DataFrame, dimensions: dict[str, DataFrame], dates: DataFrame | None = None,
     offerings: DataFrame | None = None, rules: Rules = DEFAULT, key: tuple[str, ...] = ("course_id", "platform"),
+    sizes: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """One row per standardized course with a foreign key per given dimension and its metrics.
 
-    Dimensions are expected written (see :func:`build_star`): their row counts come from
-    the file footers and decide between broadcast and salted joins. Only the columns the
-    fact needs are carried.
+    ``sizes`` gives (rows, bytes) of the dimensions by name, ``date`` and ``offering`` included; without it they are counted. They
+    decide between broadcast and salted joins. Hot keys of large dimensions are found on ``df``, before any
+    join. Only the columns the fact needs are carried.
     """
+    sizes = sizes or {}
+
+    def size(which: str, table: DataFrame, names: list[str]) -> tuple[int, int]:
+        if which in sizes:
+            return sizes[which]
+        row = table.agg(F.count(F.lit(1)), F.sum(sum((F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(0)))).first()
+        return row[0], row[1] or 0
+
+    def joined(fact: DataFrame, right: DataFrame, keys: dict[str, Column], rows: int, width: int) -> DataFrame:
+        """``fact`` with the keys as columns, joined; ``keys`` maps join columns to values of a course."""
+        hot = None
+        if rows > BROADCAST_ROWS or width > BROADCAST_BYTES:
+            hot = hot_keys(df.select(*[c.alias(n) for n, c in keys.items()]).dropna(), list(keys))
+        return lookup_join(fact.withColumns(keys), right, list(keys), rows, width, hot)
+
     sources = [DIMENSIONS[w][0] for w in dimensions]
     sources += ["last_updated"] if dates is not None else []
     sources += list(key) if offerings is not None else []
@@ -122,7 +171,7 @@ def build_fact(
         current = offerings.filter("is_current").select(
             F.col("offering_id").alias(key[0]), *key[1:], F.col("offering_sk").alias("__offering")
         )
-        fact = lookup_join(fact, current, list(key), current.count())
+        fact = joined(fact, current, {k: F.col(k) for k in key}, *size("offering", current, list(key)))
         found = F.col("__offering")
         keys.append((F.coalesce(found, unknown.cast("long")) if rules.unknown_key else found).alias("offering_sk"))
     for which, dim in dimensions.items():
@@ -133,13 +182,13 @@ def build_fact(
             # The unknown member is always -1: its rows need no partner to be found.
             source = F.when(F.coalesce(source, F.lit(UNKNOWN_NAMES[which])) != UNKNOWN_NAMES[which], source)
         lookup = dim.select(F.col(name).alias("__name"), F.col(key_column).alias(f"__{which}"))
-        fact = lookup_join(fact.withColumn("__name", source), lookup, ["__name"], dim.count()).drop("__name")
+        fact = joined(fact, lookup, {"__name": source}, *size(which, lookup, ["__name"])).drop("__name")
         found = F.col(f"__{which}")
         always = rules.unknown_key or named_unknown
         keys.append((F.coalesce(found, unknown.cast("long")) if always else found).alias(key_column))
     if dates is not None:
         day = dates.select(F.col("date_id").alias("__date"), F.lit(True).alias("__dated"))
-        fact = lookup_join(fact.withColumn("__date", date_key("last_updated")), day, ["__date"], dates.count())
+        fact = joined(fact, day, {"__date": date_key("last_updated")}, *size("date", day, []))
         dated = F.when(F.col("__dated"), F.col("__date"))
         keys.append(F.coalesce(dated, unknown).alias("date_id"))
     return fact.select(*keys, *FACT_METRICS, *bands)
@@ -150,16 +199,18 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """All dimensions (written) and the fact over standardized courses and their history.
 
-    ``courses`` is read once per dimension and once for the fact: pass a written table.
+    ``courses`` is read once for the plain dimensions, once for the dates and once for the fact: pass a written table.
     """
-    # The dimensions do not depend on each other: their small jobs share the cluster.
-    jobs = {w: partial(build_dimension, courses, w, rules) for w in DIMENSIONS}
-    jobs |= {"date": partial(date_dimension, courses), "offering": partial(offering_dimension, history, key)}
+    # The three jobs do not depend on each other: they share the cluster.
+    jobs = {
+        "dims": partial(build_dimensions, courses, rules), "date": lambda: stage(date_dimension(courses), "dim-date"),
+        "offering": lambda: stage(offering_dimension(history, key), "dim-offering"),
+    }
     with ThreadPoolExecutor(len(jobs)) as pool:
-        built = dict(zip(jobs, pool.map(lambda w: stage(jobs[w](), f"dim-{w}"), jobs)))
-    dates, offerings = built.pop("date"), built.pop("offering")
-    dims = built
+        built = dict(zip(jobs, pool.map(lambda w: jobs[w](), jobs)))
+    dims, sizes = built["dims"]
+    dates, offerings = built["date"], built["offering"]
     tables = {f"dim_{w}": d for w, d in dims.items()}
     tables |= {"dim_date": dates, "dim_offering": offerings}
-    tables["fact_offerings"] = build_fact(courses, dims, dates, offerings, rules, key)
+    tables["fact_offerings"] = build_fact(courses, dims, dates, offerings, rules, key, sizes)
     return tables

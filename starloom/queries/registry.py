@@ -64,8 +64,8 @@ def r(expression: str, digits: int = 2) -> str:
 
 
 def total(expression: str) -> str:
-    """Sum of doubles as decimals."""
-    return f"sum(cast({expression} as decimal(24,6)))"
+    """Sum of doubles by their decimal text."""
+    return f"sum(cast(cast({expression} as varchar) as decimal(38,12)))"
 
 
 def mean(expression: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from .registry import avg, big, mean, query, r, table
         select coalesce(d.segment_id, -1) as segment_id, o.o_totalprice
         from orders o left join customer c on o.o_custkey = c.c_custkey left join dim d on c.c_mktsegment = d.segment_name
     ), totals as (
-        select segment_id, count(*) as orders, cast(sum(cast(o_totalprice as decimal(24,6))) as double) as revenue
+        select segment_id, count(*) as orders, cast(sum(cast(cast(o_totalprice as varchar) as decimal(38,12))) as double) as revenue
         from fact group by 1
     )
     select segment_name, orders, revenue, """
@@ -47,7 +46,7 @@ def segment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim, F.col("c_mktsegment") == F.col("segment_name"), "left"
     )
     totals = keyed.groupBy(F.coalesce("segment_id", F.lit(-1)).alias("segment_id")).agg(
-        F.sum("n").alias("orders"), F.sum("total").cast("double").alias("revenue")
+        F.sum("n").alias("orders"), exact_sum("total").alias("revenue")
     )
     shared = semantic.share_of_total(totals, "revenue", "pct_of_revenue")
     return (
@@ -105,21 +104,11 @@ def course_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def weekly_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    week = F.date_trunc("week", "ts").cast("timestamp_ntz").alias("week")
-    weeks = [w[0] for w in events.select(week).distinct().orderBy("week").collect()]  # one row per week
-    result = None
-    for week in weeks:
-        as_of = week + timedelta(days=7)
-        # Bounds on the column itself reach the file scan.
-        inside = events.filter(f"ts >= timestamp_ntz'{week}' and ts < timestamp_ntz'{as_of}'")
-        latest = deduplicate(inside, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "value")
-        merged = (
-            history.first_snapshot(latest, as_of) if result is None
-            else history.merge_snapshot(result, latest, as_of, ["user_id"], ["event_type"])
-        )
-        result = stage(merged, "history")
-    return result
+    week = F.date_trunc("week", "ts").cast("timestamp_ntz")
+    events = table(spark, sf_dir, "events").withColumn("week", week)
+    latest = deduplicate(events, ["user_id", "week"], [F.desc("ts"), F.desc("event_id")])
+    observed = latest.select("user_id", "event_type", "value", F.expr("week + interval 7 days").alias("as_of"))
+    return history.versions_of_changes(observed, ["user_id"], "as_of", ["event_type"]).drop("as_of")
 
 
 # --- dimensions ---------------------------------------------------------------------------------

@@ -16,13 +16,26 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 # --- delimited text ---------------------------------------------------------------------
 
+CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+
+
 def read_course_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Course CSV with a header, a byte order mark and quoted text over several lines.
+    """Course CSV with a header, a byte order mark and quoted text over several lines; columns by their header names.
 
-    Columns are given, not inferred: the file is read once.
+    All files of one read share a header. Columns of the file that are not asked for are not returned, one that is asked
+    for and absent is an error. Quoted line breaks keep a file in one task: write large feeds as several files.
     """
-    reader = spark.read.schema(text_schema(columns)).option("header", True).option("multiLine", True)
-    return reader.option("quote", '"').option("escape", '"').option("encoding", "UTF-8").csv(path)
+    found = header_names(spark, path)
+    absent = [c for c in columns if c not in found]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    reader = spark.read.schema(text_schema(found)).options(**CSV_OPTIONS, enforceSchema=False)
+    return reader.csv(path).select(*[F.col(f"`{c}`") for c in columns])
+
+
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, from its header line alone."""
+    return [c.removeprefix("\ufeff") for c in spark.read.options(**CSV_OPTIONS, inferSchema=False).csv(path).columns]
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str], keep: Sequence[int], sep: str = ",") -> DataFrame:

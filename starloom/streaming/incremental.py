@@ -18,13 +18,17 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.joins import only_new
 from ..operators.shape import keep_last
 from ..operators.staging_area import staging_root
-from ..plans.history import KEY, TRACKED, first_snapshot, merge_snapshot
+from ..plans.history import KEY, TRACKED, changed_versions, first_snapshot, one_row_per_key
+from ..sources.files import CSV_OPTIONS
 
 
 def new_files(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """CSV feed files of a folder as a stream, each read once."""
-    reader = spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.csv(folder)
+    """CSV feed files of a folder as a stream, each read once.
+
+    The header of every file is held against the schema, in order: a file with other columns stops the stream instead of being
+    read into the wrong ones.
+    """
+    return spark.readStream.schema(schema).options(**CSV_OPTIONS, enforceSchema=False).csv(folder)
 
 
 def _run(stream: DataFrame, name: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -63,14 +67,27 @@ def merge_history(
     stream: DataFrame, base: str, as_of: Callable[[int], str], name: str,
     key: Sequence[str] = KEY, tracked: Sequence[str] = TRACKED,
 ) -> StreamingQuery:
-    """Merge every batch, one row per key, into a history; batch ``n`` writes version ``n``."""
+    """Merge every batch, one row per key, into a history of two parts.
+
+    Batch ``n`` writes the versions it closes to ``closed/batch=n`` and all open ones to ``open/batch=n``; closed versions
+    are written once and never again. :func:`read_history` reads the whole.
+    """
     def each(batch: DataFrame, number: int) -> None:
         if number == 0:
-            merged = first_snapshot(batch, as_of(number))
+            after = first_snapshot(one_row_per_key(batch, key), as_of(number))
         else:
-            merged = merge_snapshot(
-                batch.sparkSession.read.parquet(f"{base}/version={number - 1}"), batch, as_of(number), key, tracked
-            )
-        merged.write.mode("overwrite").parquet(f"{base}/version={number}")
+            before = batch.sparkSession.read.parquet(f"{base}/open/batch={number - 1}")
+            after = changed_versions(before, batch, as_of(number), key, tracked)
+        after = after.persist()
+        after.filter("valid_to is null").write.mode("overwrite").parquet(f"{base}/open/batch={number}")
+        after.filter("valid_to is not null").write.mode("overwrite").parquet(f"{base}/closed/batch={number}")
+        after.unpersist()
 
     return _run(stream, name, each)
+
+
+def read_history(spark: SparkSession, base: str, number: int) -> DataFrame:
+    """The history after batch ``number``: its open versions and all closed up to then."""
+    open_versions = spark.read.parquet(f"{base}/open/batch={number}")
+    closed = spark.read.parquet(*[f"{base}/closed/batch={n}" for n in range(number + 1)])
+    return open_versions.unionByName(closed)

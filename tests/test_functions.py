@@ -1,6 +1,7 @@
 """Column functions on small inputs, results worked out by hand."""
 
 import html
+import math
 import random
 import re
 from datetime import date
@@ -9,7 +10,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.functions.core import exact_avg, exact_sum
+from starloom.functions.core import exact_avg, exact_sum, whole_number
 from starloom.functions import arith, fixed, keys, records, scores, standard, text, times, urls
 
 
@@ -128,10 +129,31 @@ def test_exact_sums(spark):
         got = {r[0]: (r[1], r[2]) for r in df.groupBy("k").agg(exact_sum("x"), exact_avg("x")).collect()}
         for k, (total, mean) in got.items():
             members = [Decimal(repr(x)) for i, x in rows if i == k and x is not None]
-            assert total == sum(members) and mean == float(sum(members)) / len(members)
+            assert total == float(sum(members)) and mean == float(sum(members)) / len(members)
     assert spark.range(0).agg(exact_avg(F.lit(1.0))).first()[0] is None
 
 
+@pytest.mark.parametrize(("given", "mean"), [
+    ([4e-7], 4e-7), ([1e13, 3e13], 2e13), ([1e25, 3e25], 2e25), ([1e-30, 3e-30], 2e-30), ([float("inf"), 1.0], float("inf")), ([None], None)])
+def test_averages_of_tiny_and_huge_values(frame, given, mean):
+    assert frame([(x,) for x in given], "x double").agg(exact_avg("x")).first()[0] == mean
+
+
+def test_average_with_nan(frame):
+    assert math.isnan(frame([(1.0,), (float("nan"),)], "x double").agg(exact_avg("x")).first()[0])
+
+
+def test_whole_numbers_with_a_point(values):
+    given = ["12", "12.0", " 7.5 ", "-7.5", "1e3", "x", "", None, "99999999999"]
+    assert values(whole_number, given) == [12, 12, 8, -8, 1000, None, None, None, None]
+
+
+def test_visible_text_leaves_out_scripts(values):
+    page = "<script>var a='5 students here'</script><!-- 6 students --><style>7 students</style><p>9 students</p>"
+    assert values(text.visible_text, [page, None]) == ["9 students", ""]
+    assert values(records.enrolment_count, [page]) == [9]
+
+
 def test_surrogate_key(frame):
     df = frame([("a", "b", "c"), (None, "b", None)], "x string, y string, z string")
     got = [r[0] for r in df.select(keys.surrogate_key(["x", "y", "z"])).collect()]

@@ -44,6 +44,6 @@ def test_history_follows_the_files(spark, tmp_path):
     run()
     drop(feed, "2.csv", (1, "a", 2), (2, "b2", 2))
     run()
-    got = spark.read.parquet(f"{out}/version=1").select("course_id", "title", "valid_from", "valid_to")
+    got = incremental.read_history(spark, out, 1).select("course_id", "title", "valid_from", "valid_to")
     first, second = (datetime.fromisoformat(d) for d in days)
     assert rows(got) == sorted([("1", "a", first, None), ("2", "b", first, second), ("2", "b2", second, None)], key=repr)

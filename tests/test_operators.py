@@ -2,7 +2,7 @@
 
 import random
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta
 from statistics import median
 
 import pytest
@@ -106,7 +106,7 @@ def test_median_ignores_nulls_and_keeps_null_groups(frame):
 
 def test_distinct_text(frame):
     df = frame([("a", "y", None), ("a", "x", "q"), ("a", "y", "q"), ("b", None, None)], "g string, v string, w string")
-    assert rows(aggregate.distinct_text(df, ["g"], {"vs": "v", "ws": "w"})) == [("a", "x, y", "q")]
+    assert rows(aggregate.distinct_text(df, ["g"], {"vs": "v", "ws": "w"})) == [("a", "x, y", "q"), ("b", None, None)]
 
 
 def test_null_profile(frame):
@@ -192,12 +192,54 @@ def test_single_results(frame):
     assert shape.results_as_dict(df.orderBy("x")) == {"x": (1, 2), "y": ("a", "b")}
 
 
-def test_too_many_values_are_refused(spark):
-    many = spark.range(shape.MAX_LISTED_VALUES + 1)
-    with pytest.raises(ValueError):
-        shape.column_value_list(many, "id")
-    with pytest.raises(ValueError):
-        shape.results_as_dict(many)
+def test_long_lists_of_values(spark):
+    many = spark.range(12_000)
+    assert len(shape.column_value_list(many, "id")) == 12_000
+    assert len(shape.column_value_list(many, "id", max_records=5)) == 5
+    assert len(shape.results_as_dict(many)["id"]) == 12_000 and len(shape.results_as_dict(many, 3)["id"]) == 3
+
+
+def test_column_values_by_an_aggregate(frame):
+    df = frame([("a", 1), ("b", 9), ("a", 2), (None, 5)], "v string, x int")
+    got = shape.column_values(df, "v", [F.desc("top")], aggregates={"top": F.max("x")}).collect()
+    assert [r[0] for r in got] == ["b", None, "a"]
+
+
+def test_groups_without_values_stay(frame):
+    df = frame([("a", 1.0, "x"), ("b", None, None), ("b", None, None), ("c", 2.0, "")], "g string, x double, t string")
+    assert rows(aggregate.medians(df, ["g"], {"m": "x"})) == [("a", 1.0), ("b", None), ("c", 2.0)]
+    assert rows(aggregate.modes(df, ["g"], {"m": "t"})) == [("a", "x"), ("b", None), ("c", "")]
+    assert rows(aggregate.distinct_text(df, ["g"], {"m": "t"})) == [("a", "x"), ("b", None), ("c", "")]
+
+
+def test_a_clustered_hot_key_is_spread(spark):
+    left = spark.range(30_000).select(F.lit(1).alias("k"), F.col("id").alias("x")).repartition(8, "k")
+    salts = left.select(F.pmod(F.xxhash64(*joins.spreading(left, ["k"]), F.spark_partition_id()), F.lit(joins.SALTS)).alias("s"))
+    assert salts.distinct().count() == joins.SALTS
+    right = spark.range(3).select(F.col("id").cast("int").alias("k"), F.lit("y").alias("y"))
+    got = joins.lookup_join(left, right, ["k"], 1, joins.BROADCAST_BYTES + 1)
+    assert got.filter("y = 'y'").count() == 30_000
+
+
+def test_neighbours_of_hot_and_ordinary_groups(frame, monkeypatch):
+    monkeypatch.setattr(numbering, "HOT_ROWS", 5)
+    data = [(g, i, i * 10) for g, n in (("a", 9), ("b", 3), (None, 7), ("c", 1)) for i in range(n)]
+    got = numbering.with_neighbours(frame(data, "g string, i int, v int"), ["g"], ["i"], {"p": "v"}, {"n": "v"})
+    size = {"a": 9, "b": 3, None: 7, "c": 1}
+    assert rows(got) == sorted([(g, i, v, v - 10 if i else None, v + 10 if i < size[g] - 1 else None) for g, i, v in data], key=repr)
+
+
+def test_neighbours_of_ordinary_groups_take_one_shuffle(frame):
+    df = frame([("a", 1), ("a", 2)], "g string, i int")
+    plan = numbering.with_neighbours(df, ["g"], ["i"], {"p": "i"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_spine_of_many_seconds(spark):
+    late = spark.range(2**32, 2**32 + 1).selectExpr(generate._stepped("SECOND", "timestamp_ntz'1950-01-01'")).first()[0]
+    assert late == datetime(1950, 1, 1) + timedelta(seconds=2**32)
+    day = generate.date_spine(spark, "hour", "'2024-02-28 22:00:00'", "'2024-03-01 02:00:00'")
+    assert day.count() == 28 and day.agg(F.max("date_hour")).first()[0].isoformat() == "2024-03-01T01:00:00"
 
 
 def test_slugify():

@@ -121,6 +121,32 @@ def version(frame, *items):
     )
 
 
+def test_a_null_key_is_merged_once(frame):
+    days = [datetime(2024, m, 1) for m in (1, 2, 3)]
+    held = history.first_snapshot(version(frame, (None, "A", 1), ("b", "B", 1)), days[0])
+    for day in days[1:]:
+        held = history.merge_snapshot(held, version(frame, (None, "A", 1), ("b", "B", 1)), day)
+    assert held.count() == 2
+
+
+def test_several_rows_for_a_key_stop_the_merge(frame):
+    first = history.first_snapshot(version(frame, ("a", "A", 1)), datetime(2024, 1, 1))
+    with pytest.raises(Exception, match="several rows for one key"):
+        history.merge_snapshot(first, version(frame, ("a", "B", 1), ("a", "C", 1)), datetime(2024, 2, 1)).collect()
+
+
+def test_versions_of_changes_equal_repeated_merges(frame):
+    days = [datetime(2024, 1, d) for d in (1, 2, 3, 4)]
+    states = [("k", "A"), ("k", "A"), ("k", "B"), ("k", "A")]
+    log = frame([(k, t, d) for (k, t), d in zip(states, days)], "key string, title string, at timestamp_ntz")
+    got = history.versions_of_changes(log, ["key"], "at", ["title"]).select("key", "title", "valid_from", "valid_to")
+    held = None
+    for (k, t), day in zip(states, days):
+        now = frame([(k, t)], "key string, title string")
+        held = history.first_snapshot(now, day) if held is None else history.merge_snapshot(held, now, day, ["key"], ["title"])
+    assert rows(got) == rows(held)
+
+
 def test_snapshot_cycle(frame):
     t1, t2, t3 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)
     first = history.first_snapshot(version(frame, ("a", "A", 1), ("b", "B", 1), ("c", None, 1)), t1)

@@ -17,6 +17,14 @@ def test_course_csv_with_mark_and_line_breaks(spark, tmp_path):
     assert rows(got) == [("1", 'two\nlines, "quoted"'), ("2", "plain")]
 
 
+def test_course_csv_columns_go_by_their_names(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("Language,Extra,course_id\nen,x,7\n")
+    assert rows(files.read_course_csv(spark, str(path), ["course_id", "Language"])) == [("7", "en")]
+    with pytest.raises(ValueError, match="Title"):
+        files.read_course_csv(spark, str(path), ["course_id", "Title"])
+
+
 def test_json_array_and_lines(spark, frame, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": 1, "x": "a"}, {"id": 2}]')
     assert rows(files.read_json_records(spark, str(tmp_path / "a.json"), "id int, x string")) == [(1, "a"), (2, None)]
