@@ -63,7 +63,7 @@ def whole_number(c: ColumnOrName, kind: str = "int") -> Column:
     """A whole number from text that may carry a decimal point (``12.0``), rounded half away from zero; else NULL."""
     text = F.btrim(col(c).cast("string"))
     decimal = F.coalesce(text.try_cast("decimal(38,18)"), text.try_cast("double").try_cast("decimal(38,18)"))
-    return F.round(decimal, 0).try_cast(kind)
+    return F.coalesce(text.try_cast(kind), F.round(decimal, 0).try_cast(kind))
 
 
 def strip(c: ColumnOrName) -> Column:

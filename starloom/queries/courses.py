@@ -28,7 +28,7 @@ _ID = {
     "Coursera": "case when l_partkey % 211 = 7 then null else cast(l_partkey as string) end",
     "Udacity": "'ud' || cast(l_partkey as string)",
     "Udemy": "case when l_partkey % 50 = 3 then 'draft' || cast(l_partkey as string) "
-             "else cast(l_partkey as string) end",
+             "when l_partkey % 50 = 4 then cast(l_partkey as string) || '.0' else cast(l_partkey as string) end",
 }
 # Raw values by canonical name, before any standardization.
 RAW = {
@@ -48,14 +48,16 @@ RAW = {
                     "when 3 then 'Approx. 5 hours' when 4 then cast(cast(l_quantity as int) as string) "
                     "when 5 then '3 weeks' when 6 then ' ' when 7 then cast(cast(l_quantity as int) as string) || '.5 hr' "
                     "else 'Approx 60 hours' end",
-    "review_count": "case when l_linenumber = 5 then null else cast(l_quantity as int) * 3 end",
+    "review_count": "case when l_linenumber = 5 then null else cast(cast(l_quantity as int) * 3 as string) "
+                    "|| case when l_linenumber = 4 then '.0' else '' end end",
     "rating": "case when l_suppkey % 13 = 0 then null else cast((l_partkey + l_suppkey) * 7 % 56 as double) / 10 end",
     "price": "case when l_linenumber = 3 then 0.0e0 when l_suppkey % 19 = 0 then null when l_suppkey % 23 = 0 then -1.0e0 "
              "else p_retailprice * l_linenumber * l_linenumber / 8 end",
     "price_model": "case p_size % 5 when 0 then 'subscription' when 1 then 'Monthly_Subscription' when 2 then 'one time' "
                    "when 3 then 'One Time' else 'free' end",
-    "enrolled_students": "case when l_linenumber = 2 then null when l_linenumber = 6 then 0 "
-                         "else cast(l_orderkey % 2500 as int) end",
+    "enrolled_students": "case when l_linenumber = 2 then null when l_linenumber = 6 then '0' "
+                         "when l_linenumber = 3 then cast(l_orderkey % 2500 as string) || '.0' "
+                         "when l_linenumber = 4 then cast(l_orderkey % 2500 as string) || '.4' else cast(l_orderkey % 2500 as string) end",
     "offering_type": "case p_size % 4 when 0 then null when 1 then 'Course' when 2 then 'Specialization' "
                      "else 'Guided Project' end",
 }
@@ -71,10 +73,11 @@ def _raw_values(platform: str) -> dict[str, str]:
     }
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
-    """One raw feed under its own column names, with the columns that break ties."""
+def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed, whole: bool = False) -> DataFrame:
+    """One raw feed under its own column names, with the columns that break ties: the feed's share of the lines, or all."""
+    lines = table(spark, sf_dir, "lineitem")
     rows = (
-        table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == FLAG[feed.platform])
+        (lines if whole else lines.filter(F.col("l_returnflag") == FLAG[feed.platform]))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -82,8 +85,8 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     return rows.selectExpr(*[f"{values[c]} as `{names[0]}`" for c, names in feed.columns.items()], *TIES)
 
 
-def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT) -> DataFrame:
-    return stage_feed(raw_feed(spark, sf_dir, feed), feed, rules, [F.asc(c) for c in TIES])
+def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT, whole: bool = False) -> DataFrame:
+    return stage_feed(raw_feed(spark, sf_dir, feed, whole), feed, rules, [F.asc(c) for c in TIES])
 
 
 def combined(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:
@@ -147,7 +150,7 @@ def sql_duration(c: str, leading_only: bool = False) -> str:
     )
 
 
-def _sql_staged(feed: Feed, rules: Rules) -> str:
+def _sql_staged(feed: Feed, rules: Rules, whole: bool = False) -> str:
     values = _raw_values(feed.platform)
     columns = ", ".join(f"{e} as {c}" for c, e in values.items())
     dated = "try_cast(last_updated as date)" if feed.iso_dates else "try_strptime(last_updated, '%m/%d/%Y')::date"
@@ -168,7 +171,7 @@ def _sql_staged(feed: Feed, rules: Rules) -> str:
         select *, row_number() over (partition by course_id order by {dated} desc nulls last, {', '.join(TIES)}) as rn
         from (select {columns}, {', '.join(TIES)}
               from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey
-              where l_returnflag = '{FLAG[feed.platform]}') as raw
+              where {whole} or l_returnflag = '{FLAG[feed.platform]}') as raw
         where {keep}
     ) as numbered where rn = 1"""
 
@@ -221,9 +224,9 @@ def with_courses(select: str, rules: Rules = DEFAULT, extra: str = "") -> str:
 # --- queries -----------------------------------------------------------------------------------
 
 def _register_feed(key: str, feed: Feed) -> None:
-    @query(f"prj_1_stage_{key}", _sql_staged(feed, DEFAULT))
+    @query(f"prj_1_stage_{key}", _sql_staged(feed, DEFAULT, whole=True))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return staged(spark, sf_dir, feed)
+        return staged(spark, sf_dir, feed, whole=True)
 
 
 for _key, _feed in FEEDS.items():
