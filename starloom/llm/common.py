@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,8 +78,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _block_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of the words of a run of bytes; no word crosses a break."""
+def _block_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of the words of a run of bytes; no word crosses a break."""
     inside = ~SPACE[data]
     before = np.empty(len(data), bool)
     before[0:1] = False
@@ -95,21 +95,20 @@ def _block_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * _power_table("up", BASE, len(data)), out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _power_table("down", INVERSE, len(data) + 1)[starts]
-    return starts, mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a run of rows, and the place of each row's first word (one more at the end).
+def word_blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Start, end and hash of all words of a run of rows; a long row comes in pieces cut at white space.
 
     Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage return; A-Z count as
-    a-z. A long row is hashed in pieces cut at white space.
+    a-z in the hash.
     """
-    if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if len(offsets) > 2 or len(data) <= 2 * CHUNK_BYTES:
-        starts, hashes = _block_words(data, offsets)
-        return hashes, np.searchsorted(starts, offsets)
-    parts, at = [], 0
+        if len(data):
+            yield _block_words(data, offsets)
+        return
+    at = 0
     while at < len(data):
         end = at + CHUNK_BYTES
         while end < len(data):
@@ -119,10 +118,18 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
                 break
             end += CHUNK_BYTES
         end = min(end, len(data))
-        parts.append(_block_words(data[at:end], np.zeros(1, np.int64))[1])
+        starts, ends, hashes = _block_words(data[at:end], np.zeros(1, np.int64))
+        yield starts + at, ends + at, hashes
         at = end
-    hashes = np.concatenate(parts)
-    return hashes, np.array([0, len(hashes)])
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a run of rows, and the place of each row's first word (one more at the end)."""
+    blocks = list(word_blocks(data, offsets))
+    if not blocks:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    hashes = np.concatenate([b[2] for b in blocks])
+    return hashes, np.searchsorted(np.concatenate([b[0] for b in blocks]), offsets)
 
 
 def shingle_sets(words: np.ndarray, rows: np.ndarray, k: int) -> list[np.ndarray]:

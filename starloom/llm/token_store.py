@@ -10,7 +10,7 @@ the frames. Blocks are rows of a parquet table (written by Spark, so any store w
 part, block, first_doc_id, last_doc_id, n_docs, start_in_part, n_tokens, payload. The dictionary is a table next to it.
 
 Encoding: no token of the vocabulary's pre-tokenizer crosses ASCII white space, so the pieces between it are encoded
-once per worker and remembered (at most MEMO_PIECES at a time); `whole=True` encodes each text in one call instead.
+once per worker and remembered (at most MEMO_PIECES at a time).
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import hashlib
 import os
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,96 +36,193 @@ HEAD = struct.Struct("<4sHH32sI")
 BLOCK_DOCS, BLOCK_BYTES = 1024, 4 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8192  # the dictionary's sample: documents, and their greatest length
-MEMO_PIECES = 500_000
+SPECIAL = b"<|"
+MEMO_PIECES, SLOTS = 700_000, 1 << 21
+STOPS = b".,;:!?"
+LATIN = bytes(range(0xC9))  # UTF-8 bytes of code points below U+0240: those letters are composed, and lower-cased one by one
 LEVEL = 3
 BLOCK_SCHEMA = ("part int, block long, first_doc_id long, last_doc_id long, n_docs long, start_in_part long, n_tokens long, "
                 "payload binary")
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
+
+
+class Numbers:
+    """Whole numbers by 64-bit hash, found and put in by arrays (open addressing in SLOTS slots)."""
+
+    def __init__(self) -> None:
+        self.keys, self.values, self.n = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for unknown ones."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        at = self.keys[slot]
+        out = np.where(at == hashes, self.values[slot], -1)
+        left = np.flatnonzero((at != hashes) & (at != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+            at = self.keys[slot[left]]
+            hit = at == hashes[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (at != 0)]
+        return out
+
+    def put(self, hashes: np.ndarray, first: int) -> None:
+        """Number unknown, distinct hashes from `first` on."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = hashes[free]  # of several for one slot the last stays
+            won = self.keys[slot[left]] == hashes[left]
+            self.values[slot[left[won]]] = first + left[won]
+            left = left[~won]
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+        self.n += len(hashes)
+
+
+class Sequences:
+    """Numbered id sequences in flat arrays."""
+
+    def __init__(self) -> None:
+        self.ids, self.starts, self.n, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0, 0
+
+    def add(self, sizes: np.ndarray, flat: np.ndarray) -> None:
+        need, last = self.used + len(flat), self.n + len(sizes)
+        if need > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(need - len(self.ids), len(self.ids) // 2), np.uint32)])
+        if last + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(max(last + 1 - len(self.starts), len(self.starts) // 2), np.int64)])
+        self.ids[self.used:need] = flat
+        self.starts[self.n + 1:last + 1] = self.used + np.cumsum(sizes)
+        self.n, self.used = last, need
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these sequences in a row, and the size of each."""
+        begins = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - begins
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
 class Encoder:
-    """Ids of texts, piece by piece."""
+    """Ids of texts, piece by piece; pieces are known by a 64-bit hash of their lower-cased bytes.
 
-    def __init__(self, path: str, whole: bool) -> None:
+    A piece of Latin letters, with stops behind it or not, is one or two words to the vocabulary's pre-tokenizer, so its
+    lower-cased letters and its stops go to the model as they are. Every other piece goes through the whole tokenizer, as does
+    every text that may spell out a special token (case matters there).
+    """
+
+    def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
-        self.places: dict[bytes, int] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.by_words = self._splits_like_words()
         self._clear()
 
-    def _clear(self) -> None:
-        self.places.clear()
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.used, self.known = 0, 0
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        if self.known + len(pieces) > MEMO_PIECES:
-            self._clear()
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        lists = [e.ids for e in found]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
-        need = self.used + len(flat)
-        if need > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(need, len(self.ids)), np.uint32)])
-        if self.known + len(pieces) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros(max(len(pieces) + 1, len(self.starts)), np.int64)])
-        self.ids[self.used:need] = flat
-        self.starts[self.known + 1:self.known + len(pieces) + 1] = self.used + np.cumsum(sizes)
-        self.places.update(zip(pieces, range(self.known, self.known + len(pieces))))
-        self.used, self.known = need, self.known + len(pieces)
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if self.whole:
-            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            return [np.array(e.ids, np.uint32) for e in found]
-        pieces = [t.split() for t in texts]
-        fresh = set().union(*pieces).difference(self.places)
-        if self.known + len(fresh) > MEMO_PIECES:
-            if len(texts) > 1:
-                self._clear()
-                half = len(texts) // 2
-                return self.encode(texts[:half]) + self.encode(texts[half:])
-            return [self._in_runs(pieces[0])]
-        if fresh:
-            self._learn(list(fresh))
-        return [self._gather(p) for p in pieces]
-
-    def _in_runs(self, pieces: list[bytes]) -> np.ndarray:
-        out = []
-        for at in range(0, len(pieces), MEMO_PIECES // 2):
-            run = pieces[at:at + MEMO_PIECES // 2]
-            self._clear()
-            self._learn(list(set(run)))
-            out.append(self._gather(run))
-        return np.concatenate(out)
-
-    def _gather(self, pieces: list[bytes]) -> np.ndarray:
-        where = np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
-        begins = self.starts[where]
-        sizes = self.starts[where + 1] - begins
-        ends = np.cumsum(sizes)
-        return self.ids[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    def _splits_like_words(self) -> bool:
+        """Whether the vocabulary treats texts as `pieces` and `plain` expect; otherwise every text is encoded whole."""
+        probe = ["Probe", "\u00c9t\u00e9", "word.", "WORD,!", " a\tb\n"]
+        parts = [["probe"], ["\u00e9t\u00e9"], ["word", "."], ["word", ",!"], ["a", "b"]]
+        return [self._whole(t).tolist() for t in probe] == [
+            self.plain.encode(w, is_pretokenized=True, add_special_tokens=False).ids for w in parts]
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-def encoder(path: str, whole: bool = False) -> Encoder:
+    def _clear(self) -> None:
+        self.known, self.sequences = Numbers(), Sequences()
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        words: list[str] = []  # letters and stops of the plain pieces, and the place of each piece's first word
+        firsts: list[int] = []
+        plain_at: list[int] = []
+        other_at: list[int] = []
+        for i, piece in enumerate(pieces):
+            letters = piece.rstrip(STOPS)
+            if letters.isalpha():
+                text = piece.decode()
+            elif letters and not letters.translate(None, LATIN) and (text := piece.decode().lower()).rstrip(STOPS.decode()).isalpha():
+                letters = text.rstrip(STOPS.decode()).encode()
+            else:
+                other_at.append(i)
+                continue
+            if len(letters) > 200:
+                other_at.append(i)
+                continue
+            plain_at.append(i)
+            firsts.append(len(words))
+            n = len(letters.decode())
+            words.append(text[:n])
+            if n < len(text):
+                words.append(text[n:])
+        order = np.array(plain_at + other_at, np.int64)
+        first = self.known.n
+        if words:
+            found = self.plain.encode(words, is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+            self.sequences.add(np.add.reduceat(sizes, firsts), np.array(found.ids, np.uint32))
+        if other_at:
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in other_at], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.sequences.add(sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
+        self.known.put(hashes[order], first)
+
+    def _ids_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of at most half as many pieces as are remembered, and how many each has."""
+        where = self.known.find(hashes)
+        missing = where < 0
+        if missing.any():
+            fresh, place = np.unique(hashes[missing], return_index=True)
+            place = np.flatnonzero(missing)[place]
+            if self.known.n + len(fresh) > MEMO_PIECES:
+                self._clear()
+                fresh, place = np.unique(hashes, return_index=True)
+                missing[:] = True
+            raw = data.tobytes()
+            self._learn(fresh, [raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist())])
+            where[missing] = self.known.find(hashes[missing])
+        return self.sequences.joined(where)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each row of a run of rows."""
+        raw = data.tobytes()
+        if not self.by_words:
+            return [self._whole(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        data = common.LOWER[data]
+        parts, sizes, begins = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)]
+        for starts, ends, hashes in common.word_blocks(data, offsets):
+            for at in range(0, len(starts), MEMO_PIECES // 2):
+                some = slice(at, at + MEMO_PIECES // 2)
+                ids, counts = self._ids_of(data, starts[some], ends[some], hashes[some])
+                parts.append(ids)
+                sizes.append(counts)
+            begins.append(starts)
+        cuts = np.cumsum(np.concatenate(sizes))[np.searchsorted(np.concatenate(begins), offsets)]
+        flat = np.concatenate(parts)
+        out = [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        if SPECIAL in raw:
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                if SPECIAL in raw[a:b]:
+                    out[i] = self._whole(raw[a:b].decode())
+        return out
+
+
+def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if (path, whole) not in _encoders:
-        _encoders[path, whole] = Encoder(path, whole)
-    return _encoders[path, whole]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
-def encoded(column: pa.Array, path: str, end_id: int | None, whole: bool = False) -> Iterator[tuple[int, list[np.ndarray]]]:
+def encoded(column: pa.Array, path: str, end_id: int | None) -> Iterator[tuple[int, list[np.ndarray]]]:
     """First row and id arrays of each run of rows."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
     for first, _, data, offsets in common.byte_groups(column):
-        raw = data.tobytes()
-        texts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        yield first, [np.concatenate([ids, tail]) for ids in encoder(path, whole).encode(texts)]
+        yield first, [np.concatenate([ids, tail]) for ids in encoder(path).encode(data, offsets)]
 
 
 # --- dictionary -----------------------------------------------------------------------------

@@ -223,13 +223,22 @@ def test_tokens_round_trip_in_order(spark, frame):
     assert token_store.read_document(spark, path, 77) == []
 
 
-def test_memory_of_pieces_is_bounded(monkeypatch):
-    monkeypatch.setattr(token_store, "MEMO_PIECES", 50)
-    some = token_store.Encoder(VOCABULARY, whole=False)
-    texts = [" ".join(words(200, i)).encode() for i in range(4)] + [b"", b"a b"]
-    plain = token_store.Encoder(VOCABULARY, whole=True)
-    assert [x.tolist() for x in some.encode(texts)] == [x.tolist() for x in plain.encode(texts)]
-    assert some.known <= 50
+def by_pieces(encoder, texts):
+    return [ids.tolist() for _, _, data, offsets in common.byte_groups(pa.array(texts)) for ids in encoder.encode(data, offsets)]
+
+
+@pytest.mark.parametrize(("remembered", "chunk"), [(700_000, 1 << 20), (50, 1 << 20), (50, 200)])
+def test_encoding_by_pieces_equals_whole_texts(monkeypatch, remembered, chunk):
+    monkeypatch.setattr(token_store, "MEMO_PIECES", remembered)
+    monkeypatch.setattr(common, "CHUNK_BYTES", chunk)
+    rng = random.Random(15)
+    letters = "aAbéÉßñÑ .,!?'’…-123²½µªºǅΣσςİıſKǺ̇ﬁ \n\t\x1c\x85\xa0日本🙂Ж<|>"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += [" ".join(words(400, i)) for i in range(3)] + ["", " ", "a <|ENDOFTEXT|> b", "a <|endoftext|>b", "x" * 5000, None]
+    encoder = token_store.Encoder(VOCABULARY)
+    assert encoder.by_words
+    assert by_pieces(encoder, texts) == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.known.n <= remembered
 
 
 def test_an_empty_store_and_another_dictionary(spark, frame):
