@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -34,44 +33,92 @@ def locale_name(c: ColumnOrName) -> Column:
     return F.coalesce(F.when(is_object, F.coalesce(*named)).otherwise(raw), F.lit(""))
 
 
-_SCALAR = r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9eE.+-]*|true|false)'
+# A JSON text, one that may be a key, and what names an object in a list of skills or of people.
+_TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TEXT_OR_KEY = _TEXT + r"(?:\s*+:\s*+)?"
+_SCALAR = r"^(-?[0-9][0-9eE.+-]*|true|false)"
+SKILL_NAMES = ["name", "title", "displayName", "label", "skillName", "text"]
+PERSON_NAMES = ["name", "title", "fullName", "displayName", "description", "summary", "text"]
 
 
-def json_find(c: ColumnOrName, words: Sequence[str]) -> Column:
-    """First non-blank scalar, in document order, whose key contains one of the words.
+def json_values(c: ColumnOrName, words: Sequence[str]) -> Column:
+    """Values of all keys that contain one of the words, at any depth and in document order.
 
-    Works on the JSON text, so any depth is reached without walking the value. Keys
-    are compared without case; strings come back unquoted and unescaped.
+    An array of (kind, value): kind is the value's first character, value the unescaped text of a string, the JSON text
+    of an object or array, the digits of a number, NULL for null. Keys are compared without case; what only looks
+    like a key inside a text is not one.
     """
-    key = "|".join(re.escape(w) for w in words)
-    pattern = rf'(?i)"[^"]*(?:{key})[^"]*"\s*:\s*{_SCALAR}'
-    raw = F.regexp_extract_all(col(c), F.lit(pattern), F.lit(1))
-    values = F.transform(raw, lambda v: F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v"))
-    kept = F.filter(values, lambda v: v.isNotNull() & (strip(v) != ""))
-    return F.try_element_at(kept, F.lit(1))
+    def walk(text: Column) -> Column:
+        parts = F.struct(
+            F.regexp_extract_all(text, F.lit(_TEXT_OR_KEY), F.lit(0)).alias("texts"), F.split(text, _TEXT_OR_KEY, -1).alias("gaps"))
+        return let(parts, lambda p: F.transform(_key_places(p["texts"], words), lambda i: _value_after(text, p["texts"], p["gaps"], i)))
 
+    return let(col(c), walk)
 
-def json_collect(c: ColumnOrName, words: Sequence[str]) -> Column:
-    """Every text of a key containing one of the words, single or in a flat array.
 
-    Objects in such an array give their ``name``, ``title``, ``displayName`` or ``label``.
-    """
-    key = "|".join(re.escape(w) for w in words)
-    value = r'("(?:[^"\\]|\\.)*"|\{[^{}\[\]]*\}|\[[^\[\]]*\])'
-    pattern = rf'(?i)"[^"]*(?:{key})[^"]*"\s*:\s*{value}'
-    raw = F.regexp_extract_all(col(c), F.lit(pattern), F.lit(1))
-    item = r'"(?:[^"\\]|\\.)*"|\{[^{}]*\}'
-
-    def items(v: Column) -> Column:
-        bare = F.when(F.startswith(v, F.lit("[")), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-        return F.regexp_extract_all(bare, F.lit(item), F.lit(0))
-
-    def name(v: Column) -> Column:
-        named = json_first(v, "$.name", "$.title", "$.displayName", "$.label", "$.skillName", "$.text")
-        plain = F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v")
-        return F.when(F.startswith(v, F.lit("{")), named).otherwise(plain)
-
-    return F.transform(F.flatten(F.transform(raw, items)), name)
+def _key_places(texts: Column, words: Sequence[str]) -> Column:
+    def matches(t: Column) -> Column:
+        found = F.lit(False)
+        for word in words:
+            found = found | F.contains(F.lower(t), F.lit(word.lower()))
+        return F.rlike(t, F.lit(r":\s*$")) & found
+
+    return F.filter(F.transform(texts, lambda t, i: F.when(matches(t), i)), lambda i: i.isNotNull())
+
+
+def _value_after(text: Column, texts: Column, gaps: Column, i: Column) -> Column:
+    def length(parts: Column) -> Column:
+        return F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0), lambda n, t: n + F.length(t))
+
+    def value(rest: Column) -> Column:
+        kind = F.substr(rest, F.lit(1), F.lit(1))
+        whole = F.get_json_object(rest, "$")  # the first value of the rest
+        return F.struct(kind.alias("kind"), F.when(kind.isin('"', "{", "["), whole).otherwise(
+            blank_to_null(F.regexp_extract(rest, _SCALAR, 1))).alias("value"))
+
+    return let(F.substr(text, length(texts) + length(gaps) + 1), value)
+
+
+def json_find(c: ColumnOrName, words: Sequence[str]) -> Column:
+    """First non-blank text, number or truth value, in document order, whose key contains one of the words."""
+    values = json_values(c, words)
+    kept = F.filter(values, lambda v: ~v["kind"].isin("{", "[") & v["value"].isNotNull() & (strip(v["value"]) != ""))
+    return F.try_element_at(kept, F.lit(1))["value"]
+
+
+def _names(kind: Column, value: Column, names: Sequence[str]) -> Column:
+    """A text, the name of an object, or the texts and names of the objects in an array (arrays inside it are passed over)."""
+    def one(item: Column) -> Column:
+        text = F.get_json_object(F.concat(F.lit('{"v":'), item, F.lit("}")), "$.v")
+        return F.when(F.startswith(item, F.lit("{")), json_first(item, *[f"$.{n}" for n in names])).when(
+            F.startswith(item, F.lit('"')), text)
+
+    items = F.transform(F.from_json(F.when(kind == "[", value), "array<variant>"), lambda v: F.to_json(v))
+    single = F.when(kind == "{", json_first(value, *[f"$.{n}" for n in names])).when(kind == '"', value)
+    return F.filter(F.when(kind == "[", F.transform(items, one)).otherwise(F.array(single)), lambda n: n.isNotNull())
+
+
+def json_collect(c: ColumnOrName, words: Sequence[str], names: Sequence[str] = SKILL_NAMES) -> Column:
+    """Every text of a key containing one of the words: its own, or those in its array; objects give their name."""
+    return F.flatten(F.transform(json_values(c, words), lambda v: _names(v["kind"], v["value"], names)))
+
+
+def json_names(c: ColumnOrName, path: str, names: Sequence[str], lists_only: bool = True) -> Column:
+    """Texts and names of the array at a path; with ``lists_only`` off of a text or object there as well."""
+    def named(value: Column) -> Column:
+        kind = F.substr(value, F.lit(1), F.lit(1))
+        kind = F.when(kind.isin("[", "{"), kind).otherwise(F.lit('"'))
+        return F.when((kind == "[") | F.lit(not lists_only), _names(kind, value, names))
+
+    return F.coalesce(let(json_text(c, path), named), F.array().cast("array<string>"))
+
+
+def json_plain_texts(c: ColumnOrName, path: str) -> Column:
+    """The texts of the array at a path as they are; other items are left out."""
+    items = F.transform(F.from_json(json_text(c, path), "array<variant>"), lambda v: F.to_json(v))
+    texts = F.filter(items, lambda i: F.startswith(i, F.lit('"')))
+    return F.coalesce(F.transform(texts, lambda i: F.get_json_object(F.concat(F.lit('{"v":'), i, F.lit("}")), "$.v")),
+                      F.array().cast("array<string>"))
 
 
 # --- pages -----------------------------------------------------------------------------

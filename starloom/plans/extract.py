@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import records
 from ..functions.core import blank_to_null, col
 from ..functions.text import (
-    clean_names, clean_people, first_non_blank, html_to_text, skill_list, slug_to_title,
+    clean_names, clean_people, first_non_blank, html_to_text, is_opaque_id, skill_list, slug_to_title,
 )
 from ..functions.times import hours_text
 from ..functions.urls import url_site_path, url_slug
@@ -131,6 +131,7 @@ def api_page_rows(api: DataFrame, pages: DataFrame, instructors: DataFrame, page
 
 # --- site with a search hit and a nested page record -----------------------------------------------
 
+# The lists of a hit, and the fields read of every object.
 _LISTS = ["skills", "skillNames", "allSkills", "relatedSkills", "taughtSkills"]
 _HIT_FIELDS = [
     "key", "id", "title", "name", "url", "catalogUrl", "path", "courseUrl", "programUrl", "absolute_url",
@@ -160,7 +161,7 @@ def _texts(names: list[str]) -> str:
     return ", ".join(f"{n}: string" for n in names)
 
 
-HIT_SCHEMA = f"struct<{_texts(_HIT_FIELDS)}, {', '.join(f'{n}: array<string>' for n in _LISTS)}>"
+HIT_SCHEMA = f"struct<{_texts(_HIT_FIELDS)}>"
 NESTED_SCHEMA = (
     f"struct<pageProps: struct<{_texts(_PAGE_FIELDS)}, "
     f"staticProgramDetailsSectionProps: struct<{_texts(_DETAIL_FIELDS)}>, "
@@ -191,7 +192,7 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     both = parsed.select(
         "slug", "hit", "page", "h", "g", F.col("g.staticProgramDetailsSectionProps").alias("d"),
         F.col("g.programSummary").alias("s"), F.col("g.catalogProgramProps").alias("c"), F.col("g.seoProps").alias("e"),
-        F.coalesce(records.json_collect("hit", ["instructors"]), none).alias("people"),
+        records.json_names("hit", "$.instructors", records.PERSON_NAMES, lists_only=False).alias("people"),
     )
     known = F.col("page").isNotNull()
     path = url_site_path(
@@ -200,11 +201,12 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     )
     reviews = _pick("h.reviewCount g.reviewCount d.reviewCount")
     rating = _pick("h.reviewStarsAverage h.rating g.reviewStarsAverage d.reviewStarsAverage")
-    listed = F.coalesce("h.skills", none)
+    listed = F.filter(records.json_plain_texts("hit", "$.skills"), lambda s: ~is_opaque_id(s))
     skills = clean_names(F.concat(
-        F.coalesce(records.json_collect("page", ["skill"]), none), *[F.coalesce(f"h.{n}", none) for n in _LISTS]
+        F.coalesce(records.json_collect("page", ["skill"]), none), *[records.json_names("hit", f"$.{n}", records.SKILL_NAMES) for n in _LISTS]
     ))
-    everyone = F.concat("people", F.coalesce(records.json_collect("page", ["instructor", "mentor"]), none))
+    everyone = F.concat(
+        "people", F.coalesce(records.json_collect("page", ["instructor", "mentor"], records.PERSON_NAMES), none))
     return both.select(
         _pick(
             "h.key h.id g.programKey g.programId g.courseId d.programKey d.courseId s.key", F.col("slug")
@@ -217,7 +219,7 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
             records.json_find("page", ["language", "locale", "lang"]),
         ).alias("Language"),
         F.trim(_pick("h.description h.summary g.description d.description d.summary e.description")).alias("Description"),
-        blank_to_null(F.array_join(F.when(known, skills).otherwise(clean_names(listed)), ", ")).alias("Skill"),
+        blank_to_null(F.array_join(F.when(known, skills).otherwise(listed), ", ")).alias("Skill"),
         _pick("h.difficulty h.level g.difficultyLevel d.difficulty s.difficultyLevel").alias("Level"),
         F.when(
             _pick("h.isFree h.isProgramFree g.isFree g.isProgramFree d.isFree d.isProgramFree") == "true", "Free"

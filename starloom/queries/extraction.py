@@ -177,7 +177,7 @@ _LD_BODY = (
     "'{\"@type\":\"' || case page_id % 4 when 0 then 'Course' when 1 then 'Organization' when 2 then 'Product' else 'WebPage' end || '\",' || "
     + _key("description", "'About ' || cast(page_id as string)") + " || "
     + "'\"aggregateRating\":{\"ratingValue\":\"' || cast(page_id % 5 as string) || '.5\",\"ratingCount\":' || cast(page_id % 3 * 10 as string) "
-      "|| ',\"reviewCount\":7},' || "
+      "|| '.0,\"reviewCount\":7},' || "
     + "case page_id % 3 when 0 then '\"offers\":{\"price\":\"' || cast(page_id as string) || '\",\"priceCurrency\":\"EUR\"},' "
       "when 1 then '\"offers\":[{\"category\":\"Partially Free\"},{\"price\":1}],' else '' end || "
     + _key("dateModified", "'2024-03-' || lpad(cast(page_id % 28 + 1 as string), 2, '0') || 'T01:02:03Z'") + " || "
@@ -223,7 +223,7 @@ _STATE = {
     "page": "html || case page_id % 4 when 0 then '<script>{\"ratingCount\": ' || cast(page_id as string) || ',\"estimatedWorkload\": \"3 h\\u002Fweek\"}</script>' "
             "when 1 then '<script>{\"totalDuration\": \"PT' || cast(page_id as string) || 'M\",\"updatedAt\":\"2023-01-0' || cast(page_id % 9 + 1 as string) || 'T00:00:00Z\"}</script>' "
             "when 2 then '<p><b>1,' || lpad(cast(page_id % 1000 as string), 3, '0') || '</b> already  Enrolled</p><p>77 learners</p>' "
-            "else '<p>5 Learners and ' || cast(page_id as string) || ' students</p>' end",
+            "else '<script>var a=\"8 students here\"</script><!-- 9 students --><p>5 Learners and ' || cast(page_id as string) || ' students</p>' end",
 }
 
 
@@ -287,20 +287,61 @@ def clean_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DEEP = (
     "'{\"a\":{\"b\":[{\"x\":1},{\"' || case o_orderkey % 3 when 0 then 'userLanguage' when 1 then 'LOCALE_code' else 'other' end "
     "|| '\":' || case o_orderkey % 4 when 0 then 'null' when 1 then '\" \"' when 2 then '\"l' || cast(o_custkey as string) || '\"' "
-    "else cast(o_custkey as string) end || '}]},\"language\":{\"z\":2},\"lang2\":\"last\"}'"
+    "else cast(o_custkey as string) end || '}]},\"note\":\"the \\\"lang\\\": x\",\"language\":{\"z\":2' "
+    "|| case o_orderkey % 5 when 0 then ',\"deep\":[[{\"lang\":\"d' || cast(o_orderkey as string) || ' [x]\"}]]' else '' end "
+    "|| '},\"lang2\":\"last\"}'"
+)
+
+
+_LISTED = (
+    "'{\"title\":\"' || p_name || '\",\"mainSkill\":\"' || p_type || '\",\"skills\":[\"SQL\",\"C [' || p_brand || ']\",[\"inner\"],{\"name\":\"' || p_name "
+    "|| '\",\"meta\":{\"k\":[\"z\"],\"skillTag\":' || case p_size % 3 when 0 then '{\"label\":\"L' || cast(p_size as string) || '\"}' when 1 then '[7,null,true]' "
+    "else '[{\"title\":\"\",\"text\":\"T\"},\"}{\"]' end || '}}],\"note\":\"skills: {[\",\"other\":{\"SKILLS\":' "
+    "|| case when p_size % 4 = 0 then 'null' else '[]' end || '}}'"
 )
 
 
+@query(
+    "ext_10_json_names",
+    f"""
+    with tree as (
+        select p_partkey, t.id, t.parent, t.key, t.type, json_extract_string(t.value, '$') as text, t.value
+        from (select p_partkey, {_LISTED} as record from part) as p, json_tree(p.record) as t
+    ), hits as (select * from tree where lower(key) like '%skill%'),
+    items as (
+        select p_partkey, id as hit, id, type, text, value from hits where type in ('VARCHAR', 'OBJECT')
+        union all select h.p_partkey, h.id, t.id, t.type, t.text, t.value from hits h join tree t
+        on h.p_partkey = t.p_partkey and t.parent = h.id where h.type = 'ARRAY' and t.type in ('VARCHAR', 'OBJECT')
+    ), named as (
+        select p_partkey, hit, id, case when type = 'VARCHAR' then text else coalesce(
+            nullif(trim(value->>'$.name'), ''), nullif(trim(value->>'$.title'), ''), nullif(trim(value->>'$.displayName'), ''),
+            nullif(trim(value->>'$.label'), ''), nullif(trim(value->>'$.skillName'), ''), nullif(trim(value->>'$.text'), '')) end as name
+        from items
+    )
+    select p_partkey, string_agg(name, ' | ' order by hit, id) as names from named where name is not null group by 1
+    """,
+)
+def json_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", F.expr(_LISTED).alias("record"))
+    return part.select("p_partkey", F.array_join(records.json_collect("record", ["skill"]), " | ").alias("names"))
+
+
 @query(
     "ext_14_json_find",
-    """
-    select o_orderkey, case when o_orderkey % 3 = 2 or o_orderkey % 4 in (0, 1) then 'last'
-        when o_orderkey % 4 = 2 then 'l' || cast(o_custkey as varchar) else cast(o_custkey as varchar) end as language
-    from orders
+    f"""
+    with walked as (
+        select o_orderkey, t.id, t.type, json_extract_string(t.value, '$') as value
+        from (select o_orderkey, {_DEEP} as record from orders) as o, json_tree(o.record) as t
+        where regexp_matches(lower(t.key), 'language|locale|lang')
+    )
+    select o_orderkey, language from orders left join (
+        select o_orderkey, arg_min(value, id) as language from walked
+        where type not in ('OBJECT', 'ARRAY', 'NULL') and trim(value) <> '' group by 1
+    ) as found using (o_orderkey)
     """,
 )
 def json_find(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_DEEP).alias("record"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_DEEP.replace("\\", "\\\\")).alias("record"))
     return orders.select("o_orderkey", records.json_find("record", ["language", "locale", "lang"]).alias("language"))
 
 
@@ -384,12 +425,12 @@ def api_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HIT = (
     "'{\"key\":\"' || case when p_size % 4 = 0 then '' else 'k' || cast(p_partkey as string) end || '\",\"title\":\"' || p_name || '\",\"url\":\"' "
     "|| case p_size % 3 when 0 then 'https://site.org/course/x' when 1 then '/school/y' else 'z' end || '\",\"isFree\":' "
-    "|| case when p_size % 2 = 0 then 'true' else 'false' end || ',\"skills\":[\"SQL\",\"taxonomy:1\",\" sql \"],\"reviewCount\":' "
-    "|| cast(p_size as string) || ',\"rating\":4.5,\"instructors\":[{\"name\":\"Ann\"},{\"name\":\"Bo\"}],\"difficulty\":\"' || p_type || '\"}'"
+    "|| case when p_size % 2 = 0 then 'true' else 'false' end || ',\"skills\":[\"SQL\",\"taxonomy:1\",\" sql \",{\"name\":\"Go [x]\"},[\"no\"]],\"reviewCount\":' "
+    "|| cast(p_size as string) || ',\"rating\":4.5,\"instructors\":[{\"fullName\":\"Ann\",\"tags\":[\"t\"]},{\"name\":\"Bo\"}],\"difficulty\":\"' || p_type || '\"}'"
 )
 _NESTED = (
     "'{\"pageProps\":{\"programId\":\"id' || cast(p_partkey as string) || '\",\"staticProgramDetailsSectionProps\":{\"duration\":\"3 weeks\","
-    "\"description\":\" About ' || p_name || ' \",\"teaches\":{\"skillTags\":[{\"name\":\"Python\"},\"SQL\",\"taxonomy:9\"]}},"
+    "\"description\":\" About ' || p_name || ' \",\"teaches\":{\"skillTags\":[{\"name\":\"Python\",\"meta\":{\"k\":[\"z\"]}},\"SQL\",\"taxonomy:9\",\"C [adv]\"]}},"
     "\"programSummary\":{\"semanticType\":\"Course\"},\"meta\":{\"content_language\":\"en\",\"total_learners\":' || cast(p_partkey as string) "
     "|| ',\"page_modified\":\"2024-05-05\"},\"instructorList\":[{\"name\":\"Cy\"},{\"name\":\"Ann\"}]}}'"
 )
@@ -402,7 +443,7 @@ _NESTED = (
            p_name as "Course_Title",
            'https://site.org' || case p_size % 3 when 0 then '/course/x' when 1 then '/school/y' else '/course/' || slug end as "Course_URL",
            'Udacity' as "Platform", case when g then 'en' end as "Language", case when g then 'About ' || p_name end as "Description",
-           case when g then 'Python, SQL' else 'SQL' end as "Skill", p_type as "Level", case when p_size % 2 = 0 then 'Free' end as "Price",
+           case when g then 'Python, SQL, C [adv], Go [x]' else 'SQL,  sql ' end as "Skill", p_type as "Level", case when p_size % 2 = 0 then 'Free' end as "Price",
            case when g then cast(p_size as varchar) || ' (avg 4.5)' else cast(p_size as varchar) end as "No. of Reviews / Ratings",
            case when g then cast(p_partkey as varchar) end as "No. of Students enrolled",
            case when g then 'Ann, Bo, Cy' else 'Ann, Bo' end as "Programming Instructor",
@@ -423,7 +464,7 @@ def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ext_13_fallback_rows",
     """
     select case when p_size % 4 <> 0 then 'k' || cast(p_partkey as varchar) else 's' || cast(p_partkey as varchar) end as course_id,
-           p_name as "Course_Title", 'SQL' as "Skill", cast(p_size as varchar) as "No. of Reviews / Ratings",
+           p_name as "Course_Title", 'SQL,  sql ' as "Skill", cast(p_size as varchar) as "No. of Reviews / Ratings",
            'Ann, Bo' as "Programming Instructor", cast(null as varchar) as "Duration"
     from part
     """,

@@ -297,6 +297,28 @@ def test_page_vocabularies(values):
     ]
 
 
+@pytest.mark.parametrize(("record", "names"), [
+    ('{"skills":["SQL","C [adv]"]}', ["SQL", "C [adv]"]),
+    ('{"skills":["a",["b"]]}', ["a"]),
+    ('{"skills":[{"name":"P","meta":{"k":["z"]}},"Q"]}', ["P", "Q"]),
+    ('{"x":[[{"mainSkill":{"title":" ","label":"L","sub":{"skillTag":"deep"}}}]]}', ["L", "deep"]),
+    ('{"t":"\\"skill\\": \\"no\\"","skill":"a \\"q\\" \\u0041"}', ['a "q" A']),
+    ('{"skill":null,"Skill2":7,"skill3":[],"skill4":{}}', []),
+    ("", []), ("no json", []), (None, None),
+])
+def test_json_collect(frame, record, names):
+    got = frame([(record,)], "j string").select(records.json_collect("j", ["skill"])).first()[0]
+    assert got == names
+
+
+def test_names_of_people_and_plain_texts(frame):
+    df = frame([('{"p":[{"fullName":"Ann","l":[1]},"Bo",["x"]],"q":{"title":"T"},"s":" solo ","skills":["a","a",{"name":"b"}," c "]}',)], "j string")
+    people = lambda path, lists: records.json_names("j", path, records.PERSON_NAMES, lists)
+    got = df.select(people("$.p", True), people("$.q", False), people("$.s", False), people("$.q", True), people("$.none", False),
+                    records.json_plain_texts("j", "$.skills")).first()
+    assert list(got) == [["Ann", "Bo"], ["T"], [" solo "], [], [], ["a", "a", " c "]]
+
+
 def test_json_find(values):
     find = lambda c: records.json_find(c, ["lang"])
     given = {
