@@ -150,7 +150,7 @@ def sql_duration(c: str, leading_only: bool = False) -> str:
     )
 
 
-def _sql_staged(feed: Feed, rules: Rules, whole: bool = False) -> str:
+def sql_staged(feed: Feed, rules: Rules = DEFAULT, whole: bool = False) -> str:
     values = _raw_values(feed.platform)
     columns = ", ".join(f"{e} as {c}" for c, e in values.items())
     dated = "try_cast(last_updated as date)" if feed.iso_dates else "try_strptime(last_updated, '%m/%d/%Y')::date"
@@ -177,7 +177,7 @@ def _sql_staged(feed: Feed, rules: Rules, whole: bool = False) -> str:
 
 
 def sql_combined(rules: Rules = DEFAULT) -> str:
-    return " union all by name ".join(f"({_sql_staged(f, rules)})" for f in FEEDS.values())
+    return " union all by name ".join(f"({sql_staged(f, rules)})" for f in FEEDS.values())
 
 
 def sql_standardized(rules: Rules = DEFAULT) -> str:
@@ -224,7 +224,7 @@ def with_courses(select: str, rules: Rules = DEFAULT, extra: str = "") -> str:
 # --- queries -----------------------------------------------------------------------------------
 
 def _register_feed(key: str, feed: Feed) -> None:
-    @query(f"prj_1_stage_{key}", _sql_staged(feed, DEFAULT, whole=True))
+    @query(f"prj_1_stage_{key}", sql_staged(feed, DEFAULT, whole=True))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return staged(spark, sf_dir, feed, whole=True)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +9,11 @@ from ..functions.core import exact_sum
 from ..operators.joins import lookup_join
 from ..operators.shape import deduplicate
 from ..operators.staging_area import stage
-from ..plans import dashboard, history, semantic, star
+from ..plans import build, checks, dashboard, history, semantic, star
 from ..plans.rules import DEFAULT, LOCAL, Rules
-from .courses import standardized, with_courses
-from .registry import avg, big, mean, query, r, table
+from ..plans.staging import COURSERA, FEEDS, UDACITY, UDEMY
+from .courses import TIES, raw_feed, sql_staged, standardized, with_courses
+from .registry import REGISTRY, avg, big, mean, query, r, table
 
 # --- flagship: order star, revenue share of the customer segments ------------------------------
 
@@ -482,3 +482,49 @@ def top_n_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     courses = stage(standardized(spark, sf_dir), "courses")
     columns = ["title", "platform", "rating", "price", "duration_hours", "weighted_rating"]
     return dashboard.top_n_table(courses, columns, ["platform", "title"], F.sum("enrolled_students"))
+
+
+# --- the whole build and its declared tests -----------------------------------------------------------
+
+_REPORT_QUERIES = {
+    "platform_performance": "agg_1_platform_performance", "domain_trends": "agg_2_domain_trends",
+    "instructor_rankings": "agg_3_instructor_rankings", "pricing_analysis": "agg_4_pricing_analysis",
+    "quality_tiers": "agg_5_quality_tiers",
+}
+
+
+def _test_sql(table: str, declared: checks.TableChecks) -> list[str]:
+    """One SELECT per test: name, failing rows, severity."""
+    found = [(f"{c} is not null", f"{c} is null", "error") for c in declared.not_null]
+    found += [(f"{c} is accepted", f"{c} not in ({', '.join(repr(x) for x in v)})", "error") for c, v in (declared.accepted or {}).items()]
+    found += [(f"{c} is in range", " or ".join(f"{c} {sign} {x}" for sign, x in (("<", low), (">", high)) if x is not None), severity)
+              for c, low, high, severity in declared.ranges]
+    parts = [f"select '{table}: {name}' as test, count(*) as failures, '{severity}' as severity from {table} where {failing}"
+             for name, failing, severity in found]
+    for key in declared.keys:
+        where = f"where {key[0]} is not null" if len(key) == 1 else ""
+        parts.append(f"select '{table}: {', '.join(key)} is unique', count(*), 'error' from "
+                     f"(select {', '.join(key)} from {table} {where} group by all having count(*) > 1) as t")
+    for column, (parent, field) in (declared.relationships or {}).items():
+        parts.append(f"select '{table}: {column} is in {parent}', count(*), 'error' from {table} "
+                     f"where {column} is not null and {column} not in (select {field} from {parent} where {field} is not null)")
+    return parts
+
+
+def _checks_sql() -> str:
+    names = {"stg_coursera": COURSERA, "stg_udacity": UDACITY, "stg_udemy": UDEMY}
+    tables = {name: sql_staged(feed) for name, feed in names.items()}
+    tables |= {"combined": with_courses("select * from combined"), "courses": with_courses("select * from courses")}
+    tables |= {f"dim_{w}": with_courses(_dim_sql(w, DEFAULT)) for w in star.DIMENSIONS}
+    tables |= {"dim_date": with_courses(_DATE_SQL), "dim_offering": with_courses(_OFFERING_SQL, extra=_HISTORY_SQL)}
+    tables |= {"fact_offerings": _fact_sql(DEFAULT)} | {t: REGISTRY[q].sql for t, q in _REPORT_QUERIES.items()}
+    tests = [t for name, declared in checks.WAREHOUSE_CHECKS.items() for t in _test_sql(name, declared)]
+    ctes = ", ".join(f"{name} as materialized ({sql})" for name, sql in tables.items())
+    return (f"with {ctes} select test, failures, case when failures = 0 then 'pass' else severity end as status "
+            f"from ({' union all '.join(tests)}) as t")
+
+
+@query("dq_warehouse_checks", _checks_sql())
+def warehouse_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = {name: raw_feed(spark, sf_dir, feed) for name, feed in FEEDS.items()}
+    return build.build_warehouse(raw, SECOND, tiebreak=[F.asc(c) for c in TIES])["checks"]
