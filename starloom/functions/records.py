@@ -123,6 +123,7 @@ def json_plain_texts(c: ColumnOrName, path: str) -> Column:
 
 # --- pages -----------------------------------------------------------------------------
 
+# The usable types and the script block of JSON-LD.
 LD_TYPES = ["Course", "Product", "WebPage"]
 _LD_BLOCK = r"(?is)<script[^>]*type\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script>"
 
@@ -228,7 +229,7 @@ def embedded_state_fields(html: ColumnOrName) -> dict[str, Column]:
     }
 
 
-# Patterns for an audience size, tried in this order.
+# Patterns for an audience size, tried in this order.
 AUDIENCE_PATTERNS = [
     r"(?i)([0-9,]+)\s+(?:already\s+)?enroll",
     r"(?i)([0-9,]+)\s+student",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,9 +173,9 @@ NESTED_SCHEMA = (
 )
 
 
-def _pick(places: str, *last: Column) -> Column:
-    """First non-blank of blank-separated places such as ``h.title g.title d.title``."""
-    return first_non_blank(*places.split(), *last)
+def _pick(places: Sequence[str], *last: Column) -> Column:
+    """First non-blank of several places."""
+    return first_non_blank(*places, *last)
 
 
 def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
@@ -199,49 +201,55 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
         ["h.url", "h.catalogUrl", "h.path", "h.courseUrl", "h.programUrl", "h.absolute_url"], site,
         F.concat(F.lit("/course/"), F.col("slug")),
     )
-    reviews = _pick("h.reviewCount g.reviewCount d.reviewCount")
-    rating = _pick("h.reviewStarsAverage h.rating g.reviewStarsAverage d.reviewStarsAverage")
+    reviews = _pick(["h.reviewCount", "g.reviewCount", "d.reviewCount"])
+    rating = _pick(["h.reviewStarsAverage", "h.rating", "g.reviewStarsAverage", "d.reviewStarsAverage"])
     listed = F.filter(records.json_plain_texts("hit", "$.skills"), lambda s: ~is_opaque_id(s))
     skills = clean_names(F.concat(
         F.coalesce(records.json_collect("page", ["skill"]), none), *[records.json_names("hit", f"$.{n}", records.SKILL_NAMES) for n in _LISTS]
     ))
     everyone = F.concat(
         "people", F.coalesce(records.json_collect("page", ["instructor", "mentor"], records.PERSON_NAMES), none))
+    # The places of every field, in the order they are tried.
     return both.select(
-        _pick(
-            "h.key h.id g.programKey g.programId g.courseId d.programKey d.courseId s.key", F.col("slug")
+        _pick(["h.key", "h.id", "g.programKey", "g.programId", "g.courseId", "d.programKey", "d.courseId", "s.key"], F.col("slug")
         ).alias("course_id"),
-        _pick("h.title h.name g.title d.title c.title e.title").alias("Course_Title"),
+        _pick(["h.title", "h.name", "g.title", "d.title", "c.title", "e.title"]).alias("Course_Title"),
         F.concat(F.lit(site), path).alias("Course_URL"),
         F.lit("Udacity").alias("Platform"),
-        _pick(
-            "h.language h.locale h.lang g.language g.locale g.lang d.language d.locale e.inLanguage s.language",
+        _pick([
+            "h.language", "h.locale", "h.lang", "g.language", "g.locale", "g.lang", "d.language", "d.locale",
+            "e.inLanguage", "s.language",
+        ],
             records.json_find("page", ["language", "locale", "lang"]),
         ).alias("Language"),
-        F.trim(_pick("h.description h.summary g.description d.description d.summary e.description")).alias("Description"),
+        F.trim(_pick(["h.description", "h.summary", "g.description", "d.description", "d.summary", "e.description"])).alias("Description"),
         blank_to_null(F.array_join(F.when(known, skills).otherwise(listed), ", ")).alias("Skill"),
-        _pick("h.difficulty h.level g.difficultyLevel d.difficulty s.difficultyLevel").alias("Level"),
+        _pick(["h.difficulty", "h.level", "g.difficultyLevel", "d.difficulty", "s.difficultyLevel"]).alias("Level"),
         F.when(
-            _pick("h.isFree h.isProgramFree g.isFree g.isProgramFree d.isFree d.isProgramFree") == "true", "Free"
+            _pick(["h.isFree", "h.isProgramFree", "g.isFree", "g.isProgramFree", "d.isFree", "d.isProgramFree"]) == "true", "Free"
         ).alias("Price"),
         F.when(
             known,
             F.when(reviews.isNotNull() & rating.isNotNull(), F.concat(reviews, F.lit(" (avg "), rating, F.lit(")")))
             .otherwise(reviews),
-        ).otherwise(_pick("h.reviewCount h.rating")).alias("No. of Reviews / Ratings"),
-        _pick(
-            "h.enrollment h.enrollmentCount h.studentCount h.studentsEnrolled h.learnerCount g.enrollmentCount "
-            "g.studentCount g.studentsEnrolled g.learnerCount d.enrollmentCount d.studentCount s.enrollmentCount s.studentCount",
+        ).otherwise(_pick(["h.reviewCount", "h.rating"])).alias("No. of Reviews / Ratings"),
+        _pick([
+            "h.enrollment", "h.enrollmentCount", "h.studentCount", "h.studentsEnrolled", "h.learnerCount",
+            "g.enrollmentCount", "g.studentCount", "g.studentsEnrolled", "g.learnerCount", "d.enrollmentCount",
+            "d.studentCount", "s.enrollmentCount", "s.studentCount",
+        ],
             records.json_find("page", ["enroll", "student", "learner"]),
         ).alias("No. of Students enrolled"),
         blank_to_null(F.array_join(F.when(known, clean_people(everyone)).otherwise(F.col("people")), ", "))
         .alias("Programming Instructor"),
-        _pick(
-            "h.lastUpdated h.updatedAt h.lastModified g.lastUpdated g.updatedAt g.lastModified d.lastUpdated d.updatedAt s.lastUpdated",
+        _pick([
+            "h.lastUpdated", "h.updatedAt", "h.lastModified", "g.lastUpdated", "g.updatedAt", "g.lastModified",
+            "d.lastUpdated", "d.updatedAt", "s.lastUpdated",
+        ],
             records.json_find("page", ["updated", "modified"]),
         ).alias("Last Update"),
-        _pick("h.semanticType h.type g.semanticType g.courseType d.semanticType s.semanticType").alias("Type of Course"),
-        _pick("d.duration s.duration c.duration g.duration h.duration").alias("Duration"),
+        _pick(["h.semanticType", "h.type", "g.semanticType", "g.courseType", "d.semanticType", "s.semanticType"]).alias("Type of Course"),
+        _pick(["d.duration", "s.duration", "c.duration", "g.duration", "h.duration"]).alias("Duration"),
     )
 
 

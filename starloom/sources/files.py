@@ -87,6 +87,7 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+# Fixed value: how the log reports a failed request.
 FAILED_REQUEST = r"All retries failed: .*api-2.0/courses/(\d+)/"
 
 
