@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.staging_area import stage
+
 CHUNK_BYTES = 1 << 19
 
 
@@ -17,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared staging area and read it back, in two files per core at most.
+
+    Partitions are put together without a shuffle: after one, a small table would leave a file per shuffle partition.
+    """
+    return stage(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def held_out(doc_id: str | Column) -> Column:
     """Whether a document is kept out of training: crc32 of its id as text, modulo 4, is 2. False for NULL ids."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.staging_area import stage
+from starloom.llm.common import keep
+
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -24,7 +25,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    current = stage(pairs, "edges")
+    current = keep(pairs, "edges")
     seen = _fingerprint(current)
     while seen[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,7 +37,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         kept = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        current = stage(kept, "edges")
+        current = keep(kept, "edges")
         now = _fingerprint(current)
         if now == seen:
             break

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.staging_area import stage
+from starloom.llm.common import keep
+
 
 SPAN = 13
 MASKS = 3
@@ -77,7 +78,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = (benchmark.where("item_id is not null").select("item_id", words_of("text").alias("words"))
              .where(F.size("words") > 0).distinct())
     width = F.least(F.size("words"), F.lit(SPAN))
-    items = stage(items.select("item_id", "words", width.alias("width")), "items")
+    items = keep(items.select("item_id", "words", width.alias("width")), "items")
     # at most SPAN different widths
     widths = sorted(r.width for r in items.select("width").distinct().collect())
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -89,12 +90,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for w in widths:
         part = _exploded(items.where(F.col("width") == w), ["item_id"], [w])
         item_seeds = part if item_seeds is None else item_seeds.unionByName(part)
-    item_seeds = stage(item_seeds.select("seed", F.col("place").alias("item_place"), "item_id").distinct(), "seeds")
+    item_seeds = keep(item_seeds.select("seed", F.col("place").alias("item_place"), "item_id").distinct(), "seeds")
     small = item_seeds.count() <= BROADCAST_HASHES
     doc_seeds = _exploded(keyed, ["doc_id", "text_key"], widths)
     hits = doc_seeds.join(F.broadcast(item_seeds) if small else item_seeds, "seed").select(
         "doc_id", "text_key", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
-    hits = stage(hits, "hits")
+    hits = keep(hits, "hits")
     few = hits.count() <= BROADCAST_HITS
     named = hits.toDF("__doc", "__key", "item_id", "shift")
     joined = docs.join(
@@ -112,7 +113,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(__doc, __key, n_items, item_ids, n_words) of the rows that hold items; marked for broadcast while they are few."""
     found = overlaps(docs, benchmark).groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).agg(
         F.count("*").alias("n_items"), F.sort_array(F.collect_list("item_id")).alias("item_ids"), F.sum("words").alias("n_words"))
-    found = stage(found, "found")
+    found = keep(found, "found")
     return F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
 
 

@@ -21,7 +21,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm import common
-from starloom.operators.staging_area import stage
 
 SIZES = (2, 3, 4)
 SLOT_BITS, PROBES = 18, 3
@@ -135,7 +134,7 @@ def fit(docs: DataFrame) -> Filters:
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = train.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order)).where(
         F.col("place") <= SAMPLE_PER_LANGUAGE)
-    chosen = stage(chosen.select("doc_id", "lang"), "chosen")
+    chosen = common.keep(chosen.select("doc_id", "lang"), "chosen")
     languages = tuple(sorted(r.lang for r in chosen.select("lang").distinct().collect()))
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
@@ -151,7 +150,7 @@ def fit(docs: DataFrame) -> Filters:
                          pa.array(values.view(np.int64)), pa.array(counts)], names=["lang", "size", "gram", "n"])
 
     counted = texts.mapInArrow(run, "lang string, size int, gram long, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
-    counted = stage(counted, "grams")
+    counted = common.keep(counted, "grams")
     totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total"))
     frequent = counted.join(F.broadcast(totals), ["lang", "size"]).where(F.col("n") >= F.greatest(F.lit(2), RATE * F.col("total")))
     place = W.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")

@@ -24,7 +24,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm import common
-from starloom.operators.staging_area import stage
 
 BITS = 16
 SAMPLE_PER_DOMAIN, SAMPLE_CHARS = 800, 20_000  # the classifier's sample: documents of a domain, and their greatest length
@@ -84,7 +83,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_domain: int = SAMPLE_PER
         F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain")).distinct()
     order = W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = named.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2 * per_domain)
-    chosen = stage(chosen, "chosen")
+    chosen = common.keep(chosen, "chosen")
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text").between(1, SAMPLE_CHARS))
@@ -186,7 +185,7 @@ def fit_rates(documents: DataFrame, domains: tuple[str, ...], targets: Mapping[s
     without a target keeps its present share. With lowest = 0 the total stays as it is. With lowest = 1 no document is
     thinned out: the total grows until the domain most above its target fits.
     """
-    groups = stage(documents.groupBy("posterior").agg(F.sum("n_tokens").cast("double").alias("n")).where("n > 0"), "posteriors")
+    groups = common.keep(documents.groupBy("posterior").agg(F.sum("n_tokens").cast("double").alias("n")).where("n > 0"), "posteriors")
     k = len(domains)
     share = [F.get("posterior", F.lit(i)) / F.lit(float(LEVELS)) for i in range(k)]
     sums = groups.agg(F.sum("n").alias("t"), *(F.sum(F.col("n") * share[i] * share[j]).alias(f"m{i}_{j}")

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starloom.llm.common import keep
 from starloom.operators.numbering import number_rows
-from starloom.operators.staging_area import stage
 
 # Roles (states 1 to 3; state 0 is the beginning) and the costs of a repair.
 ROLES = ("system", "user", "assistant")
@@ -170,7 +170,7 @@ def repair(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", "role", "text").withColumns(
         {"part": part, "role_number": _role_number("role").cast("int")})
     order = [F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    long_ids = stage(rows.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENT), "long")
+    long_ids = keep(rows.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENT), "long")
     some_long = not long_ids.isEmpty()
     last = F.col("position") == F.col("turns")
     nothing = F.lit(None).cast("int")
@@ -185,13 +185,13 @@ def repair(conversations: DataFrame) -> DataFrame:
         placed = number_rows(some.drop("n"), ["part", *order], "place")
         firsts = placed.groupBy("part").agg(F.min("place").alias("first"), F.count("*").alias("turns"))
         placed = placed.join(firsts, "part").withColumn("position", F.col("place") - F.col("first") + 1)
-        return stage(placed.withColumn("segment", F.floor((F.col("position") - 1) / SEGMENT)).drop("place", "first"), "segments")
+        return keep(placed.withColumn("segment", F.floor((F.col("position") - 1) / SEGMENT)).drop("place", "first"), "segments")
 
     short = rows.join(long_ids.select("part"), "part", "left_anti") if some_long else rows
     ready = numbered(short, True).select(*columns)
     if some_long:
         long = numbered(rows.join(long_ids.select("part"), "part", "left_semi"), False)
-        cuts = _cuts(stage(_matrices(long), "matrices"))
+        cuts = _cuts(keep(_matrices(long), "matrices"))
         ready = ready.unionByName(long.join(cuts, ["part", "segment"]).select(*columns))
     ready = ready.withColumn("last", last).repartition("part", "segment").sortWithinPartitions("part", "segment", "position")
 

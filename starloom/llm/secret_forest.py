@@ -16,7 +16,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.staging_area import stage
+from starloom.llm.common import keep
+
 
 LEAST = 16
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_FINDINGS = 4000, 20_000, 20_000  # of labelled documents; of labelled findings
@@ -126,7 +127,7 @@ def label_by_rules(found: DataFrame) -> DataFrame:
 def sample_docs(docs: DataFrame) -> DataFrame:
     """At most SAMPLE_DOCS documents of at most SAMPLE_CHARS characters that hold a long run with a digit, by a hash of doc_id and text."""
     some = docs.where((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"[A-Za-z0-9+/_\-]{16,}"))
-    return stage(some.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS), "sample")
+    return keep(some.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS), "sample")
 
 
 def fit(labelled: DataFrame, sample: DataFrame) -> Model:
@@ -136,7 +137,7 @@ def fit(labelled: DataFrame, sample: DataFrame) -> Model:
     without any finding 0.5; findings with a NULL label are not used.
     """
     words = sample.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("w")).where("length(w) between 2 and 64")
-    words = stage(words.groupBy("w").agg(F.count("*").alias("n")), "words")
+    words = keep(words.groupBy("w").agg(F.count("*").alias("n")), "words")
     pairs = words.select("n", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("i"), "w").groupBy(
         (_code(F.col("w"), F.col("i")) * CODES + _code(F.col("w"), F.col("i") + 1)).alias("pair")).agg(F.sum("n").alias("n"))
     counts = {r.pair: r.n for r in pairs.collect()}  # at most CODES squared
@@ -147,7 +148,7 @@ def fit(labelled: DataFrame, sample: DataFrame) -> Model:
     rows = with_features(labelled.where("label is not null"), transitions, dictionary)
     order = [F.xxhash64("value", "left", "right"), F.col("value"), F.col("left"), F.col("right"), F.col("label")]
     rows = rows.orderBy(*order).limit(SAMPLE_FINDINGS).select("label", "features")
-    rows = stage(rows.coalesce(1), "findings")
+    rows = keep(rows.coalesce(1), "findings")
     share = rows.agg(F.avg("label").alias("s")).first().s
     if share is None or share in (0.0, 1.0):
         return Model(None, 0.5 if share is None else share, transitions, dictionary)

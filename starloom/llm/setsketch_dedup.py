@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from starloom.llm import common
 from starloom.llm.components import connected_components
-from starloom.operators.staging_area import stage
 
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
@@ -193,7 +192,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 
 def _open_links(buckets: DataFrame, mates: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between components that share a bucket of more than two members; a link more than is needed is left out."""
-    placed = stage(buckets.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "placed")
+    placed = common.keep(buckets.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "placed")
     groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_ = groups.groupBy("key").agg(
         F.count("*").alias("parts"), F.sum("n").alias("members"),
@@ -338,21 +337,21 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
                        ).where("doc_id is not null")
     columns = ["n_shingles", "text_key", "digest_a", "digest_b", "registers"]
     sketched = sketch(docs, words).groupBy("doc_id").agg(F.max(F.struct(*columns)).alias("s")).select("doc_id", "s.*")
-    sketched = stage(sketched, "sketch")
+    sketched = common.keep(sketched, "sketch")
     classes = (sketched.where("n_shingles > 0").groupBy("digest_a", "digest_b", "n_shingles")
                .agg(F.min(F.struct("doc_id", "text_key", "registers")).alias("m"))
                .select(F.col("m.doc_id").alias("id"), "m.text_key", "n_shingles", "m.registers", "digest_a", "digest_b"))
-    classes = stage(classes, "classes")
+    classes = common.keep(classes, "classes")
     bands = _bands(classes)
     leaders = bands.groupBy("key").agg(
         F.min_by("id", F.xxhash64("id", "key")).alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    crowded = stage(bands.join(leaders, "key"), "buckets")
-    pairs = stage(crowded.where("id <> leader").select(
+    crowded = common.keep(bands.join(leaders, "key"), "buckets")
+    pairs = common.keep(crowded.where("id <> leader").select(
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "pairs")
     mates = classes.select("id", "text_key", "n_shingles", "registers").join(crowded.select("id").distinct(), "id", "left_semi")
     texts = docs.select(F.col("doc_id").alias("id"), "text_key", "text").join(mates.select("id", "text_key"), ["id", "text_key"], "left_semi")
-    texts = stage(texts.select("id", "text").dropDuplicates(["id"]), "texts")
-    links = stage(_confirm(_likely(pairs, classes, threshold), texts, words, percent), "links")
+    texts = common.keep(texts.select("id", "text").dropDuplicates(["id"]), "texts")
+    links = common.keep(_confirm(_likely(pairs, classes, threshold), texts, words, percent), "links")
     mates = mates.select("id", "n_shingles", "registers").join(texts, "id")
     found = _open_links(crowded.select("key", "id"), mates, connected_components(links), words, percent)
     return _assign(sketched, classes, connected_components(links.unionByName(found)))

@@ -24,7 +24,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -309,7 +308,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
     digest = hashlib.sha256(dictionary).digest()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, start = TaskContext.get().partitionId(), 0, 0
+        part, block, start = 0, 0, 0
         squeeze = _compressor(dictionary)
         rows: list[tuple[int | None, int, bytes]] = []
         held = 0
@@ -325,6 +324,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 
         for batch in batches:
             names = batch.column(0).to_pylist()
+            part = batch.column(2)[0].as_py() if batch.num_rows else part
             for first, lists in encoded(batch.column(1), vocabulary, end_id):
                 for i, ids in enumerate(lists):
                     frame = squeeze.compress(_serial(ids, width))
@@ -338,7 +338,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
     dealt = docs.repartitionByRange(partitions, order[0]) if partitions else docs.repartitionByRange(order[0])
-    dealt.sortWithinPartitions(*order).mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    ordered = dealt.sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    # several partitions make one file, each with blocks of its own
+    files = 4 * spark.sparkContext.defaultParallelism
+    ordered.mapInArrow(blocks, BLOCK_SCHEMA).coalesce(files).write.parquet(f"{path}/blocks")
 
 
 def _serial(ids: np.ndarray, width: int) -> bytes:
