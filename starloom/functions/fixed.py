@@ -53,6 +53,9 @@ PRICE_BANDS = [(500, "Cheap"), (2000, "Medium"), (5000, "Expensive")]
 PRICE_BAND_TOP = "Premium"
 DURATION_BANDS = [(5, "Short"), (20, "Medium"), (50, "Long")]
 DURATION_BAND_TOP = "Extensive"
+# Tier, least rating, least enrolment, least engagement (None: any), tried in this order.
+QUALITY_TIERS = [("Premium", 4.5, 1000, 1.0), ("High", 4.0, 500, None), ("Medium", 3.0, None, None)]
+UNRATED_TIER, LOWEST_TIER = "Unrated", "Low"
 
 # --- fixed values: business order of the reported bands and tiers ----------------
 PRICE_BAND_ORDER = ["Free", "Cheap", "Medium", "Expensive", "Premium"]

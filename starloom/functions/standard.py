@@ -70,13 +70,13 @@ def clamp_to_null(c: ColumnOrName, low: float, high: float) -> Column:
 def quality_tier(rating: ColumnOrName, enrolled: ColumnOrName, engagement: ColumnOrName) -> Column:
     """Unrated, Premium, High, Medium or Low. A NULL measure never reaches its tier."""
     rating, enrolled, engagement = col(rating), col(enrolled), col(engagement)
-    return (
-        F.when(rating.isNull(), "Unrated")
-        .when((rating >= 4.5) & (enrolled >= 1000) & (engagement >= 1.0), "Premium")
-        .when((rating >= 4.0) & (enrolled >= 500), "High")
-        .when(rating >= 3.0, "Medium")
-        .otherwise("Low")
-    )
+    tier = F.when(rating.isNull(), fixed.UNRATED_TIER)
+    for name, *least in fixed.QUALITY_TIERS:
+        reached = F.lit(True)
+        for measure, bound in zip((rating, enrolled, engagement), least):
+            reached = reached if bound is None else reached & (measure >= bound)
+        tier = tier.when(reached, name)
+    return tier.otherwise(fixed.LOWEST_TIER)
 
 
 def rank_in(c: ColumnOrName, order: list[str]) -> Column:

@@ -97,10 +97,10 @@ def with_neighbours(
     previous, following = previous or {}, following or {}
     if not group_by:
         return _neighbours_in_slices(df, group_by, order_by, previous, following)
-    hot = stage(df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS), "hot-groups")
+    hot = df.groupBy(*[F.col(f"`{g}`") for g in group_by]).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_ROWS)
     if hot.isEmpty():
         return _neighbours_in_windows(df, group_by, order_by, previous, following)
-    marked = hot.select(*[F.col(f"`{g}`").alias(f"__hot_{g}") for g in group_by])
+    marked = stage(hot, "hot-groups").select(*[F.col(f"`{g}`").alias(f"__hot_{g}") for g in group_by])
     same = None
     for g in group_by:
         equal = F.col(f"`{g}`").eqNullSafe(F.col(f"`__hot_{g}`"))

@@ -112,10 +112,14 @@ def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = catalog.materialize(
         table(spark, sf_dir, "region"), f"region_table_{mark}", as_table=True, path=_scratch(spark, "table")
     )
-    return (
+    counted = (
         view.join(saved, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name").agg(F.count(F.lit(1)).alias("nations"))
     )
+    # The result has read the plan and the files of both: the names can go.
+    spark.catalog.dropTempView(f"nation_view_{mark}")
+    spark.sql(f"drop table region_table_{mark}")
+    return counted
 
 
 @query(

@@ -496,6 +496,8 @@ def union_by_name_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.createOrReplaceTempView(f"{mark}_{name}_old")
     union = union_by_pattern(spark, "%", f"{mark}%", "%OLD", source_column="origin", include=["ID", "name", "parts"])
     assert len(relations_by_prefix(spark, "%", mark, "%_old")) == 2
+    for name in relations_by_prefix(spark, "%", mark):  # the union has read their plans
+        spark.catalog.dropTempView(name)
     return union.withColumn("origin", F.regexp_replace("origin", f"^{mark}_", ""))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.core import exact_sum
 from ..operators.joins import lookup_join
 from ..operators.shape import deduplicate
@@ -366,6 +367,15 @@ def pricing_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.pricing_analysis(standardized(spark, sf_dir))
 
 
+def _tier_sql() -> str:
+    columns = ["rating", "enrolled_students", "engagement_rate_pct"]
+    cases = " ".join(
+        f"when {' and '.join(f'{c} >= {b}' for c, b in zip(columns, least) if b is not None)} then '{name}'"
+        for name, *least in fixed.QUALITY_TIERS
+    )
+    return f"case when rating is null then '{fixed.UNRATED_TIER}' {cases} else '{fixed.LOWEST_TIER}' end"
+
+
 @query(
     "agg_5_quality_tiers",
     with_courses(f"""
@@ -374,10 +384,7 @@ def pricing_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
                {avg('price')} as avg_price, {_TOTAL_ENROLLED}, {avg('engagement_rate_pct')} as avg_engagement_pct,
                {avg('value_score')} as avg_value_score, {avg('duration_hours', 1)} as avg_duration_hours,
                {avg('cost_per_hour')} as avg_cost_per_hour
-        from (select *, case when rating is null then 'Unrated'
-                when rating >= 4.5 and enrolled_students >= 1000 and engagement_rate_pct >= 1.0 then 'Premium'
-                when rating >= 4.0 and enrolled_students >= 500 then 'High'
-                when rating >= 3.0 then 'Medium' else 'Low' end as quality_tier from courses) as tiered
+        from (select *, {_tier_sql()} as quality_tier from courses) as tiered
         group by quality_tier, platform, domain_name
     ) as summary"""),
 )
