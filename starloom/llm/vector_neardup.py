@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import keep
 from starloom.llm.components import connected_components
-from starloom.operators.staging_area import stage
 
 CELL = 192
 COLLISIONS = 2
@@ -70,6 +70,19 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def to_bytes(vector: list[float]) -> bytes:
+    """A vector as bytes behind its width: 4-byte floats where they hold every component exactly, else 8-byte ones."""
+    wide = np.array(vector, "<f8") + 0.0  # no negative zeros
+    with np.errstate(over="ignore"):
+        narrow = wide.astype("<f4")
+    return b"\x04" + narrow.tobytes() if (narrow == wide).all() else b"\x08" + wide.tobytes()
+
+
+def from_bytes(blobs: list[bytes]) -> np.ndarray:
+    """Vectors of one length as rows of doubles."""
+    return np.stack([np.frombuffer(b, f"<f{b[0]}", offset=1).astype(np.float64) for b in blobs])
+
+
 def usable(column: str) -> Column:
     """Whether a vector has components, all of them finite, and not all zero."""
     return (F.col(column).isNotNull() & (F.size(column) > 0)
@@ -83,12 +96,12 @@ def _spread(classes: DataFrame, tables: int, bits: int) -> DataFrame:
         kept: dict[int, Projections] = {}
         for batch in batches:
             ids, copies, blobs = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(1).to_pylist()
-            sizes = np.array([len(b) // 8 for b in blobs])
+            sizes = np.array([(len(b) - 1) // b[0] for b in blobs])
             for size in np.unique(sizes).tolist():
                 own = np.flatnonzero(sizes == size)
                 for at in range(0, len(own), 512):
                     some = own[at:at + 512]
-                    vectors = np.frombuffer(b"".join(blobs[i] for i in some), np.float64).reshape(len(some), size)
+                    vectors = from_bytes([blobs[i] for i in some])
                     cells, _ = kept.setdefault(size, Projections(size, tables, bits)).of(_unit(vectors))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.tile(np.arange(tables, dtype=np.int32), len(some))), pa.array(np.full(len(some) * tables, size, np.int32)),
@@ -110,7 +123,7 @@ def _cell_links(rows: pa.Table, threshold: float, tables: int, bits: int, half:
     if len(ids) < 2:
         return None
     blobs = rows.column("vector").to_pylist()
-    unit = _unit(np.frombuffer(b"".join(blobs[i] for i in order), np.float64).reshape(len(ids), size))
+    unit = _unit(from_bytes([blobs[i] for i in order]))
     cells, lines = made.setdefault(size, Projections(size, tables, bits)).of(unit)
     by_line = np.argsort(lines[:, table], kind="stable")
     value = lines[by_line, table]
@@ -173,11 +186,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = [(np.array(v.as_py(), np.float64) + 0.0).tobytes() for v in batch.column(1)]
+            blobs = [to_bytes(v) for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["vec_id", "vector"])
 
-    packed = stage(good.mapInArrow(pack, "vec_id long, vector binary"), "vectors")
-    classes = stage(packed.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "classes")
+    packed = keep(good.mapInArrow(pack, "vec_id long, vector binary"), "vectors")
+    classes = keep(packed.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "classes")
     tables, bits, half = plan(classes.count(), threshold)
     spread = _spread(classes, tables, bits)
     cell = ["table", "size", "cell"]
@@ -205,7 +218,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         if pending and (one := _cell_links(pa.Table.from_batches(pending), threshold, tables, bits, half, made)) is not None:
             yield one
 
-    found = stage(work.mapInArrow(run, "id long, links long, other long"), "links")
+    found = keep(work.mapInArrow(run, "id long, links long, other long"), "links")
     parts = connected_components(found, "id", "other")
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
     labelled = classes.join(sums, "id", "left").join(parts, "id", "left").select(
