@@ -113,22 +113,27 @@ def log_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.log(shares[1] / shares[0])
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], good: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a hinge-loss model by dual coordinate descent; classes weigh the same in total."""
+def descend(rows: list[np.ndarray], scale: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of a hinge-loss model by dual coordinate descent; classes weigh the same in total.
+
+    The value of a feature in a row is its scale by the square root of the row's number of features.
+    """
     rng = np.random.default_rng(SEED)
     signs = np.where(good, 1.0, -1.0)
     share = np.where(good, (~good).sum(), good.sum()) / len(good) * 2
     upper = COST * share
     alpha, weights, bias = np.zeros(len(rows)), np.zeros(1 << BITS), 0.0
-    squares = np.array([v @ v for v in values]) + 1.0
+    lengths = np.sqrt([max(1, len(r)) for r in rows])
+    squares = np.array([np.square(scale[r]).sum() for r in rows]) / lengths ** 2 + 1.0
     for _ in range(EPOCHS):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            slope = signs[i] * (weights[rows[i]] @ values[i] + bias) - 1
+            values = scale[rows[i]] / lengths[i]
+            slope = signs[i] * (weights[rows[i]] @ values + bias) - 1
             new = min(max(alpha[i] - slope / squares[i], 0.0), upper[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * signs[i]
-                weights[rows[i]] += step * values[i]
+                weights[rows[i]] += step * values
                 bias += step
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
@@ -163,7 +168,7 @@ def fit_rows(rows: list[np.ndarray], good: np.ndarray) -> Model:
     def one(pick: np.ndarray) -> tuple[np.ndarray, float]:
         own = [rows[i] for i in pick]
         ratio = log_ratios(own, good[pick])
-        weights, bias = descend(own, [ratio[r] / np.sqrt(max(1, len(r))) for r in own], good[pick])
+        weights, bias = descend(own, ratio, good[pick])
         return weights * ratio, bias
 
     fold = np.random.default_rng(SEED).permutation(len(rows)) % FOLDS

@@ -376,7 +376,7 @@ def test_dual_coordinate_descent_meets_the_optimum():
     rows = [np.sort(rng.choice(40, 8, replace=False)) for _ in range(60)]
     good = np.array([r.sum() > 155 for r in rows])
     values = [np.full(8, 8 ** -0.5) for _ in rows]
-    weights, bias = quality_nbsvm.descend(rows, values, good)
+    weights, bias = quality_nbsvm.descend(rows, np.ones(1 << quality_nbsvm.BITS), good)
     signs = np.where(good, 1, -1)
     share = np.where(good, (~good).sum(), good.sum()) / len(good) * 2
 
