@@ -128,7 +128,7 @@ def _matrices(long: DataFrame) -> DataFrame:
                              "matrix": [chain(COST[roles]).ravel().tolist()]})
 
     return long.select("part", "segment", "position", "role_number").groupBy("part", "segment").applyInPandas(
-        run, "part long, segment long, matrix array<long>")
+        run, "part string, segment long, matrix array<long>")
 
 
 def _cuts(matrices: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def _cuts(matrices: DataFrame) -> DataFrame:
         ends = ends[::-1]
         return pd.DataFrame({"part": group["part"], "segment": group["segment"], "entry": [0, *ends[:-1]], "leave": ends})
 
-    return matrices.groupBy("part").applyInPandas(run, "part long, segment long, entry int, leave int")
+    return matrices.groupBy("part").applyInPandas(run, "part string, segment long, entry int, leave int")
 
 
 OUT = ["conv_id", "turn", "position", "role", "action", "inserted", "cost", "rendered"]
@@ -166,7 +166,7 @@ def repair(conversations: DataFrame) -> DataFrame:
     become; NULL text is empty; rows with a NULL conv_id form one conversation; repeated rows are turns of their own. A
     conversation ends after user or assistant, so a lone system turn is relabelled. An empty table gives an empty result.
     """
-    part = F.xxhash64(F.coalesce(F.col("conv_id").cast("string"), F.lit("\x00")))
+    part = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))  # a name for NULL as well
     rows = conversations.select("conv_id", "turn", "role", "text").withColumns(
         {"part": part, "role_number": _role_number("role").cast("int")})
     order = [F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
