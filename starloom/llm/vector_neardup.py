@@ -33,6 +33,7 @@ RECALL = 0.9995
 WINDOW = 2.2  # half width of a window, in standard deviations of the projected difference at the threshold
 BLOCK = 1024
 COMPARED = 1 << 18
+BROADCAST_CELLS = 200_000  # four numbers each
 SEED = 20
 
 
@@ -90,8 +91,8 @@ def usable(column: str) -> Column:
             & F.exists(column, lambda x: x != 0))
 
 
-def _spread(classes: DataFrame, tables: int, bits: int) -> DataFrame:
-    """One row per class and table: table, size, cell, then id, vector bytes, copies."""
+def _spread(classes: DataFrame, tables: int, bits: int, cells_only: bool = False) -> DataFrame:
+    """One row per class and table: table, size, cell, then id, copies, vector bytes unless `cells_only`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, Projections] = {}
         for batch in batches:
@@ -103,14 +104,17 @@ def _spread(classes: DataFrame, tables: int, bits: int) -> DataFrame:
                     some = own[at:at + 512]
                     vectors = from_bytes([blobs[i] for i in some])
                     cells, _ = kept.setdefault(size, Projections(size, tables, bits)).of(_unit(vectors))
-                    yield pa.RecordBatch.from_arrays([
+                    columns = [
                         pa.array(np.tile(np.arange(tables, dtype=np.int32), len(some))), pa.array(np.full(len(some) * tables, size, np.int32)),
                         pa.array(cells.ravel()), pa.array(np.repeat(ids[some], tables)), pa.array(np.repeat(copies[some], tables)),
-                        pa.array([blobs[i] for i in some for _ in range(tables)], pa.binary()),
-                    ], names=["table", "size", "cell", "id", "copies", "vector"])
+                    ]
+                    if not cells_only:
+                        columns.append(pa.array([blobs[i] for i in some for _ in range(tables)], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return classes.select("id", "vector", "copies").mapInArrow(
-        run, "table int, size int, cell long, id long, copies long, vector binary")
+    schema = "table int, size int, cell long, id long, copies long" + ("" if cells_only else ", vector binary")
+    names = [c.split()[0] for c in schema.split(", ")]
+    return classes.select("id", "vector", "copies").mapInArrow(run, schema)
 
 
 def _cell_links(rows: pa.Table, threshold: float, tables: int, bits: int, half: float, made: dict) -> pa.RecordBatch | None:
@@ -194,9 +198,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     tables, bits, half = plan(classes.count(), threshold)
     spread = _spread(classes, tables, bits)
     cell = ["table", "size", "cell"]
-    counts = _spread(classes, tables, bits).groupBy(*cell).agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = spread.join(counts, cell).withColumn("blocks", blocks).withColumn(
+    counts = _spread(classes, tables, bits, cells_only=True).groupBy(*cell).agg(F.count("*").alias("n"))
+    crowded = keep(counts.where(F.col("n") > BLOCK).select(*cell, F.ceil(F.col("n") / BLOCK).cast("int").alias("cut")), "crowded")
+    if crowded.count() <= BROADCAST_CELLS:
+        crowded = F.broadcast(crowded)
+    dealt = spread.join(crowded, cell, "left").withColumn("blocks", F.coalesce("cut", F.lit(1))).withColumn(
         "own", F.pmod(F.xxhash64("id", "table"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     work = dealt.select(*cell, "id", "copies", "vector", F.col("own").alias("side"), other.alias("o")).select(
