@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.operators.staging_area import stage
@@ -33,6 +34,25 @@ def held_out(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+BROADCAST_CLASSES = 100_000  # a label and a number each
+
+
+def sample_per_class(rows: DataFrame, label: str, ident: str, n: int) -> DataFrame:
+    """At most n rows of each label, those with the smallest hashes of `ident`, with their `place` in that order.
+
+    Rows are counted per label first, and only those whose hash is low enough for a place (with room to spare) are ranked, so
+    a label with many rows sends about 4 n of them to the task that ranks it. NULL labels are left out.
+    """
+    top = 1 << 31
+    counts = keep(rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("__rows")), "classes")
+    if counts.count() <= BROADCAST_CLASSES:
+        counts = F.broadcast(counts)
+    hashed = rows.join(counts, label).withColumn("__hash", F.pmod(F.xxhash64(ident), F.lit(top)))
+    low = hashed.where(F.col("__hash").cast("double") * F.col("__rows") <= F.lit(float(top) * (4 * n + 64)))
+    order = W.partitionBy(label).orderBy("__hash", ident)
+    return low.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).drop("__hash", "__rows")
+
+
 # --- texts as bytes ---------------------------------------------------------------------------
 
 def byte_groups(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

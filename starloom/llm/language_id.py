@@ -131,9 +131,7 @@ def build(languages: tuple[str, ...], hashes: dict[str, np.ndarray]) -> Filters:
 def fit(docs: DataFrame) -> Filters:
     """Learn from text and non-NULL lang of the documents (doc_id, text, lang) that are not held out."""
     train = docs.where(F.col("lang").isNotNull() & ~common.held_out("doc_id"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = train.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= SAMPLE_PER_LANGUAGE)
+    chosen = common.sample_per_class(train.select("doc_id", "lang").distinct(), "lang", "doc_id", SAMPLE_PER_LANGUAGE)
     chosen = common.keep(chosen.select("doc_id", "lang"), "chosen")
     languages = tuple(sorted(r.lang for r in chosen.select("lang").distinct().collect()))
     if chosen.count() <= BROADCAST_ROWS:

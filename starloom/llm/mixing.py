@@ -81,8 +81,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, per_domain: int = SAMPLE_PER
     """
     named = labels.where("doc_id is not null and domain is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain")).distinct()
-    order = W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = named.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2 * per_domain)
+    chosen = common.sample_per_class(named, "domain", "doc_id", 2 * per_domain)
     chosen = common.keep(chosen, "chosen")
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)

@@ -193,8 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
               .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
               .where("quality = other").select("doc_id", "quality"))
     # ids only, before any text: three times the sample, as long texts are passed over
-    order = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = agreed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 3 * per_class)
+    chosen = common.sample_per_class(agreed, "quality", "doc_id", 3 * per_class)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
     found = texts.join(F.broadcast(chosen), "doc_id")
     again = W.partitionBy("quality").orderBy("place", "text")
