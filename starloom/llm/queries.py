@@ -171,6 +171,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings in every document, each with the forest's score."""
     docs = table(spark, sf_dir, "documents")
-    sample = secret_forest.sample_docs(docs.select("doc_id", "text", "source"))
-    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(sample, "source")), sample)
+    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(docs, "source")), docs)
     return secret_forest.scan(docs, model, "source")

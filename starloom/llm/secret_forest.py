@@ -3,7 +3,7 @@
 A candidate is a run of LEAST or more characters of keys and tokens (letters, digits, + / _ -) that holds a digit, or changes case
 inside. The forest sees its length, its character classes and their changes, how usual its character transitions are, how much
 of it dictionary words cover, the path of its document, and the words beside it. It is trained on a table of labelled
-findings; transitions and dictionary come from the labelled documents as well.
+findings, of which a bounded sample of each class is taken; transitions and dictionary are counted over all documents.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import keep
+from starloom.llm.common import keep, sample_per_class
 
 
 LEAST = 16
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_FINDINGS = 4000, 20_000, 20_000  # of labelled documents; of labelled findings
+SAMPLE_DOCS, SAMPLE_CHARS = 4000, 20_000  # of sample_docs only
+SAMPLE_FINDINGS = 20_000  # labelled findings the forest is trained on, half of them of each class
 DICTIONARY_WORDS = 400
 TREES, DEPTH, SEED = 30, 6, 11
 ACCEPT = 0.5
@@ -125,18 +126,22 @@ def label_by_rules(found: DataFrame) -> DataFrame:
 
 
 def sample_docs(docs: DataFrame) -> DataFrame:
-    """At most SAMPLE_DOCS documents of at most SAMPLE_CHARS characters that hold a long run with a digit, by a hash of doc_id and text."""
+    """At most SAMPLE_DOCS documents of at most SAMPLE_CHARS characters that hold a long run, by a hash of doc_id and text.
+
+    For trials on few documents: rare keys are not in it, so a model for a whole table is fitted on all of its findings.
+    """
     some = docs.where((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"[A-Za-z0-9+/_\-]{16,}"))
     return keep(some.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS), "sample")
 
 
-def fit(labelled: DataFrame, sample: DataFrame) -> Model:
-    """Train on labelled findings (candidates with label 0.0 or 1.0), at most SAMPLE_FINDINGS of them by a hash.
+def fit(labelled: DataFrame, docs: DataFrame) -> Model:
+    """Train on labelled findings (candidates with label 0.0 or 1.0), at most SAMPLE_FINDINGS / 2 of each label by a hash.
 
-    sample (doc_id, text) gives character transitions and dictionary words. With one class only the score is 0.0 or 1.0,
-    without any finding 0.5; findings with a NULL label are not used.
+    Both labels weigh the same in total, however rare one is. docs (doc_id, text) gives character transitions and dictionary
+    words, all of it. With one class only the score is 0.0 or 1.0, without any finding 0.5; findings with a NULL label are not
+    used, and findings that are the same in every column count once.
     """
-    words = sample.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("w")).where("length(w) between 2 and 64")
+    words = docs.select(F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("w")).where("length(w) between 2 and 64")
     words = keep(words.groupBy("w").agg(F.count("*").alias("n")), "words")
     pairs = words.select("n", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("i"), "w").groupBy(
         (_code(F.col("w"), F.col("i")) * CODES + _code(F.col("w"), F.col("i") + 1)).alias("pair")).agg(F.sum("n").alias("n"))
@@ -145,7 +150,9 @@ def fit(labelled: DataFrame, sample: DataFrame) -> Model:
     transitions = tuple(math.log((counts.get(i, 0) + 1) / total) for i in range(CODES * CODES))
     usual = words.where("w rlike '^[a-z]{4,}$'").orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()
     dictionary = tuple(sorted((r.w for r in usual), key=lambda w: (-len(w), w)))
-    rows = with_features(labelled.where("label is not null"), transitions, dictionary)
+    labelled = keep(labelled.where("label is not null").distinct(), "labelled")
+    every = labelled.withColumn("__id", F.struct(*labelled.columns))
+    rows = with_features(sample_per_class(every, "label", "__id", SAMPLE_FINDINGS // 2), transitions, dictionary)
     order = [F.xxhash64("value", "left", "right"), F.col("value"), F.col("left"), F.col("right"), F.col("label")]
     rows = rows.orderBy(*order).limit(SAMPLE_FINDINGS).select("label", "features")
     rows = keep(rows.coalesce(1), "findings")
@@ -153,7 +160,8 @@ def fit(labelled: DataFrame, sample: DataFrame) -> Model:
     if share is None or share in (0.0, 1.0):
         return Model(None, 0.5 if share is None else share, transitions, dictionary)
     trees = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    forest = trees.fit(rows.select("label", array_to_vector("features").alias("vector")))
+    weight = F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share))
+    forest = trees.setWeightCol("weight").fit(rows.select("label", weight.alias("weight"), array_to_vector("features").alias("vector")))
     return Model(forest, share, transitions, dictionary)
 
 

@@ -19,6 +19,7 @@ from starloom.llm import (
     vector_neardup,
 )
 from starloom.llm.components import connected_components
+from starloom.llm.queries import LLM
 from starloom.operators.staging_area import staged_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -534,3 +535,15 @@ def test_secrets_without_findings(frame):
     sample = secret_forest.sample_docs(docs)
     model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(sample)), sample)
     assert model.forest is None and secret_forest.scan(docs, model).count() == 0
+
+
+def test_secrets_are_learned_from_all_documents(spark, frame, tmp_path):
+    """Keys only in documents that are long, and rarer than one in 4,000 documents with a long run."""
+    rng = random.Random(15)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"order number {rng.randrange(10 ** 15, 10 ** 16)} of internationalization was sent", "src/a") for i in range(5000)]
+    rows += [(9000 + i, "plain words and more of them " * 800 + f"password={key(24)} end", "src/b") for i in range(2)]
+    frame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = LLM["op10_secret_forest"].run(spark, str(tmp_path)).collect()
+    assert len(got) == 5002
+    assert all(r.is_secret == (r.doc_id >= 9000) for r in got)
