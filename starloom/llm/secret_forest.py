@@ -1,7 +1,8 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest; DataFrame operations only.
 
 A candidate is a run of LEAST or more characters of keys and tokens (letters, digits, + / _ -) that holds a digit, or changes case
-inside. The forest sees its length, its character classes and their changes, how usual its character transitions are, how much
+inside; a run of a known format, whatever its length and characters; or a value of LEAST_ASSIGNED or more characters behind a
+key word and = or :, up to its quote or white space. The forest sees its length, its character classes and their changes, how usual its character transitions are, how much
 of it dictionary words cover, the path of its document, and the words beside it. It is trained on a table of labelled
 findings, of which a bounded sample of each class is taken; transitions and dictionary are counted over all documents.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import keep, sample_per_class
 
 
-LEAST = 16
+LEAST, LEAST_ASSIGNED = 16, 4
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 20_000  # of sample_docs only
 SAMPLE_FINDINGS = 20_000  # labelled findings the forest is trained on, half of them of each class
 DICTIONARY_WORDS = 400
@@ -34,6 +35,15 @@ OTHER_WORDS = r"(?i)(sha|md5|commit|checksum|hash|digest|uuid|guid|order|invoice
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 CODES = len(ALPHABET) + 1
 PIECE = r"[^A-Za-z0-9+/_\-]"
+CLASSES = "[0-9]|[a-z][A-Z]|[A-Z]{2,}[a-z]"
+SHORT_FORMATS = r"(xox[abprs]-|sk_(live|test)_)"  # beginnings in KNOWN that ask for no length
+# a key word, the rest of its name, = or :, and the opening quote; the value (group 2) is only looked at, so that pairs inside it are found too
+ASSIGNED = (r"(?=[psatcbkPSATCBK])" + KEY_WORDS + r"""[A-Za-z0-9_\-]{0,32}[\\"'\])]{0,4}[ \t]{0,4}[=:]{1,2}[ \t]{0,4}(?:\\?["'`])?(?=("""
+            r"""(?<=\\["'])[^"'\\\r\n]++|(?<=`)[^`\r\n]++(?=`)"""
+            r"""|(?<=")[^"\\\r\n]*+(?:\\.[^"\\\r\n]*+){0,50}+(?=")|(?<=')[^'\\\r\n]*+(?:\\.[^'\\\r\n]*+){0,50}+(?=')"""
+            r"""|[^\s"'`]++(?:["'`](?=[^\s"'`,;:)\]}>])[^\s"'`]++){0,20}+))""")
+AFTER = ".,;:)]}>"  # marks behind a value without quotes, not part of it
+PLACEHOLDER = r"[\s()\[\]{}<]|^\$[A-Za-z_]"  # phrases, calls and names of variables
 NEAR = r"(\S+\s+){0,3}\S*\s*$"  # the last words before a value
 
 
@@ -47,17 +57,34 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     NULL and empty texts have none; `path` names a column of docs, NULL and absent paths are empty.
     """
     docs = docs.select("doc_id", "text", (F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")).alias("path"))
-    docs = docs.where(F.col("text").rlike(f"[A-Za-z0-9+/_\\-]{{{LEAST},}}"))
+    text = F.col("text")
+    docs = docs.where(text.rlike(f"[A-Za-z0-9+/_\\-]{{{LEAST},}}") | text.rlike(SHORT_FORMATS) | text.rlike(ASSIGNED))
     pieces = F.split("text", PIECE, -1)
 
+    def is_run(s: Column) -> Column:
+        short = (s.startswith("xox") | s.startswith("sk_")) & s.rlike(KNOWN) & ~s.rlike(f"^{SHORT_FORMATS}$")
+        return F.when(F.length(s) >= LEAST, s.rlike(CLASSES) | s.rlike(KNOWN)).otherwise(short)
+
     def found(all_pieces: Column) -> Column:
         marked = F.transform(all_pieces, lambda s, i: F.when(
-            (F.length(s) >= LEAST) & s.rlike("[0-9]|[a-z][A-Z]|[A-Z]{2,}[a-z]"),
+            is_run(s),
             F.struct(s.alias("value"), (F.aggregate(F.slice(all_pieces, F.lit(1), i), F.lit(0), lambda n, p: n + F.length(p)) + i).alias("start"))))
         return F.filter(marked, lambda m: m.isNotNull())
 
-    # the outer transform binds the pieces once
-    every = F.flatten(F.transform(F.array(pieces), found))
+    def assigned(m: Column) -> Column:
+        lengths = F.transform(m["heads"], lambda h, i: F.length(h) + F.length(F.get(m["between"], i)))
+        marked = F.transform(m["values"], lambda v, i: F.struct(
+            F.when(F.get(m["heads"], i).rlike("[\"'`]$"), v).otherwise(F.rtrim(v, F.lit(AFTER))).alias("value"),
+            F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0), lambda n, x: n + x).alias("start")))
+        # a value that is a run as a whole has been found as one
+        return F.filter(marked, lambda x: (F.length(x["value"]) >= LEAST_ASSIGNED) & ~(is_run(x["value"]) & ~x["value"].rlike(PIECE)))
+
+    pattern = F.lit(ASSIGNED)
+    pairs = F.struct(F.split("text", ASSIGNED, -1).alias("between"), F.regexp_extract_all("text", pattern, F.lit(0)).alias("heads"),
+                     F.regexp_extract_all("text", pattern, F.lit(2)).alias("values"))
+    # the outer transforms bind the pieces once
+    runs = F.flatten(F.transform(F.array(pieces), found))
+    every = F.when(text.rlike(ASSIGNED), F.concat(runs, F.flatten(F.transform(F.array(pairs), assigned)))).otherwise(runs)
     one = docs.select("doc_id", "path", "text", F.explode(every).alias("m"))
     start = F.col("m.start")
     low = F.greatest(F.lit(0), start - CONTEXT)
@@ -99,6 +126,7 @@ def with_features(found: DataFrame, transitions: tuple[float, ...], dictionary:
                         lambda i: F.get(table, (_code(low, i) * CODES + _code(low, i + 1)).cast("int")))
     words = "|".join(dictionary) or "(?!)"
     beside = F.regexp_replace(F.col("left"), r"\s+$", "")
+    before_quote = F.regexp_replace(beside, r"\\?[\"'`]$", "")
     near = F.regexp_extract(F.col("left"), NEAR, 0)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     columns = {
@@ -107,8 +135,8 @@ def with_features(found: DataFrame, transitions: tuple[float, ...], dictionary:
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / n, "changes": F.length(classes) / n,
         "usual": F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / (n - 1),
         "covered": 1 - F.length(F.regexp_replace(low, words, "")) / n,
-        "known": flag(value.rlike(KNOWN)), "assigned": flag(F.regexp_replace(beside, "[\"']$", "").rlike(r"[=:]\s*$")),
-        "quoted": flag(beside.rlike("[\"']$")), "key_word": flag(near.rlike(KEY_WORDS)), "other_word": flag(near.rlike(OTHER_WORDS)),
+        "known": flag(value.rlike(KNOWN)), "assigned": flag(before_quote.rlike(r"[=:]\s*$")),
+        "quoted": flag(beside.rlike("[\"'`]$")), "key_word": flag(near.rlike(KEY_WORDS)), "other_word": flag(near.rlike(OTHER_WORDS)),
         "plain_left": flag(F.col("left").rlike(r"[a-z]+[.,]?\s+$")), "plain_right": flag(F.col("right").rlike(r"^[.,\"']?\s+[A-Za-z]+")),
         "path_depth": F.length(F.regexp_replace("path", "[^/]", "")).cast("double"),
         "path_test": flag(F.col("path").rlike("(?i)test|example|sample|fixture|doc")),
@@ -119,10 +147,20 @@ def with_features(found: DataFrame, transitions: tuple[float, ...], dictionary:
 # --- training -------------------------------------------------------------------------------
 
 def label_by_rules(found: DataFrame) -> DataFrame:
-    """Labelled findings from candidates: 1 for values of a known format or assigned to a key word, else 0."""
-    near = F.regexp_extract(F.col("left"), NEAR, 0)
-    assigned = F.col("left").rlike(r"[=:]\s*[\"']?$") & near.rlike(KEY_WORDS)
-    return found.withColumn("label", F.coalesce(F.col("value").rlike(KNOWN) | assigned, F.lit(False)).cast("double"))
+    """Labelled findings from candidates: 1 for values of a known format or assigned to a key word, else 0.
+
+    An assigned value that is no run of LEAST characters must mix letters, digits or marks for a 1. Words and numbers alone are 0
+    behind a colon (as in prose), and undecided (NULL) behind = or a quote.
+    """
+    value, left = F.col("value"), F.col("left")
+    near = F.regexp_extract(left, NEAR, 0)
+    assigned = left.rlike(r"[=:]\s*(\\?[\"'`])?$") & near.rlike(KEY_WORDS)
+    run = (F.length(value) >= LEAST) & ~value.rlike(PIECE) & value.rlike(CLASSES)
+    mixed = value.rlike("[0-9].*[A-Za-z]|[A-Za-z].*[0-9]") | (value.rlike("[!@#$%^&*+=~?]") & value.rlike("[A-Za-z0-9]"))
+    plain = ~mixed & ~value.rlike(PLACEHOLDER) & ~left.rlike(r":\s*$")
+    label = (F.when(value.rlike(KNOWN) | (assigned & (run | (mixed & ~value.rlike(PLACEHOLDER)))), 1.0)
+             .when(assigned & plain, F.lit(None)).otherwise(0.0))
+    return found.withColumn("label", label.cast("double"))
 
 
 def sample_docs(docs: DataFrame) -> DataFrame:
