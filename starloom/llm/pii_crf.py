@@ -168,7 +168,7 @@ def _checks(word: str) -> str:
 
 def features(text: str, run: list[tuple[int, int]]) -> np.ndarray:
     """Feature numbers of every word of a run, one row per word."""
-    words = [text[a:b][:256] for a, b in run]
+    words = [text[a:b] for a, b in run]
     shapes = ["^", *map(shape, words), "$"]
     rows = []
     for i, word in enumerate(words):

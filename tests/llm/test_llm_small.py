@@ -188,6 +188,15 @@ def test_viterbi_equals_all_paths():
         assert tuple(got.tolist()) == best
 
 
+def test_features_see_the_whole_of_a_long_word():
+    long = "a" * 300
+    for end in ("@b.c", "123", "xyz"):
+        text = f"call {long}{end} now 1"
+        plain = f"call {long}aaa now 1"
+        run, other = (pii_crf.features(t, pii_crf.runs_of_words(t)[0]) for t in (text, plain))
+        assert (run[1] != other[1]).any()
+
+
 def test_field_adds_spans_and_keeps_base_ones(frame):
     docs = frame([(1, "write to ann@mail.example.org or call (988) 555-2485 now", 1), (2, None, 1), (3, "", 1), (None, "nothing here", 1),
                   (1, "write to ann@mail.example.org or call (988) 555-2485 now", 2)], "doc_id long, text string, spans int")
