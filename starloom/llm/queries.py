@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    decontaminate, language_id, mixing, pii_crf, quality_nbsvm, role_repair, secret_forest, setsketch_dedup, token_store, vector_neardup,
+    collocations, decontaminate, language_id, mixing, pii_crf, quality_nbsvm, role_repair, secret_forest, setsketch_dedup, substring_dedup,
+    token_store, vector_neardup, whitening,
 )
 from starloom.llm.common import held_out, table
 from starloom.operators.staging_area import staged_path
@@ -173,3 +174,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(docs, "source")), docs)
     return secret_forest.scan(docs, model, "source")
+
+
+OP11_SQL = r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+runs as (select lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) as phrase
+  from words, (select unnest(generate_series(1, 5)) as k) where len(w) >= k),
+counts as (select lang, k, phrase, count(*) as c, string_split(phrase, ' ') as w from runs group by lang, k, phrase having count(*) >= 100),
+cuts as (select lang, k, phrase, c as a, w, unnest(generate_series(1, k - 1)) as cut from counts where k > 1),
+scored as (select x.lang, x.phrase, x.a, x.cut, p.c as l, q.c as r, t.n, (1000::hugeint * x.a * t.n) // (p.c::hugeint * q.c) as score
+  from cuts x join totals t using (lang)
+  join counts p on p.lang = x.lang and p.phrase = array_to_string(list_slice(x.w, 1, x.cut), ' ')
+  join counts q on q.lang = x.lang and q.phrase = array_to_string(list_slice(x.w, x.cut + 1, x.k), ' ')),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inner_runs as (select lang, c, w, k, m, unnest(generate_series(1, k - m + 1)) as s
+  from counts, (select unnest(generate_series(2, 4)) as m) where k > m),
+within as (select lang, array_to_string(list_slice(w, s, s + m - 1), ' ') as phrase, max(c) as c from inner_runs group by all),
+kept as (select lowest.* from lowest left join within using (lang, phrase) where within.c is null or 100 * within.c < 100 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept qualify rank <= 2000
+"""
+
+
+@_add("op11_phrase_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    found = collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP12_SQL = r"""
+with texts as (select row_number() over () as t, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+places as (select t, w, unnest(generate_series(1, len(w))) as i from texts),
+windows as (select t, i, w[i] as word, case when i + 34 <= len(w) then array_to_string(list_slice(w, i, i + 34), ' ') end as passage from places),
+marked as (select t, i, word, case when passage is not null and count(*) over (partition by passage) > 1 then 1 else 0 end as again from windows),
+covered as (select t, i, word, max(again) over (partition by t order by i rows between 34 preceding and current row) = 1 as gone from marked),
+kept as (select t, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from covered group by t)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (t)
+"""
+
+
+@_add("op12_prefix_suffix_trees", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand elsewhere too."""
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"), width=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_add("op13_cholesky_jacobi_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
