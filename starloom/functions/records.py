@@ -33,56 +33,109 @@ def locale_name(c: ColumnOrName) -> Column:
     return F.coalesce(F.when(is_object, F.coalesce(*named)).otherwise(raw), F.lit(""))
 
 
-# A JSON text, one that may be a key, and what names an object in a list of skills or of people.
-_TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_TEXT_OR_KEY = _TEXT + r"(?:\s*+:\s*+)?"
+# The tokens of a JSON text (a key carries its colon), a number or truth value, and what names an object in a
+# list of skills or of people.
+_TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?|[\[\]{},]|[^\s"\[\]{},:]++'
 _SCALAR = r"^(-?[0-9][0-9eE.+-]*|true|false)"
 SKILL_NAMES = ["name", "title", "displayName", "label", "skillName", "text"]
 PERSON_NAMES = ["name", "title", "fullName", "displayName", "description", "summary", "text"]
 
 
-def json_values(c: ColumnOrName, words: Sequence[str]) -> Column:
-    """Values of all keys that contain one of the words, at any depth and in document order.
+def json_tokens(c: ColumnOrName) -> Column:
+    """The tokens of a JSON text in order: one pass over the text, from which any number of keys can be read."""
+    return F.regexp_extract_all(col(c), F.lit(_TOKENS), F.lit(0))
+
+
+def _is_key(token: Column, words: Sequence[str]) -> Column:
+    """Whether a token is a key that contains one of the words, whatever the case."""
+    found = F.lit(False)
+    for word in words:
+        found = found | F.contains(F.lower(token), F.lit(word.lower()))
+    return F.endswith(token, F.lit(":")) & found
+
+
+def _present(items: Column) -> Column:
+    return F.filter(items, lambda x: x.isNotNull())
+
+
+def _text_of(token: Column) -> Column:
+    """The text that a token in quotes stands for."""
+    plain = F.substr(token, F.lit(2), F.length(token) - 2)
+    return F.when(F.contains(token, F.lit("\\")), json_text(F.concat(F.lit('{"v":'), token, F.lit("}")), "$.v")).otherwise(plain)
+
+
+def _scalars(tokens: Column, words: Sequence[str]) -> Column:
+    """(at, kind, value) of the keys found whose value is no object or array; the value is the token behind the key."""
+    def read(key: Column, at: Column) -> Column:
+        token = F.try_element_at(tokens, at + 2)
+        kind = F.substr(token, F.lit(1), F.lit(1))
+        value = F.when(kind == '"', _text_of(token)).otherwise(blank_to_null(F.regexp_extract(token, _SCALAR, 1)))
+        return F.when(_is_key(key, words) & ~kind.isin("{", "["), F.struct(at.alias("at"), kind.alias("kind"), value.alias("value")))
+
+    return _present(F.transform(tokens, read))
 
-    An array of (kind, value): kind is the value's first character, value the unescaped text of a string, the JSON text
-    of an object or array, the digits of a number, NULL for null. Keys are compared without case; what only looks
-    like a key inside a text is not one.
+
+def _containers(tokens: Column, words: Sequence[str]) -> Column:
+    """(at, kind, value) of the keys found whose value is an object or array; the value is its JSON text.
+
+    The depth of a bracket follows from its place: the i-th bracket that is the k-th to open has k open and i - k closed before
+    it. At one depth opening and closing brackets take turns, so in order of depth and place the one after an opening bracket
+    closes it. Nothing is carried from bracket to bracket: the work grows with the tokens and the values returned.
     """
-    def walk(text: Column) -> Column:
-        parts = F.struct(
-            F.regexp_extract_all(text, F.lit(_TEXT_OR_KEY), F.lit(0)).alias("texts"), F.split(text, _TEXT_OR_KEY, -1).alias("gaps"))
-        return let(parts, lambda p: F.transform(_key_places(p["texts"], words), lambda i: _value_after(text, p["texts"], p["gaps"], i)))
+    def bracket(token: Column, at: Column) -> Column:
+        opens = token.isin("{", "[")
+        found = opens & (at > 0) & F.coalesce(_is_key(F.get(tokens, F.greatest(at - 1, F.lit(0))), words), F.lit(False))
+        return F.when(opens | token.isin("}", "]"), F.struct(at.alias("at"), opens.alias("opens"), found.alias("found")))
+
+    def placed(brackets: Column, opening: bool) -> Column:
+        numbered = F.transform(brackets, lambda b, i: F.struct(i.alias("i"), b.alias("b")))
+        side = F.filter(numbered, lambda x: x["b"]["opens"] if opening else ~x["b"]["opens"])
+        return F.transform(side, lambda x, k: F.struct(
+            (2 * k + 1 - x["i"] if opening else x["i"] - 2 * k).alias("depth"), x["b"]["at"].alias("at"), x["b"]["opens"].alias("opens"),
+            x["b"]["found"].alias("found")))
 
-    return let(col(c), walk)
+    def spans(ordered: Column) -> Column:
+        def span(b: Column, i: Column) -> Column:
+            after = F.get(ordered, i + 1)
+            closed = b["found"] & (after["depth"] == b["depth"]) & ~after["opens"]
+            return F.when(closed, F.struct(b["at"].alias("start"), after["at"].alias("stop")))
 
+        return _present(F.transform(ordered, span))
 
-def _key_places(texts: Column, words: Sequence[str]) -> Column:
-    def matches(t: Column) -> Column:
-        found = F.lit(False)
-        for word in words:
-            found = found | F.contains(F.lower(t), F.lit(word.lower()))
-        return F.rlike(t, F.lit(r":\s*$")) & found
+    def read(span: Column) -> Column:
+        # one by one, as a slice of an array walks over all that lies before it
+        parts = F.transform(F.sequence(span["start"], span["stop"]), lambda i: F.get(tokens, i))
+        return F.struct((span["start"] - 1).alias("at"), F.get(tokens, span["start"]).alias("kind"), F.array_join(parts, "").alias("value"))
 
-    return F.filter(F.transform(texts, lambda t, i: F.when(matches(t), i)), lambda i: i.isNotNull())
+    brackets = _present(F.transform(tokens, bracket))
+    ordered = let(brackets, lambda b: F.sort_array(F.concat(placed(b, True), placed(b, False))))
+    return F.transform(let(ordered, spans), read)
 
 
-def _value_after(text: Column, texts: Column, gaps: Column, i: Column) -> Column:
-    def length(parts: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0), lambda n, t: n + F.length(t))
+def json_values(c: ColumnOrName, words: Sequence[str]) -> Column:
+    """Values of all keys that contain one of the words, at any depth and in document order.
 
-    def value(rest: Column) -> Column:
-        kind = F.substr(rest, F.lit(1), F.lit(1))
-        whole = F.get_json_object(rest, "$")  # the first value of the rest
-        return F.struct(kind.alias("kind"), F.when(kind.isin('"', "{", "["), whole).otherwise(
-            blank_to_null(F.regexp_extract(rest, _SCALAR, 1))).alias("value"))
+    An array of (at, kind, value): the place of the key among the tokens, the value's first character, and the unescaped text of a
+    string, the JSON text of an object or array, the digits of a number, NULL for null. Keys are compared without case; what only
+    looks like a key inside a text is not one. An object or array that is never closed is left out.
+    """
+    return let(json_tokens(c), lambda tokens: values_in(tokens, words))
 
-    return let(F.substr(text, length(texts) + length(gaps) + 1), value)
+
+def values_in(tokens: ColumnOrName, words: Sequence[str]) -> Column:
+    """`json_values` over the tokens of a record."""
+    tokens = col(tokens)
+    return F.sort_array(F.concat(_scalars(tokens, words), _containers(tokens, words)))
 
 
 def json_find(c: ColumnOrName, words: Sequence[str]) -> Column:
     """First non-blank text, number or truth value, in document order, whose key contains one of the words."""
-    values = json_values(c, words)
-    kept = F.filter(values, lambda v: ~v["kind"].isin("{", "[") & v["value"].isNotNull() & (strip(v["value"]) != ""))
+    return let(json_tokens(c), lambda tokens: find_in(tokens, words))
+
+
+def find_in(tokens: ColumnOrName, words: Sequence[str]) -> Column:
+    """`json_find` over the tokens of a record."""
+    kept = F.filter(_scalars(col(tokens), words), lambda v: v["value"].isNotNull() & (strip(v["value"]) != ""))
     return F.try_element_at(kept, F.lit(1))["value"]
 
 
@@ -100,7 +153,12 @@ def _names(kind: Column, value: Column, names: Sequence[str]) -> Column:
 
 def json_collect(c: ColumnOrName, words: Sequence[str], names: Sequence[str] = SKILL_NAMES) -> Column:
     """Every text of a key containing one of the words: its own, or those in its array; objects give their name."""
-    return F.flatten(F.transform(json_values(c, words), lambda v: _names(v["kind"], v["value"], names)))
+    return let(json_tokens(c), lambda tokens: collect_in(tokens, words, names))
+
+
+def collect_in(tokens: ColumnOrName, words: Sequence[str], names: Sequence[str] = SKILL_NAMES) -> Column:
+    """`json_collect` over the tokens of a record."""
+    return F.flatten(F.transform(values_in(tokens, words), lambda v: _names(v["kind"], v["value"], names)))
 
 
 def json_names(c: ColumnOrName, path: str, names: Sequence[str], lists_only: bool = True) -> Column:

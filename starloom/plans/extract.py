@@ -187,12 +187,12 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     """
     none = F.array().cast(TEXTS)
     parsed = hits.join(pages, "slug", "left").select(
-        "slug", "hit", "page", F.from_json("hit", HIT_SCHEMA).alias("h"),
+        "slug", "hit", "page", records.json_tokens("page").alias("tokens"), F.from_json("hit", HIT_SCHEMA).alias("h"),
         F.from_json("page", NESTED_SCHEMA).getField("pageProps").alias("g"),
     )
     # Every nested object under a short name: h hit, g page, d details, s summary, c catalogue, e search text.
     both = parsed.select(
-        "slug", "hit", "page", "h", "g", F.col("g.staticProgramDetailsSectionProps").alias("d"),
+        "slug", "hit", "page", "tokens", "h", "g", F.col("g.staticProgramDetailsSectionProps").alias("d"),
         F.col("g.programSummary").alias("s"), F.col("g.catalogProgramProps").alias("c"), F.col("g.seoProps").alias("e"),
         records.json_names("hit", "$.instructors", records.PERSON_NAMES, lists_only=False).alias("people"),
     )
@@ -205,10 +205,10 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     rating = _pick(["h.reviewStarsAverage", "h.rating", "g.reviewStarsAverage", "d.reviewStarsAverage"])
     listed = F.filter(records.json_plain_texts("hit", "$.skills"), lambda s: ~is_opaque_id(s))
     skills = clean_names(F.concat(
-        F.coalesce(records.json_collect("page", ["skill"]), none), *[records.json_names("hit", f"$.{n}", records.SKILL_NAMES) for n in _LISTS]
+        F.coalesce(records.collect_in("tokens", ["skill"]), none), *[records.json_names("hit", f"$.{n}", records.SKILL_NAMES) for n in _LISTS]
     ))
     everyone = F.concat(
-        "people", F.coalesce(records.json_collect("page", ["instructor", "mentor"], records.PERSON_NAMES), none))
+        "people", F.coalesce(records.collect_in("tokens", ["instructor", "mentor"], records.PERSON_NAMES), none))
     # The places of every field, in the order they are tried.
     return both.select(
         _pick(["h.key", "h.id", "g.programKey", "g.programId", "g.courseId", "d.programKey", "d.courseId", "s.key"], F.col("slug")
@@ -220,7 +220,7 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
             "h.language", "h.locale", "h.lang", "g.language", "g.locale", "g.lang", "d.language", "d.locale",
             "e.inLanguage", "s.language",
         ],
-            records.json_find("page", ["language", "locale", "lang"]),
+            records.find_in("tokens", ["language", "locale", "lang"]),
         ).alias("Language"),
         F.trim(_pick(["h.description", "h.summary", "g.description", "d.description", "d.summary", "e.description"])).alias("Description"),
         blank_to_null(F.array_join(F.when(known, skills).otherwise(listed), ", ")).alias("Skill"),
@@ -238,7 +238,7 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
             "g.enrollmentCount", "g.studentCount", "g.studentsEnrolled", "g.learnerCount", "d.enrollmentCount",
             "d.studentCount", "s.enrollmentCount", "s.studentCount",
         ],
-            records.json_find("page", ["enroll", "student", "learner"]),
+            records.find_in("tokens", ["enroll", "student", "learner"]),
         ).alias("No. of Students enrolled"),
         blank_to_null(F.array_join(F.when(known, clean_people(everyone)).otherwise(F.col("people")), ", "))
         .alias("Programming Instructor"),
@@ -246,7 +246,7 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
             "h.lastUpdated", "h.updatedAt", "h.lastModified", "g.lastUpdated", "g.updatedAt", "g.lastModified",
             "d.lastUpdated", "d.updatedAt", "s.lastUpdated",
         ],
-            records.json_find("page", ["updated", "modified"]),
+            records.find_in("tokens", ["updated", "modified"]),
         ).alias("Last Update"),
         _pick(["h.semanticType", "h.type", "g.semanticType", "g.courseType", "d.semanticType", "s.semanticType"]).alias("Type of Course"),
         _pick(["d.duration", "s.duration", "c.duration", "g.duration", "h.duration"]).alias("Duration"),

@@ -1,9 +1,11 @@
 """Column functions on small inputs, results worked out by hand."""
 
 import html
+import json
 import math
 import random
 import re
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -355,3 +357,75 @@ def test_json_ld_choice(values):
 def test_audience(values):
     given = ["<b>1,234</b> already enrolled", "12 Students and 5 enrolled", "7 learners", "none"]
     assert values(records.enrolment_count, given) == [1234, 5, 7, None]
+
+
+def plain_walk(value, words):
+    """(key found, value) of every key that contains a word, at any depth, in document order."""
+    if isinstance(value, dict):
+        for k, v in value.items():
+            if any(w in k.lower() for w in words):
+                yield v
+            yield from plain_walk(v, words)
+    elif isinstance(value, list):
+        for v in value:
+            yield from plain_walk(v, words)
+
+
+def some_json(rng, depth=0):
+    kind = rng.randrange(9 if depth < 5 else 6)
+    if kind < 2:
+        return rng.choice(["", " ", "plain", 'q"uo\\te', "a: {b", "]}", "ünï ☃", "line\nbreak", "\\", 'x":'])
+    if kind < 4:
+        return rng.choice([0, -1, 2.5, 10**12, True, False])
+    if kind == 4:
+        return None
+    if kind == 5:
+        return rng.choice([{}, []])
+    if kind == 6:
+        return [some_json(rng, depth + 1) for _ in range(rng.randrange(5))]
+    return {rng.choice(["lang", "LANGuage ", "x", "na\"me", "skill[", "}", "name", "skillName", "title"]) + str(i): some_json(rng, depth + 1)
+            for i in range(rng.randrange(5))}
+
+
+def test_json_walk_equals_a_plain_one(frame):
+    rng = random.Random(21)
+    records_ = [some_json(rng) for _ in range(600)]
+    texts = [json.dumps(x, ensure_ascii=i % 2 == 0, indent=rng.choice([None, 1]), separators=rng.choice([(",", ":"), (" , ", " : ")]))
+             for i, x in enumerate(records_)]
+    got = frame(list(enumerate(texts)), "i int, j string").select(
+        "i", records.json_values("j", ["lang", "skill"]).alias("v"), records.json_find("j", ["lang"]).alias("f")).orderBy("i").collect()
+    for record, r in zip(records_, got, strict=True):
+        want = list(plain_walk(record, ["lang", "skill"]))
+        assert len(r.v) == len(want)
+        for x, w in zip(r.v, want):
+            if isinstance(w, (dict, list)):
+                assert x.kind in "{[" and json.loads(x.value) == w
+            elif isinstance(w, str):
+                assert (x.kind, x.value or "") == ('"', w)
+            else:
+                assert w is None and x.value is None or json.loads(x.value) == w
+        plain = [w for w in plain_walk(record, ["lang"]) if not isinstance(w, (dict, list)) and w is not None and str(w).strip()]
+        assert r.f == (None if not plain else plain[0] if isinstance(plain[0], str) else json.dumps(plain[0]))
+
+
+def test_json_walk_of_records_that_are_none(values):
+    for broken in ("", "   ", "no json", '{"lang"', '{"lang":', '{"lang": [1, 2', '{"lang": "open', "}}]]", None):
+        assert values(lambda c: records.json_find(c, ["lang"]), [broken]) == [None]
+        assert values(lambda c: F.size(records.json_collect(c, ["lang"])), [broken])[0] in (0, None, -1)
+
+
+def test_json_walk_grows_with_the_record(frame):
+    """Four times the keys take about four times the time, not sixteen times."""
+    def seconds(n):
+        record = json.dumps([{"skills": [{"name": f"n{i}"}, "t"], "lang": ""} for i in range(n)])
+        df = frame([(record,)], "j string").select(F.size(records.json_collect("j", ["skill"])), records.json_find("j", ["lang"]))
+        times = []
+        for _ in range(3):
+            begun = time.perf_counter()
+            assert df.first()[0] == 2 * n
+            times.append(time.perf_counter() - begun)
+        return min(times)
+
+    seconds(1000)
+    small, large = seconds(8000), seconds(32_000)
+    assert large < 8 * small + 1
