@@ -76,18 +76,82 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+# Accumulators of an exact sum. Values of up to six decimals count in millionths, in two longs of _LOW_BITS and the rest; all
+# others go by binary digits to longs of _BIN bits each, from 2**_FIRST on. No long overflows below 10**10 rows of a group.
+_MILLIONTHS, _LOW_BITS, _MOST = 1e6, 26, 2.0 ** 33
+_BIN, _FIRST, _BINS = 24, -96, 8
+_SMALLEST, _LARGEST = 2.0 ** (_FIRST + 53), 2.0 ** (_FIRST + _BIN * _BINS - 4)  # of a value that loses no digit in the bins
+
+
+def _from_bins(bins: Column) -> Column:
+    """(whole, rest) of a number of 0 or more given by its bins, lowest first: digits from 2**0 on as decimal, those below as double."""
+    unit = F.lit(float(1 << _BIN))
+
+    def step(state: Column, total: Column, place: Column) -> Column:
+        with_carry = total + state["carry"]
+        digit = F.pmod(with_carry, F.lit(1 << _BIN))
+        return F.struct(
+            F.shiftright(with_carry, _BIN).alias("carry"),
+            (state["rest"] + F.when(place < 0, digit * F.pow(F.lit(2.0), place)).otherwise(0.0)).alias("rest"),
+            (state["whole"] + F.when(place >= 0, digit * state["scale"]).otherwise(0)).cast("decimal(38,0)").alias("whole"),
+            F.when(place >= 0, state["scale"] * unit.cast("decimal(9,0)")).otherwise(state["scale"]).cast("decimal(38,0)").alias("scale"))
+
+    zero, one = F.lit(0).cast("decimal(38,0)"), F.lit(1).cast("decimal(38,0)")
+    start = F.struct(F.lit(0).cast("long").alias("carry"), F.lit(0.0).alias("rest"), zero.alias("whole"), one.alias("scale"))
+    places = F.array(*[F.lit(_FIRST + _BIN * k) for k in range(_BINS)])
+    pairs = F.arrays_zip(bins.alias("total"), places.alias("place"))
+    return F.aggregate(pairs, start, lambda s, p: step(s, p["total"], p["place"]), lambda s: F.struct(
+        (s["whole"] + s["carry"] * s["scale"]).cast("decimal(38,0)").alias("whole"), s["rest"].alias("rest")))
+
+
+def _bins_total(bins: Column) -> Column:
+    """Signed (whole, rest) of bins of either sign."""
+    top = F.aggregate(bins, F.lit(0).cast("long"), lambda carry, total: F.shiftright(total + carry, _BIN))
+    sign = F.when(top < 0, -1).otherwise(1)
+
+    def signed(number: Column) -> Column:
+        return F.struct((number["whole"] * sign).cast("decimal(38,0)").alias("whole"), (number["rest"] * sign).alias("rest"))
+
+    return let(_from_bins(F.transform(bins, lambda b: b * sign)), signed)
+
+
 def exact_sum(c: ColumnOrName) -> Column:
     """Sum as double that does not depend on the order in which partitions arrive.
 
-    Every value is added by its decimal digits, 18 of them behind the point, so a retried or differently
-    partitioned run gives the same result. If a group holds a value that has no such form (NaN, an infinity, 10**20 or more,
-    or digits beyond the eighteenth that matter) or its total has none, the plain sum of doubles is returned.
+    Whole numbers are added only: a value of up to six decimals and below 2**33 by its decimal digits, any other between 2**-43 and
+    2**92 by its binary digits, so a retried or differently partitioned run gives the same result. If a group holds a
+    value outside that range (NaN, an infinity, 10**28, 10**-14), the plain sum of doubles is returned.
     """
     value = col(c).cast("double")
-    digits = value.try_cast("decimal(38,18)")
-    lost = value.isNotNull() & (digits.isNull() | (F.abs(digits.cast("double") - value) > F.abs(value) * 1e-12))
-    exact = F.when(F.count(F.when(lost, 1)) == 0, F.try_sum(digits).cast("double"))
-    return F.coalesce(exact, F.sum(value))
+    size = F.abs(value)
+    millionths = F.rint(value * _MILLIONTHS)
+    short = (size < _MOST) & (millionths / _MILLIONTHS == value)
+    long = ~short & (size >= _SMALLEST) & (size < _LARGEST)
+    whole = millionths.cast("long")
+    low = F.sum(F.when(short, whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
+    high = F.sum(F.when(short, F.shiftright(whole, _LOW_BITS)))
+
+    def nearest(k: int) -> Column:
+        """The value to the nearest multiple of a bin's unit, in that unit."""
+        return F.rint(value * F.lit(2.0 ** -(_FIRST + _BIN * k)))
+
+    def bin_sum(k: int) -> Column:
+        digit = nearest(k) if k == _BINS - 1 else nearest(k) - nearest(k + 1) * F.lit(float(1 << _BIN))
+        return F.coalesce(F.sum(F.when(long, digit.cast("long"))), F.lit(0).cast("long"))
+
+    # the widest kind of value: 0 short ones only, 1 long ones, 2 others; NULL without values
+    widest = F.max(F.when(short, 0).when(long, 1).when(value.isNotNull(), 2))
+    parts = F.struct(
+        F.coalesce(high, F.lit(0).cast("long")).alias("high"), F.coalesce(low, F.lit(0).cast("long")).alias("low"),
+        F.array(*[bin_sum(k) for k in range(_BINS)]).alias("bins"), widest.alias("widest"), F.sum(value).alias("plain"))
+
+    def total(p: Column) -> Column:
+        digits = (p["high"].cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(9,0)") + p["low"]).cast("decimal(32,0)")
+        short_sum = (digits * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,6)")
+        both = let(_bins_total(p["bins"]), lambda b: (short_sum + b["whole"]).cast("decimal(38,6)").cast("double") + b["rest"])
+        return F.when(p["widest"] == 0, short_sum.cast("double")).when(p["widest"] == 1, both).otherwise(p["plain"])
+
+    return let(parts, total)
 
 
 def exact_avg(c: ColumnOrName) -> Column:

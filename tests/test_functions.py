@@ -8,6 +8,7 @@ import re
 import time
 from datetime import date
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -429,3 +430,18 @@ def test_json_walk_grows_with_the_record(frame):
     seconds(1000)
     small, large = seconds(8000), seconds(32_000)
     assert large < 8 * small + 1
+
+
+def test_exact_sums_of_any_sizes_under_any_partitioning(spark):
+    rng = random.Random(9)
+    given = [rng.choice([-1, 1]) * rng.uniform(1, 10) * 10.0 ** rng.choice([-10, -3, 0, 6, 13, 20]) for _ in range(4000)] + [1e-10, 1e13, 1e20, 1 / 3]
+    rows = [(i % 3, x) for i, x in enumerate(given)] + [(3, 1e20), (3, 1e-10), (3, -1e20), (4, -1 / 3), (4, 1e13), (4, -1e13), (5, None), (6, -0.0)]
+    found = set()
+    for parts in (1, 3, 16):
+        df = spark.createDataFrame(rows, "k int, x double").repartition(parts)
+        found.add(tuple(sorted((r[0], r[1]) for r in df.groupBy("k").agg(exact_sum("x")).collect())))
+    assert len(found) == 1
+    for k, total in found.pop():
+        members = [Fraction(x) for i, x in rows if i == k and x is not None]
+        want = float(sum(members)) if members else None
+        assert total == want or abs(total - want) <= 1e-15 * abs(want)
