@@ -208,6 +208,56 @@ def stage_feed(
     )
 
 
+def stage_feeds(
+    df: DataFrame, platform: str = "platform", rules: Rules = DEFAULT, tiebreak: Sequence[Column] | None = None,
+    feeds: Sequence[Feed] = (COURSERA, UDACITY, UDEMY),
+) -> DataFrame:
+    """Several feeds to canonical rows in one pass: one scan and one shuffle, however many feeds there are.
+
+    ``df`` holds the raw rows of all feeds under the canonical names, told apart by a column with the platform. The result is
+    that of :func:`stage_feed` on each feed and :func:`combine_feeds`; rows of other platforms are left out. Where feeds differ
+    (ids, dates, delimiters) the rule is chosen per row.
+    """
+    def per_feed(value: Callable[[Feed], Column]) -> Column:
+        chosen = None
+        for feed in feeds:
+            own = F.col(platform) == feed.platform
+            chosen = F.when(own, value(feed)) if chosen is None else chosen.when(own, value(feed))
+        return chosen
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string")
+
+    def kept_id(feed: Feed) -> Column:
+        numeric = whole_number(text("course_id")).isNotNull() if feed.numeric_ids_only else F.lit(True)
+        return numeric & (F.col("course_id").isNotNull() if feed.id_required and rules.drop_null_ids else F.lit(True))
+
+    def day(feed: Feed) -> Column:
+        if feed.iso_dates:
+            return parse_iso_date(text("last_updated"))
+        strict = F.to_date(text("last_updated"), fixed.FEED_DATE_FORMAT)
+        return parse_feed_date(text("last_updated")) if rules.lenient_dates else strict
+
+    def latest(feed: Feed) -> Column:
+        return text("last_updated").try_cast("timestamp_ntz") if feed.iso_dates else day(feed).cast("timestamp_ntz")
+
+    if tiebreak is None:
+        tiebreak = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
+    rows = df.filter(per_feed(kept_id))
+    kept = deduplicate(rows, [platform, "course_id"], [per_feed(latest).desc_nulls_last(), *tiebreak])
+    skills = per_feed(lambda f: rewrite_delimiter(text("skills"), f.skill_delimiter) if f.skill_delimiter else F.trim(text("skills")))
+    columns = {
+        "course_id": text("course_id"), "title": F.trim(text("title")), "course_url": text("course_url"), "platform": F.col(platform),
+        "language": standardize_language(text("language")), "description": F.trim(text("description")), "skills": skills,
+        "level": text("level"), "instructor": F.trim(text("instructor")), "domain_name": text("domain_name"),
+        "offering_type": text("offering_type"), "last_updated": per_feed(day), "duration_raw": text("duration_raw"),
+        "duration_hours": parse_duration(text("duration_raw"), leading_only=rules.leading_number_only),
+        "review_count": whole_number("review_count"), "rating": F.col("rating").try_cast("double"),
+        "price": F.col("price").try_cast("double"), "price_model": text("price_model"), "enrolled_students": whole_number("enrolled_students"),
+    }
+    return kept.select(*[columns[c].alias(c) for c in fixed.CANONICAL_COLUMNS])
+
+
 def combine_feeds(*staged: DataFrame) -> DataFrame:
     """All staged feeds as one table, columns matched by name."""
     return union_by_name(*staged).select(*fixed.CANONICAL_COLUMNS)

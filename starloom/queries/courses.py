@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.rules import CLOUD, DEFAULT, LOCAL, Rules
-from ..plans.staging import FEEDS, UDEMY, Feed, align_feed, combine_feeds, stage_feed
+from ..plans.staging import FEEDS, UDEMY, Feed, align_feed, combine_feeds, stage_feed, stage_feeds
 from ..plans.standardize import standardize_courses
 from ..functions import fixed
 from .registry import query, r, table
@@ -89,8 +89,26 @@ def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT,
     return stage_feed(raw_feed(spark, sf_dir, feed, whole), feed, rules, [F.asc(c) for c in TIES])
 
 
+def raw_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows of all feeds under the canonical names, derived in one pass over the lines."""
+    rows = (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    each = {f.platform: _raw_values(f.platform) for f in FEEDS.values()}
+
+    def value(column: str) -> str:
+        if len({values[column] for values in each.values()}) == 1:
+            return each[UDEMY.platform][column]
+        return "case l_returnflag " + " ".join(f"when '{FLAG[p]}' then {values[column]}" for p, values in each.items()) + " end"
+
+    named = "case l_returnflag " + " ".join(f"when '{flag}' then '{p}'" for p, flag in FLAG.items()) + " end as platform"
+    return rows.selectExpr(named, *[f"{value(c)} as {c}" for c in each[UDEMY.platform]], *TIES)
+
+
 def combined(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:
-    return combine_feeds(*[staged(spark, sf_dir, f, rules) for f in FEEDS.values()])
+    return stage_feeds(raw_feeds(spark, sf_dir), "platform", rules, [F.asc(c) for c in TIES])
 
 
 def standardized(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:
@@ -235,7 +253,7 @@ for _key, _feed in FEEDS.items():
 
 @query("set_1_combine_feeds", with_courses("select * from combined"))
 def combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combined(spark, sf_dir)
+    return combine_feeds(*[staged(spark, sf_dir, f) for f in FEEDS.values()])
 
 
 def _register_rules(name: str, rules: Rules) -> None:

@@ -1,17 +1,20 @@
 """Warehouse jobs end to end on a few courses."""
 
 import json
+from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
 
 import pytest
 from conftest import rows
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.operators.staging_area import stage
 from starloom.plans import dashboard, extract, history, semantic, star
 from starloom.plans.rules import CLOUD, DEFAULT, LOCAL
-from starloom.plans.staging import COURSERA, UDACITY, UDEMY, align_feed, combine_feeds, stage_feed
+from starloom.plans.staging import COURSERA, UDACITY, UDEMY, align_feed, combine_feeds, stage_feed, stage_feeds
 from starloom.plans.standardize import standardize_courses
 
 UDEMY_SCHEMA = (
@@ -64,6 +67,20 @@ def courses(feeds):
     return stage(standardize_courses(combined), "courses")
 
 
+@pytest.mark.parametrize("rules", [DEFAULT, replace(LOCAL, lenient_dates=True), replace(CLOUD, lenient_dates=True)])
+def test_feeds_staged_together_are_as_those_staged_alone(feeds, rules):
+    """One pass over all feeds under the canonical names against one staging per feed and their union."""
+    raw, alone = [], []
+    for df, feed in zip(feeds, (COURSERA, UDACITY, UDEMY)):
+        named = {c: next(n for n in names if n in df.columns) for c, names in feed.columns.items()}
+        raw.append(df.select(F.lit(feed.platform).alias("platform"), *[F.col(f"`{n}`").cast("string").alias(c) for c, n in named.items()]))
+        alone.append(stage_feed(df, feed, rules))
+    together = reduce(DataFrame.unionByName, [*raw, raw[0].withColumn("platform", F.lit("Other"))])
+    got, want = stage_feeds(together, "platform", rules), combine_feeds(*alone)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert rows(got) == rows(want)
+
+
 def test_latest_row_per_id(feeds):
     _, d, u = feeds
     got = {r["course_id"]: r for r in stage_feed(u, UDEMY).collect()}
