@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import let
-from .numbering import running_count
+from .staging_area import stage
 
 
 def group_by_first(df: DataFrame, n: int):
@@ -54,36 +54,58 @@ def modes(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) -> Da
     )
 
 
+# Distinct values of a group that one task sorts; a group with more is narrowed down first, to about a thirtieth at a time.
+MOST_VALUES = 100_000
+SPLITS = 32
+
+
 def medians(df: DataFrame, group_by: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """Exact median per group (mean of the two middle values), as double; NULL where a group has no value.
 
-    Values are counted per (group, value), numbered by a distributed running sum, and the
-    one or two middle values picked by position, so no task holds a group.
+    Values are counted per (group, value) before they meet. A group of many distinct values is narrowed down: one aggregation gives
+    splitters, another the counts between them, and only the values between the splitters around the middle are
+    looked at further. What is sorted at the end is MOST_VALUES values of a group at most, whatever the size of the group.
     """
-    keys = list(group_by)
-    stacked = _stack(df, keys, columns, "double")
+    keys, order = list(group_by), [*group_by, "name"]
     # NULL counts nothing: it only keeps its group
-    histogram = stacked.groupBy(*keys, "name", "value").agg(F.count("value").alias("__n"))
-    order = [*keys, "name"]
-    summed = running_count(histogram, [*order, "value"], "__n", "__upto")
-    spans = summed.groupBy(*order).agg(
-        F.min(F.col("__upto") - F.col("__n")).alias("__from"), F.max("__upto").alias("__to")
-    )
-    size = F.col("__to") - F.col("__from")
-    low = F.col("__from") + F.floor((size + 1) / 2)
-    high = F.col("__from") + F.floor((size + 2) / 2)
-    picked = (
-        join_groups(summed, spans, order, "inner")
-        .groupBy(*order)
-        .agg(
-            F.min(F.when(F.col("__upto") >= low, F.col("value"))).alias("__low"),
-            F.min(F.when(F.col("__upto") >= high, F.col("value"))).alias("__high"),
-        )
-    )
-    middle = (F.col("__low") + F.col("__high")) / 2
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("name") == name, middle)).alias(name) for name in columns]
-    )
+    counted = stage(_stack(df, keys, columns, "double").groupBy(*order, "value").agg(F.count("value").alias("__n")), "values")
+    spans = counted.groupBy(*order).agg(F.sum("__n").alias("__total"), F.count("value").alias("__distinct")).select(
+        *order, F.expr("(__total + 1) div 2").alias("__low"), F.expr("(__total + 2) div 2").alias("__high"), "__distinct",
+        F.lit(None).cast("double").alias("__from"), F.lit(None).cast("double").alias("__to"), F.lit(0).cast("long").alias("__before"))
+    spans = stage(spans, "spans")
+    while not (wide := spans.filter(F.col("__distinct") > MOST_VALUES)).isEmpty():
+        narrowed = _narrowed(_inside(counted, wide, order), wide, order)
+        spans = stage(spans.filter(F.col("__distinct") <= MOST_VALUES).unionByName(narrowed), "spans")
+    upto = F.col("__before") + F.sum("__n").over(Window.partitionBy(*order).orderBy("value"))
+    picked = _inside(counted, spans, order).withColumn("__upto", upto).groupBy(*order).agg(
+        F.min(F.when(F.col("__upto") >= F.col("__low"), F.col("value"))).alias("__lower"),
+        F.min(F.when(F.col("__upto") >= F.col("__high"), F.col("value"))).alias("__upper"))
+    middle = (F.col("__lower") + F.col("__upper")) / 2
+    return join_groups(spans.select(*order), picked, order, "left").groupBy(*keys).agg(
+        *[F.max(F.when(F.col("name") == name, middle)).alias(name) for name in columns])
+
+
+def _inside(counted: DataFrame, spans: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The counted values within the span of their group."""
+    value = F.col("value")
+    within = (F.col("__from").isNull() | (value >= F.col("__from"))) & (F.col("__to").isNull() | (value <= F.col("__to")))
+    return join_groups(counted.filter(value.isNotNull()), spans, order, "inner").filter(within)
+
+
+def _narrowed(inside: DataFrame, spans: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Spans cut down to the values between the splitters next to the middle."""
+    places = [k / SPLITS for k in range(1, SPLITS)]
+    cuts = inside.groupBy(*order).agg(F.percentile_approx("value", places, 50 * SPLITS).alias("__cuts"))
+    part = F.size(F.filter("__cuts", lambda c: c <= F.col("value"))).alias("__part")
+    parts = join_groups(inside, cuts, order, "inner").groupBy(*order, part).agg(
+        F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__values"), F.min("value").alias("__least"), F.max("value").alias("__most"))
+    running = Window.partitionBy(*order).orderBy("__part")  # SPLITS rows of a group
+    placed = join_groups(parts, spans, order, "inner").withColumn("__upto", F.col("__before") + F.sum("__n").over(running))
+    start = F.col("__upto") - F.col("__n")
+    holds = [(start < F.col(rank)) & (F.col("__upto") >= F.col(rank)) for rank in ("__low", "__high")]
+    return placed.filter(holds[0] | holds[1]).groupBy(*order).agg(
+        F.max("__low").alias("__low"), F.max("__high").alias("__high"), F.sum("__values").alias("__distinct"),
+        F.min("__least").alias("__from"), F.max("__most").alias("__to"), F.min(start).alias("__before"))
 
 
 def distinct_text(df: DataFrame, group_by: Sequence[str], columns: dict[str, str], separator: str = ", ") -> DataFrame:

@@ -84,6 +84,27 @@ def test_staged_tables_live_in_the_given_folder(spark, frame):
 
 # --- aggregates ---------------------------------------------------------------------------
 
+@pytest.mark.parametrize("most", [40, 7])
+def test_medians_of_large_groups_are_narrowed_down(frame, monkeypatch, most):
+    """Half of all rows in one group, nearly equal, heavily tied and infinite values, odd and even counts; few values may be sorted."""
+    monkeypatch.setattr(aggregate, "MOST_VALUES", most)
+    rng = random.Random(4)
+    data = [("hot", rng.gauss(0, 1), rng.randrange(3)) for _ in range(3000)] + [(None, rng.choice([1.0, 2.0, float("inf"), -1e300]), None) for _ in range(701)]
+    data += [("even", float(i), 5) for i in range(500)] + [("two", 1.0, 1), ("two", 4.0, None)] + [("none", None, None)] * 3
+    data += [("steep", 2.0 ** i, i) for i in range(-400, 400)] + [("steep", 1.0, 0)] * 900
+    rng.shuffle(data)
+    groups = {}
+    for k, x, y in data:
+        groups.setdefault(k, ([], []))
+        for values, v in zip(groups[k], (x, y)):
+            values += [] if v is None else [float(v)]
+    want = [(k, *(median(v) if v else None for v in both)) for k, both in groups.items()]
+    got = rows(aggregate.medians(frame(data, "k string, x double, y int").repartition(5), ["k"], {"mx": "x", "my": "y"}))
+    assert got == sorted(want, key=repr)
+    every = [x for _, x, _ in data if x is not None]
+    assert rows(aggregate.medians(frame(data, "k string, x double, y int"), [], {"mx": "x"})) == [(median(every),)]
+
+
 def test_medians_and_modes_by_brute_force(skewed):
     got = {r["k"]: r for r in aggregate.medians(skewed, ["k"], {"mv": "v", "mid": "id"}).collect()}
     modes = {r["k"]: r["m"] for r in aggregate.modes(skewed, ["k"], {"m": "v"}).collect()}
