@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
+from .aggregate import join_groups
+from .numbering import number_rows
 
 
 def _quoted(name: str) -> Column:
@@ -100,6 +102,35 @@ def pivot(
     return out
 
 
+def pivot_map(
+    df: DataFrame, group_by: Sequence[str], column: str, values: DataFrame | None = None, agg: str = "sum", then_value=1, name: str = "cells",
+) -> DataFrame:
+    """Pivot by a table of values: one row per group with a map from value to aggregate, in the order of the values.
+
+    ``values`` has a column ``value`` (e.g. :func:`column_values`) and may be of any size: it is numbered and joined, nothing goes
+    through a list on the driver. Without it all values of the column are taken, in ascending order. A map holds the values that
+    occur in its group; one that is not in it has the aggregate of no rows (0 for a sum or a count). Groups with none of the values have
+    an empty map; repeated and NULL values count once and not at all.
+    """
+    keys = [_quoted(g) for g in group_by]
+    cell = then_value if isinstance(then_value, Column) else F.lit(then_value)
+    rows = df.select(*keys, _quoted(column).alias("__value"), cell.alias("__cell"))
+    counted = rows.filter(F.col("__value").isNotNull()).groupBy(*keys, "__value").agg(getattr(F, agg)("__cell").alias("__cell"))
+    if values is None:
+        placed = counted.withColumn("__place", F.lit(0).cast("long"))  # in ascending order by the value itself
+    else:
+        wanted = values.select(F.col("value").alias("__value")).withColumn("__row", F.monotonically_increasing_id())
+        wanted = number_rows(wanted.filter(F.col("__value").isNotNull()), ["__row"], "__place").groupBy("__value").agg(F.min("__place").alias("__place"))
+        placed = counted.join(wanted, "__value")
+    entries = F.sort_array(F.collect_list(F.struct("__place", "__value", "__cell")))
+    cells = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["__value"], e["__cell"])))
+    empty = rows.select(*keys).distinct()
+    maps = placed.groupBy(*keys).agg(cells.alias(name))
+    nothing = F.map_from_arrays(F.array().cast(T.ArrayType(counted.schema["__value"].dataType)),
+                                F.array().cast(T.ArrayType(counted.schema["__cell"].dataType)))
+    return join_groups(empty, maps, list(group_by), "left").withColumn(name, F.coalesce(name, nothing))
+
+
 def unpivot(
     df: DataFrame, cast_to: str = "string", exclude: Sequence[str] = (), remove: Sequence[str] = (),
     field_name: str = "field_name", value_name: str = "value",
@@ -161,6 +192,9 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 # --- values and single results ------------------------------------------------------------
 
+MOST_LISTED = 100_000  # rows that come to the driver without a bound by the caller
+
+
 def column_values(
     df: DataFrame, column: str, order_by: Sequence[Column] | None = None, max_records: int | None = None,
     where: str | None = None, aggregates: Mapping[str, Column] | None = None,
@@ -179,14 +213,22 @@ def column_values(
 def column_value_list(df: DataFrame | None, column: str, default: list | None = None, **options) -> list:
     """:func:`column_values` as a Python list, e.g. for :func:`pivot`.
 
-    The list comes to the driver: bound it by ``max_records``, or use :func:`column_values` where there may be many. With no
-    table, or no rows, the default is returned.
+    The list comes to the driver: bound it by ``max_records``, or use :func:`column_values` and :func:`pivot_map` where there may
+    be many. Without it, more than MOST_LISTED values are refused. With no table, or no rows, the default is returned.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return default
-    return [r[0] for r in column_values(df, column, **options).collect()] or (default if default is not None else [])
+    return [r[0] for r in _listed(column_values(df, column, **options), options.get("max_records"))] or (default if default is not None else [])
+
+
+def _listed(df: DataFrame, max_records: int | None) -> list:
+    """Rows on the driver; without a bound no more than MOST_LISTED, of which one more is asked for to know."""
+    rows = df.collect() if max_records is not None else df.limit(MOST_LISTED + 1).collect()
+    if max_records is None and len(rows) > MOST_LISTED:
+        raise ValueError(f"more than {MOST_LISTED} rows for the driver: give max_records")
+    return rows
 
 
 def single_value(df: DataFrame, default=None):
@@ -196,8 +238,8 @@ def single_value(df: DataFrame, default=None):
 
 
 def results_as_dict(df: DataFrame, max_records: int | None = None) -> dict[str, tuple]:
-    """A result as ``{column: values}`` on the driver, at most the first ``max_records`` rows if given."""
-    rows = (df if max_records is None else df.limit(max_records)).collect()
+    """A result as ``{column: values}`` on the driver: at most the first ``max_records`` rows, or MOST_LISTED, beyond which it refuses."""
+    rows = _listed(df if max_records is None else df.limit(max_records), max_records)
     return {c: tuple(r[i] for r in rows) for i, c in enumerate(df.columns)}
 
 

@@ -290,6 +290,26 @@ def pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("o_orderpriority", *[F.col(c).cast("bigint") for c in result.columns[1:]])
 
 
+@query(
+    "agg_8_pivot_by_value_table",
+    """
+    with listed as (select l_suppkey as value, row_number() over (order by count(*) desc, l_suppkey) as place
+                    from lineitem where l_returnflag = 'R' group by 1),
+    counted as (select l_linestatus, l_suppkey as value, cast(sum(l_quantity) as bigint) as n from lineitem group by 1, 2)
+    select l_linestatus, count(*) as n_values, cast(sum(n) as bigint) as total,
+           string_agg(cast(value as varchar) || '=' || cast(n as varchar), ',' order by place) as cells
+    from counted join listed using (value) group by 1
+    """,
+)
+def pivot_by_value_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    values = shape.column_values(lines, "l_suppkey", where="l_returnflag = 'R'")
+    wide = shape.pivot_map(lines, ["l_linestatus"], "l_suppkey", values, then_value=F.col("l_quantity").cast("decimal(20,0)"))
+    pairs = F.transform(F.map_entries("cells"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("bigint").cast("string")))
+    total = F.aggregate(F.map_values("cells"), F.lit(0).cast("bigint"), lambda s, n: s + n.cast("bigint"))
+    return wide.select("l_linestatus", F.size("cells").cast("bigint").alias("n_values"), total.alias("total"), F.array_join(pairs, ",").alias("cells"))
+
+
 @query(
     "agg_9_unpivot",
     "select c_custkey, field, value from (select c_custkey, 'c_name' as field, c_name as value from customer union all "

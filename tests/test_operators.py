@@ -84,6 +84,39 @@ def test_staged_tables_live_in_the_given_folder(spark, frame):
 
 # --- aggregates ---------------------------------------------------------------------------
 
+def test_pivot_by_a_table_of_values(frame):
+    data = [("a", "x", 2), ("a", "x", 3), ("a", "y", None), ("b", "z", 4), (None, "x", 1), ("c", None, 9), ("c", "other", 9)]
+    df = frame(data, "k string, `my value` string, n int")
+    values = frame([("z",), ("x",), ("x",), (None,), ("unseen",), ("y",)], "value string").coalesce(1)
+    got = {r.k: list(r.cells.items()) for r in shape.pivot_map(df, ["k"], "my value", values, then_value=F.col("n")).collect()}
+    assert got == {"a": [("x", 5), ("y", None)], "b": [("z", 4)], None: [("x", 1)], "c": []}
+    every = {r.k: r.cells for r in shape.pivot_map(df, ["k"], "my value", agg="count").collect()}
+    assert every == {"a": {"x": 2, "y": 1}, "b": {"z": 1}, None: {"x": 1}, "c": {"other": 1}}
+    assert shape.pivot_map(df.limit(0), ["k"], "my value").collect() == []
+
+
+def test_pivot_by_many_values(spark):
+    """100,000 values, of which every third is asked for, in descending order; none of them passes through the driver."""
+    df = spark.range(300_000).select((F.col("id") % 2).alias("k"), (F.col("id") % 100_000).alias("v"))
+    values = spark.range(0, 100_000, 3).select((F.lit(99_999) - F.col("id")).alias("value")).orderBy(F.desc("value"))
+    wide = shape.pivot_map(df, ["k"], "v", values)
+    keys = F.map_keys("cells")
+    got = wide.select("k", F.size(keys).alias("n"), F.element_at(keys, 1).alias("first"), F.element_at(keys, -1).alias("last"),
+                      F.aggregate(F.map_values("cells"), F.lit(0).cast("long"), lambda s, x: s + x).alias("total")).collect()
+    want = [v for v in range(99_999, -1, -3)]
+    by_parity = {k: [v for v in want if v % 2 == k] for k in (0, 1)}
+    assert sorted(tuple(r) for r in got) == [(k, len(v), v[0], v[-1], 3 * len(v)) for k, v in by_parity.items()]
+
+
+def test_lists_for_the_driver_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(shape, "MOST_LISTED", 50)
+    many = spark.range(51)
+    for listed in (lambda: shape.column_value_list(many, "id"), lambda: shape.results_as_dict(many)):
+        with pytest.raises(ValueError, match="max_records"):
+            listed()
+    assert len(shape.results_as_dict(many, 51)["id"]) == len(shape.column_value_list(many, "id", max_records=51)) == 51
+
+
 @pytest.mark.parametrize("most", [40, 7])
 def test_medians_of_large_groups_are_narrowed_down(frame, monkeypatch, most):
     """Half of all rows in one group, nearly equal, heavily tied and infinite values, odd and even counts; few values may be sorted."""
