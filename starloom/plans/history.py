@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,9 +42,15 @@ def merge_snapshot(
     return closed.unionByName(changed_versions(history.filter("valid_to is null"), incoming, as_of, key, tracked))
 
 
-def one_row_per_key(incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The rows as they are; a key held by several of them raises when it is read."""
-    rows = F.count(F.lit(1)).over(Window.partitionBy(*key))
+def _match_columns(key: Sequence[str], prefix: str) -> dict[str, Column]:
+    """Columns that are equal just where keys are, NULLs included: the key as text, and whether it is NULL."""
+    texts = {f"{prefix}{i}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for i, k in enumerate(key)}
+    return texts | {f"{prefix}{i}_null": F.isnull(F.col(f"`{k}`")) for i, k in enumerate(key)}
+
+
+def one_row_per_key(incoming: DataFrame, key: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
+    """The rows as they are; a key held by several of them raises when it is read. ``by`` names columns that stand for the key."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*(by or key)))
     message = F.concat(F.lit("several rows for one key: "), F.to_json(F.struct(*key)))
     checked = F.when(rows == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     return incoming.withColumn("__once", checked).filter("__once").drop("__once")
@@ -54,15 +62,14 @@ def changed_versions(
     """What becomes of the open versions after one more snapshot: kept, closed and new ones."""
     now = _when(as_of)
     columns = [c for c in open_versions.columns if c not in ("valid_from", "valid_to")]
-    incoming = one_row_per_key(incoming, key)
+    # one exchange of the incoming rows serves the check and the join, as both go by the same columns
+    ours, theirs = _match_columns(key, "__o"), _match_columns(key, "__k")
+    incoming = one_row_per_key(incoming.withColumns(theirs), key, list(theirs))
     old = open_versions.select(
-        *key, F.struct(*[F.col(c) for c in columns]).alias("__old"), F.col("valid_from").alias("__since")
+        F.struct(*[F.col(c) for c in columns]).alias("__old"), F.col("valid_from").alias("__since"), *[c.alias(n) for n, c in ours.items()]
     )
-    new = incoming.select(*[F.col(k).alias(f"__k_{k}") for k in key], F.struct(*[F.col(c) for c in columns]).alias("__new"))
-    condition = None
-    for k in key:
-        same = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        condition = same if condition is None else condition & same
+    new = incoming.select(F.struct(*[F.col(c) for c in columns]).alias("__new"), *theirs)
+    condition = reduce(and_, [F.col(a) == F.col(b) for a, b in zip(ours, theirs)])
     pairs = old.join(new, condition, "full")
     before, after = F.col("__old"), F.col("__new")
     unchanged = F.struct(*[before[c].alias(c) for c in tracked]).eqNullSafe(
