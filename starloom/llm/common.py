@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared staging area and read it back, in two files per core at most.
+    """Write ``df`` to the shared staging area and read it back; adaptive execution decides how many files a shuffle leaves."""
+    return stage(df, label)
 
-    Partitions are put together without a shuffle: after one, a small table would leave a file per shuffle partition.
-    """
-    return stage(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), label)
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def release_memory() -> None:
+    """Hand memory that this Python worker has freed back to the system; workers live on, idle or for other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function for mapInArrow that releases memory at the end of each partition."""
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def held_out(doc_id: str | Column) -> Column:
