@@ -10,9 +10,10 @@ registers, and two sets agree in a register about as often as their Jaccard simi
 3. A pair is kept if the similarity estimated jointly from its registers (maximum likelihood, with the known set
    sizes) is within MARGIN standard errors of the threshold; then both texts are read and the full sets compared.
 4. Components of the confirmed links. In buckets that still hold several components the classes outside the bucket's
-   largest component are held against all its members, in blocks of bounded size, with registers and texts at hand:
-   a block estimates pairs of different components, verifies the likely ones until their components are joined, and returns
-   only the links found. Pairs never become rows there. Components are taken again.
+   largest component are held against all its members, in blocks of bounded size: a block first estimates pairs of different
+   components from the registers; only the rows of likely pairs are sent again with their texts, and the block verifies
+   those pairs until their components are joined. It returns only the links found: pairs never become rows there. Components
+   are taken again.
 
 With 28 bands of 5 registers a pair of similarity 0.8 shares a bucket with probability 0.99998.
 """
@@ -33,7 +34,8 @@ BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
 B, A, Q = 1.001, 20.0, (1 << 16) - 2  # spacing, rate and register limit of the sketch
 MARGIN = 4.0
-LEFT_BLOCK, MEMBER_BLOCK = 256, 2048  # rows of a task in step 4
+LEFT_BLOCK, MEMBER_BLOCK = 256, 2048  # rows of a block in step 4
+LEFT_SHINGLES, MEMBER_SHINGLES = 1 << 19, 1 << 21  # and their shingles: some 4 and 16 MB of hashes, as much again of text
 COMPARED = 1 << 14  # pairs compared at once inside a task
 
 
@@ -130,7 +132,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                     pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array([r.tobytes() for r in values], pa.binary()),
                 ], names=["doc_id", "text_key", "n_shingles", "digest_a", "digest_b", "registers"])
 
-    return docs.select("doc_id", "text", "text_key").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", "text", "text_key").mapInArrow(common.tidy(run), SKETCH)
 
 
 # --- steps 2 and 3 --------------------------------------------------------------------------
@@ -145,7 +147,7 @@ def _bands(classes: DataFrame) -> DataFrame:
                     [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))],
                     names=["key", "id"])
 
-    return classes.select("id", "registers").mapInArrow(run, "key long, id long")
+    return classes.select("id", "registers").mapInArrow(common.tidy(run), "key long, id long")
 
 
 def _unpack(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -166,7 +168,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
                     pa.array(keeps(found, threshold)))
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(common.tidy(run), "a long, b long")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -185,22 +187,36 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
                 pa.array(good, pa.bool_()))
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(common.tidy(run), "a long, b long")
 
 
 # --- step 4 ---------------------------------------------------------------------------------
 
-def _open_links(buckets: DataFrame, mates: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between components that share a bucket of more than two members; a link more than is needed is left out."""
-    placed = common.keep(buckets.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "placed")
-    groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+BLOCK_COLUMNS = ["key", "l", "r", "id", "component", "is_left"]
+BLOCK_SCHEMA = "key long, l int, r int, id long, component long, is_left boolean"
+
+
+def _open_links(buckets: DataFrame, mates: DataFrame, texts: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket of more than two members; a link more than is needed is left out.
+
+    A block holds about LEFT_BLOCK and MEMBER_BLOCK rows at most, and fewer where they are large: LEFT_SHINGLES and MEMBER_SHINGLES.
+    """
+    placed = buckets.join(parts, "id", "left").join(mates.select("id", "n_shingles"), "id").select(
+        "key", "id", F.coalesce("component", "id").alias("component"), "n_shingles")
+    placed = common.keep(placed, "placed")
+    groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+
+    def blocks(rows, shingles, most_rows, most_shingles):
+        return F.ceil(F.greatest(rows / most_rows, shingles / most_shingles, F.lit(1.0))).cast("int")
+
     open_ = groups.groupBy("key").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("members"),
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("largest"),
+        F.count("*").alias("parts"), F.sum("n").alias("members"), F.sum("size").alias("shingles"),
+        F.max_by(F.struct("component", "n", "size"), F.struct("n", "component")).alias("main"),
     ).where("parts > 1 and members > 2").select(
-        "key", "main", F.ceil((F.col("members") - F.col("largest")) / LEFT_BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("rights"))
-    rows = placed.join(open_, "key")
+        "key", F.col("main.component").alias("main"),
+        blocks(F.col("members") - F.col("main.n"), F.col("shingles") - F.col("main.size"), LEFT_BLOCK, LEFT_SHINGLES).alias("lefts"),
+        blocks(F.col("members"), F.col("shingles"), MEMBER_BLOCK, MEMBER_SHINGLES).alias("rights"))
+    rows = placed.drop("n_shingles").join(open_, "key")
     spread = F.xxhash64("id", "key")
     left = rows.where("component <> main").select(
         "key", F.pmod(spread, "lefts").cast("int").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"),
@@ -208,37 +224,59 @@ def _open_links(buckets: DataFrame, mates: DataFrame, parts: DataFrame, words: i
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), F.pmod(spread, "rights").cast("int").alias("r"),
         "id", "component", F.lit(False).alias("is_left"))
-    work = left.unionByName(right).join(mates, "id").select(
-        "key", "l", "r", "id", "component", "is_left", "n_shingles", "registers", "text")
-    work = work.repartition("key", "l", "r").sortWithinPartitions("key", "l", "r")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[pa.RecordBatch] = []
-        for batch in batches:
-            pending.append(batch)
-            whole = pa.Table.from_batches(pending).combine_chunks()
-            cuts = _cuts(whole)
-            for start, end in zip(cuts[:-1], cuts[1:]):
-                yield _block_links(whole.slice(start, end - start), words, percent)
-            pending = whole.slice(cuts[-1]).to_batches() if cuts else []
-        if pending:
-            yield _block_links(pa.Table.from_batches(pending), words, percent)
-
-    return work.mapInArrow(run, "a long, b long")
-
-
-def _cuts(rows: pa.Table) -> list[int]:
-    """Where each run of equal (key, l, r) starts."""
+    work = left.unionByName(right)
+
+    def dealt(rows: DataFrame, more: DataFrame, columns: list[str]) -> DataFrame:
+        whole = rows.join(more, "id").select(*BLOCK_COLUMNS, *columns)
+        return whole.repartition("key", "l", "r").sortWithinPartitions("key", "l", "r")
+
+    def likely_rows(rows: pa.Table) -> pa.RecordBatch:
+        _, _, _, x, y, _ = _likely_pairs(rows, percent)
+        return _one_batch(rows.select(BLOCK_COLUMNS).take(pa.array(np.union1d(x, y))))
+
+    # registers first: only rows that may have a link in their block are sent again, with their texts
+    some = common.keep(dealt(work, mates, ["n_shingles", "registers"]).mapInArrow(
+        common.tidy(lambda batches: _by_block(batches, likely_rows)), BLOCK_SCHEMA), "likely")
+    with_texts = mates.join(texts, "id")
+    return dealt(some, with_texts, ["n_shingles", "registers", "text"]).mapInArrow(
+        common.tidy(lambda batches: _by_block(batches, lambda rows: _block_links(rows, words, percent))), "a long, b long")
+
+
+def _one_batch(rows: pa.Table) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in rows.columns], names=rows.column_names)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """work(rows) of every run of equal (key, l, r); the parts of a run are put together once, at its end."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = _cuts(batch, held[-1] if held else None)
+        for start, end in zip([0, *cuts], cuts):
+            if start < end:
+                held.append(batch.slice(start, end - start))
+            if held:
+                yield work(pa.Table.from_batches(held).combine_chunks())
+            held = []
+        held.append(batch.slice(cuts[-1] if cuts else 0))
+    if held:
+        yield work(pa.Table.from_batches(held).combine_chunks())
+
+
+def _cuts(rows: pa.RecordBatch, before: pa.RecordBatch | None) -> list[int]:
+    """Where runs of equal (key, l, r) begin that do not go on from the row before; with no row before the first one does not count."""
     keys = [rows.column(i).to_numpy() for i in range(3)]
     change = np.zeros(rows.num_rows, bool)
-    change[0:1] = True
+    if before is not None:
+        change[0] = any(k[0] != before.column(i)[-1].as_py() for i, k in enumerate(keys))
     for k in keys:
         change[1:] |= k[1:] != k[:-1]
     return np.flatnonzero(change).tolist()
 
 
-def _block_links(rows: pa.Table, words: int, percent: int) -> pa.RecordBatch:
-    """Confirmed links of one block, the likeliest pairs first; pairs whose components are joined by then are passed over."""
+def _likely_pairs(rows: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
+    """ids, components, set sizes, then places and estimates of the likely pairs that have their first common bucket here."""
     ids, parts = rows.column("id").to_numpy(), rows.column("component").to_numpy()
     sizes, is_left = rows.column("n_shingles").to_numpy(), rows.column("is_left").to_numpy()
     values, key = _unpack(rows.column("registers")), rows.column("key")[0].as_py()
@@ -246,8 +284,15 @@ def _block_links(rows: pa.Table, words: int, percent: int) -> pa.RecordBatch:
     if len(x):  # a pair is taken up in the first bucket that it shares
         first = (values[x] == values[y]).reshape(-1, BANDS, ROWS).all(2).argmax(1)
         own = band_keys(values).view(np.int64)[x, first] == key
-        order = np.argsort(-likely[own], kind="stable")
-        x, y = x[own][order], y[own][order]
+        x, y, likely = x[own], y[own], likely[own]
+    return ids, parts, sizes, x, y, likely
+
+
+def _block_links(rows: pa.Table, words: int, percent: int) -> pa.RecordBatch:
+    """Confirmed links of one block, the likeliest pairs first; pairs whose components are joined by then are passed over."""
+    ids, parts, _, x, y, likely = _likely_pairs(rows, percent)
+    order = np.argsort(-likely, kind="stable")
+    x, y = x[order], y[order]
     parent: dict[int, int] = {}
 
     def top(part: int) -> int:
@@ -323,12 +368,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, that stay when one document of each group of near copies is kept.
 
-    Of rows that repeat a doc_id one stays, with the text it was judged by. Rows with a NULL doc_id stay as they are.
+    Rows that repeat a doc_id with other texts are judged one by one: each is a document of its own here. Of rows that repeat both
+    doc_id and text one stays. Rows with a NULL doc_id stay as they are; an empty table stays empty.
     """
-    kept = _judged(docs, words, percent).where("kept").select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
-    same = (F.col("d.doc_id").cast("long") == F.col("k.__doc")) & (F.xxhash64("d.text") == F.col("k.__key"))
-    one = docs.where("doc_id is not null").alias("d").join(kept.alias("k"), same).dropDuplicates(["__doc"]).select("d.*")
-    return one.unionByName(docs.where("doc_id is null"))
+    ident, key, unit = (common.free_name(docs, name) for name in ("own_id", "own_key", "own_unit"))
+    rows = docs.where("doc_id is not null").withColumns({ident: F.col("doc_id").cast("long"), key: F.xxhash64("text")})
+    several = rows.groupBy(ident).agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first <> last")
+    several = common.keep(several.select(F.col(ident).alias("id"), "first"), "several")
+    rows = rows.alias("d").join(several.alias("s"), F.col(f"d.{ident}") == F.col("s.id"), "left")
+    # the first text of an id keeps it, the others take a number from id and text
+    other = F.col("s.first").isNotNull() & (F.col("s.first") != F.col(f"d.{key}"))
+    rows = rows.select("d.*", F.when(other, F.xxhash64(f"d.{ident}", f"d.{key}")).otherwise(F.col(f"d.{ident}")).alias(unit))
+    kept = _judged(rows.select(F.col(unit).alias("doc_id"), "text"), words, percent).where("kept").select(F.col("doc_id").alias("kept_unit"))
+    one = rows.alias("d").join(kept.alias("k"), F.col(f"d.{unit}") == F.col("k.kept_unit"), "left_semi").dropDuplicates([unit])
+    return one.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -352,6 +405,6 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("id"), "text_key", "text").join(mates.select("id", "text_key"), ["id", "text_key"], "left_semi")
     texts = common.keep(texts.select("id", "text").dropDuplicates(["id"]), "texts")
     links = common.keep(_confirm(_likely(pairs, classes, threshold), texts, words, percent), "links")
-    mates = mates.select("id", "n_shingles", "registers").join(texts, "id")
-    found = _open_links(crowded.select("key", "id"), mates, connected_components(links), words, percent)
+    found = _open_links(crowded.select("key", "id"), mates.select("id", "n_shingles", "registers"), texts, connected_components(links),
+                        words, percent)
     return _assign(sketched, classes, connected_components(links.unionByName(found)))
