@@ -10,7 +10,7 @@ the frames. Blocks are rows of a parquet table (written by Spark, so any store w
 part, block, first_doc_id, last_doc_id, n_docs, start_in_part, n_tokens, payload. The dictionary is a table next to it.
 
 Encoding: no token of the vocabulary's pre-tokenizer crosses ASCII white space, so the pieces between it are encoded
-once per worker and remembered (at most MEMO_PIECES at a time).
+once per partition and remembered, at most MEMO_PIECES and MEMO_IDS ids at a time; the memory goes with the partition.
 """
 
 from __future__ import annotations
@@ -36,16 +36,16 @@ BLOCK_DOCS, BLOCK_BYTES = 1024, 4 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8192  # the dictionary's sample: documents, and their greatest length
 SPECIAL = b"<|"
-MEMO_PIECES, SLOTS = 700_000, 1 << 21
+MEMO_PIECES, MEMO_IDS, SLOTS = 500_000, 4_000_000, 1 << 20  # of the memo: pieces, their ids, and places to find them by
+LEARNED = 20_000  # pieces encoded at once: the tokenizer's own account of them is larger than they are
+TASK_BYTES = 64 << 20  # of text that a task encodes, so that what it learns is of use to it
 STOPS = b".,;:!?"
+HEAD_CHARS = 256  # of a text, by which rows that repeat a doc_id are ordered
 LATIN = bytes(range(0xC9))  # UTF-8 bytes of code points below U+0240: those letters are composed, and lower-cased one by one
 LEVEL = 3
 BLOCK_SCHEMA = ("part int, block long, first_doc_id long, last_doc_id long, n_docs long, start_in_part long, n_tokens long, "
                 "payload binary")
 
-_encoders: dict[str, Encoder] = {}
-
-
 class Numbers:
     """Whole numbers by 64-bit hash, found and put in by arrays (open addressing in SLOTS slots)."""
 
@@ -124,6 +124,9 @@ class Encoder:
 
     def _splits_like_words(self) -> bool:
         """Whether the vocabulary treats texts as `pieces` and `plain` expect; otherwise every text is encoded whole."""
+        kinds = [type(x).__name__ for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model)]
+        if kinds != ["Sequence", "Sequence", "BPE"]:
+            return False
         probe = ["Probe", "\u00c9t\u00e9", "word.", "WORD,!", " a\tb\n"]
         parts = [["probe"], ["\u00e9t\u00e9"], ["word", "."], ["word", ",!"], ["a", "b"]]
         return [self._whole(t).tolist() for t in probe] == [
@@ -177,12 +180,13 @@ class Encoder:
         if missing.any():
             fresh, place = np.unique(hashes[missing], return_index=True)
             place = np.flatnonzero(missing)[place]
-            if self.known.n + len(fresh) > MEMO_PIECES:
+            if self.known.n + len(fresh) > MEMO_PIECES or self.sequences.used > MEMO_IDS:
                 self._clear()
                 fresh, place = np.unique(hashes, return_index=True)
                 missing[:] = True
-            raw = data.tobytes()
-            self._learn(fresh, [raw[a:b] for a, b in zip(starts[place].tolist(), ends[place].tolist())])
+            for at in range(0, len(fresh), LEARNED):
+                some = place[at:at + LEARNED]
+                self._learn(fresh[at:at + LEARNED], [data[a:b].tobytes() for a, b in zip(starts[some].tolist(), ends[some].tolist())])
             where[missing] = self.known.find(hashes[missing])
         return self.sequences.joined(where)
 
@@ -210,18 +214,11 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def encoded(column: pa.Array, path: str, end_id: int | None) -> Iterator[tuple[int, list[np.ndarray]]]:
+def encoded(column: pa.Array, encoder: Encoder, end_id: int | None) -> Iterator[tuple[int, list[np.ndarray]]]:
     """First row and id arrays of each run of rows."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
     for first, _, data, offsets in common.byte_groups(column):
-        yield first, [np.concatenate([ids, tail]) for ids in encoder(path).encode(data, offsets)]
+        yield first, [np.concatenate([ids, tail]) for ids in encoder.encode(data, offsets)]
 
 
 # --- dictionary -----------------------------------------------------------------------------
@@ -288,28 +285,31 @@ class Block:
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = 1, partitions: int | None = None) -> None:
     """Encode docs (doc_id, text) and write them under path, in ascending doc_id order.
 
-    NULL texts are empty; rows with a NULL doc_id come first; rows that repeat a doc_id all stay, ordered by text.
-    An empty table gives a store without documents. Other columns are not read.
+    NULL texts are empty; rows with a NULL doc_id come first; rows that repeat a doc_id all stay, ordered by the first HEAD_CHARS
+    characters of their text, then by its hash.
+    An empty table gives a store without documents. Other columns are not read. Without `partitions` there are as many as the texts have
+    TASK_BYTES, at least one for every core.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary)
         for batch in batches:
-            for _, lists in encoded(batch.column(0), vocabulary, end_id):
+            for _, lists in encoded(batch.column(0), encoder, end_id):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_serial(x, width) for x in lists], pa.binary())], names=["ids"])
 
     width = _id_width(vocabulary, end_id)
     sample = (docs.where(F.length("text").between(1, SAMPLE_CHARS))
               .orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS).select("text"))
-    dictionary = train_dictionary([r.ids for r in sample.mapInArrow(serialize, "ids binary").collect()])
+    dictionary = train_dictionary([r.ids for r in sample.mapInArrow(common.tidy(serialize), "ids binary").collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
     digest = hashlib.sha256(dictionary).digest()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, start = 0, 0, 0
-        squeeze = _compressor(dictionary)
+        squeeze, encoder = _compressor(dictionary), Encoder(vocabulary)
         rows: list[tuple[int | None, int, bytes]] = []
         held = 0
 
@@ -325,7 +325,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
         for batch in batches:
             names = batch.column(0).to_pylist()
             part = batch.column(2)[0].as_py() if batch.num_rows else part
-            for first, lists in encoded(batch.column(1), vocabulary, end_id):
+            for first, lists in encoded(batch.column(1), encoder, end_id):
                 for i, ids in enumerate(lists):
                     frame = squeeze.compress(_serial(ids, width))
                     rows.append((names[first + i], len(ids), frame))
@@ -336,12 +336,15 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
         if rows:
             yield close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    dealt = docs.repartitionByRange(partitions, order[0]) if partitions else docs.repartitionByRange(order[0])
+    # rows of one doc_id (or of none) may be many: they are dealt by their text, and equal texts by where they came from
+    docs = docs.withColumns({"head": F.left("text", F.lit(HEAD_CHARS)), "key": F.xxhash64("text"), "source": F.spark_partition_id()})
+    order = [F.col("doc_id").asc_nulls_first(), F.col("head"), F.col("key"), F.col("source")]
+    if not partitions:
+        size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+        partitions = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    dealt = docs.repartitionByRange(partitions, *order)
     ordered = dealt.sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
-    # several partitions make one file, each with blocks of its own
-    files = 4 * spark.sparkContext.defaultParallelism
-    ordered.mapInArrow(blocks, BLOCK_SCHEMA).coalesce(files).write.parquet(f"{path}/blocks")
+    ordered.mapInArrow(common.tidy(blocks), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
 def _serial(ids: np.ndarray, width: int) -> bytes:
@@ -349,7 +352,7 @@ def _serial(ids: np.ndarray, width: int) -> bytes:
 
 
 def _id_width(vocabulary: str, end_id: int | None) -> int:
-    return 2 if max(encoder(vocabulary).tokenizer.get_vocab_size(), end_id or 0) < 1 << 16 else 4
+    return 2 if max(Encoder(vocabulary).tokenizer.get_vocab_size(), end_id or 0) < 1 << 16 else 4
 
 
 def _dictionary(spark: SparkSession, path: str) -> bytes:
@@ -378,7 +381,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     placed = blocks.join(F.broadcast(parts), "part").select(
         (F.col("before") + F.col("start_in_part")).alias("start"), "payload")
-    return placed.mapInArrow(unpack, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(common.tidy(unpack), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
