@@ -5,8 +5,8 @@ length, whether the word repeats the one before). Each indicator is scaled by th
 frequencies; a linear hinge-loss model is fitted on the scaled, length-normalized rows by dual coordinate descent. A
 logistic curve through margins of held-back folds turns margins into scores.
 
-The model is fitted on at most SAMPLE_PER_CLASS labelled documents per class, of at most SAMPLE_CHARS characters each, taken by
-a hash of doc_id. Every document is scored on its whole text.
+The model is fitted on at most SAMPLE_PER_CLASS labelled documents per class of up to SAMPLE_CHARS characters and SAMPLE_LONG longer
+ones, taken by a hash of doc_id and read whole. Every document is scored on its whole text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from starloom.llm import common
 
 BITS = 18
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 2500, 20_000
+SAMPLE_PER_CLASS, SAMPLE_CHARS, SAMPLE_LONG = 2500, 20_000, 40  # documents; the length beyond which one is long; long ones besides
 SMOOTHING, COST, EPOCHS, FOLDS = 1.0, 1.0, 20, 3
 ACCEPT = 0.7
 SEED = 7
@@ -187,17 +187,20 @@ def fit_rows(rows: list[np.ndarray], good: np.ndarray) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Fit on documents (doc_id, text) with labels (doc_id, quality 0 or 1) that are not held out.
 
-    Documents with disagreeing labels, NULL labels and NULL ids are not used; repeated labels count once.
+    Documents with disagreeing labels, NULL labels and NULL ids are not used; repeated labels count once, and of rows that repeat a
+    doc_id one text, taken by its hash. At most `per_class` documents of up to SAMPLE_CHARS characters and SAMPLE_LONG longer ones are
+    read of each class, taken by a hash of doc_id and read whole.
     """
     agreed = (labels.where("quality in (0, 1) and doc_id is not null").where(~common.held_out("doc_id"))
               .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
               .where("quality = other").select("doc_id", "quality"))
-    # ids only, before any text: three times the sample, as long texts are passed over
-    chosen = common.sample_per_class(agreed, "quality", "doc_id", 3 * per_class)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
-    found = texts.join(F.broadcast(chosen), "doc_id")
-    again = W.partitionBy("quality").orderBy("place", "text")
-    sample = found.withColumn("n", F.row_number().over(again)).where(F.col("n") <= per_class).select("doc_id", "quality", "text")
+    lengths = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max(F.length("text")) > SAMPLE_CHARS).alias("long"))
+    parts = agreed.join(lengths, "doc_id").withColumn("part", F.struct("quality", F.coalesce("long", F.lit(False)).alias("long")))
+    chosen = common.sample_per_class(parts, "part", "doc_id", per_class).where(~F.col("part.long") | (F.col("place") <= SAMPLE_LONG))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = texts.join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")  # four times per_class ids at most
+    again = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    sample = found.withColumn("n", F.row_number().over(again)).where("n = 1").select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
                     batch.column(0).slice(first, len(rows)), batch.column(1).slice(first, len(rows)),
                     pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "quality", "features"])
 
-    got = sample.mapInArrow(run, "doc_id long, quality int, features binary").toArrow().sort_by("doc_id")
+    got = sample.mapInArrow(common.tidy(run), "doc_id long, quality int, features binary").toArrow().sort_by("doc_id")
     return fit_rows([np.frombuffer(b, np.int32) for b in got.column("features").to_pylist()],
                     got.column("quality").to_numpy() == 1)
 
@@ -214,7 +217,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
 def score(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
     """All columns of docs with score (0 to 1) and predicted (1 if score >= accept, else 0) added.
 
-    NULL and empty texts are scored as texts without features. Clashing columns of docs named score or predicted are replaced.
+    NULL and empty texts are scored as texts without features, texts of any length as a whole. Columns of docs named score or predicted
+    are replaced. Rows that repeat a doc_id are scored each by its own text, equal texts alike; an empty table stays empty.
     """
     docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.slope, model.middle))
@@ -228,7 +232,7 @@ def score(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
                 names=[*batch.schema.names, "score", "predicted"])
 
     schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidy(run), schema)
 
 
 def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
@@ -240,7 +244,7 @@ def accepted(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame
         for batch in batches:
             yield batch.filter(pa.array(_scores(own, batch.column("text")) >= accept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.tidy(run), docs.schema)
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
