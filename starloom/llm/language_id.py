@@ -3,7 +3,7 @@
 One array of bit masks stands for the Bloom filters of all languages: slot s holds one bit per language. An n-gram has PROBES
 slots; the AND of their masks has the bit of every language whose n-grams contain it (and, rarely, of one that does not).
 The bits of all n-grams of a text are counted per language, the counts are corrected for the false positives each filter
-gives by how full it is, and the largest decides.
+gives by how full it is, and the largest decides. There are at least eight slots for each n-gram of the language with most.
 
 A language's n-grams are those that make up at least RATE of its training text, from at most SAMPLE_PER_LANGUAGE documents per
 language taken by a hash of doc_id; n-grams found in every language tell nothing and are left out. Texts are read whole.
@@ -17,16 +17,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm import common
 
 SIZES = (2, 3, 4)
-SLOT_BITS, PROBES = 18, 3
+PROBES, SLOTS_PER_GRAM, LEAST_SLOT_BITS, MOST_SLOT_BITS = 3, 8, 18, 21  # three probes of 21 bits of a 64-bit hash
 SAMPLE_PER_LANGUAGE = 600
-RATE = 2e-5
-MOST_GRAMS = 40_000  # n-grams of one size kept per language, the most frequent first
+RATE = 2e-5  # so a language has at most 50,000 n-grams of each size
 BROADCAST_ROWS = 200_000
 UNKNOWN = "und"
 PIECE = 1 << 18
@@ -74,6 +72,13 @@ def _pieces(text: str) -> Iterator[str]:
         yield text[max(0, at - max(SIZES) + 1):at + PIECE]
 
 
+def _places(hashes: np.ndarray, slots: int) -> Iterator[np.ndarray]:
+    """The PROBES slots of each n-gram."""
+    bits = slots.bit_length() - 1
+    for p in range(PROBES):
+        yield ((hashes >> np.uint64(p * bits)) & np.uint64(slots - 1)).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Filters:
     """masks: slots x words of 64 languages; false_rate: share of absent n-grams that a language's filter lets through."""
@@ -84,10 +89,10 @@ class Filters:
 
     def containing(self, hashes: np.ndarray) -> np.ndarray:
         """Masks of the languages that hold each n-gram."""
-        low = np.uint64((1 << SLOT_BITS) - 1)
-        found = self.masks[(hashes & low).astype(np.int64)]
-        for k in range(1, PROBES):
-            found = found & self.masks[((hashes >> np.uint64(k * SLOT_BITS)) & low).astype(np.int64)]
+        places = _places(hashes, len(self.masks))
+        found = self.masks[next(places)]
+        for place in places:
+            found = found & self.masks[place]
         return found
 
     def counts(self, text: str) -> tuple[int, np.ndarray]:
@@ -117,13 +122,13 @@ class Filters:
 def build(languages: tuple[str, ...], hashes: dict[str, np.ndarray]) -> Filters:
     """Filters from the n-gram hashes of each language."""
     words = max(1, -(-len(languages) // 64))
-    masks = np.zeros((1 << SLOT_BITS, words), np.uint64)
-    low = np.uint64((1 << SLOT_BITS) - 1)
+    most = max((len(hashes[name]) for name in languages), default=0)
+    masks = np.zeros((1 << min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, (SLOTS_PER_GRAM * most - 1).bit_length())), words), np.uint64)
     filled = np.zeros(len(languages))
     for k, name in enumerate(languages):
         bit = np.uint64(1) << np.uint64(k % 64)
-        for p in range(PROBES):
-            masks[((hashes[name] >> np.uint64(p * SLOT_BITS)) & low).astype(np.int64), k // 64] |= bit
+        for place in _places(hashes[name], len(masks)):
+            masks[place, k // 64] |= bit
         filled[k] = ((masks[:, k // 64] & bit) != 0).mean()
     return Filters(languages, masks, filled ** PROBES)
 
@@ -151,16 +156,19 @@ def fit(docs: DataFrame) -> Filters:
     counted = common.keep(counted, "grams")
     totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total"))
     frequent = counted.join(F.broadcast(totals), ["lang", "size"]).where(F.col("n") >= F.greatest(F.lit(2), RATE * F.col("total")))
-    place = W.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    kept = frequent.withColumn("place", F.row_number().over(place)).where(F.col("place") <= MOST_GRAMS)
-    spread = kept.groupBy("gram").agg(F.count("*").alias("in_languages"))
-    got = kept.join(spread, "gram").where((F.col("in_languages") < len(languages)) | F.lit(len(languages) == 1)).select("lang", "gram").toArrow()
+    spread = frequent.groupBy("gram").agg(F.count("*").alias("in_languages"))
+    got = frequent.join(spread, "gram").where((F.col("in_languages") < len(languages)) | F.lit(len(languages) == 1)).select("lang", "gram").toArrow()
     names, hashes = np.array(got.column("lang").to_pylist(), object), got.column("gram").to_numpy().view(np.uint64)
     return build(languages, {name: hashes[names == name] for name in languages})
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """docs, all columns, with lang_pred and score added (columns of these names are replaced)."""
+    """docs, all columns, with lang_pred and score added (columns of these names are replaced).
+
+    Texts of any length are read whole. NULL and empty texts and those without a letter are `und` with score 0; of equally
+    likely languages the first name is taken. Rows that repeat a doc_id or have none are judged each by its own text, equal
+    texts alike; an empty table stays empty.
+    """
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -173,4 +181,4 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
                 names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidy(run), schema)
