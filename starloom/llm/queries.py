@@ -223,7 +223,7 @@ from texts left join kept using (t)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that stand elsewhere too."""
     found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"), width=35)
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @_add("op13_cholesky_jacobi_whitening")

@@ -26,15 +26,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACE, mix
+from starloom.llm.common import SPACE, mix, tidy
 from starloom.llm.word_spans import Run, bit_filter, fingerprints, passes, prefix_sums, text_runs
 from starloom.operators.staging_area import stage
 
 INSIDE = ~SPACE
 GRAM = 8  # words of an anchor
-MOST = 4096  # suffixes of a group that a task may hold
+MOST = 1 << 15  # suffixes of a group that a task may hold: some 13 MB of words and 50 MB of numbers
 TOGETHER = 8192  # suffixes whose groups are worked on at once
 SLICE = 1 << 17  # windows looked at at once
 LONG_WORD = 64  # bytes; a longer word stands as the 128-bit digest of its bytes
@@ -85,7 +86,7 @@ def _repeated_prefixes(docs: DataFrame, width: int) -> DataFrame:
                 values, n = np.unique(grams[anchors(grams, low, width)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["prefix", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(tidy(run), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
     return stage(counted.where("n > 1"), "prefixes")
 
 
@@ -161,7 +162,7 @@ def _suffixes(docs: DataFrame, width: int, repeated, crowded) -> DataFrame:
                         pa.array((at - part.words[row])[cut]), pa.array(left[cut].astype(np.int32)), pa.array(words[cut], pa.binary()),
                     ], names=[c.split()[0] for c in SUFFIXES.split(", ")])
 
-    return docs.select("text", "text_a", "text_b").mapInArrow(run, SUFFIXES)
+    return docs.select("text", "text_a", "text_b").mapInArrow(tidy(run), SUFFIXES)
 
 
 def _windows(docs: DataFrame, width: int, crowded) -> DataFrame:
@@ -180,7 +181,7 @@ def _windows(docs: DataFrame, width: int, crowded) -> DataFrame:
                     pa.array(keys, pa.binary()), *(batch.column(c).take(source) for c in (1, 2)), pa.array(at - part.words[row]),
                 ], names=[c.split()[0] for c in WINDOWS.split(", ")])
 
-    return docs.select("text", "text_a", "text_b").mapInArrow(run, WINDOWS)
+    return docs.select("text", "text_a", "text_b").mapInArrow(tidy(run), WINDOWS)
 
 
 # --- subtrees ---------------------------------------------------------------------------------
@@ -267,7 +268,7 @@ def _intervals_of_groups(suffixes: DataFrame, width: int) -> DataFrame:
             yield found(_one(held))
 
     dealt = suffixes.repartition("prefix").sortWithinPartitions("prefix")
-    return dealt.mapInArrow(run, INTERVALS)
+    return dealt.mapInArrow(tidy(run), INTERVALS)
 
 
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -287,8 +288,13 @@ def repeated_intervals(docs: DataFrame, width: int = 35) -> DataFrame:
         again = windows.groupBy("words").agg(F.count("*").alias("n")).where("n > 1").select("words")
         found = found.unionByName(windows.join(again, "words", "left_semi").select(
             "text_a", "text_b", F.col("place").alias("start"), (F.col("place") + width).alias("stop")))
-    whole = found.distinct().groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "stop")).alias("intervals"))
-    return stage(whole, "intervals")
+    # intervals that meet become one: a text has few of them then, however many of its windows are repeated
+    text = W.partitionBy("text_a", "text_b").orderBy("start", "stop")
+    before = F.max("stop").over(text.rowsBetween(W.unboundedPreceding, -1))
+    apart = found.distinct().withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1))
+    islands = apart.withColumn("island", F.sum("new").over(text.rowsBetween(W.unboundedPreceding, 0)))
+    merged = islands.groupBy("text_a", "text_b", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return stage(merged.groupBy("text_a", "text_b").agg(F.collect_list(F.struct("start", "stop")).alias("intervals")), "intervals")
 
 
 # --- documents --------------------------------------------------------------------------------
@@ -305,7 +311,7 @@ def _covered(run: Run, intervals: pa.Array) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-REPORT = "n_words long, n_removed long, kept_sha256 string, kept string"
+REPORT = "n_words long, n_removed long, kept string"
 
 
 def without_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
@@ -338,8 +344,8 @@ def without_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
                 kept = [whole[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(part.first, m), pa.array(n_words.astype(np.int64)), pa.array(n_gone.astype(np.int64)),
-                    pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() for k in kept], pa.string()),
+                    pa.array(kept, pa.binary()).cast(pa.string()),
                 ], names=["doc_id", *(c.split()[0] for c in REPORT.split(", "))])
 
     joined = keyed(docs.select("doc_id", "text")).join(cover, ["text_a", "text_b"], "left").select("doc_id", "text", "intervals")
-    return joined.mapInArrow(run, f"doc_id {kind}, {REPORT}")
+    return joined.mapInArrow(tidy(run), f"doc_id {kind}, {REPORT}")
