@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starloom.llm.common import mix
+from starloom.llm.common import mix, tidy
 from starloom.llm.word_spans import Run, bit_filter, fingerprints, passes, prefix_sums, text_runs
 from starloom.operators.staging_area import stage
 
@@ -92,7 +92,7 @@ def _frequent(docs: DataFrame, least: int, bits: np.ndarray | None) -> DataFrame
         if n:
             yield _counted(held)
 
-    counted = docs.select("text", "lang").mapInArrow(run, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "lang").mapInArrow(tidy(run), "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
     return stage(counted.where(F.col("n") >= least), "frequent")
 
 
@@ -201,7 +201,7 @@ def _texts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                             at, n = _told_apart(numbers, a + at, values[at], k)
                             yield found(at, k, n, _phrase_texts(part, at, k))
 
-    return docs.select("text", "lang", "doc_id").mapInArrow(run, f"{TEXTS}, doc_id {kind}")
+    return docs.select("text", "lang", "doc_id").mapInArrow(tidy(run), f"{TEXTS}, doc_id {kind}")
 
 
 def phrase_counts(docs: DataFrame, least: int = 100) -> DataFrame:

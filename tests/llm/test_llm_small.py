@@ -111,6 +111,42 @@ def test_bloom_filters_hold_what_was_put_in_and_few_others():
     assert ((others[:, 0] & np.uint64(1)) != 0).mean() < 0.01
 
 
+def test_filter_grows_with_its_ngrams():
+    rng = np.random.default_rng(8)
+    many = rng.integers(0, 1 << 63, 150_000, dtype=np.uint64)
+    filters = language_id.build(("x",), {"x": many})
+    assert len(filters.masks) >= 8 * len(many) and (filters.containing(many)[:, 0] == 1).all()
+    others = filters.containing(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64))
+    assert (others != 0).mean() < 0.05 and abs((others != 0).mean() - filters.false_rate[0]) < 0.005
+    assert len(language_id.build((), {}).masks) == 1 << 18
+
+
+def test_language_by_plain_sets_of_ngrams(frame):
+    """The filters decide as sets of n-grams do; ties go to the first name, repeated rows and missing ids are judged by their text."""
+    rng = random.Random(6)
+    spoken = {n: ["".join(rng.choice(a) for _ in range(rng.randint(2, 6))) for _ in range(60)] for n, a in (("aa", "abcdef"), ("bb", "defghi"))}
+    rows = [(i, " ".join(rng.choice(spoken[n]) for _ in range(80)), n) for i, n in enumerate(["aa", "bb"] * 40)]
+    asked = [(200 + i, " ".join(rng.choice(spoken[rng.choice(["aa", "bb"])]) for _ in range(rng.randint(1, 9)))) for i in range(200)]
+    asked += [asked[0], (None, asked[1][1])]
+    filters = language_id.fit(frame(rows, "doc_id long, text string, lang string"))
+    counts = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            for size, hashes in zip(language_id.SIZES, language_id.grams(language_id.codes(text))):
+                counts.setdefault((lang, size), Counter()).update(hashes.tolist())
+    sets = {n: set() for n in spoken}
+    for (lang, size), c in counts.items():
+        sets[lang] |= {g for g, k in c.items() if k >= max(2, language_id.RATE * sum(c.values()))}
+    both = sets["aa"] & sets["bb"]
+    got = language_id.predict(frame(asked, DOCS), filters).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        every = [g for hashes in language_id.grams(language_id.codes(r.text)) for g in hashes.tolist()]
+        held = {n: sum(g in own - both for g in every) for n, own in sets.items()}
+        if abs(held["aa"] - held["bb"]) > 1 or held["aa"] == held["bb"] == 0:
+            assert r.lang_pred == max(sorted(held), key=held.get), r
+
+
 # --- 2: mixing ------------------------------------------------------------------------------
 
 def test_rates_reach_targets_and_respect_the_lower_bound(frame):
@@ -153,6 +189,46 @@ def test_mixing_of_blank_and_empty_tables(frame):
     assert mixing.mixed(docs.limit(0), labels, {"x": 1.0}).count() == 0
 
 
+def test_rates_where_posteriors_overlap_settle_where_a_plain_descent_ends(frame):
+    rng = np.random.default_rng(11)
+    p = mixing.rounded(rng.dirichlet([2.0, 2.0, 2.0], 300))
+    docs = frame([(100, [int(x) for x in row]) for row in p], "n_tokens long, posterior array<int>")
+    targets = np.array([0.8, 0.1, 0.1])
+    with pytest.warns(UserWarning, match="cannot reach"):
+        rates = mixing.fit_rates(docs, ("a", "b", "c"), dict(zip("abc", targets)))
+    share = p / mixing.LEVELS
+    inverse, w = np.linalg.pinv(share.T @ share / 300, hermitian=True), np.ones(300)
+    for _ in range(20_000):
+        pull = inverse @ ((share * w[:, None]).sum(0) / 300 - targets) / mixing.TIGHTNESS
+        w = np.maximum(0, w - (share @ pull + w - 1) / (1 + 1 / mixing.TIGHTNESS))
+    got = np.array([r.rate for r in docs.withColumn("rate", rates.of()).collect()])
+    assert np.abs(got - w).max() < 1e-5 and rates.steps < 40
+
+
+def test_targets_that_no_rate_reaches_are_refused(frame):
+    docs = frame([(100, [180, 20]), (100, [20, 180])], "n_tokens long, posterior array<int>")
+    with pytest.raises(ValueError, match="'b'"):
+        mixing.fit_rates(docs, ("a", "b"), {"a": 1.0, "b": 0.0}, lowest=1.0)
+    for targets in ({"a": 0.0, "b": 0.0}, {"a": -1.0, "b": 2.0}):
+        with pytest.raises(ValueError, match="targets"):
+            mixing.fit_rates(docs, ("a", "b"), targets)
+
+
+def test_repeated_rows_keep_columns_of_any_name(frame):
+    names = "n_tokens string, posterior string, rate string, copies string, copy int, __tokens string, __copies string"
+    docs = frame([(1, "aaa bbb", *["mine"] * 4, 7, "mine", "mine"), (1, "aaa bbb", *["mine"] * 4, 7, "mine", "mine")],
+                 f"doc_id long, text string, {names}")
+    got = mixing.repeated(docs, frame([(1, "x")], "doc_id long, domain string"), {"x": 1.0})
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [tuple(r) for r in docs.collect()]
+    assert mixing.repeated(docs.limit(0), frame([(1, "x")], "doc_id long, domain string"), {"x": 1.0}).count() == 0
+
+
+def test_domain_of_long_documents_only(frame):
+    docs = frame([(i, "gut und schlecht " * 2000 if i % 2 else "good and bad", "x") for i in range(40)], "doc_id long, text string, rate string")
+    labels = frame([(i, "de" if i % 2 else "en") for i in range(40)], "doc_id long, domain string")
+    assert mixing.fit_domains(docs, labels).domains == ("de", "en")
+
+
 # --- 3: personal data -----------------------------------------------------------------------
 
 def plain_base(text):
@@ -251,6 +327,18 @@ def test_encoding_by_pieces_equals_whole_texts(monkeypatch, remembered, chunk):
     assert encoder.known.n <= remembered
 
 
+def test_many_rows_without_an_id_are_dealt_to_many_partitions(spark, frame):
+    rows = [(None, f"text {i % 700} of many") for i in range(3000)] + [(5, "same " * 70 + str(i % 3)) for i in range(3000)] + [(i, "x") for i in range(6, 50)]
+    path = staged_path(spark, "test-tokens")
+    token_store.write_tokens(frame(rows, DOCS), path, VOCABULARY, partitions=12)
+    got = sorted(token_store.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 3000 + [5] * 3000 + list(range(6, 50))
+    starts = np.cumsum([0, *(r.n_tokens for r in got)])
+    assert [r.start for r in got] == starts[:-1].tolist()
+    sizes = [r.n for r in spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_docs").alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) < 2000
+
+
 def test_an_empty_store_and_another_dictionary(spark, frame):
     path = staged_path(spark, "test-tokens")
     token_store.write_tokens(frame([], DOCS), path, VOCABULARY)
@@ -372,6 +460,14 @@ def test_quality_is_learned_on_rows_not_held_out(spark, frame):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.predicted}
 
 
+def test_quality_where_a_class_has_long_documents_only(frame):
+    good = [(i, " ".join(words(40, i)), 1) for i in range(40)]
+    bad = [(i, " ".join(w.upper() + "!" for w in words(4200, i))[:23_999], 0) for i in range(40, 80)]
+    docs, labels = frame([r[:2] for r in good + bad], DOCS), frame([(i, q) for i, _, q in good + bad], "doc_id long, quality int")
+    got = quality_nbsvm.score(docs, quality_nbsvm.fit(docs, labels)).collect()
+    assert {r.doc_id for r in got if r.predicted} == set(range(40))
+
+
 @pytest.mark.parametrize(("quality", "low", "high"), [([], 0.5, 0.5), ([1, 1], 0.7, 1.0), ([0, 0], 0.0, 0.3)])
 def test_quality_with_one_class_or_none(frame, quality, low, high):
     docs = frame([(1, "a b"), (2, "c d"), (3, None)], DOCS)
@@ -491,6 +587,37 @@ def test_near_copies_against_all_pairs(frame, monkeypatch, k):
     assert setsketch_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_an_id_are_judged_one_by_one(frame):
+    a, b, c = (" ".join(words(60, i)) for i in range(3))
+    rows = [(1, a, "x"), (1, b, "x"), (2, c, "x"), (1, a, "x"), (3, a + " more", "x"), (None, a, "x"), (None, a, "x"), (4, None, "x"), (4, "", "x")]
+    for columns in ("doc_id long, text string, own_unit string", "doc_id long, text string, own_id string"):
+        got = setsketch_dedup.without_near_duplicates(frame(rows, columns), 5, 80)
+        assert got.columns == [c.split()[0] for c in columns.split(", ")]
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+            [(1, a, "x"), (1, b, "x"), (2, c, "x"), (None, a, "x"), (None, a, "x"), (4, None, "x"), (4, "", "x")], key=repr)
+
+
+def test_blocks_of_large_texts_are_smaller(frame, monkeypatch):
+    """Many blocks by shingles alone, batches of a few rows: the same links."""
+    rng = random.Random(2)
+    base = words(120, 1)
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for _ in range(rng.choice([4, 8, 12, 20])):
+            text[rng.randrange(len(text))] = f"w{rng.randrange(40)}"
+        rows.append((i, " ".join(text)))
+    docs = frame(rows, DOCS)
+    want = sorted(tuple(r) for r in setsketch_dedup.near_duplicates(docs, 5, 80).collect())
+    monkeypatch.setattr(setsketch_dedup, "LEFT_SHINGLES", 300)
+    monkeypatch.setattr(setsketch_dedup, "MEMBER_SHINGLES", 900)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert sorted(tuple(r) for r in setsketch_dedup.near_duplicates(docs, 5, 80).collect()) == want
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(12)
     pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
