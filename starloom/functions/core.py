@@ -79,6 +79,7 @@ def blank_to_null(c: ColumnOrName) -> Column:
 # Accumulators of an exact sum. Values of up to six decimals count in millionths, in two longs of _LOW_BITS and the rest; all
 # others go by binary digits to longs of _BIN bits each, from 2**_FIRST on. No long overflows below 10**10 rows of a group.
 _MILLIONTHS, _LOW_BITS, _MOST = 1e6, 26, 2.0 ** 33
+_NOISE = 2.0 ** -50  # share of a value by which arithmetic may have moved it from its decimals
 _BIN, _FIRST, _BINS = 24, -96, 8
 _SMALLEST, _LARGEST = 2.0 ** (_FIRST + 53), 2.0 ** (_FIRST + _BIN * _BINS - 4)  # of a value that loses no digit in the bins
 
@@ -118,14 +119,14 @@ def _bins_total(bins: Column) -> Column:
 def exact_sum(c: ColumnOrName) -> Column:
     """Sum as double that does not depend on the order in which partitions arrive.
 
-    Whole numbers are added only: a value of up to six decimals and below 2**33 by its decimal digits, any other between 2**-43 and
-    2**92 by its binary digits, so a retried or differently partitioned run gives the same result. If a group holds a
+    Whole numbers are added only: a value of up to six decimals (give or take 2**-50 of it) and below 2**33 by its decimal digits, any other
+    between 2**-43 and 2**92 by its binary digits, so a retried or differently partitioned run gives the same result. If a group holds a
     value outside that range (NaN, an infinity, 10**28, 10**-14), the plain sum of doubles is returned.
     """
     value = col(c).cast("double")
     size = F.abs(value)
     millionths = F.rint(value * _MILLIONTHS)
-    short = (size < _MOST) & (millionths / _MILLIONTHS == value)
+    short = (size < _MOST) & (F.abs(millionths / _MILLIONTHS - value) <= size * _NOISE)
     long = ~short & (size >= _SMALLEST) & (size < _LARGEST)
     whole = millionths.cast("long")
     low = F.sum(F.when(short, whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
