@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators.staging_area import stage
 from . import semantic
-from .checks import run_warehouse_checks
+from .checks import Observer, run_warehouse_checks
 from .history import first_snapshot, merge_snapshot
 from .rules import DEFAULT, Rules
 from .staging import FEEDS, combine_feeds, stage_feed
@@ -31,17 +31,23 @@ def build_warehouse(
     """All tables by name from raw feeds by name (``coursera``, ``udacity``, ``udemy``), and ``checks``, the declared tests' results.
 
     Feeds are staged and combined, courses standardized, the snapshot of ``as_of`` merged into ``history``
-    (the first one without), the star and the reports built, and all of it tested. Tables are written to the staging
+    (the first one without), the star and the reports built, and all of it tested: what looks at single rows while they are written. Tables are written to the staging
     area and read back; write what is to stay elsewhere, then ``release`` them.
     """
-    tables = {f"stg_{name}": stage(stage_feed(df, FEEDS[name], rules, tiebreak), f"stg-{name}") for name, df in raw.items()}
+    observer = Observer()
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return stage(observer.watch(df, name), name.replace("_", "-"))
+
+    tables = {f"stg_{name}": written(stage_feed(df, FEEDS[name], rules, tiebreak), f"stg_{name}") for name, df in raw.items()}
     tables["combined"] = combine_feeds(*tables.values())
-    courses = stage(standardize_courses(tables["combined"], rules), "courses")
+    # the combined feeds are counted on their way into the courses
+    courses = written(standardize_courses(observer.watch(tables["combined"], "combined"), rules), "courses")
     versions = first_snapshot(courses, as_of) if history is None else merge_snapshot(history, courses, as_of)
     tables |= {"courses": courses, "history": stage(versions, "history")}
     star = build_star(courses, tables["history"], rules)
-    star["fact_offerings"] = stage(star["fact_offerings"], "fact")
+    star["fact_offerings"] = written(star["fact_offerings"], "fact_offerings")
     tables |= star
-    tables |= {name: stage(report(courses), name) for name, report in REPORTS.items()}
-    tables["checks"] = run_warehouse_checks(tables)
+    tables |= {name: written(report(courses), name) for name, report in REPORTS.items()}
+    tables["checks"] = run_warehouse_checks(tables, observer=observer)
     return tables

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.core import rows_frame
 from ..operators.joins import orphans
 
 
@@ -106,17 +107,53 @@ def _row_tests(checks: TableChecks) -> list[tuple[str, Column, str]]:
     return tests + [(f"{c} is in range", _outside(c, low, high), severity) for c, low, high, severity in checks.ranges]
 
 
-def run_table_checks(name: str, tables: Mapping[str, DataFrame], checks: TableChecks) -> DataFrame:
+def _counts(tests: Sequence[tuple[str, Column, str]]) -> list[Column]:
+    return [F.count(F.when(failing, 1)).alias(f"t{i}") for i, (_, failing, _) in enumerate(tests)]
+
+
+class Observer:
+    """Counts the failures of row tests while tables are written, so that testing them asks for no scan of its own."""
+
+    def __init__(self, declared: Mapping[str, TableChecks] | None = None):
+        self.declared = WAREHOUSE_CHECKS if declared is None else declared
+        self.watched: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str) -> DataFrame:
+        """The table, its row tests counted by the next job that goes through all its rows; write it next, once.
+
+        The counts are taken in the tasks that write, of which every finished one counts once, whatever is run again.
+        """
+        tests = _row_tests(self.declared[name]) if name in self.declared else []
+        if not tests:
+            return df
+        self.watched[name] = Observation(f"checks of {name}")
+        return df.observe(self.watched[name], *_counts(tests))
+
+    def failures(self, name: str) -> list[int] | None:
+        """Failures of the table's row tests in their order; None for a table that was not watched. Waits for its job."""
+        if name not in self.watched:
+            return None
+        found = self.watched[name].get
+        return [found[f"t{i}"] for i in range(len(found))]
+
+
+def run_table_checks(
+    name: str, tables: Mapping[str, DataFrame], checks: TableChecks, counted: Sequence[int] | None = None,
+) -> DataFrame:
     """(test, failures, status) of one table: one pass for all row tests, one grouping per key, one join per relationship.
 
     Failures are rows, for keys values that occur more than once. NULL passes ranges, accepted values and
-    relationships; rows with a NULL in a key of one column are not counted for it.
+    relationships; rows with a NULL in a key of one column are not counted for it. ``counted`` gives the failures of the row tests where
+    they are known (:class:`Observer`); the table is not read for them then.
     """
     df = tables[name]
     results = []
     tests = _row_tests(checks)
-    if tests:
-        counted = df.agg(*[F.count(F.when(failing, 1)).alias(f"t{i}") for i, (_, failing, _) in enumerate(tests)])
+    if tests and counted is not None:
+        known = [(f"{name}: {test}", n, severity) for (test, _, severity), n in zip(tests, counted, strict=True)]
+        results.append(rows_frame(df.sparkSession, known, "test string, failures bigint, severity string"))
+    elif tests:
+        counted = df.agg(*_counts(tests))
         each = [F.struct(F.lit(f"{name}: {test}").alias("test"), F.col(f"t{i}").alias("failures"), F.lit(severity).alias("severity"))
                 for i, (test, _, severity) in enumerate(tests)]
         results.append(counted.select(F.inline(F.array(*each))))
@@ -133,6 +170,9 @@ def run_table_checks(name: str, tables: Mapping[str, DataFrame], checks: TableCh
     return together.select("test", "failures", F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")).alias("status"))
 
 
-def run_warehouse_checks(tables: Mapping[str, DataFrame], declared: Mapping[str, TableChecks] = WAREHOUSE_CHECKS) -> DataFrame:
+def run_warehouse_checks(
+    tables: Mapping[str, DataFrame], declared: Mapping[str, TableChecks] = WAREHOUSE_CHECKS, observer: Observer | None = None,
+) -> DataFrame:
     """(test, failures, status) of all declared tests of the tables that are given. Pass written tables."""
-    return reduce(DataFrame.unionAll, [run_table_checks(name, tables, c) for name, c in declared.items() if name in tables])
+    seen = {name: observer.failures(name) if observer else None for name in declared if name in tables}
+    return reduce(DataFrame.unionAll, [run_table_checks(name, tables, declared[name], counts) for name, counts in seen.items()])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.operators.staging_area import stage
-from starloom.plans import dashboard, extract, history, semantic, star
+from starloom.plans import checks, dashboard, extract, history, semantic, star
 from starloom.plans.rules import CLOUD, DEFAULT, LOCAL
 from starloom.plans.staging import COURSERA, UDACITY, UDEMY, align_feed, combine_feeds, stage_feed, stage_feeds
 from starloom.plans.standardize import standardize_courses
@@ -316,3 +316,25 @@ def test_nested_rows(frame):
 def test_hit_slug(values):
     given = ['{"slug":"s"}', '{"u":"https://x/school/abc?z"}', '{"u":"/none"}']
     assert values(extract.hit_slug, given) == ["s", "abc", None]
+
+
+OBSERVED = checks.TableChecks(
+    not_null=["a", "b"], accepted={"b": ["x", "y"]}, ranges=[("n", 0, 5, "warn"), ("n", None, 3, "error")], keys=[("a",)])
+
+
+@pytest.mark.parametrize("data", [[(1, "x", 2), (None, "z", 9), (2, None, -1), (2, "y", None)], [], [(1, "x", 1)]])
+def test_checks_counted_while_writing(frame, data):
+    df = frame(data, "a int, b string, n int").repartition(3)
+    observer = checks.Observer({"t": OBSERVED})
+    written = stage(observer.watch(df, "t"), "observed")
+    seen = checks.run_table_checks("t", {"t": written}, OBSERVED, observer.failures("t"))
+    assert rows(seen) == rows(checks.run_table_checks("t", {"t": written}, OBSERVED))
+    assert observer.failures("u") is None and observer.watch(df, "u") is df
+
+
+def test_observed_checks_read_no_table_for_row_tests(frame):
+    written = stage(frame([(1, "x", 2)], "a int, b string, n int"), "observed")
+    only_rows = checks.TableChecks(not_null=["a"], accepted={"b": ["x"]})
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+    assert scans(checks.run_table_checks("t", {"t": written}, only_rows)) == 1
+    assert scans(checks.run_table_checks("t", {"t": written}, only_rows, [0, 0])) == 0
