@@ -114,7 +114,7 @@ def visible_text(c: ColumnOrName) -> Column:
 
 # --- keyword tags --------------------------------------------------------------------
 
-_WORD = r"[\p{L}\p{N}_]"
+WORD = r"[\p{L}\p{N}_]"
 
 
 def _whole_word(word: str) -> str:
@@ -130,10 +130,10 @@ def _keyword_pattern(keywords: Sequence[str]) -> str:
     by_letter: dict[str, list[str]] = {}
     for k in sorted(keywords, key=lambda k: (-len(k), k)):
         ends_in_word = k[-1].isalnum() or k[-1] == "_"
-        after = f"(?!{_WORD})" if ends_in_word else f"(?={_WORD})"
+        after = f"(?!{WORD})" if ends_in_word else f"(?={WORD})"
         by_letter.setdefault(k[0], []).append(re.escape(k[1:]) + after)
     branches = [f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in by_letter.items()]
-    return f"(?<!{_WORD})(?=({'|'.join(branches)}))"
+    return f"(?<!{WORD})(?=({'|'.join(branches)}))"
 
 
 def keyword_tags(c: ColumnOrName, keywords: Sequence[str] = fixed.SKILLS) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, records, text, times, urls
+from ..operators import tagging
 from ..plans import extract
 from .registry import query, table
 from .scalars import scalar
@@ -66,6 +67,34 @@ scalar(
 )
 
 
+@query(
+    "ext_2_vocabulary_tags",
+    r"""
+    with words as (select min(c) as keyword from (select unnest([p_brand, p_type, p_name, split_part(p_name, ' ', 1)]) as c from part) as t
+                   where c <> '' group by lower(c)),
+    texts as (select l_orderkey, string_agg(p_name || case when l_linenumber % 2 = 0 then '-' else ', ' end || upper(p_brand), '; ' order by l_linenumber)
+              || ' ' as body from lineitem join part on l_partkey = p_partkey group by 1),
+    -- keywords hold letters, digits, blanks and # here: whole words are surrounded by other characters
+    padded as (select l_orderkey, ' ' || lower(body) || ' ' as t from texts),
+    hits as (select l_orderkey, keyword from padded, words where contains(t, lower(keyword))
+             and regexp_matches(t, '[^a-z0-9_]' || lower(keyword) || '[^a-z0-9_]'))
+    select l_orderkey, coalesce(string_agg(keyword, ' | ' order by keyword), '') as tags
+    from texts left join hits using (l_orderkey) group by 1
+    """,
+)
+def vocabulary_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    names = F.array("p_brand", "p_type", "p_name", F.split_part("p_name", F.lit(" "), F.lit(1)))
+    words = part.select(F.explode(names).alias("keyword")).filter("keyword <> ''").distinct()
+    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    mark = F.when(F.col("l_linenumber") % 2 == 0, "-").otherwise(", ")
+    said = F.struct("l_linenumber", F.concat("p_name", mark, F.upper("p_brand")).alias("said"))
+    texts = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(said)).alias("all")).select(
+        "l_orderkey", F.concat(F.array_join("all.said", "; "), F.lit(" ")).alias("body"))
+    found = tagging.vocabulary_tags(texts, ["l_orderkey"], "body", words)
+    return found.select("l_orderkey", F.array_join("tags", " | ").alias("tags"))
+
+
 @query(
     "ext_3_skill_list",
     f"""

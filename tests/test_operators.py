@@ -1,6 +1,7 @@
 """Operators on small tables: hand-worked results, brute force, and hot keys."""
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 from statistics import median
@@ -10,7 +11,8 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators import aggregate, generate, joins, numbering, shape
+from starloom.functions import fixed, text
+from starloom.operators import aggregate, generate, joins, numbering, shape, tagging
 from starloom.operators.staging_area import stage, staging_root
 
 
@@ -397,3 +399,37 @@ def test_random_shapes_keep_every_row(spark):
         df = spark.createDataFrame(data, "k int, v int")
         assert numbering.number_rows(df, ["k", "v"], "rn").count() == n
         assert numbering.with_neighbours(df, ["k"], ["v"], previous={"p": "v"}).count() == n
+
+
+# --- tags of a vocabulary table -------------------------------------------------------------
+
+def test_tags_of_a_table_are_those_of_the_fixed_list(frame):
+    rng = random.Random(31)
+    glue = [" ", ", ", "-", "", "é", "_", "/", ".", "\n", "+", "#"]
+    texts = ["".join(w for s in rng.choices(fixed.SKILLS, k=8) for w in (s if rng.random() < 0.5 else s.upper(), rng.choice(glue)))
+             for _ in range(300)] + ["C++ and C#", "C++11 C#7", "react native", "Power  BI", "r", "", "nothing here", None]
+    df = frame([(i, t, "mine") for i, t in enumerate(texts)], "id int, body string, tags string")
+    listed = frame([(i, k) for i, k in enumerate(fixed.SKILLS)] + [(900, fixed.SKILLS[0].upper()), (901, None), (902, "++x"), (903, "")],
+                   "place int, `a skill` string")
+    got = dict(tagging.vocabulary_tags(df, ["id"], "body", listed, "a skill", "place").collect())
+    want = dict(df.select("id", text.keyword_tags("body")).collect())
+    assert got == {i: t or [] for i, t in want.items()}
+    assert dict(tagging.vocabulary_tags(df, ["id"], "body", listed.limit(0), "a skill").collect()) == {i: [] for i in got}
+
+
+@pytest.mark.parametrize("most", [200_000, 10])
+def test_tags_of_a_hundred_thousand_skills(spark, frame, monkeypatch, most):
+    """Broadcast or shuffled, against a plain search for every run of words."""
+    monkeypatch.setattr(tagging, "BROADCAST_ROWS", most)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 4))) for _ in range(3000)]
+    skills = {" ".join(rng.choices(words, k=rng.choice([1, 2, 2, 3]))) + rng.choice(["", "", "", "+", "#"]) for _ in range(110_000)}
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(150)] + ["".join(rng.choice([s, s + "x ", s + " "]) for s in rng.sample(sorted(skills), 9))
+                                                                                    for _ in range(100)]
+    got = dict(tagging.vocabulary_tags(frame(list(enumerate(texts)), "id int, body string"), ["id"], "body",
+                                       spark.createDataFrame([(s,) for s in sorted(skills)], "keyword string")).collect())
+    for i, body in enumerate(texts):
+        runs = re.findall(r"\w+|\W+", body)
+        found = {"".join(runs[a:a + n]) for a in range(len(runs)) for n in range(1, 7)
+                 if re.match(r"\w", runs[a]) and a + n <= len(runs) and (n % 2 or a + n < len(runs))}
+        assert got[i] == sorted(found & skills)
