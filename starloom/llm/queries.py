@@ -172,7 +172,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings in every document, each with the forest's score."""
     docs = table(spark, sf_dir, "documents")
-    model = secret_forest.fit(secret_forest.label_by_rules(secret_forest.candidates(docs, "source")), docs)
+    model = secret_forest.fit(secret_forest.labelled_findings(spark), docs)
     return secret_forest.scan(docs, model, "source")
 
 

@@ -4,7 +4,8 @@ A candidate is a run of LEAST or more characters of keys and tokens (letters, di
 inside; a run of a known format, whatever its length and characters; or a value of LEAST_ASSIGNED or more characters behind a
 key word and = or :, up to its quote or white space. The forest sees its length, its character classes and their changes, how usual its character transitions are, how much
 of it dictionary words cover, the path of its document, and the words beside it. It is trained on a table of labelled
-findings, of which a bounded sample of each class is taken; transitions and dictionary are counted over all documents.
+findings (`labelled_findings`: marked lines with secrets and hard negatives), of which a bounded sample of each class is taken;
+transitions and dictionary are counted over all documents.
 """
 
 from __future__ import annotations
@@ -14,19 +15,20 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.core import let, rows_frame
+from starloom.llm import marked_findings
 from starloom.llm.common import keep, sample_per_class
 
-
 LEAST, LEAST_ASSIGNED = 16, 4
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 20_000  # of sample_docs only
 SAMPLE_FINDINGS = 20_000  # labelled findings the forest is trained on, half of them of each class
 DICTIONARY_WORDS = 400
-TREES, DEPTH, SEED = 30, 6, 11
+TREES, DEPTH, SEED = 40, 9, 11
 ACCEPT = 0.5
-CONTEXT = 48
+CONTEXT, PART = 48, 1024  # characters beside a candidate, and of the parts in which a text is looked up
 
 # Formats of well-known keys, words beside secrets, and words beside other long values.
 KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abprs]-|^sk_(live|test)_|^AIza[A-Za-z0-9_\-]{30,}$|^ey[A-Za-z0-9_\-]{20,}$"
@@ -35,8 +37,12 @@ OTHER_WORDS = r"(?i)(sha|md5|commit|checksum|hash|digest|uuid|guid|order|invoice
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 CODES = len(ALPHABET) + 1
 PIECE = r"[^A-Za-z0-9+/_\-]"
+HELD = r"[A-Za-z0-9+/_\-]"
 CLASSES = "[0-9]|[a-z][A-Z]|[A-Z]{2,}[a-z]"
 SHORT_FORMATS = r"(xox[abprs]-|sk_(live|test)_)"  # beginnings in KNOWN that ask for no length
+# maximal runs that may be candidates: long ones, and short ones of such a beginning
+RUN = f"(?<!{HELD})(?:{HELD}{{{LEAST},}}+|(?:xox|sk_){HELD}*+)"
+STAND_INS = r"(?i)example|sample|dummy|fake|placeholder|change_?me|replace|insert|your[_-]|here|todo|test|xxxx|0000|1234|null|none|^\$?[<{*(]"
 # a key word, the rest of its name, = or :, and the opening quote; the value (group 2) is only looked at, so that pairs inside it are found too
 ASSIGNED = (r"(?=[psatcbkPSATCBK])" + KEY_WORDS + r"""[A-Za-z0-9_\-]{0,32}[\\"'\])]{0,4}[ \t]{0,4}[=:]{1,2}[ \t]{0,4}(?:\\?["'`])?(?=("""
             r"""(?<=\\["'])[^"'\\\r\n]++|(?<=`)[^`\r\n]++(?=`)"""
@@ -51,6 +57,21 @@ def _held(pattern: str, column: Column) -> Column:
     return F.length(F.regexp_replace(column, pattern, "")).cast("double")
 
 
+def _before(lengths: Column) -> Column:
+    """The sum of all that stands before each element: by blocks of about the root of their number, so the work grows with its power 1.5."""
+    def sums(parts: Column) -> Column:
+        return F.aggregate(parts, F.lit(0), lambda n, x: n + x)
+
+    def by_block(a: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(a))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / size).cast("int")), lambda b: F.slice(a, b * size + 1, size))
+        return let(blocks, lambda every: let(F.transform(every, sums), lambda totals: F.flatten(F.transform(
+            every, lambda block, b: let(sums(F.slice(totals, F.lit(1), b)), lambda start: F.transform(
+                block, lambda _, j: start + sums(F.slice(block, F.lit(1), j))))))))
+
+    return let(lengths, lambda a: F.when(F.size(a) > 0, by_block(a)).otherwise(F.array().cast("array<int>")))
+
+
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, path, start, end, value, left, right): candidates with their place in code points and up to CONTEXT characters beside them.
 
@@ -59,45 +80,58 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     docs = docs.select("doc_id", "text", (F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")).alias("path"))
     text = F.col("text")
     docs = docs.where(text.rlike(f"[A-Za-z0-9+/_\\-]{{{LEAST},}}") | text.rlike(SHORT_FORMATS) | text.rlike(ASSIGNED))
-    pieces = F.split("text", PIECE, -1)
 
     def is_run(s: Column) -> Column:
         short = (s.startswith("xox") | s.startswith("sk_")) & s.rlike(KNOWN) & ~s.rlike(f"^{SHORT_FORMATS}$")
         return F.when(F.length(s) >= LEAST, s.rlike(CLASSES) | s.rlike(KNOWN)).otherwise(short)
 
-    def found(all_pieces: Column) -> Column:
-        marked = F.transform(all_pieces, lambda s, i: F.when(
-            is_run(s),
-            F.struct(s.alias("value"), (F.aggregate(F.slice(all_pieces, F.lit(1), i), F.lit(0), lambda n, p: n + F.length(p)) + i).alias("start"))))
-        return F.filter(marked, lambda m: m.isNotNull())
+    def found(m: Column) -> Column:
+        lengths = F.transform(m["runs"], lambda s, i: F.length(s) + F.length(F.get(m["between"], i)))
+        return let(_before(lengths), lambda before: F.filter(
+            F.transform(m["runs"], lambda s, i: F.struct(s.alias("value"), (F.get(before, i) + F.length(F.get(m["between"], i))).alias("start"))),
+            lambda x: is_run(x["value"])))
 
     def assigned(m: Column) -> Column:
-        lengths = F.transform(m["heads"], lambda h, i: F.length(h) + F.length(F.get(m["between"], i)))
-        marked = F.transform(m["values"], lambda v, i: F.struct(
+        def length(i: Column) -> Column:
+            return F.length(F.get(m["heads"], i)) + F.length(F.get(m["between"], i))
+
+        lengths = F.transform(m["heads"], lambda _, i: length(i))
+        marked = let(_before(lengths), lambda before: F.transform(m["values"], lambda v, i: F.struct(
             F.when(F.get(m["heads"], i).rlike("[\"'`]$"), v).otherwise(F.rtrim(v, F.lit(AFTER))).alias("value"),
-            F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0), lambda n, x: n + x).alias("start")))
+            (F.get(before, i) + length(i)).alias("start"))))
         # a value that is a run as a whole has been found as one
         return F.filter(marked, lambda x: (F.length(x["value"]) >= LEAST_ASSIGNED) & ~(is_run(x["value"]) & ~x["value"].rlike(PIECE)))
 
     pattern = F.lit(ASSIGNED)
     pairs = F.struct(F.split("text", ASSIGNED, -1).alias("between"), F.regexp_extract_all("text", pattern, F.lit(0)).alias("heads"),
                      F.regexp_extract_all("text", pattern, F.lit(2)).alias("values"))
-    # the outer transforms bind the pieces once
-    runs = F.flatten(F.transform(F.array(pieces), found))
+    # the outer transforms bind the parts once
+    runs = F.struct(F.split("text", RUN, -1).alias("between"), F.regexp_extract_all("text", F.lit(RUN), F.lit(0)).alias("runs"))
+    runs = F.flatten(F.transform(F.array(runs), found))
     every = F.when(text.rlike(ASSIGNED), F.concat(runs, F.flatten(F.transform(F.array(pairs), assigned)))).otherwise(runs)
-    one = docs.select("doc_id", "path", "text", F.explode(every).alias("m"))
-    start = F.col("m.start")
-    low = F.greatest(F.lit(0), start - CONTEXT)
-    return one.select(
-        "doc_id", "path", start.alias("start"), (start + F.length("m.value")).alias("end"), F.col("m.value").alias("value"),
-        F.substring("text", low + 1, start - low).alias("left"),
-        F.substring("text", start + F.length("m.value") + 1, F.lit(CONTEXT)).alias("right"))
+
+    def beside(m: Column, parts: Column) -> Column:
+        """The candidate with what stands beside it, out of the parts of the text around its ends."""
+        start, end = m["start"], m["start"] + F.length(m["value"])
+        low, first, last = F.greatest(F.lit(0), start - CONTEXT), F.floor(start / PART).cast("int"), F.floor(end / PART).cast("int")
+
+        def two(k: Column) -> Column:
+            return F.concat(F.coalesce(F.get(parts, k), F.lit("")), F.coalesce(F.get(parts, k + 1), F.lit("")))
+
+        left = F.substring(two(first - 1), low - F.greatest(first - 1, F.lit(0)) * PART + 1, start - low)
+        return F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value"), left.alias("left"),
+                        F.substring(two(last), end - last * PART + 1, F.lit(CONTEXT)).alias("right"))
+
+    # all of it inside the row: a text that is carried along with each of its candidates is copied for each
+    parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+    whole = let(parts, lambda p: F.transform(every, lambda m: beside(m, p)))
+    return docs.select("doc_id", "path", F.explode(whole).alias("m")).select("doc_id", "path", "m.*")
 
 
 # --- features -------------------------------------------------------------------------------
 
 FEATURES = ["length", "digits", "upper", "lower", "marks", "hex", "distinct", "changes", "usual", "covered", "known", "assigned", "quoted",
-            "key_word", "other_word", "plain_left", "plain_right", "path_depth", "path_test"]
+            "key_word", "other_word", "plain_left", "plain_right", "path_depth", "path_test", "stand_in", "repeated", "near_other"]
 
 
 @dataclass(frozen=True)
@@ -140,14 +174,32 @@ def with_features(found: DataFrame, transitions: tuple[float, ...], dictionary:
         "plain_left": flag(F.col("left").rlike(r"[a-z]+[.,]?\s+$")), "plain_right": flag(F.col("right").rlike(r"^[.,\"']?\s+[A-Za-z]+")),
         "path_depth": F.length(F.regexp_replace("path", "[^/]", "")).cast("double"),
         "path_test": flag(F.col("path").rlike("(?i)test|example|sample|fixture|doc")),
+        "stand_in": flag(value.rlike(STAND_INS)), "repeated": F.length(F.regexp_replace(low, r"(.{1,4}?)\1+", "$1")) / n,
+        "near_other": flag(F.regexp_extract(F.col("left"), r"\S*\s*$", 0).rlike(OTHER_WORDS)),
     }
     return found.withColumn("features", F.array(*(columns[name].cast("double") for name in FEATURES)))
 
 
 # --- training -------------------------------------------------------------------------------
 
+def labelled_findings(spark: SparkSession, held_out: bool | None = None) -> DataFrame:
+    """Candidates of the marked lines with `label`: 1.0 for those that lie in a marked secret, else 0.0; doc_id is the line's number.
+
+    With `held_out` only the lines of every fourth form (True) or of the others (False), so that no form is in both.
+    """
+    marked = [(i, x.text, x.path, x.start, x.end, x.secret) for i, x in enumerate(marked_findings.lines())
+              if held_out is None or (x.form % 4 == 2) == held_out]
+    rows = rows_frame(spark, marked, "doc_id bigint, text string, path string, first int, last int, secret boolean")
+    places = rows.select("doc_id", "first", "last", "secret")
+    inside = F.col("secret") & (F.col("start") < F.col("last")) & (F.col("end") > F.col("first"))
+    found = candidates(rows, "path").join(F.broadcast(places), "doc_id")  # a few thousand lines
+    return found.select("doc_id", "path", "start", "end", "value", "left", "right", inside.cast("double").alias("label"))
+
+
 def label_by_rules(found: DataFrame) -> DataFrame:
-    """Labelled findings from candidates: 1 for values of a known format or assigned to a key word, else 0.
+    """Findings labelled without a table of marked ones: 1 for values of a known format or assigned to a key word, else 0.
+
+    A forest trained on these can do no more than repeat the rule.
 
     An assigned value that is no run of LEAST characters must mix letters, digits or marks for a 1. Words and numbers alone are 0
     behind a colon (as in prose), and undecided (NULL) behind = or a quote.
@@ -205,18 +257,22 @@ def fit(labelled: DataFrame, docs: DataFrame) -> Model:
 
 # --- scanning -------------------------------------------------------------------------------
 
+def scored(found: DataFrame, model: Model) -> DataFrame:
+    """Candidates, all columns but those of the forest, with `score`."""
+    rows = with_features(found, model.transitions, model.dictionary)
+    if model.forest is None:
+        return rows.withColumn("score", F.lit(float(model.share))).drop("features")
+    score = F.get(vector_to_array("probability"), F.lit(1))
+    return model.forest.transform(rows.withColumn("vector", array_to_vector("features"))).withColumn("score", score).select(
+        *found.columns, "score")
+
+
 def scan(docs: DataFrame, model: Model, path: str | None = None) -> DataFrame:
     """One row per candidate: doc_id, start, end, value_sha256, score, is_secret (score of ACCEPT or more).
 
     The values themselves are not returned. NULL and empty texts give no rows; repeated rows of docs repeat their findings; a NULL
     doc_id stays NULL.
     """
-    rows = with_features(candidates(docs, path), model.transitions, model.dictionary).select(
-        "doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "features")
-    if model.forest is None:
-        scored = rows.withColumn("score", F.lit(float(model.share)))
-    else:
-        vectors = rows.withColumn("vector", array_to_vector("features"))
-        scored = model.forest.transform(vectors).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "value_sha256",
+    rows = scored(candidates(docs, path), model).withColumn("value_sha256", F.sha2("value", 256))
+    return rows.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "value_sha256",
                          "score", (F.col("score") >= ACCEPT).alias("is_secret"))
