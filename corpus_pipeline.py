@@ -2,6 +2,9 @@
 
 A stage is a function (spark, docs, sf_dir) -> DataFrame; all but the last return the columns of documents. Its result is
 written as Parquet and read again as the next one's docs.
+
+Every stage takes any rows: whole texts of any length; columns of other names and types beside those it reads, which come back as they
+are; an empty table, which stays empty. Where rows repeat, or lack an id or a text, each stage says what becomes of them.
 """
 
 from __future__ import annotations
@@ -18,29 +21,44 @@ from starloom.queries.registry import Query
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of 0.7 or more)."""
+    """Documents that the quality classifier accepts (score of 0.7 or more).
+
+    Every row is judged by its own text: rows that repeat a doc_id or have none too; a NULL text as an empty one.
+    """
     model = quality_nbsvm.fit(docs, table(spark, sf_dir, "labels"))
     return quality_nbsvm.accepted(docs, model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, similarity 0.8 or more, smallest doc_id."""
+    """One document of each group of near copies: shingles of five words, similarity 0.8 or more, smallest doc_id.
+
+    Rows that repeat a doc_id with another text are documents of their own; of rows that repeat both, one stays. Rows without a doc_id all
+    stay, and a text without words is near to nothing.
+    """
     return setsketch_dedup.without_near_duplicates(docs, words=5, percent=80)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages. Every row is judged by its own text; a NULL or empty text holds no passage."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated until the languages' token totals match TARGETS; none is left out (rates are 1 or more)."""
+    """Documents repeated until the languages' token totals match TARGETS; none is left out (rates are 1 or more).
+
+    Rows that repeat doc_id and text are repeated alike; a NULL or empty text has no tokens, and its row comes by its even posterior. Targets
+    that would need more than ten times the tokens stop the job.
+    """
     labels = language_labels(docs, table(spark, sf_dir, "labels"))
     return mixing.repeated(docs, labels, TARGETS, lowest=1.0)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in binary blocks, read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token ids in binary blocks, read back: doc_id, start, n_tokens, ids_crc32.
+
+    Every row is a document, in ascending order of doc_id, those without one first and rows that repeat one in the order of their
+    text; a NULL or empty text has the end id alone.
+    """
     path = staged_path(spark, "tokens")
     token_store.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -14,10 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the session's checkpoint folder, else its warehouse.
 
-    Both are shared by all executors of a cluster; a machine-local folder is never taken.
+    Both are shared by all executors of a cluster. A warehouse on the machines' own disks, as it is where nothing is set, is refused
+    unless the session runs on one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    return (root or _shared(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)).rstrip("/")
+
+
+def _shared(root: str, master: str) -> str:
+    if not master.startswith("local") and (root.startswith("file:") or ":" not in root):
+        raise ValueError(f"staged tables need a folder that all executors share: set spark.checkpoint.dir ({root} is each machine's own)")
+    return root
 
 
 def staged_path(spark: SparkSession, label: str) -> str:

@@ -115,3 +115,12 @@ def test_release_removes_what_was_staged(frame, spark):
     assert os.path.isdir(folder)
     staging_area.release(spark)
     assert not os.path.isdir(folder)
+
+
+def test_staged_tables_need_a_shared_folder():
+    """On a cluster a warehouse on the machines' own disks is no place for tables that other executors read."""
+    for root in ("file:/work/spark-warehouse", "/work/spark-warehouse", "spark-warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging_area._shared(root, "yarn")
+        assert staging_area._shared(root, "local[8]") == root
+    assert staging_area._shared("hdfs://store/warehouse", "spark://host:7077") == "hdfs://store/warehouse"
