@@ -18,7 +18,7 @@ def staging_root(spark: SparkSession) -> str:
     unless the session runs on one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or _shared(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)).rstrip("/")
+    return (root or _shared(spark.conf.get("spark.sql.warehouse.dir"), spark.conf.get("spark.master", "local"))).rstrip("/")
 
 
 def _shared(root: str, master: str) -> str:
