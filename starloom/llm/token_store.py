@@ -38,8 +38,10 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8192  # the dictionary's sample: documents, an
 SPECIAL = b"<|"
 MEMO_PIECES, MEMO_IDS, SLOTS = 500_000, 4_000_000, 1 << 20  # of the memo: pieces, their ids, and places to find them by
 LEARNED = 20_000  # pieces encoded at once: the tokenizer's own account of them is larger than they are
-TASK_BYTES = 64 << 20  # of text that a task encodes, so that what it learns is of use to it
+TASK_BYTES = 32 << 20  # of text that a task encodes: enough for what it learns to be of use, little enough to sort in memory
 STOPS = b".,;:!?"
+STOP = np.zeros(256, bool)
+STOP[list(STOPS)] = True
 HEAD_CHARS = 256  # of a text, by which rows that repeat a doc_id are ordered
 LATIN = bytes(range(0xC9))  # UTF-8 bytes of code points below U+0240: those letters are composed, and lower-cased one by one
 LEVEL = 3
@@ -104,6 +106,30 @@ class Sequences:
         return self.ids[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
+def _ascii_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str], list[int]]:
+    """The pieces of up to 200 letters a-z with or without stops behind them: their numbers, their words (letters, then stops), first words."""
+    lengths = ends - starts
+    begins = np.cumsum(lengths) - lengths
+    inside = np.arange(int(lengths.sum())) - np.repeat(begins, lengths)
+    flat = data[np.repeat(starts, lengths) + inside]
+    letter = (flat >= 97) & (flat <= 122)
+    n_letters = np.add.reduceat(letter, begins, dtype=np.int64)
+    # letters first, then nothing but stops
+    fits = np.logical_and.reduceat(np.where(inside < np.repeat(n_letters, lengths), letter, STOP[flat]), begins)
+    at = np.flatnonzero(fits & (n_letters > 0) & (n_letters <= 200))
+    if not len(at):
+        return at, [], []
+    n, k = lengths[at], n_letters[at]
+    parts = 1 + (n > k)
+    sizes = n + parts  # a blank behind the letters and behind the stops
+    base = np.cumsum(sizes) - sizes
+    kept = np.repeat(fits & (n_letters > 0) & (n_letters <= 200), lengths)
+    place = inside[kept]
+    out = np.full(int(sizes.sum()), 32, np.uint8)
+    out[np.repeat(base, n) + place + (place >= np.repeat(k, n))] = flat[kept]
+    return at, out.tobytes().decode().split(), (np.cumsum(parts) - parts).tolist()
+
+
 class Encoder:
     """Ids of texts, piece by piece; pieces are known by a 64-bit hash of their lower-cased bytes.
 
@@ -138,12 +164,13 @@ class Encoder:
     def _clear(self) -> None:
         self.known, self.sequences = Numbers(), Sequences()
 
-    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        words: list[str] = []  # letters and stops of the plain pieces, and the place of each piece's first word
-        firsts: list[int] = []
-        plain_at: list[int] = []
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        ascii_at, words, firsts = _ascii_words(data, starts, ends)
+        plain_at: list[int] = []  # other plain pieces; words and firsts hold their words, and the place of each piece's first
         other_at: list[int] = []
-        for i, piece in enumerate(pieces):
+        left = np.setdiff1d(np.arange(len(starts)), ascii_at, assume_unique=True)
+        pieces = [data[a:b].tobytes() for a, b in zip(starts[left].tolist(), ends[left].tolist())]
+        for i, piece in zip(left.tolist(), pieces):
             letters = piece.rstrip(STOPS)
             if letters.isalpha():
                 text = piece.decode()
@@ -161,14 +188,15 @@ class Encoder:
             words.append(text[:n])
             if n < len(text):
                 words.append(text[n:])
-        order = np.array(plain_at + other_at, np.int64)
+        order = np.concatenate([ascii_at, np.array(plain_at + other_at, np.int64)])
         first = self.known.n
         if words:
             found = self.plain.encode(words, is_pretokenized=True, add_special_tokens=False)
             sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
             self.sequences.add(np.add.reduceat(sizes, firsts), np.array(found.ids, np.uint32))
         if other_at:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in other_at], add_special_tokens=False)]
+            texts = [data[starts[i]:ends[i]].tobytes().decode() for i in other_at]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             self.sequences.add(sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
         self.known.put(hashes[order], first)
@@ -186,7 +214,7 @@ class Encoder:
                 missing[:] = True
             for at in range(0, len(fresh), LEARNED):
                 some = place[at:at + LEARNED]
-                self._learn(fresh[at:at + LEARNED], [data[a:b].tobytes() for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+                self._learn(fresh[at:at + LEARNED], data, starts[some], ends[some])
             where[missing] = self.known.find(hashes[missing])
         return self.sequences.joined(where)
 
