@@ -76,10 +76,9 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
-# Accumulators of an exact sum. Values of up to six decimals count in millionths, in two longs of _LOW_BITS and the rest; all
-# others go by binary digits to longs of _BIN bits each, from 2**_FIRST on. No long overflows below 10**10 rows of a group.
-_MILLIONTHS, _LOW_BITS, _MOST = 1e6, 26, 2.0 ** 33
-_NOISE = 2.0 ** -50  # share of a value by which arithmetic may have moved it from its decimals
+# Accumulators of an exact sum. Values below _MOST of up to six decimals count in millionths, in two longs, the lower one of _LOW_BITS; others
+# of up to 18 decimals as such; what is left by binary digits to longs of _BIN bits each, from 2**_FIRST on. Nothing overflows below 10**9 rows.
+_MILLION, _LOW_BITS, _MOST = 1e6, 26, 2.0 ** 33
 _BIN, _FIRST, _BINS = 24, -96, 8
 _SMALLEST, _LARGEST = 2.0 ** (_FIRST + 53), 2.0 ** (_FIRST + _BIN * _BINS - 4)  # of a value that loses no digit in the bins
 
@@ -119,18 +118,21 @@ def _bins_total(bins: Column) -> Column:
 def exact_sum(c: ColumnOrName) -> Column:
     """Sum as double that does not depend on the order in which partitions arrive.
 
-    Whole numbers are added only: a value of up to six decimals (give or take 2**-50 of it) and below 2**33 by its decimal digits, any other
-    between 2**-43 and 2**92 by its binary digits, so a retried or differently partitioned run gives the same result. If a group holds a
-    value outside that range (NaN, an infinity, 10**28, 10**-14), the plain sum of doubles is returned.
+    Whole numbers are added only: values below 2**33 by their decimal digits, up to 18 behind the point (most have six or fewer, and count in
+    longs), all others between 2**-43 and 2**92 by their binary digits, so a retried or differently partitioned run gives the same
+    result. If a group holds a value outside that range (NaN, an infinity, 10**28), the plain sum of doubles is returned.
     """
     value = col(c).cast("double")
     size = F.abs(value)
-    millionths = F.rint(value * _MILLIONTHS)
-    short = (size < _MOST) & (F.abs(millionths / _MILLIONTHS - value) <= size * _NOISE)
-    long = ~short & (size >= _SMALLEST) & (size < _LARGEST)
+    millionths = F.rint(value * _MILLION)
+    short = (size < _MOST) & (millionths / _MILLION == value)
+    digits = F.when(~short & (size < _MOST), value).try_cast("decimal(38,18)")
+    middle = F.coalesce(digits.cast("double") == value, F.lit(False))
+    long = ~short & ~middle & (size >= _SMALLEST) & (size < _LARGEST)
     whole = millionths.cast("long")
-    low = F.sum(F.when(short, whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
+    none = F.lit(0).cast("long")
     high = F.sum(F.when(short, F.shiftright(whole, _LOW_BITS)))
+    low = F.sum(F.when(short, whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
 
     def nearest(k: int) -> Column:
         """The value to the nearest multiple of a bin's unit, in that unit."""
@@ -140,17 +142,24 @@ def exact_sum(c: ColumnOrName) -> Column:
         digit = nearest(k) if k == _BINS - 1 else nearest(k) - nearest(k + 1) * F.lit(float(1 << _BIN))
         return F.coalesce(F.sum(F.when(long, digit.cast("long"))), F.lit(0).cast("long"))
 
-    # the widest kind of value: 0 short ones only, 1 long ones, 2 others; NULL without values
-    widest = F.max(F.when(short, 0).when(long, 1).when(value.isNotNull(), 2))
+    # the widest kind of value: 0 decimal digits only, 1 binary ones too, 2 others; NULL without values
+    widest = F.max(F.when(short | middle, 0).when(long, 1).when(value.isNotNull(), 2))
     parts = F.struct(
-        F.coalesce(high, F.lit(0).cast("long")).alias("high"), F.coalesce(low, F.lit(0).cast("long")).alias("low"),
+        F.coalesce(high, none).alias("high"), F.coalesce(low, none).alias("low"),
+        F.coalesce(F.sum(F.when(middle, digits)), F.lit(0).cast("decimal(38,18)")).alias("middle"),
         F.array(*[bin_sum(k) for k in range(_BINS)]).alias("bins"), widest.alias("widest"), F.sum(value).alias("plain"))
 
     def total(p: Column) -> Column:
-        digits = (p["high"].cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(9,0)") + p["low"]).cast("decimal(32,0)")
-        short_sum = (digits * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,6)")
-        both = let(_bins_total(p["bins"]), lambda b: (short_sum + b["whole"]).cast("decimal(38,6)").cast("double") + b["rest"])
-        return F.when(p["widest"] == 0, short_sum.cast("double")).when(p["widest"] == 1, both).otherwise(p["plain"])
+        in_millionths = (p["high"].cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(9,0)") + p["low"]).cast("decimal(32,0)")
+        decimal = (in_millionths * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,18)") + p["middle"]
+
+        def with_bins(b: Column) -> Column:
+            exact = [(decimal + b["whole"].try_cast("decimal(38,18)")).cast("double"),
+                     (decimal.cast("decimal(37,12)") + b["whole"].try_cast("decimal(25,0)")).cast("double")]  # beyond 10**20
+            rough = b["whole"].cast("double") + (decimal.cast("double") + b["rest"])
+            return F.when(b["rest"] == 0, F.coalesce(*exact, rough)).otherwise(rough)
+
+        return F.when(p["widest"] == 0, decimal.cast("double")).when(p["widest"] == 1, let(_bins_total(p["bins"]), with_bins)).otherwise(p["plain"])
 
     return let(parts, total)
 
