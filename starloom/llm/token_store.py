@@ -10,7 +10,8 @@ the frames. Blocks are rows of a parquet table (written by Spark, so any store w
 part, block, first_doc_id, last_doc_id, n_docs, start_in_part, n_tokens, payload. The dictionary is a table next to it.
 
 Encoding: no token of the vocabulary's pre-tokenizer crosses ASCII white space, so the pieces between it are encoded
-once per partition and remembered, at most MEMO_PIECES and MEMO_IDS ids at a time; the memory goes with the partition.
+once and remembered, at most MEMO_PIECES and MEMO_IDS ids at a time. A worker keeps that for its next partition, and lets it go
+when none comes within IDLE seconds, so that stages after this one have the memory.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -37,6 +40,7 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8192  # the dictionary's sample: documents, and their greatest length
 SPECIAL = b"<|"
 MEMO_PIECES, MEMO_IDS, SLOTS = 500_000, 4_000_000, 1 << 20  # of the memo: pieces, their ids, and places to find them by
+IDLE = 2.0  # seconds
 LEARNED = 20_000  # pieces encoded at once: the tokenizer's own account of them is larger than they are
 TASK_BYTES = 32 << 20  # of text that a task encodes: enough for what it learns to be of use, little enough to sort in memory
 STOPS = b".,;:!?"
@@ -242,6 +246,32 @@ class Encoder:
         return out
 
 
+_kept: dict[str, Encoder] = {}
+_idle: list[threading.Timer] = []
+
+
+@contextmanager
+def kept_encoder(path: str) -> Iterator[Encoder]:
+    """The worker's encoder for a vocabulary file; it is dropped when it has not been asked for again for IDLE seconds."""
+    while _idle:
+        _idle.pop().cancel()
+    own = _kept.pop(path, None) or Encoder(path)
+    try:
+        yield own
+    finally:
+        _kept.clear()
+        _kept[path] = own
+        timer = threading.Timer(IDLE, _let_go)
+        timer.daemon = True
+        _idle.append(timer)
+        timer.start()
+
+
+def _let_go() -> None:
+    _kept.clear()
+    common.release_memory()
+
+
 def encoded(column: pa.Array, encoder: Encoder, end_id: int | None) -> Iterator[tuple[int, list[np.ndarray]]]:
     """First row and id arrays of each run of rows."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
@@ -322,11 +352,11 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
-        for batch in batches:
-            for _, lists in encoded(batch.column(0), encoder, end_id):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_serial(x, width) for x in lists], pa.binary())], names=["ids"])
+        with kept_encoder(vocabulary) as encoder:
+            for batch in batches:
+                for _, lists in encoded(batch.column(0), encoder, end_id):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([_serial(x, width) for x in lists], pa.binary())], names=["ids"])
 
     width = _id_width(vocabulary, end_id)
     sample = (docs.where(F.length("text").between(1, SAMPLE_CHARS))
@@ -336,8 +366,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
     digest = hashlib.sha256(dictionary).digest()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with kept_encoder(vocabulary) as encoder:
+            yield from blocks_of(batches, encoder)
+
+    def blocks_of(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
         part, block, start = 0, 0, 0
-        squeeze, encoder = _compressor(dictionary), Encoder(vocabulary)
+        squeeze = _compressor(dictionary)
         rows: list[tuple[int | None, int, bytes]] = []
         held = 0
 

@@ -340,6 +340,20 @@ def test_many_rows_without_an_id_are_dealt_to_many_partitions(spark, frame):
     assert len(sizes) >= 8 and max(sizes) < 2000
 
 
+def test_an_encoder_is_kept_for_the_next_partition_and_let_go_when_idle(monkeypatch):
+    monkeypatch.setattr(token_store, "IDLE", 0.3)
+    with token_store.kept_encoder(VOCABULARY) as first:
+        by_pieces(first, ["some words"])
+    with token_store.kept_encoder(VOCABULARY) as second:
+        assert second is first and second.known.n == 2
+        time.sleep(0.6)
+        assert by_pieces(second, ["some"]) == [second.tokenizer.encode("some", add_special_tokens=False).ids]
+    time.sleep(0.8)
+    assert not token_store._kept
+    with token_store.kept_encoder(VOCABULARY) as third:
+        assert third is not first
+
+
 def test_an_empty_store_and_another_dictionary(spark, frame):
     path = staged_path(spark, "test-tokens")
     token_store.write_tokens(frame([], DOCS), path, VOCABULARY)
