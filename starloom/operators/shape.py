@@ -255,6 +255,16 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows dealt out by a hash of the keys, in pieces of Spark's advisory size; a piece that a hot key makes larger is split.
+
+    Put before :func:`deduplicate` where many narrow rows share few keys: a piece is sorted in memory however large the files'
+    splits are, and keeps one candidate per key.
+    """
+    slot = F.xxhash64(*[_quoted(k) for k in keys])
+    return df.withColumn("__slot", slot).hint("rebalance", "__slot").drop("__slot")
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], ingest_order: Column) -> DataFrame:
     """First row per key in ingestion order."""
     return deduplicate(df, keys, [ingest_order.asc()])

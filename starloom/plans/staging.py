@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from ..functions.core import whole_number
 from ..functions.standard import standardize_language
 from ..functions.text import is_free_text, rewrite_delimiter
 from ..functions.times import parse_duration, parse_feed_date, parse_iso_date
-from ..operators.shape import align_schema, deduplicate, keep_last, union_by_name
+from ..operators.shape import align_schema, deduplicate, gathered, keep_last, union_by_name
 from .rules import DEFAULT, Rules
 
 
@@ -129,6 +129,9 @@ UDEMY = Feed(
 
 FEEDS = {"coursera": COURSERA, "udacity": UDACITY, "udemy": UDEMY}
 
+# Adds the columns to picked rows that picking them does not need.
+Complete = Callable[[DataFrame], DataFrame]
+
 
 def align_feed(df: DataFrame, feed: Feed, ingest_order: Column | None = None) -> DataFrame:
     """A scraped file to its feed contract: columns renamed and completed, last row per id.
@@ -146,12 +149,15 @@ def align_feed(df: DataFrame, feed: Feed, ingest_order: Column | None = None) ->
 
 
 def stage_feed(
-    df: DataFrame, feed: Feed, rules: Rules = DEFAULT, tiebreak: Sequence[Column] | None = None
+    df: DataFrame, feed: Feed, rules: Rules = DEFAULT, tiebreak: Sequence[Column] | None = None, complete: Complete | None = None,
 ) -> DataFrame:
     """One feed to canonical rows, the latest per id.
 
     ``tiebreak`` orders rows of one id and date (first wins); by default a hash of the
     whole row, which is arbitrary but reproducible. Numbers that do not parse are NULL.
+
+    Where the other columns are looked up or built, ``df`` may hold the id, the date and what the tiebreak and the lookups need;
+    ``complete`` gets the picked rows and returns them with all columns of the feed. Narrow rows are picked in pieces that fit in memory.
     """
     present = set(df.columns)
 
@@ -182,9 +188,13 @@ def stage_feed(
         latest = updated
     if tiebreak is None:
         tiebreak = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
-    skills = text("skills")
     # The latest raw row per id is picked first, so that only kept rows are parsed.
-    kept = deduplicate(rows, [feed.columns["course_id"][0]], [latest.desc_nulls_last(), *tiebreak])
+    key = [feed.columns["course_id"][0]]
+    kept = deduplicate(gathered(rows, key) if complete else rows, key, [latest.desc_nulls_last(), *tiebreak])
+    if complete:
+        kept = complete(kept)
+        present = set(kept.columns)
+    skills = text("skills")
     return kept.select(
         text("course_id").alias("course_id"),
         F.trim(text("title")).alias("title"),
@@ -210,13 +220,13 @@ def stage_feed(
 
 def stage_feeds(
     df: DataFrame, platform: str = "platform", rules: Rules = DEFAULT, tiebreak: Sequence[Column] | None = None,
-    feeds: Sequence[Feed] = (COURSERA, UDACITY, UDEMY),
+    feeds: Sequence[Feed] = (COURSERA, UDACITY, UDEMY), complete: Complete | None = None,
 ) -> DataFrame:
     """Several feeds to canonical rows in one pass: one scan and one shuffle, however many feeds there are.
 
     ``df`` holds the raw rows of all feeds under the canonical names, told apart by a column with the platform. The result is
     that of :func:`stage_feed` on each feed and :func:`combine_feeds`; rows of other platforms are left out. Where feeds differ
-    (ids, dates, delimiters) the rule is chosen per row.
+    (ids, dates, delimiters) the rule is chosen per row. ``complete`` as there.
     """
     def per_feed(value: Callable[[Feed], Column]) -> Column:
         chosen = None
@@ -244,7 +254,10 @@ def stage_feeds(
     if tiebreak is None:
         tiebreak = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
     rows = df.filter(per_feed(kept_id))
-    kept = deduplicate(rows, [platform, "course_id"], [per_feed(latest).desc_nulls_last(), *tiebreak])
+    key = [platform, "course_id"]
+    kept = deduplicate(gathered(rows, key) if complete else rows, key, [per_feed(latest).desc_nulls_last(), *tiebreak])
+    if complete:
+        kept = complete(kept)
     skills = per_feed(lambda f: rewrite_delimiter(text("skills"), f.skill_delimiter) if f.skill_delimiter else F.trim(text("skills")))
     columns = {
         "course_id": text("course_id"), "title": F.trim(text("title")), "course_url": text("course_url"), "platform": F.col(platform),

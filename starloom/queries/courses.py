@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.shape import deduplicate
 from ..plans.rules import CLOUD, DEFAULT, LOCAL, Rules
-from ..plans.staging import FEEDS, UDEMY, Feed, align_feed, combine_feeds, stage_feed, stage_feeds
+from ..plans.staging import FEEDS, UDEMY, Complete, Feed, align_feed, combine_feeds, stage_feed, stage_feeds
 from ..plans.standardize import standardize_courses
 from ..functions import fixed
 from .registry import query, r, table
@@ -62,6 +63,8 @@ RAW = {
                      "else 'Guided Project' end",
 }
 TIES = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+# Canonical columns by which a row is picked; they come from the lines, all others are built for picked rows.
+_PICKED = ["course_id", "last_updated"]
 
 
 def _raw_values(platform: str) -> dict[str, str]:
@@ -73,42 +76,64 @@ def _raw_values(platform: str) -> dict[str, str]:
     }
 
 
+def _known_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines whose part and supplier are listed."""
+    part, supplier = table(spark, sf_dir, "part").select("p_partkey"), table(spark, sf_dir, "supplier").select("s_suppkey")
+    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+
+
+def _described(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines with their part and supplier, of a key listed more than once the first by its values."""
+    for name, key, line_key in (("part", "p_partkey", "l_partkey"), ("supplier", "s_suppkey", "l_suppkey")):
+        listed = table(spark, sf_dir, name)
+        once = deduplicate(listed, [key], [F.asc(c) for c in listed.columns if c != key])
+        lines = lines.join(once, F.col(line_key) == F.col(key))
+    return lines
+
+
+# The columns of a line that the raw values need beside those that break ties.
+_CARRIED = ["l_partkey", "l_linestatus"]
+
+
 def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed, whole: bool = False) -> DataFrame:
-    """One raw feed under its own column names, with the columns that break ties: the feed's share of the lines, or all."""
-    lines = table(spark, sf_dir, "lineitem")
-    rows = (
-        (lines if whole else lines.filter(F.col("l_returnflag") == FLAG[feed.platform]))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    )
+    """One raw feed, the feed's share of the lines or all: ids, dates and the columns that break ties.
+
+    :func:`completed` adds the other columns to the rows that are kept.
+    """
+    lines = _known_lines(spark, sf_dir)
+    rows = lines if whole else lines.filter(F.col("l_returnflag") == FLAG[feed.platform])
     values = _raw_values(feed.platform)
-    return rows.selectExpr(*[f"{values[c]} as `{names[0]}`" for c, names in feed.columns.items()], *TIES)
+    return rows.selectExpr(*[f"{values[c]} as `{feed.columns[c][0]}`" for c in _PICKED], *_CARRIED, *TIES)
+
+
+def completed(spark: SparkSession, sf_dir: str, feed: Feed) -> Complete:
+    """Adds the columns looked up in part and supplier to rows of :func:`raw_feed`, under the feed's own names."""
+    return lambda rows: _described(spark, sf_dir, rows).selectExpr(
+        *[f"`{feed.columns[c][0]}`" for c in _PICKED], *[f"{e} as `{feed.columns[c][0]}`" for c, e in RAW.items()], *TIES)
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: Feed, rules: Rules = DEFAULT, whole: bool = False) -> DataFrame:
-    return stage_feed(raw_feed(spark, sf_dir, feed, whole), feed, rules, [F.asc(c) for c in TIES])
+    raw = raw_feed(spark, sf_dir, feed, whole)
+    return stage_feed(raw, feed, rules, [F.asc(c) for c in TIES], completed(spark, sf_dir, feed))
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows of all feeds under the canonical names, derived in one pass over the lines."""
-    rows = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    )
+    """The raw rows of all feeds under the canonical names, derived in one pass over the lines: what picking them needs."""
     each = {f.platform: _raw_values(f.platform) for f in FEEDS.values()}
 
     def value(column: str) -> str:
-        if len({values[column] for values in each.values()}) == 1:
-            return each[UDEMY.platform][column]
         return "case l_returnflag " + " ".join(f"when '{FLAG[p]}' then {values[column]}" for p, values in each.items()) + " end"
 
     named = "case l_returnflag " + " ".join(f"when '{flag}' then '{p}'" for p, flag in FLAG.items()) + " end as platform"
-    return rows.selectExpr(named, *[f"{value(c)} as {c}" for c in each[UDEMY.platform]], *TIES)
+    return _known_lines(spark, sf_dir).selectExpr(named, *[f"{value(c)} as {c}" for c in _PICKED], *_CARRIED, *TIES)
 
 
 def combined(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:
-    return stage_feeds(raw_feeds(spark, sf_dir), "platform", rules, [F.asc(c) for c in TIES])
+    def complete(rows: DataFrame) -> DataFrame:
+        return _described(spark, sf_dir, rows).selectExpr("platform", *_PICKED, *[f"{e} as {c}" for c, e in RAW.items()])
+
+    return stage_feeds(raw_feeds(spark, sf_dir), "platform", rules, [F.asc(c) for c in TIES], complete=complete)
 
 
 def standardized(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT) -> DataFrame:
@@ -314,8 +339,6 @@ def align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.shape import deduplicate
-
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return deduplicate(orders, ["o_custkey"], [F.desc_nulls_last("o_orderdate"), F.asc("o_orderkey")])
 

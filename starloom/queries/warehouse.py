@@ -13,7 +13,7 @@ from ..operators.staging_area import stage
 from ..plans import build, checks, dashboard, history, semantic, star
 from ..plans.rules import DEFAULT, LOCAL, Rules
 from ..plans.staging import COURSERA, FEEDS, UDACITY, UDEMY
-from .courses import TIES, raw_feed, sql_staged, standardized, with_courses
+from .courses import TIES, completed, raw_feed, sql_staged, standardized, with_courses
 from .registry import REGISTRY, avg, big, mean, query, r, table
 
 # --- flagship: order star, revenue share of the customer segments ------------------------------
@@ -534,4 +534,5 @@ def _checks_sql() -> str:
 @query("dq_warehouse_checks", _checks_sql())
 def warehouse_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = {name: raw_feed(spark, sf_dir, feed) for name, feed in FEEDS.items()}
-    return build.build_warehouse(raw, SECOND, tiebreak=[F.asc(c) for c in TIES])["checks"]
+    complete = {name: completed(spark, sf_dir, feed) for name, feed in FEEDS.items()}
+    return build.build_warehouse(raw, SECOND, tiebreak=[F.asc(c) for c in TIES], complete=complete)["checks"]

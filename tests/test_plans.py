@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators import quality
+from starloom.operators.shape import deduplicate, gathered
 from starloom.operators.staging_area import stage
 from starloom.plans import checks, dashboard, extract, history, semantic, star
 from starloom.plans.rules import CLOUD, DEFAULT, LOCAL
 from starloom.plans.staging import COURSERA, UDACITY, UDEMY, align_feed, combine_feeds, stage_feed, stage_feeds
 from starloom.plans.standardize import standardize_courses
+from starloom.queries import courses as course_queries
+from starloom.queries import registry
 
 UDEMY_SCHEMA = (
     "course_id string, Course_Title string, Course_URL string, Language string, Description string, Skills string, Level string, "
@@ -81,6 +84,61 @@ def test_feeds_staged_together_are_as_those_staged_alone(feeds, rules):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("rules", [DEFAULT, replace(LOCAL, lenient_dates=True), replace(CLOUD, lenient_dates=True)])
+def test_picked_rows_are_completed_after_the_pick(feeds, rules):
+    """Narrow rows picked and then completed against whole rows staged; completing sees the picked rows only."""
+    named, narrow, wide = [], [], []
+    for df, feed in zip(feeds, (COURSERA, UDACITY, UDEMY)):
+        spelled = {c: next(n for n in names if n in df.columns) for c, names in feed.columns.items()}
+        df = df.withColumn("line", F.monotonically_increasing_id())
+        few = df.select(spelled["course_id"], spelled["last_updated"], "line")
+        rest = df.drop(spelled["course_id"], spelled["last_updated"])
+        seen = []
+
+        def complete(rows):
+            seen.append(rows.count())
+            return rows.join(rest, "line")
+
+        tie = [F.asc("line")]
+        assert rows(stage_feed(few, feed, rules, tie, complete)) == rows(stage_feed(df, feed, rules, tie))
+        assert seen == [stage_feed(df, feed, rules, tie).count()] and seen[0] <= df.count()
+        whole = df.select(F.lit(feed.platform).alias("platform"), "line", *[F.col(f"`{n}`").cast("string").alias(c) for c, n in spelled.items()])
+        named.append(whole)
+        narrow.append(whole.select("platform", "line", "course_id", "last_updated"))
+        wide.append(whole.drop("course_id", "last_updated"))
+    narrow, wide, whole = (reduce(DataFrame.unionByName, frames) for frames in (narrow, wide, named))
+    got = stage_feeds(narrow, "platform", rules, [F.asc("line")], complete=lambda picked: picked.join(wide, ["platform", "line"]))
+    assert rows(got) == rows(stage_feeds(whole, "platform", rules, [F.asc("line")]))
+
+
+def test_raw_feed_queries_pick_before_they_look_up(spark, tmp_path):
+    """Lines of unknown parts or suppliers are left out first, parts listed twice give one row, and the rows to pick from hold no text of a part."""
+    def write(name, data):
+        spark.createDataFrame(data, registry.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def line(order, part, supplier, flag, day):
+        return (order, part, supplier, 1, 3.0, 10.0, 0.0, 0.0, flag, "O", datetime(2024, 1, day))
+
+    write("part", [(1, "bolt", "Brand#1", "SMALL", 1, 5.0), (1, "bolt", "Brand#1", "SMALL", 1, 5.0), (2, "nut", "Brand#2", "LARGE", 2, 6.0), (None, "x", "y", "z", 3, 7.0)])
+    write("supplier", [(3, "Ann", 1, 0.0), (2, None, 1, 0.0)])
+    write("lineitem", [
+        line(1, 1, 3, "R", 5), line(2, 1, 9, "R", 9), line(3, 1, 2, "R", 7), line(4, 2, 3, "A", 1), line(5, 2, 3, "A", 2),
+        line(6, 5, 3, "N", 1), line(7, None, 3, "N", 1), line(8, 2, None, "N", 3), line(9, 2, 2, "N", 2)])
+    got = {(r["platform"], r["course_id"]): r for r in course_queries.combined(spark, str(tmp_path)).collect()}
+    assert {k: (r["title"], r["instructor"], r["last_updated"]) for k, r in got.items()} == {
+        ("Udemy", "1"): ("bolt 1", None, date(2024, 1, 7)), ("Coursera", "2"): ("nut 2", "Ann", date(2024, 1, 2)), ("Udacity", "ud2"): ("nut 2", None, date(2024, 1, 2))}
+    whole = course_queries.staged(spark, str(tmp_path), UDEMY, whole=True)
+    assert sorted((r["course_id"], r["last_updated"]) for r in whole.collect()) == [("1", date(2024, 1, 7)), ("2", date(2024, 1, 2))]
+    assert {"course_id", "last_updated", "platform"} == set(course_queries.raw_feeds(spark, str(tmp_path)).columns) - {*course_queries.TIES, *course_queries._CARRIED}
+    assert set(course_queries.raw_feed(spark, str(tmp_path), UDEMY).columns) == {"course_id", "Last_Update", *course_queries.TIES, *course_queries._CARRIED}
+
+
+def test_gathered_rows_of_a_hot_key(frame):
+    df = frame([(None if i % 3 else f"k{i % 7}", i) for i in range(300)], "k string, v int")
+    assert rows(gathered(df, ["k"])) == rows(df)
+    assert rows(deduplicate(gathered(df, ["k"]), ["k"], [F.desc("v")])) == rows(deduplicate(df, ["k"], [F.desc("v")]))
+
+
 def test_latest_row_per_id(feeds):
     _, d, u = feeds
     got = {r["course_id"]: r for r in stage_feed(u, UDEMY).collect()}
