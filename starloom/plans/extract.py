@@ -186,7 +186,9 @@ def nested_rows(hits: DataFrame, pages: DataFrame, site: str) -> DataFrame:
     give the shorter fallback row.
     """
     none = F.array().cast(TEXTS)
-    parsed = hits.join(pages, "slug", "left").select(
+    # Reading a record costs far more than moving it: a small file is one split, and would be read by one task.
+    merged = hits.join(pages, "slug", "left").select("slug", "hit", "page").repartition("slug", "hit", "page")
+    parsed = merged.select(
         "slug", "hit", "page", records.json_tokens("page").alias("tokens"), F.from_json("hit", HIT_SCHEMA).alias("h"),
         F.from_json("page", NESTED_SCHEMA).getField("pageProps").alias("g"),
     )

@@ -356,6 +356,16 @@ def test_api_page_rows(frame):
     assert tuple(got[1])[3:] == ("Coursera", "", "", "", "Unknown", "Free (Audit) / Paid (Certificate)", None, None, "", "", "Course", "")
 
 
+def test_nested_records_are_read_by_many_tasks(frame):
+    """The joined records of one split are dealt out before they are parsed, and every one of them is read."""
+    hits = frame([(f"s{i}", json.dumps({"title": f"T{i}"})) for i in range(40)], "slug string, hit string").coalesce(1)
+    pages = frame([(f"s{i}", json.dumps({"pageProps": {"duration": f"{i} weeks"}})) for i in range(20)], "slug string, page string").coalesce(1)
+    got = extract.nested_rows(hits, pages, "https://s.org")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract_all") < plan.index("RepartitionByExpression") < plan.index("Join")
+    assert sorted((r["Course_Title"], r["Duration"]) for r in got.collect()) == sorted((f"T{i}", f"{i} weeks" if i < 20 else None) for i in range(40))
+
+
 def test_nested_rows(frame):
     hit = {"id": "k1", "name": "N", "catalogUrl": "https://site.org/course/n", "isProgramFree": True, "skills": ["SQL", "taxonomy:1"],
            "rating": 4.5, "instructors": [{"name": "Ann"}]}
