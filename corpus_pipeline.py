@@ -5,10 +5,16 @@ written as Parquet and read again as the next one's docs.
 
 Every stage takes any rows: whole texts of any length; columns of other names and types beside those it reads, which come back as they
 are; an empty table, which stays empty. Where rows repeat, or lack an id or a text, each stage says what becomes of them.
+
+Texts go to Python in Arrow batches of BATCH_BYTES at most (or one longer text), which every stage sets for the session: an executor holds a
+batch several times, once more while it grows, in its own memory and in a worker's.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +25,22 @@ from starloom.llm.queries import TARGETS, language_labels
 from starloom.operators.staging_area import stage, staged_path
 from starloom.queries.registry import Query
 
+Step = Callable[[SparkSession, DataFrame, str], DataFrame]
+BATCH_BYTES = 4 << 20
+TASK_BYTES = 8 << 20  # of text that a task of the token stage sorts and encodes
+
+
+def small_batches(step: Step) -> Step:
+    """The stage with Arrow batches of at most BATCH_BYTES, from its first job to the write of its result."""
+    @wraps(step)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return step(spark, docs, sf_dir)
+
+    return bounded
+
 
+@small_batches
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.7 or more).
 
@@ -29,6 +50,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_nbsvm.accepted(docs, model)
 
 
+@small_batches
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: shingles of five words, similarity 0.8 or more, smallest doc_id.
 
@@ -38,11 +60,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return setsketch_dedup.without_near_duplicates(docs, words=5, percent=80)
 
 
+@small_batches
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages. Every row is judged by its own text; a NULL or empty text holds no passage."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@small_batches
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated until the languages' token totals match TARGETS; none is left out (rates are 1 or more).
 
@@ -53,6 +77,7 @@ def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return mixing.repeated(docs, labels, TARGETS, lowest=1.0)
 
 
+@small_batches
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in binary blocks, read back: doc_id, start, n_tokens, ids_crc32.
 
@@ -60,7 +85,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text; a NULL or empty text has the end id alone.
     """
     path = staged_path(spark, "tokens")
-    token_store.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    token_store.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, task_bytes=TASK_BYTES)
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -340,13 +340,15 @@ class Block:
         return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = 1, partitions: int | None = None) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, vocabulary: str, end_id: int | None = 1, partitions: int | None = None, task_bytes: int = TASK_BYTES,
+) -> None:
     """Encode docs (doc_id, text) and write them under path, in ascending doc_id order.
 
     NULL texts are empty; rows with a NULL doc_id come first; rows that repeat a doc_id all stay, ordered by the first HEAD_CHARS
     characters of their text, then by its hash.
     An empty table gives a store without documents. Other columns are not read. Without `partitions` there are as many as the texts have
-    TASK_BYTES, at least one for every core.
+    ``task_bytes``, at least one for every core.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -403,7 +405,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
     order = [F.col("doc_id").asc_nulls_first(), F.col("head"), F.col("key"), F.col("source")]
     if not partitions:
         size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-        partitions = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+        partitions = max(spark.sparkContext.defaultParallelism, -(-size // task_bytes))
     dealt = docs.repartitionByRange(partitions, *order)
     ordered = dealt.sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
     ordered.mapInArrow(common.tidy(blocks), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")

@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from starloom.llm import (
     common, decontaminate, language_id, marked_findings, mixing, pii_crf, quality_nbsvm, role_repair, secret_forest, setsketch_dedup, token_store,
     vector_neardup,
@@ -789,3 +790,31 @@ def test_marked_lines_hold_their_values():
     assert {x.secret for x in lines} == {True, False} and len({x.form for x in lines}) > 80
     assert all(x.text[x.start:x.end] and " " not in x.text[x.start:x.end] for x in lines)
     assert marked_findings.lines(3) == lines
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_send_texts_in_small_batches(spark, name):
+    """Where a stage has begun, batches have BATCH_BYTES at most and one more row."""
+    texts = spark.range(0, 24, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 1 << 18).alias("text"))
+
+    def counts(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    try:
+        with pytest.raises(Exception):  # stops at its first use of the rows
+            dict(corpus_pipeline.STAGES)[name](spark, None, "nowhere")
+        sizes = [r.n for r in texts.select("text").mapInArrow(counts, "n long").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert sum(sizes) == 24 and max(sizes) <= 1 + corpus_pipeline.BATCH_BYTES // (5 << 18)
+
+
+def test_token_tasks_take_a_given_share_of_the_text(spark, tmp_path):
+    """Blocks of as many tasks as the texts have task_bytes, whatever the cores; the documents stay the same."""
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 200).alias("text"))
+    for bytes_, least in ((1 << 30, 1), (1000, 20)):
+        token_store.write_tokens(docs, f"{tmp_path}/{bytes_}", VOCABULARY, 1, task_bytes=bytes_)
+        assert least <= spark.read.parquet(f"{tmp_path}/{bytes_}/blocks").select("part").distinct().count() <= max(8, 40)
+    one, many = (token_store.read_tokens(spark, f"{tmp_path}/{n}").orderBy("doc_id").collect() for n in (1 << 30, 1000))
+    assert one == many
